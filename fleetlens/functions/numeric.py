@@ -22,7 +22,7 @@ def safe_float(c) -> Column:
     """Python ``float(str(v).strip())`` or null (empty / bad text)."""
     t = F.lower(_strip(_c(c).cast("string")))
     ok = t.rlike(_FLOAT_RE)
-    return F.when(ok, F.try_cast(F.replace(t, F.lit("_"), F.lit("")), "double"))
+    return F.when(ok, F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def safe_int(c) -> Column:
@@ -35,14 +35,14 @@ def safe_int_strict(c, default=None) -> Column:
     """P15 (``default`` variant): Python ``int(text)`` - integers only, else ``default``."""
     t = _strip(_c(c).cast("string"))
     ok = t.rlike(r"^[+-]?\d+(_\d+)*$")
-    v = F.when(ok, F.try_cast(F.replace(t, F.lit("_"), F.lit("")), "long"))
+    v = F.when(ok, F.replace(t, F.lit("_"), F.lit("")).try_cast("long"))
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
 def extract_first_int(text, pattern: str) -> Column:
     """First regex group as integer (IGNORECASE + MULTILINE); null if no match."""
     g = F.regexp_extract(F.coalesce(_c(text), F.lit("")), "(?im)" + pattern, 1)
-    return F.try_cast(F.nullif(g, F.lit("")), "long")
+    return F.nullif(g, F.lit("")).try_cast("long")
 
 
 def extract_nonneg_int(text, pattern: str) -> Column:
