@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from fleetlens.plans import metric_queries, queue_queries, signal_queries, weekly_queries  # noqa: F401
+from fleetlens.plans import (  # noqa: F401
+    audit_queries,
+    metric_queries,
+    queue_queries,
+    signal_queries,
+    weekly_queries,
+)
 from fleetlens.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -282,79 +282,144 @@ FROM (
 # --------------------------------------------------------------------------------------------
 # kv_logs <- customer  (key=value audit logs, one text per log)
 # --------------------------------------------------------------------------------------------
+# Line spec, shared by the Spark builder and the DuckDB text. k = c_custkey.
+#   ("lit", text)                      constant line
+#   ("mod", key, m)                    key=<k % m>
+#   ("flag", key, m, a, b)             key=a when k % m = 0 else b
+#   ("fmt", key, m, div, fmt)          key=printf(fmt, (k % m) / div)
+#   ("opt", m, spec)                   the line is absent when k % m = 0
+KV_LINES = [
+    ("lit", "=== audit ==="),
+    ("mod", "root_used_percent", 101),
+    ("raw_mod", " swap_used_mb = ", 3000),
+    ("lit", ""),
+    ("lit", "noise line"),
+    ("flag", "docker_reachable", 17, "no", "yes"),
+    ("lit", "reboot_required=no"),
+    ("flag", "reboot_required", 5, "yes", "no"),
+    ("flag", "unit_docker_service_active", 23, "failed", "active"),
+    ("lit", "unit_prometheus_node_exporter_service_active=active"),
+    ("flag", "unit_action_runner_service_active", 41, "inactive", "active"),
+    ("opt", 3, ("lit", "unit_caddy_service_active=active")),
+    ("flag", "unit_fail2ban_service_active", 7, "inactive", "active"),
+    ("flag", "prometheus_probe", 19, "fail", "ok"),
+    ("lit", "alertmanager_probe=ok"),
+    ("lit", "grafana_probe=ok"),
+    ("lit", "action_runner_probe=ok"),
+    ("flag", "node_exporter_probe", 13, "timeout", "ok"),
+    ("flag", "tg_relay_probe", 11, "fail", "ok"),
+    ("mod", "root_inode_used_percent", 97),
+    ("mod", "journal_p3_count", 150),
+    ("mod", "docker_unhealthy_containers", 4),
+    ("mod", "docker_restarting_containers", 3),
+    ("mod", "docker_running_containers", 12),
+    ("flag", "container_prometheus_exists", 29, "no", "yes"),
+    ("flag", "container_prometheus_state", 13, "exited", "running"),
+    ("flag", "container_prometheus_health", 11, "unhealthy", "healthy"),
+    ("flag", "container_prometheus_status", 47, "inspect_failed", "ok"),
+    ("lit", "container_alertmanager_exists=yes"),
+    ("lit", "container_alertmanager_state=running"),
+    ("flag", "container_alertmanager_health", 2, "none", "healthy"),
+    ("lit", "container_grafana_exists=yes"),
+    ("flag", "container_grafana_state", 31, "restarting", "running"),
+    ("lit", "container_grafana_health=none"),
+    ("opt", 53, ("lit", "container_loki_exists=yes")),
+    ("lit", "container_loki_state=running"),
+    ("lit", "container_tg_relay_exists=yes"),
+    ("lit", "container_tg_relay_state=running"),
+    ("flag", "container_tg_relay_health", 37, "starting", "healthy"),
+    ("flag", "container_promtail_exists", 14, "no", "yes"),
+    ("lit", "container_promtail_state=running"),
+    ("flag", "container_demo_app_exists", 2, "no", "yes"),
+    ("flag", "container_demo_app_state", 9, "exited", "running"),
+    ("flag", "container_demo_app_health", 15, "unhealthy", "healthy"),
+    ("flag", "ufw_status", 31, "unknown", "active"),
+    ("flag", "ufw_default_incoming", 43, "allow", "deny"),
+    ("lit", "ufw_rule_22_present=yes"),
+    ("flag", "ufw_rule_80_present", 10, "no", "yes"),
+    ("lit", "ufw_rule_443_present=yes"),
+    ("flag", "tailscale_serve_status", 8, "error", "ok"),
+    ("lit", "tailscale_serve_port_3000=yes"),
+    ("lit", "tailscale_serve_port_3100=yes"),
+    ("flag", "tailscale_serve_port_9080", 6, "no", "yes"),
+    ("lit", "tailscale_serve_port_9090=yes"),
+    ("lit", "tailscale_serve_port_9093=yes"),
+    ("flag", "probe_prometheus_ready", 7, "FAIL", " ok "),
+    ("lit", "probe_alertmanager_ready=ok"),
+    ("lit", "probe_grafana_health=healthy"),
+    ("lit", "probe_loki_ready=up"),
+    ("lit", "probe_tg_relay_ready=true"),
+    ("lit", "probe_promtail_ready=1"),
+    ("flag", "probe_demo_app_health", 12, "down", "OK"),
+    ("flag", "prometheus_query_api", 59, "error", "ok"),
+    ("lit", "prometheus_target_nodes_vps_up=1"),
+    ("mod", "prometheus_target_nodes_admin_up", 2),
+    ("opt", 5, ("lit", "prometheus_target_action_runner_up=1")),
+    ("lit", "prometheus_target_demo_app_up=1.0"),
+    ("flag", "prometheus_required_targets_down", 2, "1", "0"),
+    ("mod", "prometheus_total_targets_down", 3),
+    ("fmt", "demo_app_5xx_rate", 5, 100.0, "%.4f"),
+    ("fmt", "demo_app_p95_latency_seconds", 9, 10.0, "%.3f"),
+    ("mod", "containers_restarting_total", 3),
+]
+
+
+def _kv_line_spark(spec, k: Column) -> Column:
+    kind = spec[0]
+    if kind == "lit":
+        return F.lit(spec[1])
+    if kind == "mod":
+        return F.concat(F.lit(spec[1] + "="), (k % spec[2]).cast("string"))
+    if kind == "raw_mod":
+        return F.concat(F.lit(spec[1]), (k % spec[2]).cast("string"))
+    if kind == "flag":
+        return F.concat(F.lit(spec[1] + "="), F.when(k % spec[2] == 0, F.lit(spec[3])).otherwise(F.lit(spec[4])))
+    if kind == "fmt":
+        return F.concat(F.lit(spec[1] + "="), F.format_string(spec[4], (k % spec[2]) / F.lit(spec[3])))
+    if kind == "opt":
+        return F.when(k % spec[1] != 0, _kv_line_spark(spec[2], k))
+    raise ValueError(kind)
+
+
+def _sql_str(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _kv_line_sql(spec, k: str) -> str:
+    kind = spec[0]
+    if kind == "lit":
+        return _sql_str(spec[1])
+    if kind == "mod":
+        return f"{_sql_str(spec[1] + '=')} || CAST({k} % {spec[2]} AS VARCHAR)"
+    if kind == "raw_mod":
+        return f"{_sql_str(spec[1])} || CAST({k} % {spec[2]} AS VARCHAR)"
+    if kind == "flag":
+        return (f"{_sql_str(spec[1] + '=')} || (CASE WHEN {k} % {spec[2]} = 0 THEN {_sql_str(spec[3])} "
+                f"ELSE {_sql_str(spec[4])} END)")
+    if kind == "fmt":
+        return f"{_sql_str(spec[1] + '=')} || printf({_sql_str(spec[4])}, ({k} % {spec[2]}) / {spec[3]})"
+    if kind == "opt":
+        return f"(CASE WHEN {k} % {spec[1]} <> 0 THEN {_kv_line_sql(spec[2], k)} END)"
+    raise ValueError(kind)
 
 
 def kv_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey")
     k = F.col("c_custkey")
-    lines = [
-        F.lit("=== audit ==="),
-        F.concat(F.lit("root_used_percent="), (k % 101).cast("string")),
-        F.concat(F.lit(" swap_used_mb = "), (k % 3000).cast("string")),
-        F.lit(""),
-        F.lit("noise line"),
-        F.concat(F.lit("docker_reachable="), F.when(k % 17 == 0, F.lit("no")).otherwise(F.lit("yes"))),
-        F.lit("reboot_required=no"),
-        F.concat(F.lit("reboot_required="), F.when(k % 5 == 0, F.lit("yes")).otherwise(F.lit("no"))),
-        # stack / vps keys, same pattern: a value per key derived from the customer key
-        F.concat(F.lit("docker_unit="), F.when(k % 23 == 0, F.lit("failed")).otherwise(F.lit("active"))),
-        F.concat(F.lit("root_inode_percent="), (k % 97).cast("string")),
-        F.concat(F.lit("journal_errors_24h="), (k % 150).cast("string")),
-        F.concat(F.lit("docker_unhealthy_count="), (k % 4).cast("string")),
-        F.concat(F.lit("docker_restarting_count="), (k % 3).cast("string")),
-        F.concat(F.lit("prometheus_exists="), F.when(k % 19 == 0, F.lit("no")).otherwise(F.lit("yes"))),
-        F.concat(F.lit("prometheus_state="), F.when(k % 13 == 0, F.lit("exited")).otherwise(F.lit("running"))),
-        F.concat(F.lit("prometheus_health="), F.when(k % 11 == 0, F.lit("unhealthy")).otherwise(F.lit("healthy"))),
-        F.concat(F.lit("prometheus_probe="), F.when(k % 7 == 0, F.lit("FAIL")).otherwise(F.lit(" ok "))),
-        F.concat(F.lit("grafana_exists="), F.lit("yes")),
-        F.concat(F.lit("grafana_state="), F.when(k % 29 == 0, F.lit("restarting")).otherwise(F.lit("running"))),
-        F.concat(F.lit("grafana_health="), F.when(k % 2 == 0, F.lit("none")).otherwise(F.lit("healthy"))),
-        F.concat(F.lit("grafana_probe="), F.lit("healthy")),
-        F.concat(F.lit("target_up_node="), (k % 2).cast("string")),
-        F.concat(F.lit("demo_app_5xx_rate="), F.format_string("%.4f", (k % 5) / F.lit(100.0))),
-        F.concat(F.lit("demo_app_p95_latency_seconds="), F.format_string("%.3f", (k % 9) / F.lit(10.0))),
-        F.concat(F.lit("ufw_status="), F.when(k % 31 == 0, F.lit("unknown")).when(k % 37 == 0, F.lit("inactive"))
-                 .otherwise(F.lit("active"))),
-    ]
     return c.select(
         k.alias("log_id"),
         F.concat(F.lit("host-"), (k % 50).cast("string")).alias("host"),
-        (F.lit(1704067200) + k * 3600).alias("mtime_unix"),
-        F.concat_ws("\n", *lines).alias("text"),
+        (F.lit(1704067200) + k * 3600).cast("long").alias("mtime_unix"),
+        F.concat_ws("\n", *[_kv_line_spark(sp, k) for sp in KV_LINES]).alias("text"),
     )
 
 
-_KV_LOGS_SQL = """
-SELECT c_custkey AS log_id, 'host-' || CAST(c_custkey % 50 AS VARCHAR) AS host,
-  1704067200 + c_custkey * 3600 AS mtime_unix,
-  concat_ws(chr(10), '=== audit ===',
-    'root_used_percent=' || CAST(c_custkey % 101 AS VARCHAR),
-    ' swap_used_mb = ' || CAST(c_custkey % 3000 AS VARCHAR),
-    '', 'noise line',
-    'docker_reachable=' || (CASE WHEN c_custkey % 17 = 0 THEN 'no' ELSE 'yes' END),
-    'reboot_required=no',
-    'reboot_required=' || (CASE WHEN c_custkey % 5 = 0 THEN 'yes' ELSE 'no' END),
-    'docker_unit=' || (CASE WHEN c_custkey % 23 = 0 THEN 'failed' ELSE 'active' END),
-    'root_inode_percent=' || CAST(c_custkey % 97 AS VARCHAR),
-    'journal_errors_24h=' || CAST(c_custkey % 150 AS VARCHAR),
-    'docker_unhealthy_count=' || CAST(c_custkey % 4 AS VARCHAR),
-    'docker_restarting_count=' || CAST(c_custkey % 3 AS VARCHAR),
-    'prometheus_exists=' || (CASE WHEN c_custkey % 19 = 0 THEN 'no' ELSE 'yes' END),
-    'prometheus_state=' || (CASE WHEN c_custkey % 13 = 0 THEN 'exited' ELSE 'running' END),
-    'prometheus_health=' || (CASE WHEN c_custkey % 11 = 0 THEN 'unhealthy' ELSE 'healthy' END),
-    'prometheus_probe=' || (CASE WHEN c_custkey % 7 = 0 THEN 'FAIL' ELSE ' ok ' END),
-    'grafana_exists=yes',
-    'grafana_state=' || (CASE WHEN c_custkey % 29 = 0 THEN 'restarting' ELSE 'running' END),
-    'grafana_health=' || (CASE WHEN c_custkey % 2 = 0 THEN 'none' ELSE 'healthy' END),
-    'grafana_probe=healthy',
-    'target_up_node=' || CAST(c_custkey % 2 AS VARCHAR),
-    'demo_app_5xx_rate=' || printf('%.4f', (c_custkey % 5) / 100.0),
-    'demo_app_p95_latency_seconds=' || printf('%.3f', (c_custkey % 9) / 10.0),
-    'ufw_status=' || (CASE WHEN c_custkey % 31 = 0 THEN 'unknown' WHEN c_custkey % 37 = 0 THEN 'inactive'
-                      ELSE 'active' END)
-  ) AS text
-FROM customer
-"""
+_KV_LOGS_SQL = (
+    "SELECT c_custkey AS log_id, 'host-' || CAST(c_custkey % 50 AS VARCHAR) AS host,\n"
+    "  CAST(1704067200 + c_custkey * 3600 AS BIGINT) AS mtime_unix,\n  concat_ws(chr(10), "
+    + ",\n    ".join(_kv_line_sql(sp, "c_custkey") for sp in KV_LINES)
+    + ") AS text\nFROM customer\n"
+)
 
 # --------------------------------------------------------------------------------------------
 # snapshots <- part (Mac host snapshots)
