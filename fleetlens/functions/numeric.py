@@ -123,4 +123,4 @@ def fmt_num(c, digits: int) -> Column:
     x = _c(c).cast("double")
     if digits == 0:
         return F.bround(x, 0).cast("long").cast("string")
-    return F.format_string(f"%.{digits}f", x)
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits}f", x))
