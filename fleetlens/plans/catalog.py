@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fleetlens.plans import (  # noqa: F401
+    admin_queries,
     audit_queries,
     mac_queries,
     metric_queries,

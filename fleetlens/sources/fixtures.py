@@ -421,6 +421,137 @@ _KV_LOGS_SQL = (
     + ") AS text\nFROM customer\n"
 )
 
+# --------------------------------------------------------------------------------------------
+# admin_logs <- customer  (sectioned audit text, plus the wrapped command output)
+# --------------------------------------------------------------------------------------------
+# Same line-spec idea as KV_LINES; ("sec", title) emits a "==== title ====" header.
+ADMIN_LINES = [
+    ("sec", "NETWORK CHECK"),
+    ("flag", "ip_ping: ", 13, "FAIL", "OK"),
+    ("flag", "dns_resolve: ", 17, "FAIL", "OK"),
+    ("sec", "MEMORY + SWAP"),
+    ("lit", "               total        used        free"),
+    ("lit", "Mem:           7.6Gi       2.1Gi       3.2Gi"),
+    ("swap",),
+    ("sec", "BOOT STATE"),
+    ("flag", "reboot_required: ", 5, "YES", "NO"),
+    ("lit", "reboot_detected_recently: NO"),
+    ("lit", "boot_time_unixtime: 1704000000"),
+    ("mul", "uptime_seconds: ", 60),
+    ("sec", "NETWORK + TAILSCALE"),
+    ("lit", "  Enabled "),
+    ("flag", "", 11, "inactive", "active"),
+    ("sec", "SSH LISTEN"),
+    ("flag", "ssh :22 ", 19, "not listening", "listening"),
+    ("sec", "UFW SUMMARY"),
+    ("lit", "Status: active"),
+    ("sec", "WIFI WATCHDOG"),
+    ("mod", "wifi_watchdog_events_journal_boot: ", 3),
+    ("mod", "wifi_watchdog_events_dmesg_boot: ", 4),
+    ("sec", "FAIL2BAN (status only)"),
+    ("flag", "fail2ban ", 7, "inactive", "active"),
+    ("sec", "DISK ROOT"),
+    ("lit", "Filesystem      Size  Used Avail Use% Mounted on"),
+    ("mod", "/dev/sda1        50G   20G   30G  ", 101, "% /"),
+    ("sec", "INODES"),
+    ("lit", "Filesystem      Inodes  IUsed  IFree IUse% Mounted on"),
+    ("mod", "/dev/sda1      3276800 100000 3176800 ", 97, "% /"),
+    ("sec", "SYSSTAT (summary)"),
+    ("flag", "ENABLED=", 23, '"false"', '"true"'),
+    ("sec", "JOURNAL P3+ (current boot)"),
+    ("flag", "", 29, "systemd-journald.service: Watchdog timeout", "-- No entries --"),
+    ("sec", "APT"),
+    ("mod", "upgradable_packages: ", 12),
+    ("sec", "SMB SERVICES"),
+    ("lit", "enabled"),
+    ("lit", "active"),
+    ("flag", "smb ports ", 31, "not listening", "listening"),
+    ("sec", "TIME MACHINE PATH"),
+    ("flag", "timemachine_path_exists: ", 37, "NO", "YES"),
+    ("flag", "timemachine_path_writable: ", 41, "NO", "YES"),
+    ("sec", "TIME MACHINE FRESHNESS"),
+    ("mul", "timemachine_age_seconds: ", 100),
+    ("sec", "INFRA BACKUPS PATH"),
+    ("flag", "infra_backups_path_exists: ", 43, "NO", "YES"),
+    ("lit", "infra_backups_path_writable: YES"),
+    ("sec", "INFRA BACKUPS FRESHNESS"),
+    ("mul", "infra_backups_tar_age_seconds: ", 300),
+    ("flag", "infra_backups_sha_age_seconds: ", 10, "-1", "600"),
+    ("lit", "infra_backups_tar_count: 7"),
+    ("flag", "infra_backups_sha_count: ", 47, "6", "7"),
+    ("flag", "infra_backups_pairs_match: ", 47, "NO", "YES"),
+    ("opt", 3, ("sec", "SMART HEALTH")),
+    ("opt", 3, ("flag", "SMART overall-health self-assessment test result: ", 53, "FAILED", "PASSED")),
+]
+
+
+def _admin_line_spark(spec, k: Column) -> Column:
+    kind = spec[0]
+    if kind == "sec":
+        return F.lit(f"==== {spec[1]} ====")
+    if kind == "lit":
+        return F.lit(spec[1])
+    if kind == "flag":
+        return F.concat(F.lit(spec[1]), F.when(k % spec[2] == 0, F.lit(spec[3])).otherwise(F.lit(spec[4])))
+    if kind == "mod":
+        tail = spec[3] if len(spec) > 3 else ""
+        return F.concat(F.lit(spec[1]), (k % spec[2]).cast("string"), F.lit(tail))
+    if kind == "mul":
+        return F.concat(F.lit(spec[1]), (k * spec[2]).cast("string"))
+    if kind == "swap":
+        used = (F.when(k % 4 == 0, F.concat(((k % 9) * 100).cast("string"), F.lit("MiB")))
+                .when(k % 4 == 1, F.concat((k % 3).cast("string"), F.lit(".5GiB")))
+                .when(k % 4 == 2, F.concat((k % 700).cast("string"), F.lit("Mi")))
+                .otherwise(F.concat((k % 2000).cast("string"), F.lit("kB"))))
+        return F.concat(F.lit("Swap:          2.0Gi       "), used, F.lit("       1.5Gi"))
+    if kind == "opt":
+        return F.when(k % spec[1] != 0, _admin_line_spark(spec[2], k))
+    raise ValueError(kind)
+
+
+def _admin_line_sql(spec, k: str) -> str:
+    kind = spec[0]
+    if kind == "sec":
+        return _sql_str(f"==== {spec[1]} ====")
+    if kind == "lit":
+        return _sql_str(spec[1])
+    if kind == "flag":
+        return (f"{_sql_str(spec[1])} || (CASE WHEN {k} % {spec[2]} = 0 THEN {_sql_str(spec[3])} "
+                f"ELSE {_sql_str(spec[4])} END)")
+    if kind == "mod":
+        tail = spec[3] if len(spec) > 3 else ""
+        return f"{_sql_str(spec[1])} || CAST({k} % {spec[2]} AS VARCHAR) || {_sql_str(tail)}"
+    if kind == "mul":
+        return f"{_sql_str(spec[1])} || CAST({k} * {spec[2]} AS VARCHAR)"
+    if kind == "swap":
+        return ("'Swap:          2.0Gi       ' || (CASE "
+                f"WHEN {k} % 4 = 0 THEN CAST(({k} % 9) * 100 AS VARCHAR) || 'MiB' "
+                f"WHEN {k} % 4 = 1 THEN CAST({k} % 3 AS VARCHAR) || '.5GiB' "
+                f"WHEN {k} % 4 = 2 THEN CAST({k} % 700 AS VARCHAR) || 'Mi' "
+                f"ELSE CAST({k} % 2000 AS VARCHAR) || 'kB' END) || '       1.5Gi'")
+    if kind == "opt":
+        return f"(CASE WHEN {k} % {spec[1]} <> 0 THEN {_admin_line_sql(spec[2], k)} END)"
+    raise ValueError(kind)
+
+
+def admin_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer").select("c_custkey")
+    k = F.col("c_custkey")
+    text = F.concat_ws("\n", *[_admin_line_spark(sp, k) for sp in ADMIN_LINES])
+    path = F.concat(F.lit("/var/log/admin-host-audit/audit_"), k.cast("string"), F.lit(".log"))
+    output = F.when(k % 10 == 0, F.concat(F.lit("LOG_PATH:"), path, F.lit("\n"), text)).otherwise(
+        F.concat(F.lit("LOG_PATH:"), path, F.lit("\n__AUDIT_BODY_BEGIN__\n"), text))
+    return c.select(k.alias("log_id"), F.lit("admin").alias("host"), text.alias("text"), output.alias("output"))
+
+
+_ADMIN_TEXT_SQL = "concat_ws(chr(10), " + ",\n    ".join(_admin_line_sql(sp, "c_custkey") for sp in ADMIN_LINES) + ")"
+_ADMIN_LOGS_SQL = (
+    "SELECT log_id, host, text, CASE WHEN log_id % 10 = 0 THEN 'LOG_PATH:' || path || chr(10) || text "
+    "ELSE 'LOG_PATH:' || path || chr(10) || '__AUDIT_BODY_BEGIN__' || chr(10) || text END AS output FROM (\n"
+    "SELECT c_custkey AS log_id, 'admin' AS host, '/var/log/admin-host-audit/audit_' || CAST(c_custkey AS VARCHAR) "
+    "|| '.log' AS path,\n  " + _ADMIN_TEXT_SQL + " AS text\nFROM customer) a0\n"
+)
+
 # --------------------------------------------------------------------------------------------
 # snapshots <- part (Mac host snapshots)
 # --------------------------------------------------------------------------------------------
@@ -666,6 +797,7 @@ ORACLE_CTES = {
     "tasks": _TASKS_SQL,
     "runs": _RUNS_SQL,
     "kv_logs": _KV_LOGS_SQL,
+    "admin_logs": _ADMIN_LOGS_SQL,
     "snapshots": _SNAPSHOTS_SQL,
     "samples": _SAMPLES_SQL,
     "files": _FILES_SQL,
