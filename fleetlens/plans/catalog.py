@@ -8,6 +8,7 @@ from fleetlens.plans import (  # noqa: F401
     mac_queries,
     metric_queries,
     queue_queries,
+    schedule_queries,
     signal_queries,
     weekly_queries,
 )
