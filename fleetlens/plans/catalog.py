@@ -10,6 +10,7 @@ from fleetlens.plans import (  # noqa: F401
     queue_queries,
     schedule_queries,
     signal_queries,
+    timeseries_queries,
     weekly_queries,
 )
 from fleetlens.plans.registry import ORACLE, QUERIES
