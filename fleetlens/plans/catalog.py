@@ -5,6 +5,7 @@ from __future__ import annotations
 from fleetlens.plans import (  # noqa: F401
     admin_queries,
     audit_queries,
+    chain_queries,
     mac_queries,
     metric_queries,
     queue_queries,
