@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from fleetlens.plans import (  # noqa: F401
     admin_queries,
+    artifact_queries,
     audit_queries,
     chain_queries,
     mac_queries,

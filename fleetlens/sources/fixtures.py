@@ -764,8 +764,8 @@ RESPONSE_RAW = [
     (2, '{"output":5}'),
 ]
 REVIEW_RAW = [
-    (0, '{"brief_status":"watch","executive_summary":"disk filling","key_risks":[],"recommended_actions":[],'
-        '"source":"vps_host_audit"}'),
+    (0, '{"brief_status":"watch","executive_summary":"disk filling","operator_note":"check tomorrow",'
+        '"recommended_actions":[],"top_risks":[]}'),
     (1, '{"brief_status":"odd"}'),
 ]
 
@@ -785,7 +785,7 @@ SELECT o_orderkey AS response_id,
     WHEN 1 THEN '{"output":[{"content":[{"text":"a"},{"text":" "}]},{"content":[{"text":"b"}]}]}'
     WHEN 2 THEN '{"output":5}' ELSE 'bad' END AS response,
   CASE o_custkey % 3
-    WHEN 0 THEN '{"brief_status":"watch","executive_summary":"disk filling","key_risks":[],"recommended_actions":[],"source":"vps_host_audit"}'
+    WHEN 0 THEN '{"brief_status":"watch","executive_summary":"disk filling","operator_note":"check tomorrow","recommended_actions":[],"top_risks":[]}'
     WHEN 1 THEN '{"brief_status":"odd"}' ELSE '{"extra":1}' END AS review
 FROM orders
 """
