@@ -1,0 +1,169 @@
+"""Records the signal pipeline writes: decision views, task payloads, notifications
+(S1, K2, K10, K13, K14, K15, K16, J8, P3, P39, U5, A15, U-1..U-4).
+
+Everything is a per-row projection (``to_json`` / ``concat`` / higher-order functions) over decided
+signals or recorded tasks - no shuffle beyond the joins named in each function.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from fleetlens.functions.maps import context_pick, fingerprint
+from fleetlens.functions.numeric import severity_priority
+from fleetlens.functions.text import pick_str, py_strip
+
+TEMPLATE_TOKEN = r"\{\{\s*([a-zA-Z0-9_]+)(\|upper|\|lower)?\s*\}\}"
+
+
+def _c(x) -> Column:
+    return F.col(x) if isinstance(x, str) else x
+
+
+def render_template(template, context) -> Column:
+    """``{{ name }}``, ``{{ name|upper }}``, ``{{ name|lower }}``; a missing key renders ''."""
+    tpl = _c(template)
+    ctx = _c(context)
+    tokens = F.array_distinct(F.regexp_extract_all(tpl, F.lit(TEMPLATE_TOKEN), F.lit(0)))
+
+    def sub(acc, tok):
+        key = F.regexp_extract(tok, TEMPLATE_TOKEN, 1)
+        how = F.regexp_extract(tok, TEMPLATE_TOKEN, 2)
+        val = F.coalesce(F.try_element_at(ctx, key), F.lit(""))
+        val = F.when(how == "|upper", F.upper(val)).when(how == "|lower", F.lower(val)).otherwise(val)
+        return F.replace(acc, tok, val)
+
+    return F.aggregate(tokens, tpl, sub)
+
+
+def sorted_map(m) -> Column:
+    return F.map_from_entries(F.array_sort(F.map_entries(_c(m))))
+
+
+def chain_task_payloads(decided: DataFrame, steps_by_rule: DataFrame) -> DataFrame:
+    """K2 + P39: a ``chain`` task per execute_chain decision. Payload = sorted-key (compact) JSON of
+    ``{alert_key, chain_context, steps}``; chain_context holds the base signal fields overlaid by the
+    signal's own context (later keys win) plus ``context`` (the signal context as an object).
+    ``steps_by_rule``: rule_name -> steps (a small config table, broadcast)."""
+    ctx = context_pick(F.col("labels"), F.col("annotations"))
+    base = F.create_map(
+        F.lit("alertname"), F.col("alertname"), F.lit("alert_status"), F.col("status"),
+        F.lit("severity"), F.col("severity"), F.lit("instance"), F.col("instance"), F.lit("job"), F.col("job"),
+        F.lit("summary"), F.col("summary"), F.lit("description"), F.coalesce("description", F.lit("")),
+        F.lit("fingerprint"), F.col("fingerprint"), F.lit("rule_name"), F.coalesce("rule_name", F.lit("")),
+        F.lit("context"), F.lit(_CTX_SLOT))
+    d = decided.where(F.col("decision") == "execute_chain").join(F.broadcast(steps_by_rule), "rule_name")
+    merged = F.to_json(sorted_map(F.map_concat(base, ctx)))
+    # the context object goes where its placeholder sorted (a map holds only string values)
+    context_json = F.replace(merged, F.lit('"' + _CTX_SLOT + '"'), F.to_json(sorted_map(ctx)))
+    key_json = F.regexp_replace(F.to_json(F.array("alert_key")), r"^\[|\]$", "")  # a JSON string literal
+    payload = F.concat(F.lit('{"alert_key":'), key_json,
+                       F.lit(',"chain_context":'), context_json, F.lit(',"steps":'), F.to_json("steps"), F.lit("}"))
+    return d.select(F.col("signal_id").alias("decision_id"), F.lit("chain").alias("task_type"),
+                    severity_priority("severity").alias("priority"), payload.alias("payload"), "alert_key")
+
+
+_CTX_SLOT = "@@signal-context@@"
+
+
+def decision_view(decided: DataFrame) -> DataFrame:
+    """The response row per signal - signal fields, decision, reason, rule and context."""
+    ctx = context_pick(F.col("labels"), F.col("annotations"))
+    return decided.select(
+        F.col("signal_id").alias("decision_id"), "alertname", "status", "severity", "instance", "job", "summary",
+        "fingerprint", "decision", "reason", "rule_name",
+        F.when(F.col("decision") == "execute_chain", F.lit("chain")).alias("action"),
+        F.to_json(sorted_map(ctx)).alias("context_json"))
+
+
+def remediation_tasks(decided: DataFrame, action: str = "soft_quit_allowlisted_candidate") -> DataFrame:
+    """The critical memory rule's ``enqueue_mac_action`` step -> a ``mac_action`` task
+    (payload ``{action, instance}``, priority from the step's severity, default critical)."""
+    d = decided.where((F.col("decision") == "execute_chain")
+                      & (F.col("rule_name") == "mac_memory_pressure_critical_escalate"))
+    sev = F.lower(py_strip(F.coalesce(F.nullif(F.col("severity"), F.lit("")), F.lit("critical"))))
+    payload = F.to_json(F.struct(F.lit(action).alias("action"), py_strip("instance").alias("instance")))
+    return d.select(F.col("signal_id").alias("source_decision_id"), F.lit(None).cast("long").alias("decision_id"),
+                    F.lit("mac_action").alias("task_type"), payload.alias("payload"),
+                    severity_priority(sev).alias("priority"))
+
+
+def failed_remediation_notices(tasks: DataFrame) -> DataFrame:
+    """A failed ``mac_action`` completion queues a critical notify task built from the task payload and
+    result (missing fields -> ``unknown``; target line only when present)."""
+    t = tasks.where((F.col("task_type") == "mac_action") & (F.col("status") == "failed"))
+    p = F.from_json("payload", "map<string,string>")
+    r = F.from_json("result_json", "map<string,string>")
+    t = t.select("id", "decision_id", p.alias("p"), r.alias("r"))
+    instance = F.coalesce(F.nullif(py_strip(F.coalesce(F.col("p")["instance"], F.lit("unknown"))), F.lit("")),
+                          F.lit("unknown"))
+    action = F.coalesce(F.nullif(py_strip(F.coalesce(F.col("p")["action"], F.lit("unknown"))), F.lit("")),
+                        F.lit("unknown"))
+    target = py_strip(F.coalesce(F.col("r")["target"], F.col("p")["target"], F.lit("")))
+    err = py_strip(F.coalesce(F.col("r")["error"], F.lit("unknown remediation failure")))
+    desc = F.concat_ws("\n", F.lit("Remote mac remediation failed"), F.lit(""),
+                       F.concat(F.lit("task_id: "), F.col("id").cast("string")),
+                       F.concat(F.lit("instance: "), instance), F.concat(F.lit("action: "), action),
+                       F.when(target != "", F.concat(F.lit("target: "), target)),
+                       F.concat(F.lit("error: "), err))
+    return t.select(F.col("id").alias("task_id"), "decision_id", F.lit("notify").alias("task_type"),
+                    F.lit(100).alias("priority"), F.lit("critical").alias("severity"),
+                    F.concat(F.lit("[MAC][REMEDIATION FAILED] "), action, F.lit(" on "), instance).alias("message"),
+                    desc.alias("description"), F.lit("mac_remediation_failed").alias("event"))
+
+
+def notification_outbox(notes: DataFrame) -> DataFrame:
+    """K10 (message format): title / details from a notify payload with ``title, message, body,
+    description, facts array<struct<key,value>>, event, source, severity, status`` columns; facts without a
+    non-blank key and value are dropped; the body follows a blank line."""
+    def s(col, default=""):
+        return pick_str(F.col(col), default=default)
+
+    title = F.coalesce(F.nullif(pick_str(F.col("title")), F.lit("")),
+                       pick_str(F.col("message"), default="Notification from action-runner"))
+    body = F.coalesce(F.nullif(pick_str(F.col("body")), F.lit("")), pick_str(F.col("description")))
+    facts = F.filter(F.transform(F.coalesce("facts", F.array().cast("array<struct<key:string,value:string>>")),
+                                 lambda f: F.struct(pick_str(f["key"]).alias("k"), pick_str(f["value"]).alias("v"))),
+                     lambda f: (f["k"] != "") & (f["v"] != ""))
+    lines = F.transform(facts, lambda f: F.concat(f["k"], F.lit(": "), f["v"]))
+    detail = F.when(body != "", F.when(F.size(lines) > 0, F.concat(lines, F.array(F.lit(""), body)))
+                    .otherwise(F.array(body))).otherwise(lines)
+    details = py_strip(F.array_join(detail, "\n"))
+    return notes.select("*", title.alias("out_title"), details.alias("out_details"),
+                        s("event", "action_runner_event").alias("out_event"),
+                        s("source", "action-runner").alias("out_source"), s("severity", "info").alias("out_severity"),
+                        s("status", "firing").alias("out_status"))
+
+
+def kv_log_lines(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Facts map -> ordered ``key=value`` text (missing -> empty value); inverse of the parser."""
+    return facts.select("log_id", F.array_join(F.array(*[
+        F.concat(F.lit(k + "="), F.coalesce(F.try_element_at("facts", F.lit(k)), F.lit(""))) for k in keys]), "\n")
+        .alias("text"))
+
+
+def analysis_trailer(line: Column, fields: dict[str, Column]) -> Column:
+    """Summary line + ``RESULT_JSON:`` + sorted-key JSON of the analysis fields."""
+    return F.concat(line, F.lit("\nRESULT_JSON:"), F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)])))
+
+
+def alerts_from_webhook(payloads: DataFrame, body_col: str = "body") -> DataFrame:
+    """Webhook JSON ``{alerts: [...]}`` -> one signal row per object alert. A non-list ``alerts`` gives
+    no rows; non-object items are skipped; text fields are picked and stripped; fingerprint from labels."""
+    arr = F.from_json(F.get_json_object(F.col(body_col), "$.alerts"), "array<string>")
+    items = payloads.select("*", F.posexplode_outer(arr).alias("pos", "item")).where(
+        F.col("item").isNotNull() & F.col("item").startswith("{"))
+    a = F.from_json("item", "struct<status:string,labels:map<string,string>,annotations:map<string,string>,"
+                            "fingerprint:string>")
+    x = items.select("*", a.alias("a"))
+    labels = F.coalesce(F.col("a.labels"), F.create_map().cast("map<string,string>"))
+    ann = F.coalesce(F.col("a.annotations"), F.create_map().cast("map<string,string>"))
+    return x.select(
+        *[c for c in payloads.columns if c != body_col], "pos",
+        F.lower(pick_str(F.col("a.status"))).alias("status"),
+        pick_str(labels["alertname"]).alias("alertname"), pick_str(labels["severity"]).alias("severity"),
+        pick_str(labels["instance"]).alias("instance"), pick_str(labels["job"]).alias("job"),
+        pick_str(ann["summary"]).alias("summary"), pick_str(ann["description"]).alias("description"),
+        fingerprint(labels, F.col("a.fingerprint")).alias("fingerprint"),
+        context_pick(labels, ann).alias("context"))

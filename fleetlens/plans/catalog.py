@@ -9,6 +9,7 @@ from fleetlens.plans import (  # noqa: F401
     chain_queries,
     mac_queries,
     metric_queries,
+    output_queries,
     queue_queries,
     schedule_queries,
     signal_queries,

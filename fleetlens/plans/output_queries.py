@@ -1,0 +1,256 @@
+"""Webhook intake, task payloads, decision views, notices and outbox rows
+(S1, K2, K10, K13, K14, K15, K16, J8, P3, P39, U-1..U-4)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fleetlens.functions.maps import context_pick
+from fleetlens.functions.text import render_summary
+from fleetlens.operators import audits as AU
+from fleetlens.operators import outputs as OUT
+from fleetlens.plans.audit_queries import VPS_SQL
+from fleetlens.plans.registry import query
+from fleetlens.plans.signal_queries import COOLDOWN_CTES, decisions
+from fleetlens.sources import fixtures as fx
+from fleetlens.sources.config import RULES, normalized_rules
+
+# ------------------------------------------------------------------ S1 webhook intake
+
+
+def _webhooks(spark, sf_dir):
+    """One webhook body per signal: a malformed ``alerts`` every 50th, a leading non-object item every 7th,
+    an explicit fingerprint on two of three, status with padding and upper case."""
+    s = fx.signals(spark, sf_dir)
+    sid = F.col("signal_id")
+    fp = F.when(sid % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("fp-"), sid.cast("string")))
+    alert = F.concat(
+        F.lit('{"status":" FIRING ","labels":{"alertname":"'), F.col("alertname"), F.lit('","severity":"'),
+        F.col("severity"), F.lit('","instance":"'), F.col("instance"), F.lit('","job":"'), F.col("job"),
+        F.lit('"},"annotations":{"summary":" '), F.col("summary"), F.lit(' "},"fingerprint":"'), fp, F.lit('"}'))
+    alerts = (F.when(sid % 50 == 0, F.lit("5")).when(sid % 7 == 0, F.concat(F.lit("[1,"), alert, F.lit("]")))
+              .otherwise(F.concat(F.lit("["), alert, F.lit("]"))))
+    return s.select("signal_id", F.concat(F.lit('{"receiver":"r","alerts":'), alerts, F.lit("}")).alias("body"))
+
+
+@query("alerts_explode", """
+SELECT signal_id, CAST(CASE WHEN signal_id % 7 = 0 THEN 1 ELSE 0 END AS INTEGER) AS pos, 'firing' AS status,
+  alertname, CASE WHEN signal_id % 3 = 0 THEN fingerprint ELSE 'fp-' || CAST(signal_id AS VARCHAR) END AS fingerprint,
+  summary
+FROM signals WHERE signal_id % 50 <> 0
+""", ctes=("sig0", "signals"))
+def q_alerts_explode(spark, sf_dir):
+    return OUT.alerts_from_webhook(_webhooks(spark, sf_dir)).select(
+        "signal_id", "pos", "status", "alertname", "fingerprint", "summary")
+
+
+# ------------------------------------------------------------------ K2 / P39 chain task payloads
+
+_STEP_T = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("retries", T.IntegerType()),
+                                    T.StructField("retry_delay_seconds", T.IntegerType()),
+                                    T.StructField("analysis_level_in", T.ArrayType(T.StringType()))]))
+
+
+def steps_by_rule(spark):
+    rows = [(r["name"], [(s["name"], s["retries"], s["retry_delay_seconds"], s["analysis_level_in"])
+                         for s in r["steps"]]) for r in normalized_rules()]
+    return spark.createDataFrame(rows, T.StructType([T.StructField("rule_name", T.StringType()),
+                                                    T.StructField("steps", _STEP_T)]))
+
+
+_NSTEPS = "CASE rule_name " + " ".join(f"WHEN '{r['name']}' THEN {len(r['steps'])}" for r in RULES) + " END"
+
+
+@query("chain_task_payload", f"""WITH RECURSIVE {COOLDOWN_CTES}
+SELECT signal_id AS decision_id, 'chain' AS task_type,
+  CASE lower(severity) WHEN 'critical' THEN 100 WHEN 'warning' THEN 70 WHEN 'info' THEN 50 WHEN 'test' THEN 10
+       ELSE 50 END AS priority,
+  alert_key, 'alert_key,chain_context,steps' AS payload_keys, alertname AS ctx_alertname, status AS ctx_alert_status,
+  ann_top_app AS ctx_top_app, ann_top_app AS ctx_context_top_app, CAST({_NSTEPS} AS INTEGER) AS n_steps
+FROM cd WHERE final_decision = 'execute_chain'
+""", ctes=("sig0", "signals"))
+def q_chain_task_payload(spark, sf_dir):
+    t = OUT.chain_task_payloads(decisions(spark, sf_dir), steps_by_rule(spark))
+    p = F.col("payload")
+    return t.select(
+        "decision_id", "task_type", "priority", "alert_key",
+        F.array_join(F.json_object_keys(p), ",").alias("payload_keys"),
+        F.get_json_object(p, "$.chain_context.alertname").alias("ctx_alertname"),
+        F.get_json_object(p, "$.chain_context.alert_status").alias("ctx_alert_status"),
+        F.get_json_object(p, "$.chain_context.top_app").alias("ctx_top_app"),
+        F.get_json_object(p, "$.chain_context.context.top_app").alias("ctx_context_top_app"),
+        F.json_array_length(F.get_json_object(p, "$.steps")).alias("n_steps"))
+
+
+# ------------------------------------------------------------------ K16 decision view
+
+def _json_str(x: str) -> str:
+    return f"'\"' || replace(replace({x}, '\\', '\\\\'), '\"', '\\\"') || '\"'"
+
+
+_CTX_JSON = ("'{' || array_to_string(list_filter(["
+             f"CASE WHEN trim(ann_reason_text) <> '' THEN '\"reason_text\":' || {_json_str('trim(ann_reason_text)')} END, "
+             f"CASE WHEN trim(ann_swap_used_mb) <> '' THEN '\"swap_used_mb\":' || {_json_str('trim(ann_swap_used_mb)')} END, "
+             f"CASE WHEN trim(ann_top_app) <> '' THEN '\"top_app\":' || {_json_str('trim(ann_top_app)')} END"
+             "], lambda x: x IS NOT NULL), ',') || '}'")
+
+
+@query("decision_view", f"""WITH RECURSIVE {COOLDOWN_CTES}
+SELECT signal_id AS decision_id, alertname, status, severity, instance, job, summary, fingerprint,
+  final_decision AS decision, final_reason AS reason, rule_name,
+  CASE WHEN final_decision = 'execute_chain' THEN 'chain' END AS action, {_CTX_JSON} AS context_json
+FROM cd
+""", ctes=("sig0", "signals"))
+def q_decision_view(spark, sf_dir):
+    return OUT.decision_view(decisions(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ K13 remediation tasks, J8 notices
+
+@query("remediation_tasks", f"""WITH RECURSIVE {COOLDOWN_CTES}
+SELECT signal_id AS source_decision_id, CAST(NULL AS BIGINT) AS decision_id, 'mac_action' AS task_type,
+  '{{"action":"soft_quit_allowlisted_candidate","instance":"' || trim(instance) || '"}}' AS payload,
+  CASE lower(trim(coalesce(nullif(severity, ''), 'critical'))) WHEN 'critical' THEN 100 WHEN 'warning' THEN 70
+       WHEN 'info' THEN 50 WHEN 'test' THEN 10 ELSE 50 END AS priority
+FROM cd WHERE final_decision = 'execute_chain' AND rule_name = 'mac_memory_pressure_critical_escalate'
+""", ctes=("sig0", "signals"))
+def q_remediation_tasks(spark, sf_dir):
+    return OUT.remediation_tasks(decisions(spark, sf_dir))
+
+
+@query("failed_remediation", """
+SELECT id AS task_id, decision_id, 'notify' AS task_type, 100 AS priority, 'critical' AS severity,
+  '[MAC][REMEDIATION FAILED] ' || a || ' on ' || i AS message,
+  concat_ws(chr(10), 'Remote mac remediation failed', '', 'task_id: ' || CAST(id AS VARCHAR), 'instance: ' || i,
+            'action: ' || a, CASE WHEN tg <> '' THEN 'target: ' || tg END,
+            'error: ' || trim(coalesce(json_extract_string(result_json, '$.error'), 'unknown remediation failure')))
+    AS description,
+  'mac_remediation_failed' AS event
+FROM (
+  SELECT *, coalesce(nullif(trim(coalesce(json_extract_string(payload, '$.instance'), 'unknown')), ''), 'unknown') AS i,
+    coalesce(nullif(trim(coalesce(json_extract_string(payload, '$.action'), 'unknown')), ''), 'unknown') AS a,
+    trim(coalesce(json_extract_string(result_json, '$.target'), json_extract_string(payload, '$.target'), '')) AS tg
+  FROM tasks WHERE task_type = 'mac_action' AND status = 'failed') t
+""", ctes=("tasks",))
+def q_failed_remediation(spark, sf_dir):
+    return OUT.failed_remediation_notices(fx.tasks(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ P3 + K10 notification outbox
+
+# FIXED VALUES - notify facts of the memory-pressure rules, in order (values are templates).
+_MEM_FACTS = ["top_app", "top_rss_mb", "swap_used_mb", "memory_free_percent", "uptime_days", "suggested_action"]
+_TITLES = {r["name"]: s["message"] for r in normalized_rules() for s in r["steps"]
+           if s["name"] == "notify_tg" and s.get("message")}
+
+
+def _notes(spark, sf_dir):
+    d = decisions(spark, sf_dir).where(F.col("rule_name").isin("mac_memory_pressure_warning_notify",
+                                                               "mac_memory_pressure_critical_escalate")
+                                       & (F.col("decision") == "execute_chain"))
+    tmpl = spark.createDataFrame(list(_TITLES.items()), "rule_name string, title_tpl string")
+    d = d.join(F.broadcast(tmpl), "rule_name")
+    ctx = F.map_concat(F.create_map(F.lit("instance"), F.col("instance"), F.lit("alertname"), F.col("alertname"),
+                                    F.lit("severity"), F.col("severity")),
+                       context_pick(F.col("labels"), F.col("annotations")))
+    facts = [F.struct(F.lit(k).alias("key"), OUT.render_template(F.lit("{{ " + k + " }}"), ctx).alias("value"))
+             for k in _MEM_FACTS]
+    facts_crit = facts + [F.struct(F.lit("remediation").alias("key"),
+                                   F.lit("soft_quit_allowlisted_candidate").alias("value"))]
+    return d.select(
+        F.col("signal_id").alias("decision_id"),
+        OUT.render_template(F.col("title_tpl"), ctx).alias("title"), F.lit(None).cast("string").alias("message"),
+        OUT.render_template(F.lit("{{ reason_text }}"), ctx).alias("body"),
+        F.lit(None).cast("string").alias("description"),
+        F.when(F.col("rule_name") == "mac_memory_pressure_critical_escalate", F.array(*facts_crit))
+        .otherwise(F.array(*facts)).alias("facts"),
+        F.lit("mac_memory_pressure").alias("event"), F.lit("action-runner").alias("source"),
+        F.col("severity"), F.lit("firing").alias("status"))
+
+
+@query("notification_outbox", f"""WITH RECURSIVE {COOLDOWN_CTES},
+n AS (
+  SELECT signal_id AS decision_id,
+    CASE WHEN rule_name = 'mac_memory_pressure_critical_escalate' THEN '[MAC][CRITICAL] ' ELSE '[MAC][WARNING] ' END
+      || instance || ' memory pressure' AS title,
+    list_filter([
+      CASE WHEN trim(ann_top_app) <> '' THEN 'top_app: ' || trim(ann_top_app) END,
+      CASE WHEN trim(ann_swap_used_mb) <> '' THEN 'swap_used_mb: ' || trim(ann_swap_used_mb) END,
+      CASE WHEN rule_name = 'mac_memory_pressure_critical_escalate'
+           THEN 'remediation: soft_quit_allowlisted_candidate' END], lambda x: x IS NOT NULL) AS lines,
+    trim(ann_reason_text) AS body
+  FROM cd WHERE final_decision = 'execute_chain'
+    AND rule_name IN ('mac_memory_pressure_warning_notify', 'mac_memory_pressure_critical_escalate')
+)
+SELECT decision_id, title AS out_title,
+  trim(array_to_string(CASE WHEN body <> '' THEN list_concat(lines, ['', body]) ELSE lines END, chr(10)), ' ' || chr(10))
+    AS out_details
+FROM n
+""", ctes=("sig0", "signals"))
+def q_notification_outbox(spark, sf_dir):
+    return OUT.notification_outbox(_notes(spark, sf_dir)).select("decision_id", "out_title", "out_details")
+
+
+# ------------------------------------------------------------------ K14, K15
+
+_K14_KEYS = ["root_used_percent", "swap_used_mb", "docker_reachable", "reboot_required", "unit_caddy_service_active"]
+
+
+@query("kv_log_lines", f"""WITH {VPS_SQL}
+SELECT log_id, {" || chr(10) || ".join(f"'{k}=' || coalesce(" + '"' + k + '"' + ", '')" for k in _K14_KEYS)} AS text
+FROM fw
+""", ctes=("kv_logs",))
+def q_kv_log_lines(spark, sf_dir):
+    facts = fx.kv_logs(spark, sf_dir).select("log_id", AU.kv_facts_map("text").alias("facts"))
+    return OUT.kv_log_lines(facts, _K14_KEYS)
+
+
+@query("analysis_trailer", f"""WITH {VPS_SQL},
+lv AS (
+  SELECT l.log_id, l.host,
+    CASE WHEN count(f.pos) FILTER (WHERE f.severity = 'critical') > 0 THEN 'critical'
+         WHEN count(f.pos) > 0 THEN 'warning' ELSE 'ok' END AS level,
+    count(f.pos) AS n,
+    coalesce(string_agg(f.severity || ':' || f.message, '; ' ORDER BY f.pos), 'ok:no findings') AS summary
+  FROM kv_logs l LEFT JOIN fnd f ON f.log_id = l.log_id GROUP BY l.log_id, l.host
+)
+SELECT log_id, 'host=' || host || ' audit_analyze=' || level || ' findings=' || summary || chr(10) || 'RESULT_JSON:'
+  || '{{"analysis_findings_count":' || CAST(n AS VARCHAR) || ',"analysis_level":"' || level
+  || '","analysis_log_path":"/var/log/vps-host-audit/audit_' || CAST(log_id AS VARCHAR)
+  || '.log","analysis_summary":"' || summary || '","metrics_path":"/var/lib/node_exporter/vps_host_audit.prom"}}'
+  AS stdout
+FROM lv
+""", ctes=("kv_logs",))
+def q_analysis_trailer(spark, sf_dir):
+    a = AU.analyze(fx.kv_logs(spark, sf_dir), AU.vps_findings)
+    line = render_summary(F.col("host"), F.col("level"), F.col("summary"))
+    fields = {
+        "analysis_level": F.col("level"), "analysis_summary": F.col("summary"),
+        "analysis_findings_count": F.col("findings_count"),
+        "analysis_log_path": F.concat(F.lit("/var/log/vps-host-audit/audit_"), F.col("log_id").cast("string"),
+                                      F.lit(".log")),
+        "metrics_path": F.lit("/var/lib/node_exporter/vps_host_audit.prom"),
+    }
+    return a.select("log_id", OUT.analysis_trailer(line, fields).alias("stdout"))
+
+
+# ------------------------------------------------------------------ U-1 .. U-4 set operations
+
+@query("setops", """
+WITH d AS (SELECT DISTINCT alertname, severity FROM signals)
+SELECT 'union_sources' AS op, CAST((SELECT count(*) FROM signals) + (SELECT count(*) FROM snapshots) AS BIGINT) AS n
+UNION ALL SELECT 'distinct_pairs', CAST(count(*) AS BIGINT) FROM d
+UNION ALL SELECT 'except_pairs', CAST(count(*) AS BIGINT) FROM d WHERE severity <> 'info'
+""", ctes=("sig0", "signals", "snapshots"))
+def q_setops(spark, sf_dir):
+    """U-1 union of two signal sources (different columns, by name), U-3 distinct pairs, U-2 difference."""
+    s = fx.signals(spark, sf_dir).select("signal_id", "alertname", "severity", F.lit("alertmanager").alias("source"))
+    a = fx.snapshots(spark, sf_dir).select(F.col("snapshot_id").alias("signal_id"), "host",
+                                           F.lit("agent").alias("source"))
+    u = s.unionByName(a, allowMissingColumns=True)
+    pairs = s.select("alertname", "severity").distinct()
+    diff = pairs.exceptAll(s.where(F.col("severity") == "info").select("alertname", "severity").distinct())
+    return (u.agg(F.count(F.lit(1)).alias("n")).select(F.lit("union_sources").alias("op"), "n")
+            .unionByName(pairs.agg(F.count(F.lit(1)).alias("n")).select(F.lit("distinct_pairs").alias("op"), "n"))
+            .unionByName(diff.agg(F.count(F.lit(1)).alias("n")).select(F.lit("except_pairs").alias("op"), "n")))
