@@ -13,9 +13,15 @@ from fleetlens.plans import (  # noqa: F401
     queue_queries,
     schedule_queries,
     signal_queries,
+    stream_queries,
     timeseries_queries,
     weekly_queries,
 )
 from fleetlens.plans.registry import ORACLE, QUERIES
+from fleetlens.plans.schedule_queries import FIRED_SQL
+
+ORACLE["_fired_slot_keys"] = "WITH " + FIRED_SQL + " SELECT schedule_name, slot_key FROM fired"
+stream_queries.register_shared_oracles()
+del ORACLE["_fired_slot_keys"]
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None, ctes: tuple[str, ...] = ()):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
-        if sql is not None:
+        if sql is not None:  # None: oracle shared later or rows-only
             ORACLE[name] = with_ctes(sql, *ctes) if ctes else sql
         return fn
 

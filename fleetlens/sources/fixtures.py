@@ -30,6 +30,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """The same table as a file stream (schema fixed from the batch read; the path is a glob so a single
+    file or a directory of arriving files both work)."""
+    ensure_session(spark)
+    schema = read_table(spark, sf_dir, name).schema
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+            .parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]"))
+
+
 def _ts(c: str) -> Column:
     return F.col(c).cast("timestamp")
 
@@ -47,7 +56,12 @@ def _cases(col: Column, pairs: list[tuple], default) -> Column:
 # --------------------------------------------------------------------------------------------
 
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    return signals_from(read_table(spark, sf_dir, "events"))
+
+
+def signals_from(events: DataFrame) -> DataFrame:
+    """Projection of an events frame (batch or streaming) to signal rows."""
+    ev = events.select("event_id", "ts", "user_id", "event_type", "value", "props")
     alertname = _cases(
         F.col("event_type"),
         [("error", "MacMemoryPressure"), ("click", "BackupMissing"), ("view", "HostRebootDetected"),
@@ -133,7 +147,11 @@ TASK_TYPES = ("action", "chain", "notify", "mac_action")
 
 
 def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    return tasks_from(read_table(spark, sf_dir, "events"))
+
+
+def tasks_from(events: DataFrame) -> DataFrame:
+    ev = events.select("event_id", "ts", "user_id", "value")
     status = _cases(F.col("event_id") % 7, [(0, "pending"), (1, "running"), (2, "failed"), (3, "skipped")], "success")
     task_type = _cases(F.col("event_id") % 4, [(0, "action"), (1, "chain"), (2, "notify")], "mac_action")
     action = F.when(F.col("user_id") % 2 == 0, F.lit("soft_quit")).otherwise(F.lit("soft_quit_allowlisted_candidate"))
@@ -558,7 +576,11 @@ _ADMIN_LOGS_SQL = (
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    return snapshots_from(read_table(spark, sf_dir, "part"))
+
+
+def snapshots_from(part: DataFrame) -> DataFrame:
+    p = part.select("p_partkey", "p_size")
     k = F.col("p_partkey")
     unix = F.lit(1704067200) + k * 60
     return p.select(
