@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fleetlens.functions.text import py_strip
+
 # FIXED VALUES - annotation/label keys copied into a signal's context, in this order.
 CONTEXT_KEYS = [
     "top_app",
@@ -24,7 +26,7 @@ def _c(x) -> Column:
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return py_strip(c)
 
 
 def canonical_json(labels) -> Column:

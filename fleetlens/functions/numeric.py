@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fleetlens.functions.text import py_strip
+
 # Python float() accepts these shapes (after strip); Spark's cast also accepts 'd'/'f' suffixes,
 # Python accepts '_' separators - so the text is checked first.
 _FLOAT_RE = r"^[+-]?((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+)?$|^[+-]?(inf|infinity|nan)$"
@@ -15,7 +17,7 @@ def _c(x) -> Column:
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return py_strip(c)
 
 
 def safe_float(c) -> Column:

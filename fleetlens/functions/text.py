@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes every whitespace character; Spark's trim only spaces.
-_WS_EDGES = r"^\s+|\s+$"
+# Python's str.strip() removes every whitespace character; Spark's trim only spaces. The set is
+# built by rule (every code point Python calls whitespace) and stripped with btrim (no regex).
+PY_WHITESPACE = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
 
 
 def _c(x) -> Column:
@@ -15,7 +16,7 @@ def _c(x) -> Column:
 
 def py_strip(c) -> Column:
     """Python ``strip()`` - remove leading/trailing whitespace of any kind."""
-    return F.regexp_replace(_c(c), _WS_EDGES, "")
+    return F.btrim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def pick_str(*cols, default: str = "") -> Column:

@@ -7,6 +7,8 @@ from datetime import datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fleetlens.functions.text import py_strip
+
 UTC_TEXT = "yyyy-MM-dd HH:mm:ss 'UTC'"
 
 
@@ -16,7 +18,7 @@ def _c(x) -> Column:
 
 def parse_utc(c) -> Column:
     """P25: ``YYYY-MM-DD HH:MM:SS UTC`` text -> timestamp, null when it does not match exactly."""
-    t = F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    t = py_strip(_c(c))
     ok = t.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2} UTC$")
     return F.when(ok, F.try_to_timestamp(t, F.lit(UTC_TEXT)))
 

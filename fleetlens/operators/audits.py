@@ -289,26 +289,29 @@ def stack_findings(facts: Column) -> Column:
 # ----------------------------------------------------------------------------- per-log analysis
 
 def _bind(value: Column, fn) -> Column:
-    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable.
+    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable (one-element ``transform``)."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
 
-    Catalyst may inline a projected expression into every consumer; a facts map read by ~80 checks
-    would then be re-parsed ~80 times per row. A one-element ``transform`` binds it exactly once.
+def materialize(df: DataFrame, keep: list[str], **cols: Column) -> DataFrame:
+    """Compute ``cols`` once per row and expose them as plain columns.
+
+    The optimizer inlines a projected expression into every later reference when the references only
+    extract fields; a facts map read by ~80 checks would then be parsed ~80 times per row. A generator
+    (``inline`` of a one-element array) is a plan node the projections cannot be merged through.
     """
-    return F.element_at(F.transform(F.array(value), fn), 1)
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
 
 def analyze(logs: DataFrame, checks) -> DataFrame:
     """Facts -> findings -> level / counts / summary, one row per log (map-side, no shuffle)."""
-    def per_log(facts: Column) -> Column:
-        return _bind(checks(facts), lambda f: F.struct(
-            facts.alias("facts"), f.alias("findings"), level_of(f).alias("level"),
-            F.size(f).cast("long").alias("findings_count"),
-            count_severity(f, "warning").alias("warning_count"),
-            count_severity(f, "critical").alias("critical_count"),
-            finding_text(f).alias("summary")))
-
-    a = logs.select("log_id", "host", _bind(kv_facts_map("text"), per_log).alias("a"))
-    return a.select("log_id", "host", "a.*")
+    a = materialize(logs, ["log_id", "host"], facts=kv_facts_map("text"))
+    a = materialize(a, ["log_id", "host", "facts"], findings=checks(F.col("facts")))
+    f = F.col("findings")
+    return a.select(
+        "log_id", "host", "facts", "findings", level_of(f).alias("level"),
+        F.size(f).cast("long").alias("findings_count"), count_severity(f, "warning").alias("warning_count"),
+        count_severity(f, "critical").alias("critical_count"), finding_text(f).alias("summary"))
 
 
 def explode_findings(analysis: DataFrame) -> DataFrame:

@@ -23,6 +23,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+
+from fleetlens.functions.text import py_strip
 from pyspark.sql import types as T
 
 CONTINUE_STATUSES = ["success", "skipped"]
@@ -46,8 +48,8 @@ def templates_table(spark, templates: dict[str, list[dict[str, Any]]]) -> DataFr
 
 def step_when(levels, current_level) -> F.Column:
     """no condition -> true; else the stripped, lower-cased level is in the lower-cased list."""
-    cur = F.lower(F.regexp_replace(F.coalesce(current_level, F.lit("")), r"^\s+|\s+$", ""))
-    return levels.isNull() | F.exists(levels, lambda x: F.lower(F.regexp_replace(x, r"^\s+|\s+$", "")) == cur)
+    cur = F.lower(py_strip(F.coalesce(current_level, F.lit(""))))
+    return levels.isNull() | F.exists(levels, lambda x: F.lower(py_strip(x)) == cur)
 
 
 def chain_continue(status) -> F.Column:

@@ -11,7 +11,7 @@ not. Two exact strategies, chosen per key by its size:
 * larger (hot) keys: ``succ(i)`` = first candidate at or after ``trunc_sec(t_i) + cooldown``
   (skew-safe as-of, :mod:`fleetlens.operators.asof`), then the executions are the orbit of the
   key's first candidate under ``succ``, enumerated by pointer doubling - ``ceil(log2 L)`` rounds of
-  joins on unique ids, each round checkpointed to cut lineage.
+  joins on unique ids, each round written under the shared checkpoint directory to cut lineage.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.text import py_strip
 from fleetlens.operators.asof import next_at_or_after, prev_at_or_before
-from fleetlens.session import checkpoint_dir
+from fleetlens.session import checkpoint_dir, materialize
 from fleetlens.sources.config import normalized_rules
 
 DEFAULT_FOLD_MAX = 4096
@@ -116,18 +116,18 @@ def _executions_doubling(cands: DataFrame, bucket_us: int | None = None) -> Data
     bucket = bucket_us or 3600 * US
     succ = next_at_or_after(ev, probes, ["alert_key"], bucket_us=bucket)
     jump = succ.where(F.col("m_id").isNotNull()).select(F.col("pid").alias("src"), F.col("m_id").alias("dst"))
-    jump = jump.checkpoint(eager=True)
+    jump = materialize(jump, "cooldown-jump")
     roots = cands.groupBy("alert_key").agg(F.min(F.struct("t", "sid")).alias("r")).select(F.col("r.sid").alias("sid"))
-    execs = roots.checkpoint(eager=True)
+    execs = materialize(roots, "cooldown-execs")
     while True:
-        new = execs.join(jump, execs["sid"] == jump["src"]).select(F.col("dst").alias("sid"))
-        new = new.checkpoint(eager=True)
+        new = materialize(execs.join(jump, execs["sid"] == jump["src"]).select(F.col("dst").alias("sid")),
+                          "cooldown-new")
         if new.isEmpty():
             break
-        execs = execs.unionByName(new).checkpoint(eager=True)
+        execs = materialize(execs.unionByName(new), "cooldown-execs")
         j2 = jump.alias("a").join(jump.alias("b"), F.col("a.dst") == F.col("b.src")).select(
             F.col("a.src").alias("src"), F.col("b.dst").alias("dst"))
-        jump = j2.checkpoint(eager=True)
+        jump = materialize(j2, "cooldown-jump")
     return execs
 
 
@@ -140,16 +140,20 @@ def greedy_cooldown(decided: DataFrame, fold_max: int = DEFAULT_FOLD_MAX, bucket
     reference stores text), so elapsed = ts - trunc_to_second(last_execution).
     """
     is_cand = (F.col("decision") != "ignore") & (F.col("cooldown_seconds") > 0)
-    cands = decided.where(is_cand).select(
+    checkpoint_dir(decided.sparkSession)
+    # the narrow candidate table is materialised once (reliable checkpoint on the shared checkpoint dir):
+    # the size statistic, both strategies and a recomputed task all read it instead of the upstream plan
+    cands = materialize(decided.where(is_cand).select(
         "alert_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"),
-        F.col("signal_id").alias("sid"), (F.col("cooldown_seconds") * F.lit(US)).alias("cd_us"))
+        F.col("signal_id").alias("sid"), (F.col("cooldown_seconds") * F.lit(US)).alias("cd_us")), "cooldown-cands")
     sizes = cands.groupBy("alert_key").agg(F.count(F.lit(1)).alias("n"))
-    sized = cands.join(sizes, "alert_key")
-    small = sized.where(F.col("n") <= fold_max).drop("n")
-    large = sized.where(F.col("n") > fold_max).drop("n")
-    execs = _executions_fold(small)
-    if fold_max <= 0 or not large.isEmpty():
-        execs = execs.unionByName(_executions_doubling(large, bucket_us))
+    largest = sizes.agg(F.max("n")).first()[0] or 0  # one number, the size of the biggest key
+    if largest <= fold_max:
+        execs = _executions_fold(cands)
+    else:
+        sized = cands.join(sizes, "alert_key")
+        execs = _executions_fold(sized.where(F.col("n") <= fold_max).drop("n")).unionByName(
+            _executions_doubling(sized.where(F.col("n") > fold_max).drop("n"), bucket_us))
     flagged = execs.select("sid", F.lit(True).alias("_exec"))
     out = decided.join(flagged, decided["signal_id"] == flagged["sid"], "left").drop("sid")
     suppressed = is_cand & F.col("_exec").isNull()

@@ -73,3 +73,18 @@ def get_spark(master: str | None = None, app: str = "fleetlens", shuffle_partiti
     ensure_session(spark)
     checkpoint_dir(spark)
     return spark
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table under the shared checkpoint directory and read it back.
+
+    Cuts lineage like ``checkpoint()`` but in one job (a reliable RDD checkpoint recomputes its input
+    for the write) and keeps columnar pruning for the readers. The folder lives on the cluster's
+    shared checkpoint storage, so a lost executor never loses it.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

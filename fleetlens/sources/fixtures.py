@@ -25,16 +25,25 @@ TABLES = (
 ).split()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give per-row work all the cores when a scan yields fewer partitions than the cluster's default
+    parallelism (a small file is one split). Large inputs already have more splits than cores and
+    are returned unchanged - no shuffle is added at scale. Round-robin repartitioning is deterministic
+    (rows are sorted before it), so a recomputed task after an executor loss sees the same rows."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_session(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
     """The same table as a file stream (schema fixed from the batch read; the path is a glob so a single
     file or a directory of arriving files both work)."""
     ensure_session(spark)
-    schema = read_table(spark, sf_dir, name).schema
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
             .parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]"))
 
