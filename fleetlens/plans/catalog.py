@@ -11,6 +11,7 @@ from fleetlens.plans import (  # noqa: F401
     metric_queries,
     output_queries,
     queue_queries,
+    scalar_queries,
     schedule_queries,
     signal_queries,
     stream_queries,
