@@ -54,16 +54,17 @@ def queue_depth(tasks: DataFrame, known_types=TASK_TYPES) -> DataFrame:
 
 
 def last_activity(decisions: DataFrame, tasks: DataFrame, runs: DataFrame) -> DataFrame:
-    """Latest decision / task / run time in unix seconds (0 when none). One row."""
-    d = decisions.agg(F.max("ts").alias("x"))
-    t = tasks.agg(F.max(F.coalesce("finished_at", "started_at", "created_at")).alias("x"))
-    r = runs.agg(F.max(F.coalesce("finished_at", "started_at")).alias("x"))
+    """Latest decision / task / run time in unix seconds (0 when none). One row: the three
+    sources are tagged, unioned and reduced by one aggregation (no join of single-row frames)."""
+    d = decisions.select(F.lit(0).alias("src"), F.col("ts").alias("x"))
+    t = tasks.select(F.lit(1).alias("src"), F.coalesce("finished_at", "started_at", "created_at").alias("x"))
+    r = runs.select(F.lit(2).alias("src"), F.coalesce("finished_at", "started_at").alias("x"))
+    u = d.unionByName(t).unionByName(r)
 
-    def unix(df, name):
-        return df.select(F.coalesce(F.unix_timestamp("x"), F.lit(0)).cast("long").alias(name))
+    def last(i, name):
+        return F.coalesce(F.unix_timestamp(F.max(F.when(F.col("src") == i, F.col("x")))), F.lit(0)).cast("long").alias(name)
 
-    return unix(d, "last_decision_unixtime").crossJoin(unix(t, "last_task_unixtime")).crossJoin(
-        unix(r, "last_run_unixtime"))
+    return u.agg(last(0, "last_decision_unixtime"), last(1, "last_task_unixtime"), last(2, "last_run_unixtime"))
 
 
 def metric_table(decisions: DataFrame, tasks: DataFrame, runs: DataFrame) -> DataFrame:

@@ -98,7 +98,7 @@ def lineage(decisions: DataFrame, tasks: DataFrame, runs: DataFrame) -> DataFram
             .select("decision_id", "decision", "task_id", "task_status", "run_id", "run_action", "run_status"))
 
 
-def overlapping_runs(runs: DataFrame, bucket_days: int = 30) -> DataFrame:
+def overlapping_runs(runs: DataFrame, bucket_days: int = 1) -> DataFrame:
     """A run that starts while an earlier run of the same action is still open would have found
     the action lock held -> ``overlaps`` = true. Open runs (no finished_at) hold the lock forever.
 

@@ -27,12 +27,16 @@ def schedule_due(ts, weekdays, hour, minute):
 
 
 def due_slots(schedules: DataFrame, start, end) -> DataFrame:
-    """T4 backfill: (schedule_name, slot_ts) for every due minute in [start, end] (Columns or literals)."""
-    s = schedules.where(F.col("enabled"))
+    """T4 backfill: (schedule_name, slot_ts) for every due minute in [start, end] (Columns or literals).
+
+    Days are joined to the schedules' weekdays by an equi-join on the weekday (schedules exploded to
+    one row per allowed weekday - configuration, broadcast)."""
+    s = schedules.where(F.col("enabled")).select("name", "hour", "minute", "signal",
+                                                 F.explode(F.array_distinct("weekdays")).alias("wd"))
     bounds = s.sparkSession.range(1).select(F.to_date(start).alias("d0"), F.to_date(end).alias("d1"),
                                             start.alias("t0"), end.alias("t1"))
-    days = bounds.select(F.explode(F.sequence("d0", "d1")).alias("day"), "t0", "t1")
-    slots = days.crossJoin(F.broadcast(s)).where(F.array_contains("weekdays", F.weekday("day")))
+    days = bounds.select(F.explode(F.sequence("d0", "d1")).alias("day"), "t0", "t1").withColumn("wd", F.weekday("day"))
+    slots = days.join(F.broadcast(s), "wd")
     slot_ts = F.make_timestamp(F.year("day"), F.month("day"), F.dayofmonth("day"), F.col("hour"), F.col("minute"),
                                F.lit(0))
     out = slots.select(F.col("name").alias("schedule_name"), slot_ts.alias("slot_ts"), "signal", "t0", "t1")
@@ -57,11 +61,14 @@ def schedule_signals(slots: DataFrame) -> DataFrame:
 
 
 def fired_slots(polls: DataFrame, schedules: DataFrame, ts_col: str = "ts") -> DataFrame:
-    """Replay of polls: a poll in a due minute fires its schedule; first poll per slot is recorded (K4)."""
+    """Replay of polls: a poll in a due minute fires its schedule; first poll per slot is recorded (K4).
+
+    Polls meet the (broadcast) schedule configuration by an equi-join on (hour, minute); the weekday
+    set is checked after the join."""
     s = schedules.where(F.col("enabled")).select("name", "weekdays", "hour", "minute")
-    p = polls.select(F.col(ts_col).alias("poll_ts"))
-    # schedules are configuration (a handful of rows): broadcast them and test each poll against each
-    due = p.join(F.broadcast(s), schedule_due("poll_ts", "weekdays", "hour", "minute"))
+    p = polls.select(F.col(ts_col).alias("poll_ts")).withColumn("hour", F.hour("poll_ts")).withColumn(
+        "minute", F.minute("poll_ts"))
+    due = p.join(F.broadcast(s), ["hour", "minute"]).where(F.array_contains("weekdays", F.weekday("poll_ts")))
     return due.groupBy(F.col("name").alias("schedule_name"), slot_key("poll_ts").alias("slot_key")).agg(
         F.min("poll_ts").alias("triggered_at"))
 

@@ -135,11 +135,13 @@ def clean_summary(summary: Column, clean_legacy) -> Column:
 
 def window_totals(decisions: DataFrame, tasks: DataFrame, runs: DataFrame, as_of_events: str, as_of_runs: str,
                   days: int = 7) -> DataFrame:
-    """Three counts in the closed window (one row)."""
-    d = decisions.where(in_window("ts", as_of_events, days)).agg(F.count(F.lit(1)).alias("decisions"))
-    t = tasks.where(in_window("created_at", as_of_events, days)).agg(F.count(F.lit(1)).alias("tasks"))
-    r = runs.where(in_window("started_at", as_of_runs, days)).agg(F.count(F.lit(1)).alias("runs"))
-    return d.crossJoin(t).crossJoin(r)
+    """Three counts in the closed window (one row, one aggregation over the tagged union)."""
+    d = decisions.where(in_window("ts", as_of_events, days)).select(F.lit(0).alias("src"))
+    t = tasks.where(in_window("created_at", as_of_events, days)).select(F.lit(1).alias("src"))
+    r = runs.where(in_window("started_at", as_of_runs, days)).select(F.lit(2).alias("src"))
+    u = d.unionByName(t).unionByName(r)
+    return u.agg(F.count_if(F.col("src") == 0).alias("decisions"), F.count_if(F.col("src") == 1).alias("tasks"),
+                 F.count_if(F.col("src") == 2).alias("runs"))
 
 
 def top_alerts(decisions: DataFrame, as_of: str, days: int = 7, n: int = 10) -> DataFrame:
@@ -241,7 +243,11 @@ def audit_reviews(runs: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     r = runs.where(in_window("started_at", as_of, days) & (F.col("status") != "running"))
     r = r.join(F.broadcast(dom), "action")
     w = Window.partitionBy("domain").orderBy(F.col("started_at").desc(), F.col("id").desc())
-    r = r.withColumn("review_rank", F.row_number().over(w)).where(F.col("review_rank") <= F.col("max_reviews"))
+    # the literal bound (largest configured limit) lets Spark cut each domain map-side before the shuffle
+    # (partial group limit); the per-domain limit is then applied exactly
+    bound = max(d[3] for d in AUDIT_DOMAINS)
+    r = (r.withColumn("review_rank", F.row_number().over(w)).where(F.col("review_rank") <= bound)
+         .where(F.col("review_rank") <= F.col("max_reviews")))
     rj = result_json_map("stdout")
     r = r.withColumn("rj", rj)
     raw = F.coalesce(F.col("rj")["analysis_summary"], F.lit(""))

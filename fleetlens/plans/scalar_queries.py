@@ -217,9 +217,9 @@ def q_posture_adjust(spark, sf_dir):
         "response_id", F.element_at(F.array(F.lit("risky"), F.lit("watch"), F.lit("stable")),
                                     (F.col("response_id") % 3 + 1).cast("int")).alias("s"),
         F.concat(F.lit("weekly summary "), F.col("response_id").cast("string")).alias("summary"))
-    j = r.crossJoin(F.broadcast(ok))  # one-row side
-    status, summ = W.posture_adjust(F.col("s"), F.col("summary"), F.col("all_domains_ok"))
-    return j.select("response_id", status.alias("week_status"), summ.alias("summary"))
+    all_ok = bool(ok.first()["all_domains_ok"])  # a single flag, not data
+    status, summ = W.posture_adjust(F.col("s"), F.col("summary"), F.lit(all_ok))
+    return r.select("response_id", status.alias("week_status"), summ.alias("summary"))
 
 
 @query("weekly_totals_doc", f"""WITH {rollup_sql(HISTORY_DAYS)}

@@ -110,11 +110,11 @@ def stream_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_slot_dedup(spark: SparkSession, sf_dir: str, schedules: DataFrame) -> DataFrame:
     """Polls that hit a due minute, at most one firing per (schedule, slot) within the watermark."""
     from fleetlens.functions.timefn import slot_key
-    from fleetlens.operators.schedule import schedule_due
 
     ev = fx.read_table_stream(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("poll_ts"))
+    ev = ev.withColumn("hour", F.hour("poll_ts")).withColumn("minute", F.minute("poll_ts"))
     s = schedules.where(F.col("enabled")).select("name", "weekdays", "hour", "minute")
-    due = ev.join(F.broadcast(s), schedule_due("poll_ts", "weekdays", "hour", "minute"))
+    due = ev.join(F.broadcast(s), ["hour", "minute"]).where(F.array_contains("weekdays", F.weekday("poll_ts")))
     fired = due.select(F.col("name").alias("schedule_name"), slot_key("poll_ts").alias("slot_key"), "poll_ts")
     return fired.withWatermark("poll_ts", "10 minutes").dropDuplicatesWithinWatermark(["schedule_name", "slot_key"])
 
