@@ -305,11 +305,12 @@ def materialize(df: DataFrame, keep: list[str], **cols: Column) -> DataFrame:
 
 def analyze(logs: DataFrame, checks) -> DataFrame:
     """Facts -> findings -> level / counts / summary, one row per log (map-side, no shuffle)."""
-    a = materialize(logs, ["log_id", "host"], facts=kv_facts_map("text"))
-    a = materialize(a, ["log_id", "host", "facts"], findings=checks(F.col("facts")))
+    keep = [c for c in logs.columns if c != "text"]  # log_id, host and any other passthrough columns
+    a = materialize(logs, keep, facts=kv_facts_map("text"))
+    a = materialize(a, keep + ["facts"], findings=checks(F.col("facts")))
     f = F.col("findings")
     return a.select(
-        "log_id", "host", "facts", "findings", level_of(f).alias("level"),
+        *keep, "facts", "findings", level_of(f).alias("level"),
         F.size(f).cast("long").alias("findings_count"), count_severity(f, "warning").alias("warning_count"),
         count_severity(f, "critical").alias("critical_count"), finding_text(f).alias("summary"))
 

@@ -215,3 +215,21 @@ def q_process_candidates(spark, sf_dir):
     apps = p.where(F.col("command") != "").select("host", "pid", normalize_app_name("command").alias("app"))
     apps = apps.where(~F.col("app").isin(*MAC.PROTECTED_APPS))
     return MAC.process_candidates(apps, p)
+
+
+@query("snapshot_json_roundtrip", """
+SELECT host, timestamp_unix, memory_free_percent, swap_used_mb, power_source, agent_launchd_loaded FROM snapshots
+""", ctes=("snapshots",))
+def q_snapshot_json_roundtrip(spark, sf_dir):
+    """S6 + K11: snapshots written as JSON documents to shared storage and read back with the fixed
+    snapshot schema (no inference)."""
+    import uuid
+
+    from fleetlens.session import checkpoint_dir
+    from fleetlens.sources.readers import read_snapshots
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/snapshots-json-{uuid.uuid4().hex}"
+    fx.snapshots(spark, sf_dir).drop("snapshot_id").write.json(path)
+    back = read_snapshots(spark, path)
+    return back.select("host", "timestamp_unix", "memory_free_percent", "swap_used_mb", "power_source",
+                       "agent_launchd_loaded")
