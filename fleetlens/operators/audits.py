@@ -352,3 +352,59 @@ def targets_down(logs: DataFrame) -> DataFrame:
                     F.greatest(tot - req, F.lit(0)).alias("noncore_targets_down"),
                     F.coalesce(safe_int(_g(F.col("facts"), "containers_restarting_total")), F.lit(0))
                     .alias("containers_restarting"))
+
+
+# ----------------------------------------------------------------------------- D7 gauges
+
+# FIXED VALUES - VPS gauge families: (metric, kind, source key or rule). kinds: "raw" = the fact text
+# (missing/empty -> default), "flag" = 1 when the fact equals the value, else 0.
+VPS_GAUGE_FAMILIES = [
+    ("vps_host_root_disk_used_percent", "raw", "root_used_percent", "NaN"),
+    ("vps_host_root_inode_used_percent", "raw", "root_inode_used_percent", "NaN"),
+    ("vps_host_swap_used_mb", "raw", "swap_used_mb", "NaN"),
+    ("vps_host_docker_running_containers", "raw", "docker_running_containers", "0"),
+    ("vps_host_docker_unhealthy_containers", "raw", "docker_unhealthy_containers", "0"),
+    ("vps_host_docker_restarting_containers", "raw", "docker_restarting_containers", "0"),
+    ("vps_host_reboot_required", "flag", "reboot_required", "yes"),
+    ("vps_host_fail2ban_healthy", "flag", "unit_fail2ban_service_active", "active"),
+    ("vps_host_docker_daemon_healthy", "flag", "docker_reachable", "yes"),
+    ("vps_host_action_runner_healthy", "flag", "action_runner_probe", "ok"),
+    ("vps_host_prometheus_healthy", "flag", "prometheus_probe", "ok"),
+    ("vps_host_alertmanager_healthy", "flag", "alertmanager_probe", "ok"),
+    ("vps_host_grafana_healthy", "flag", "grafana_probe", "ok"),
+    ("vps_host_tg_relay_healthy", "flag", "tg_relay_probe", "ok"),
+    ("vps_host_node_exporter_healthy", "flag", "node_exporter_probe", "ok"),
+    ("vps_host_ufw_active", "flag", "ufw_status", "active"),
+    ("vps_host_tailscale_serve_ok", "flag", "tailscale_serve_status", "ok"),
+] + [(f"vps_host_tailscale_serve_port_{p}", "flag", f"tailscale_serve_port_{p}", "yes") for p in VPS_TAILSCALE_PORTS]
+
+
+def vps_gauges(analysis: DataFrame) -> DataFrame:
+    """D7 (VPS): long-form gauges ``(log_id, metric, labels, value)`` from an :func:`analyze` result:
+    status code, finding counts, per-fact gauges and one presence gauge per finding."""
+    from fleetlens.functions.numeric import level_code
+    from fleetlens.functions.text import drop_quotes_kind
+
+    host = F.lit('host="vps"')
+    fam = [
+        F.struct(F.lit("vps_host_audit_status").alias("metric"), host.alias("labels"),
+                 level_code(F.col("level")).cast("string").alias("value")),
+        F.struct(F.lit("vps_host_audit_findings_count").alias("metric"), host.alias("labels"),
+                 F.col("findings_count").cast("string").alias("value")),
+        F.struct(F.lit("vps_host_audit_findings_count_by_severity").alias("metric"),
+                 F.lit('host="vps",severity="warning"').alias("labels"), F.col("warning_count").cast("string").alias("value")),
+        F.struct(F.lit("vps_host_audit_findings_count_by_severity").alias("metric"),
+                 F.lit('host="vps",severity="critical"').alias("labels"),
+                 F.col("critical_count").cast("string").alias("value")),
+    ]
+    for metric, kind, key, arg in VPS_GAUGE_FAMILIES:
+        v = _g(F.col("facts"), key)
+        val = (F.coalesce(F.nullif(v, F.lit("")), F.lit(arg)) if kind == "raw"
+               else F.when(_is(v, arg), F.lit("1")).otherwise(F.lit("0")))
+        fam.append(F.struct(F.lit(metric).alias("metric"), host.alias("labels"), val.alias("value")))
+    present = F.transform("findings", lambda f: F.struct(
+        F.lit("vps_host_audit_finding_present").alias("metric"),
+        F.concat(F.lit('host="vps",kind="'), drop_quotes_kind(f["kind"]), F.lit('",severity="'), f["severity"],
+                 F.lit('"')).alias("labels"), F.lit("1").alias("value")))
+    rows = F.concat(F.array(*fam), present)
+    return analysis.select("log_id", F.inline(rows))

@@ -308,3 +308,28 @@ def q_finding_presence(spark, sf_dir):
 
     f = AU.explode_findings(_stack(spark, sf_dir))
     return f.select("log_id", sanitize_label("kind").alias("kind"), "severity").distinct()
+
+
+def _gauge_sql() -> str:
+    parts = [
+        "SELECT log_id, 'vps_host_audit_status' AS metric, 'host=\"vps\"' AS labels, "
+        "CAST(CASE level WHEN 'ok' THEN 0 WHEN 'warning' THEN 1 WHEN 'critical' THEN 2 ELSE 3 END AS VARCHAR) AS value FROM lv",
+        "SELECT log_id, 'vps_host_audit_findings_count', 'host=\"vps\"', CAST(findings_count AS VARCHAR) FROM lv",
+        "SELECT log_id, 'vps_host_audit_findings_count_by_severity', 'host=\"vps\",severity=\"warning\"', "
+        "CAST(warning_count AS VARCHAR) FROM lv",
+        "SELECT log_id, 'vps_host_audit_findings_count_by_severity', 'host=\"vps\",severity=\"critical\"', "
+        "CAST(critical_count AS VARCHAR) FROM lv",
+    ]
+    for metric, kind, key, arg in AU.VPS_GAUGE_FAMILIES:
+        val = (f"coalesce(nullif({_q(key)}, ''), '{arg}')" if kind == "raw"
+               else f"CASE WHEN {_is(key, arg)} THEN '1' ELSE '0' END")
+        parts.append(f"SELECT log_id, '{metric}', 'host=\"vps\"', {val} FROM fw")
+    parts.append("SELECT log_id, 'vps_host_audit_finding_present', 'host=\"vps\",kind=\"' || "
+                 "replace(replace(kind, '\"', ''), '\\', '_') || '\",severity=\"' || severity || '\"', '1' FROM fnd")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("vps_gauges", f"WITH {VPS_SQL}, {_levels_sql()}\n" + _gauge_sql(), ctes=("kv_logs",))
+def q_vps_gauges(spark, sf_dir):
+    """VPS audit gauges in long form (feeds the exposition sink)."""
+    return AU.vps_gauges(_vps(spark, sf_dir))
