@@ -408,3 +408,48 @@ def vps_gauges(analysis: DataFrame) -> DataFrame:
                  F.lit('"')).alias("labels"), F.lit("1").alias("value")))
     rows = F.concat(F.array(*fam), present)
     return analysis.select("log_id", F.inline(rows))
+
+
+def py_float_text(x: Column) -> Column:
+    """``str(float(x))`` for the values gauges carry: integral values as ``N.0``; missing -> ``NaN``."""
+    return (F.when(x.isNull(), F.lit("NaN"))
+            .when((x == F.floor(x)) & (F.abs(x) < F.lit(1e15)), F.concat(x.cast("long").cast("string"), F.lit(".0")))
+            .otherwise(x.cast("string")))
+
+
+def stack_gauges(analysis: DataFrame, host: str = "vps") -> DataFrame:
+    """D7 (monitoring stack): status, counts, component health, target counts, demo-app numbers and one
+    presence gauge per finding; labels sorted by key."""
+    from fleetlens.functions.numeric import safe_float
+    from fleetlens.functions.text import sanitize_label
+
+    h = f'host="{host}"'
+    fx_ = F.col("facts")
+    status = F.when(F.col("level") == "critical", 2).when(F.col("level") == "warning", 1).otherwise(0)
+    rows = [
+        ("monitoring_stack_audit_status", h, status.cast("string")),
+        ("monitoring_stack_audit_findings_count", h, F.col("findings_count").cast("string")),
+        ("monitoring_stack_audit_findings_count_by_severity", h + ',severity="warning"',
+         F.col("warning_count").cast("string")),
+        ("monitoring_stack_audit_findings_count_by_severity", h + ',severity="critical"',
+         F.col("critical_count").cast("string")),
+    ]
+    for comp, probe in STACK_COMPONENTS:
+        ok = (_is(_g(fx_, f"container_{comp}_exists"), "yes") & _is(_g(fx_, f"container_{comp}_state"), "running")
+              & probe_ok(_g(fx_, probe)))
+        rows.append((f"monitoring_stack_{comp}_healthy", h, F.when(ok, F.lit("1")).otherwise(F.lit("0"))))
+    req = F.coalesce(safe_int(_g(fx_, "prometheus_required_targets_down")), F.lit(0))
+    tot = F.coalesce(safe_int(_g(fx_, "prometheus_total_targets_down")), F.lit(0))
+    rows.append(("monitoring_stack_core_targets_down", h, req.cast("string")))
+    rows.append(("monitoring_stack_noncore_targets_down", h, F.greatest(tot - req, F.lit(0)).cast("string")))
+    for metric, key in (("monitoring_stack_demo_app_5xx_rate", "demo_app_5xx_rate"),
+                        ("monitoring_stack_demo_app_p95_latency_seconds", "demo_app_p95_latency_seconds")):
+        v = safe_float(_g(fx_, key))
+        v = F.when(v.isNull() | (v == 0), F.lit(0.0)).otherwise(v)
+        rows.append((metric, h, py_float_text(v)))
+    fam = [F.struct(F.lit(m).alias("metric"), F.lit(lb).alias("labels"), v.alias("value")) for m, lb, v in rows]
+    present = F.transform("findings", lambda f: F.struct(
+        F.lit("monitoring_stack_audit_finding_present").alias("metric"),
+        F.concat(F.lit(h + ',kind="'), sanitize_label(f["kind"]), F.lit('",severity="'), f["severity"], F.lit('"'))
+        .alias("labels"), F.lit("1").alias("value")))
+    return analysis.select("log_id", F.inline(F.concat(F.array(*fam), present)))

@@ -234,3 +234,35 @@ def snapshot_stamp(ts_utc: Column) -> Column:
     s = F.replace(F.replace(F.replace(F.replace(t, F.lit(" UTC"), F.lit("")), F.lit("-"), F.lit("")),
                             F.lit(":"), F.lit("")), F.lit(" "), F.lit("_"))
     return F.concat(F.lit("audit_"), F.coalesce(F.nullif(s, F.lit("")), F.lit("unknown")))
+
+
+def mac_gauges(snaps: DataFrame) -> DataFrame:
+    """D7 (Mac host audit): snapshot numbers as ``str(float)`` text (missing -> NaN), status with its level
+    label, launchd flags (true only -> 1) and one presence gauge per finding. (The analysis-time gauge is
+    wall-clock in the reference and is left out: results must be reproducible.)"""
+    from fleetlens.operators.audits import py_float_text
+
+    a = snaps.withColumn("findings", mac_findings(snaps))
+    host = F.coalesce(F.nullif(F.col("host"), F.lit("")), F.lit("mba"))
+    hl = F.concat(F.lit('host="'), host, F.lit('"'))
+    level = level_of("findings")
+    code = F.when(level == "ok", 0).when(level == "warning", 1).when(level == "critical", 2).otherwise(3)
+    nums = [("mac_host_audit_last_run_unixtime", "timestamp_unix"),
+            ("mac_host_audit_memory_free_percent", "memory_free_percent"),
+            ("mac_host_audit_swap_used_mb", "swap_used_mb"), ("mac_host_audit_disk_used_percent", "disk_used_percent"),
+            ("mac_host_audit_battery_percent", "battery_percent"),
+            ("mac_host_audit_brew_outdated_count", "brew_outdated_count")]
+    fam = [F.struct(F.lit("mac_host_audit_status").alias("metric"),
+                    F.concat(F.lit('host="'), host, F.lit('",level="'), level, F.lit('"')).alias("labels"),
+                    code.cast("string").alias("value")),
+           F.struct(F.lit("mac_host_audit_findings_count").alias("metric"), hl.alias("labels"),
+                    F.size("findings").cast("string").alias("value"))]
+    fam += [F.struct(F.lit(m).alias("metric"), hl.alias("labels"), py_float_text(F.col(c).cast("double")).alias("value"))
+            for m, c in nums]
+    fam.append(F.struct(F.lit("mac_host_audit_agent_launchd_loaded").alias("metric"), hl.alias("labels"),
+                        F.when(F.col("agent_launchd_loaded") == F.lit(True), "1").otherwise("0").alias("value")))
+    present = F.transform("findings", lambda f: F.struct(
+        F.lit("mac_host_audit_finding_present").alias("metric"),
+        F.concat(F.lit('host="'), host, F.lit('",kind="'), f["kind"], F.lit('",severity="'), f["severity"], F.lit('"'))
+        .alias("labels"), F.lit("1").alias("value")))
+    return a.select("snapshot_id", F.inline(F.concat(F.array(*fam), present)))

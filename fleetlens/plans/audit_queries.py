@@ -333,3 +333,43 @@ def _gauge_sql() -> str:
 def q_vps_gauges(spark, sf_dir):
     """VPS audit gauges in long form (feeds the exposition sink)."""
     return AU.vps_gauges(_vps(spark, sf_dir))
+
+
+def _pyfloat_sql(x: str) -> str:
+    return (f"CASE WHEN {x} IS NULL THEN 'NaN' WHEN {x} = floor({x}) THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) || '.0' "
+            f"ELSE CAST({x} AS VARCHAR) END")
+
+
+def _stack_gauge_sql() -> str:
+    h = 'host="vps"'
+    parts = [
+        f"SELECT log_id, 'monitoring_stack_audit_status' AS metric, '{h}' AS labels, "
+        "CAST(CASE level WHEN 'critical' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END AS VARCHAR) AS value FROM lv",
+        f"SELECT log_id, 'monitoring_stack_audit_findings_count', '{h}', CAST(findings_count AS VARCHAR) FROM lv",
+        f"SELECT log_id, 'monitoring_stack_audit_findings_count_by_severity', '{h},severity=\"warning\"', "
+        "CAST(warning_count AS VARCHAR) FROM lv",
+        f"SELECT log_id, 'monitoring_stack_audit_findings_count_by_severity', '{h},severity=\"critical\"', "
+        "CAST(critical_count AS VARCHAR) FROM lv",
+    ]
+    for comp, probe in AU.STACK_COMPONENTS:
+        ok = f"{_is(f'container_{comp}_exists', 'yes')} AND {_is(f'container_{comp}_state', 'running')} AND {_probe_ok(probe)}"
+        parts.append(f"SELECT log_id, 'monitoring_stack_{comp}_healthy', '{h}', CASE WHEN {ok} THEN '1' ELSE '0' END FROM fw")
+    req = f"coalesce({_int('prometheus_required_targets_down')}, 0)"
+    tot = f"coalesce({_int('prometheus_total_targets_down')}, 0)"
+    parts.append(f"SELECT log_id, 'monitoring_stack_core_targets_down', '{h}', CAST({req} AS VARCHAR) FROM fw")
+    parts.append(f"SELECT log_id, 'monitoring_stack_noncore_targets_down', '{h}', "
+                 f"CAST(greatest({tot} - {req}, 0) AS VARCHAR) FROM fw")
+    for metric, key in (("monitoring_stack_demo_app_5xx_rate", "demo_app_5xx_rate"),
+                        ("monitoring_stack_demo_app_p95_latency_seconds", "demo_app_p95_latency_seconds")):
+        v = f"(CASE WHEN {_flt(key)} IS NULL OR {_flt(key)} = 0 THEN CAST(0 AS DOUBLE) ELSE {_flt(key)} END)"
+        parts.append(f"SELECT log_id, '{metric}', '{h}', {_pyfloat_sql(v)} FROM fw")
+    parts.append(f"SELECT log_id, 'monitoring_stack_audit_finding_present', '{h},kind=\"' || "
+                 "regexp_replace(regexp_replace(lower(trim(kind)), '[^a-z0-9_]', '_', 'g'), '^_+|_+$', '', 'g') || "
+                 "'\",severity=\"' || severity || '\"', '1' FROM fnd")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("stack_gauges", f"WITH {STACK_SQL}, {_levels_sql()}\n" + _stack_gauge_sql(), ctes=("kv_logs",))
+def q_stack_gauges(spark, sf_dir):
+    """Monitoring stack gauges in long form."""
+    return AU.stack_gauges(_stack(spark, sf_dir))

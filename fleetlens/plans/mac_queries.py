@@ -233,3 +233,37 @@ def q_snapshot_json_roundtrip(spark, sf_dir):
     back = read_snapshots(spark, path)
     return back.select("host", "timestamp_unix", "memory_free_percent", "swap_used_mb", "power_source",
                        "agent_launchd_loaded")
+
+
+def _pyf(x: str) -> str:
+    return (f"CASE WHEN {x} IS NULL THEN 'NaN' WHEN {x} = floor({x}) THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) || '.0' "
+            f"ELSE CAST({x} AS VARCHAR) END")
+
+
+_MAC_NUMS = [("mac_host_audit_last_run_unixtime", "timestamp_unix"),
+             ("mac_host_audit_memory_free_percent", "memory_free_percent"),
+             ("mac_host_audit_swap_used_mb", "swap_used_mb"), ("mac_host_audit_disk_used_percent", "disk_used_percent"),
+             ("mac_host_audit_battery_percent", "battery_percent"),
+             ("mac_host_audit_brew_outdated_count", "brew_outdated_count")]
+
+
+@query("mac_gauges", f"""WITH {MAC_FINDINGS_SQL},
+lv AS (
+  SELECT s.*, CASE WHEN count(f.pos) FILTER (WHERE f.severity = 'critical') > 0 THEN 'critical'
+       WHEN count(f.pos) > 0 THEN 'warning' ELSE 'ok' END AS level, count(f.pos) AS n
+  FROM snapshots s LEFT JOIN mf f ON f.snapshot_id = s.snapshot_id
+  GROUP BY ALL
+)
+SELECT snapshot_id, 'mac_host_audit_status' AS metric, 'host="' || host || '",level="' || level || '"' AS labels,
+  CAST(CASE level WHEN 'ok' THEN 0 WHEN 'warning' THEN 1 WHEN 'critical' THEN 2 ELSE 3 END AS VARCHAR) AS value FROM lv
+UNION ALL SELECT snapshot_id, 'mac_host_audit_findings_count', 'host="' || host || '"', CAST(n AS VARCHAR) FROM lv
+""" + "".join(f"UNION ALL SELECT snapshot_id, '{m}', 'host=\"' || host || '\"', {_pyf(f'CAST({c} AS DOUBLE)')} FROM lv\n"
+              for m, c in _MAC_NUMS) + """
+UNION ALL SELECT snapshot_id, 'mac_host_audit_agent_launchd_loaded', 'host="' || host || '"',
+  CASE WHEN agent_launchd_loaded THEN '1' ELSE '0' END FROM lv
+UNION ALL SELECT snapshot_id, 'mac_host_audit_finding_present',
+  'host="' || host || '",kind="' || kind || '",severity="' || severity || '"', '1' FROM mf
+""", ctes=("snapshots",))
+def q_mac_gauges(spark, sf_dir):
+    """Mac host audit gauges in long form."""
+    return MAC.mac_gauges(fx.snapshots(spark, sf_dir))
