@@ -167,3 +167,38 @@ def alerts_from_webhook(payloads: DataFrame, body_col: str = "body") -> DataFram
         pick_str(ann["summary"]).alias("summary"), pick_str(ann["description"]).alias("description"),
         fingerprint(labels, F.col("a.fingerprint")).alias("fingerprint"),
         context_pick(labels, ann).alias("context"))
+
+
+BRIEF_SCHEMA = ("struct<brief_status:string,executive_summary:string,top_risks:array<string>,"
+                "recommended_actions:array<string>,operator_note:string>")
+
+
+def render_brief_markdown(briefs: DataFrame) -> Column:
+    """K8: brief markdown from columns ``generated_at, source, analysis_level, analysis_findings_count,
+    analysis_log_path, analysis_summary, brief (BRIEF_SCHEMA struct), facts (map)``; facts sorted by key,
+    the facts section only when facts exist; the text is stripped and ends with one newline."""
+    b = F.col("brief")
+
+    def items(arr):
+        return F.transform(F.coalesce(arr, F.array().cast("array<string>")), lambda x: F.concat(F.lit("- "), x))
+
+    head = F.array(
+        F.lit("# Ops incident brief"), F.lit(""),
+        F.concat(F.lit("- Generated at: "), F.col("generated_at")),
+        F.concat(F.lit("- Source: "), F.col("source")),
+        F.concat(F.lit("- Analysis level: "), F.col("analysis_level")),
+        F.concat(F.lit("- Findings count: "), F.col("analysis_findings_count").cast("string")),
+        F.concat(F.lit("- Log path: "), F.col("analysis_log_path")),
+        F.concat(F.lit("- Brief status: "), F.coalesce(b["brief_status"], F.lit(""))), F.lit(""),
+        F.lit("## Analyzer summary"), F.lit(""), F.col("analysis_summary"), F.lit(""),
+        F.lit("## Executive summary"), F.lit(""), F.coalesce(b["executive_summary"], F.lit("")), F.lit(""),
+        F.lit("## Top risks"), F.lit(""))
+    mid = F.array(F.lit(""), F.lit("## Recommended actions"), F.lit(""))
+    tail = F.array(F.lit(""), F.lit("## Operator note"), F.lit(""), F.coalesce(b["operator_note"], F.lit("")), F.lit(""))
+    facts = F.array_sort(F.map_entries(F.coalesce(F.col("facts"), F.create_map().cast("map<string,string>"))))
+    fact_lines = F.when(F.size(facts) > 0, F.concat(
+        F.array(F.lit("## Facts"), F.lit("")),
+        F.transform(facts, lambda e: F.concat(F.lit("- "), e["key"], F.lit(": "), e["value"])), F.array(F.lit("")))
+    ).otherwise(F.array().cast("array<string>"))
+    lines = F.concat(head, items(b["top_risks"]), mid, items(b["recommended_actions"]), tail, fact_lines)
+    return F.concat(py_strip(F.array_join(lines, "\n")), F.lit("\n"))

@@ -254,3 +254,47 @@ def q_setops(spark, sf_dir):
     return (u.agg(F.count(F.lit(1)).alias("n")).select(F.lit("union_sources").alias("op"), "n")
             .unionByName(pairs.agg(F.count(F.lit(1)).alias("n")).select(F.lit("distinct_pairs").alias("op"), "n"))
             .unionByName(diff.agg(F.count(F.lit(1)).alias("n")).select(F.lit("except_pairs").alias("op"), "n")))
+
+
+# ------------------------------------------------------------------ K8 brief markdown
+
+@query("brief_markdown", """WITH """ + __import__("fleetlens.plans.weekly_queries", fromlist=["x"]).rollup_sql(3650)
+       + """,
+b AS (
+  SELECT r.*, p.review FROM reviews r JOIN responses p ON p.response_id = r.id
+  WHERE lower(r.analysis_level) IN ('warning', 'critical') AND r.analysis_summary <> ''
+    AND json_valid(p.review) AND json_extract_string(p.review, '$.brief_status') IN ('stable', 'watch', 'risky')
+    AND json_extract(p.review, '$.operator_note') IS NOT NULL
+)
+SELECT id, trim(array_to_string(list_concat(
+  ['# Ops incident brief', '', '- Generated at: ' || started_at, '- Source: ' || domain,
+   '- Analysis level: ' || lower(analysis_level), '- Findings count: ' || CAST(analysis_findings_count AS VARCHAR),
+   '- Log path: ' || analysis_log_path, '- Brief status: ' || json_extract_string(review, '$.brief_status'), '',
+   '## Analyzer summary', '', analysis_summary, '', '## Executive summary', '',
+   json_extract_string(review, '$.executive_summary'), '', '## Top risks', ''],
+  list_transform(CAST(json_extract(review, '$.top_risks') AS VARCHAR[]), lambda x: '- ' || x),
+  ['', '## Recommended actions', ''],
+  list_transform(CAST(json_extract(review, '$.recommended_actions') AS VARCHAR[]), lambda x: '- ' || x),
+  ['', '## Operator note', '', json_extract_string(review, '$.operator_note'), ''],
+  ['## Facts', '', '- host: ' || domain, '- metrics_path: /m/' || CAST(id AS VARCHAR) || '.prom', '']
+), chr(10)), ' ' || chr(10)) || chr(10) AS markdown
+FROM b
+""", ctes=("runs", "responses"))
+def q_brief_markdown(spark, sf_dir):
+    """K8 over data: actionable reviews joined with the stored model response of the same run; valid
+    responses (U7) are rendered with the review as brief input."""
+    from fleetlens.operators import weekly as W
+    from fleetlens.operators.artifacts import validate_review
+    from fleetlens.plans.weekly_queries import AS_OF_RUNS, HISTORY_DAYS
+
+    r = W.audit_reviews(fx.runs(spark, sf_dir), AS_OF_RUNS, HISTORY_DAYS)
+    r = r.where(F.lower("analysis_level").isin("warning", "critical") & (F.col("analysis_summary") != ""))
+    resp = fx.responses(spark, sf_dir).select(F.col("response_id").alias("id"), "review")
+    j = r.join(resp, "id").where(validate_review("review")["valid"])
+    j = j.select(
+        "id", F.col("started_at").alias("generated_at"), F.col("domain").alias("source"),
+        F.lower("analysis_level").alias("analysis_level"), "analysis_findings_count", "analysis_log_path",
+        "analysis_summary", F.from_json("review", OUT.BRIEF_SCHEMA).alias("brief"),
+        F.create_map(F.lit("host"), F.col("domain"), F.lit("metrics_path"),
+                     F.concat(F.lit("/m/"), F.col("id").cast("string"), F.lit(".prom"))).alias("facts"))
+    return j.select("id", OUT.render_brief_markdown(j).alias("markdown"))
