@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetlens.functions.text import split_findings
+from fleetlens.operators import rules as R
 from fleetlens.operators import weekly as W
 from fleetlens.plans.registry import query
 from fleetlens.plans.signal_queries import COOLDOWN_CTES, decided, decisions
@@ -18,6 +19,18 @@ DAYS = 7
 _FMT = "'%Y-%m-%d %H:%M:%S UTC'"
 
 
+def _rng(as_of: str, days: int = DAYS) -> tuple[str, str]:
+    """The closed window as text bounds, for scan-level pruning."""
+    from datetime import datetime, timedelta
+
+    hi = datetime.strptime(as_of, "%Y-%m-%d %H:%M:%S")
+    return ((hi - timedelta(days=days)).strftime("%Y-%m-%d %H:%M:%S"), as_of)
+
+
+RUN_WINDOW = _rng(AS_OF_RUNS)
+EVENT_WINDOW = _rng(AS_OF_EVENTS)
+
+
 def _win(col: str, as_of: str, days: int = DAYS) -> str:
     return (f"date_trunc('second', {col}) BETWEEN TIMESTAMP '{as_of}' - INTERVAL {days} DAY "
             f"AND TIMESTAMP '{as_of}'")
@@ -33,7 +46,8 @@ SELECT (SELECT count(*) FROM signals WHERE {_win('ts', AS_OF_EVENTS)}) AS decisi
        (SELECT count(*) FROM runs WHERE {_win('started_at', AS_OF_RUNS)}) AS runs
 """, ctes=("sig0", "signals", "tasks", "runs"))
 def q_window_totals(spark, sf_dir):
-    return W.window_totals(decided(spark, sf_dir), fx.tasks(spark, sf_dir), fx.runs(spark, sf_dir),
+    return W.window_totals(R.first_match(fx.signals(spark, sf_dir, EVENT_WINDOW)), fx.tasks(spark, sf_dir, EVENT_WINDOW),
+                           fx.runs(spark, sf_dir, RUN_WINDOW),
                            AS_OF_EVENTS, AS_OF_RUNS, DAYS)
 
 
@@ -49,7 +63,7 @@ WHERE NOT {_EXCL}
 ORDER BY count DESC, alertname, severity LIMIT 10
 """, ctes=("sig0", "signals"))
 def q_top_alerts(spark, sf_dir):
-    return W.top_alerts(decided(spark, sf_dir), AS_OF_EVENTS, DAYS)
+    return W.top_alerts(R.first_match(fx.signals(spark, sf_dir, EVENT_WINDOW)), AS_OF_EVENTS, DAYS)
 
 
 @query("weekly_task_status", f"""
@@ -57,7 +71,7 @@ SELECT task_type, status, count(*) AS count FROM tasks
 WHERE {_win('created_at', AS_OF_EVENTS)} AND status <> 'running' GROUP BY task_type, status
 """, ctes=("tasks",))
 def q_weekly_task_status(spark, sf_dir):
-    return W.weekly_task_status(fx.tasks(spark, sf_dir), AS_OF_EVENTS, DAYS)
+    return W.weekly_task_status(fx.tasks(spark, sf_dir, EVENT_WINDOW), AS_OF_EVENTS, DAYS)
 
 
 @query("weekly_run_status", f"""
@@ -67,7 +81,7 @@ WHERE {_win('started_at', AS_OF_RUNS)} AND status NOT IN ('running', 'skipped')
 GROUP BY action, status
 """, ctes=("runs",))
 def q_weekly_run_status(spark, sf_dir):
-    return W.weekly_run_status(fx.runs(spark, sf_dir), AS_OF_RUNS, DAYS)
+    return W.weekly_run_status(fx.runs(spark, sf_dir, RUN_WINDOW), AS_OF_RUNS, DAYS)
 
 
 _RUN_COLS = (f"id, action, status, strftime(started_at, {_FMT}) AS started_at, "
@@ -81,7 +95,7 @@ WHERE action IN ('run_backup', 'verify_backup') AND {_win('started_at', AS_OF_RU
 ORDER BY started_at DESC, id DESC LIMIT 50
 """, ctes=("runs",))
 def q_backup_runs(spark, sf_dir):
-    return W.backup_runs(fx.runs(spark, sf_dir), AS_OF_RUNS, DAYS)
+    return W.backup_runs(fx.runs(spark, sf_dir, RUN_WINDOW), AS_OF_RUNS, DAYS)
 
 
 @query("mac_alerts", f"""
@@ -108,7 +122,7 @@ FROM (SELECT * FROM tasks WHERE task_type = 'mac_action' AND {_win('created_at',
       AND status <> 'running' ORDER BY created_at DESC, id DESC LIMIT 50) h
 """, ctes=("tasks",))
 def q_mac_actions(spark, sf_dir):
-    return W.mac_actions(fx.tasks(spark, sf_dir), AS_OF_EVENTS, DAYS)
+    return W.mac_actions(fx.tasks(spark, sf_dir, EVENT_WINDOW), AS_OF_EVENTS, DAYS)
 
 
 _FAILURES_SQL = f"""
@@ -126,7 +140,7 @@ failures AS (
 @query("latest_failures", f"WITH {_FAILURES_SQL} SELECT {_RUN_COLS}, CAST(failure_rank AS INTEGER) AS failure_rank "
        "FROM failures", ctes=("runs",))
 def q_latest_failures(spark, sf_dir):
-    return W.latest_failures(fx.runs(spark, sf_dir), AS_OF_RUNS, DAYS).drop("_st")
+    return W.latest_failures(fx.runs(spark, sf_dir, RUN_WINDOW), AS_OF_RUNS, DAYS).drop("_st")
 
 
 @query("recent_failure_count", f"""
@@ -135,7 +149,7 @@ SELECT count(*) FILTER (WHERE started_at >= TIMESTAMP '{AS_OF_RUNS}' - INTERVAL
 FROM failures
 """, ctes=("runs",))
 def q_recent_failure_count(spark, sf_dir):
-    return W.recent_failure_count(W.latest_failures(fx.runs(spark, sf_dir), AS_OF_RUNS, DAYS), AS_OF_RUNS)
+    return W.recent_failure_count(W.latest_failures(fx.runs(spark, sf_dir, RUN_WINDOW), AS_OF_RUNS, DAYS), AS_OF_RUNS)
 
 
 @query("result_json_fields", """
@@ -234,7 +248,7 @@ rollup AS (
 
 
 def _reviews(spark, sf_dir):
-    return W.audit_reviews(fx.runs(spark, sf_dir), AS_OF_RUNS, DAYS)
+    return W.audit_reviews(fx.runs(spark, sf_dir, RUN_WINDOW), AS_OF_RUNS, DAYS)
 
 
 @query("audit_reviews", f"WITH {reviews_sql()} SELECT * FROM reviews", ctes=("runs",))
@@ -319,7 +333,7 @@ def _brief_out(df):
 @query("latest_briefs", f"WITH {briefs_sql()} SELECT {', '.join(_BRIEF_COLS)}, strftime(started_at, {_FMT}) "
        "AS started_at FROM briefs", ctes=("runs",))
 def q_latest_briefs(spark, sf_dir):
-    return _brief_out(W.latest_briefs(fx.runs(spark, sf_dir), AS_OF_RUNS, DAYS))
+    return _brief_out(W.latest_briefs(fx.runs(spark, sf_dir, RUN_WINDOW), AS_OF_RUNS, DAYS))
 
 
 @query("fresh_briefs", f"""WITH {rollup_sql()}, {briefs_sql()}
@@ -331,7 +345,7 @@ WHERE b.source NOT IN {_sql_list(W.BRIEF_SOURCES_WITH_AUDIT_DOMAINS)}
         b.started_at < strptime(r.latest_started_at, '%Y-%m-%d %H:%M:%S UTC')), false))
 """, ctes=("runs",))
 def q_fresh_briefs(spark, sf_dir):
-    runs = fx.runs(spark, sf_dir)
+    runs = fx.runs(spark, sf_dir, RUN_WINDOW)
     roll = W.domain_rollup(W.audit_reviews(runs, AS_OF_RUNS, DAYS))
     return _brief_out(W.fresh_briefs(W.latest_briefs(runs, AS_OF_RUNS, DAYS), roll))
 
@@ -351,7 +365,8 @@ HISTORY_DAYS = 3650
 @query("latest_briefs_history", f"WITH {briefs_sql(HISTORY_DAYS)} SELECT {', '.join(_BRIEF_COLS)}, "
        f"strftime(started_at, {_FMT}) AS started_at FROM briefs", ctes=("runs",))
 def q_latest_briefs_history(spark, sf_dir):
-    return _brief_out(W.latest_briefs(fx.runs(spark, sf_dir), AS_OF_RUNS, HISTORY_DAYS))
+    return _brief_out(W.latest_briefs(fx.runs(spark, sf_dir, _rng(AS_OF_RUNS, HISTORY_DAYS)), AS_OF_RUNS,
+                                      HISTORY_DAYS))
 
 
 @query("fresh_briefs_history", f"""WITH {rollup_sql(HISTORY_DAYS)}, {briefs_sql(HISTORY_DAYS)}
@@ -363,7 +378,7 @@ WHERE b.source NOT IN {_sql_list(W.BRIEF_SOURCES_WITH_AUDIT_DOMAINS)}
         b.started_at < strptime(r.latest_started_at, '%Y-%m-%d %H:%M:%S UTC')), false))
 """, ctes=("runs",))
 def q_fresh_briefs_history(spark, sf_dir):
-    runs = fx.runs(spark, sf_dir)
+    runs = fx.runs(spark, sf_dir, _rng(AS_OF_RUNS, HISTORY_DAYS))
     roll = W.domain_rollup(W.audit_reviews(runs, AS_OF_RUNS, HISTORY_DAYS))
     return _brief_out(W.fresh_briefs(W.latest_briefs(runs, AS_OF_RUNS, HISTORY_DAYS), roll))
 

@@ -34,9 +34,24 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, where: Column | None = None) -> DataFrame:
+    """Scan a table; ``where`` (on raw columns) is applied at the scan, before any repartitioning, so it
+    reaches the Parquet reader as a pushed filter (row groups outside it are skipped)."""
     ensure_session(spark)
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if where is not None:
+        df = df.where(where)
+    return spread(df)
+
+
+def time_range(col: str, rng: tuple[str, str] | None) -> Column | None:
+    """Pushable form of the closed, second-precision window ``[lo, hi]`` on a raw (zone-less) timestamp
+    column: ``lo <= c < hi + 1 second``."""
+    if rng is None:
+        return None
+    lo, hi = rng
+    return ((F.col(col) >= F.lit(lo).cast("timestamp_ntz"))
+            & (F.col(col) < F.lit(hi).cast("timestamp_ntz") + F.expr("INTERVAL 1 SECOND")))
 
 
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
@@ -64,8 +79,9 @@ def _cases(col: Column, pairs: list[tuple], default) -> Column:
 # signals <- events
 # --------------------------------------------------------------------------------------------
 
-def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals_from(read_table(spark, sf_dir, "events"))
+def signals(spark: SparkSession, sf_dir: str, ts_range: tuple[str, str] | None = None) -> DataFrame:
+    """``ts_range`` limits the scan to a closed event-time window (only for uses that need no history)."""
+    return signals_from(read_table(spark, sf_dir, "events", time_range("ts", ts_range)))
 
 
 def signals_from(events: DataFrame) -> DataFrame:
@@ -155,8 +171,8 @@ FROM (""" + _SIGNALS_SQL + """) s0
 TASK_TYPES = ("action", "chain", "notify", "mac_action")
 
 
-def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tasks_from(read_table(spark, sf_dir, "events"))
+def tasks(spark: SparkSession, sf_dir: str, created_range: tuple[str, str] | None = None) -> DataFrame:
+    return tasks_from(read_table(spark, sf_dir, "events", time_range("ts", created_range)))
 
 
 def tasks_from(events: DataFrame) -> DataFrame:
@@ -248,8 +264,8 @@ RUN_SUMMARIES = [
 RUN_SOURCES = [(0, "admin_host_audit"), (1, "vps_host_audit"), (2, "monitoring_stack_audit"), (3, "manual")]
 
 
-def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+def runs(spark: SparkSession, sf_dir: str, started_range: tuple[str, str] | None = None) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders", time_range("o_orderdate", started_range)).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
                                                      "o_orderpriority")
     m6 = F.col("o_custkey") % 6
     summary = _cases(m6, RUN_SUMMARIES, "")
