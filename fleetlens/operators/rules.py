@@ -180,13 +180,17 @@ def cooldown_asof(decided: DataFrame, tasks: DataFrame, bucket_us: int | None =
 
     For each candidate signal the last successful execution at or before its time is looked up;
     elapsed < cooldown (and cooldown > 0) -> ``cooldown``. Adds ``last_executed_at``.
+    The narrow columns the lookup needs are written once under the shared checkpoint directory, so
+    the executions and the probes read them instead of re-running the upstream plan.
     """
-    execs = successful_executions(decided, tasks)
+    narrow = materialize(decided.select("signal_id", "ts", "alert_key", "decision", "cooldown_seconds"),
+                         "cooldown-asof-narrow")
+    execs = successful_executions(narrow, tasks)
     ev = execs.select("alert_key", F.unix_micros(F.date_trunc("second", "exec_ts")).alias("t"),
                       F.monotonically_increasing_id().alias("eid"))
     is_cand = (F.col("decision") != "ignore") & (F.col("cooldown_seconds") > 0)
-    probes = decided.where(is_cand).select("alert_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("p"),
-                                           F.col("signal_id").alias("pid"))
+    probes = narrow.where(is_cand).select("alert_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("p"),
+                                          F.col("signal_id").alias("pid"))
     last = prev_at_or_before(ev, probes, ["alert_key"], bucket_us=bucket_us or 24 * 3600 * US)
     last = last.select(F.col("pid").alias("_sid"), F.col("m_t").alias("_last_us"))
     out = decided.join(last, decided["signal_id"] == last["_sid"], "left").drop("_sid")
