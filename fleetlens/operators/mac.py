@@ -91,8 +91,8 @@ def parse_process_lines(lines: DataFrame, text_col: str = "line") -> DataFrame:
     parts = F.split(py_strip(F.col(text_col)), r"\s+", 4)
     out = lines.select(
         "host",
-        F.element_at(parts, 1).try_cast("int").alias("pid"),
-        F.element_at(parts, 2).try_cast("int").alias("rss_kb"),
+        F.element_at(parts, 1).try_cast("long").alias("pid"),
+        F.element_at(parts, 2).try_cast("long").alias("rss_kb"),
         F.element_at(parts, 3).try_cast("double").alias("mem_percent"),
         F.when(F.size(parts) >= 4, F.element_at(parts, 4)).alias("command"),
     )

@@ -209,3 +209,11 @@ def q_section_marker(spark, sf_dir):
     a = fx.admin_logs(spark, sf_dir)
     path, body = AD.strip_body_marker(F.col("output"))
     return a.select("log_id", path.alias("marker_path"), body.alias("body"))
+
+
+@query("admin_finding_presence", f"WITH {ADMIN_FINDINGS_SQL} SELECT DISTINCT log_id, kind, severity FROM adf",
+       ctes=("admin_logs",))
+def q_admin_finding_presence(spark, sf_dir):
+    """A21 (admin): distinct (kind, severity) presence gauges per log."""
+    f = q_admin_findings(spark, sf_dir)
+    return f.select("log_id", "kind", "severity").distinct()

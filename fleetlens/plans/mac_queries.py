@@ -267,3 +267,17 @@ UNION ALL SELECT snapshot_id, 'mac_host_audit_finding_present',
 def q_mac_gauges(spark, sf_dir):
     """Mac host audit gauges in long form."""
     return MAC.mac_gauges(fx.snapshots(spark, sf_dir))
+
+
+@query("process_lines", """
+SELECT host, pid, rss_kb, CAST(round(rss_kb / 163840.0, 1) AS DOUBLE) AS mem_percent, command
+FROM processes WHERE command <> ''
+""", ctes=("processes",))
+def q_process_lines(spark, sf_dir):
+    """``ps`` output lines (pid, rss, %mem, args) parsed back into rows; rows whose command is empty
+    have fewer than four fields and are dropped, as the reference's parser does."""
+    p = fx.processes(spark, sf_dir)
+    mem = F.round(F.col("rss_kb") / F.lit(163840.0), 1)
+    lines = p.select("host", F.concat_ws(" ", F.lit(" "), F.col("pid").cast("string"), F.col("rss_kb").cast("string"),
+                                         mem.cast("string"), "command").alias("line"))
+    return MAC.parse_process_lines(lines).select("host", "pid", "rss_kb", "mem_percent", "command")

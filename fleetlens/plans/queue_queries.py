@@ -75,3 +75,27 @@ FROM runs WHERE status <> 'blocked'
 """, ctes=("runs",))
 def q_overlapping_runs(spark, sf_dir):
     return Q.overlapping_runs(fx.runs(spark, sf_dir))
+
+
+@query("run_latest_state", f"""
+SELECT id AS run_id, status, strftime(started_at, {_FMT}) AS started_at, strftime(finished_at, {_FMT}) AS finished_at,
+  exit_code, CAST(1 + (finished_at IS NOT NULL)::INT AS BIGINT) AS n_events
+FROM runs
+""", ctes=("runs",))
+def q_run_latest_state(spark, sf_dir):
+    """K12 + W7: runs recorded as events (inserted ``running``, then updated to the terminal status with
+    exit code), folded back to one row per run."""
+    r = fx.runs(spark, sf_dir)
+    ins = r.select(F.col("id").alias("run_id"), F.col("started_at").alias("event_ts"), F.lit(0).alias("seq"),
+                   F.lit("running").alias("status"), "started_at", F.lit(None).cast("timestamp").alias("finished_at"),
+                   F.lit(None).cast("int").alias("exit_code"))
+    upd = r.where(F.col("finished_at").isNotNull()).select(
+        F.col("id").alias("run_id"), F.col("finished_at").alias("event_ts"), F.lit(1).alias("seq"), "status",
+        F.lit(None).cast("timestamp").alias("started_at"), "finished_at", "exit_code")
+    ev = ins.unionByName(upd)
+    st = ev.groupBy("run_id").agg(
+        F.max_by("status", F.struct("event_ts", "seq")).alias("status"), F.max("started_at").alias("started_at"),
+        F.max("finished_at").alias("finished_at"), F.max_by("exit_code", F.struct("event_ts", "seq")).alias("exit_code"),
+        F.count(F.lit(1)).alias("n_events"))
+    return st.select("run_id", "status", fmt_utc("started_at").alias("started_at"),
+                     fmt_utc("finished_at").alias("finished_at"), "exit_code", "n_events")

@@ -663,7 +663,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SAMPLES_SQL = """
 SELECT event_id AS sample_id, ts, 'host-' || CAST(user_id % 8 AS VARCHAR) AS instance, event_type AS service,
-  CASE WHEN event_id % 13 = 0 THEN 0.0 ELSE 1.0 END AS up_value,
+  CAST(CASE WHEN event_id % 13 = 0 THEN 0 ELSE 1 END AS DOUBLE) AS up_value,
   CAST(event_id % 500 AS DOUBLE) AS counter_value,
   value / 1000.0 AS latency_seconds
 FROM events
