@@ -182,20 +182,82 @@ def admin_findings(fx: Column) -> Column:
 
 
 def analyze_admin(logs: DataFrame, host: str = "admin") -> DataFrame:
-    """D1 per log: facts, findings, overall level, counts, summary ('' when no findings), one-line report."""
-    def per_log(facts: Column) -> Column:
-        f = admin_findings(facts)
-        return F.element_at(F.transform(F.array(f), lambda fs: F.struct(
-            facts.alias("facts"), fs.alias("findings"), level_of(fs).alias("overall"),
-            F.size(fs).cast("long").alias("findings_count"),
-            count_severity(fs, "warning").alias("warning_count"),
-            count_severity(fs, "critical").alias("critical_count"),
-            F.array_join(F.transform(fs, lambda x: F.concat(x["severity"], F.lit(":"), x["message"])), "; ")
-            .alias("summary"))), 1)
-
-    a = logs.select("log_id", F.element_at(F.transform(F.array(admin_facts("text")), per_log), 1).alias("a"))
-    a = a.select("log_id", "a.*")
+    """D1 per log: facts, findings, overall level, counts, summary ('' when no findings), one-line report.
+
+    Facts and findings are each computed once per row behind a generator (see ``audits.materialize``);
+    everything after reads plain columns."""
+    from fleetlens.operators.audits import materialize
+    from fleetlens.session import cached_expr
+
+    keep = [c for c in logs.columns if c not in ("text", "output")]
+    a = materialize(logs, keep, facts=cached_expr(("admin_facts", "text"), lambda: admin_facts("text")))
+    a = materialize(a, keep + ["facts"],
+                    findings=cached_expr(("admin_findings", "facts"), lambda: admin_findings(F.col("facts"))))
+    fs = F.col("findings")
+    a = a.select(
+        *keep, "facts", "findings", level_of(fs).alias("overall"), F.size(fs).cast("long").alias("findings_count"),
+        count_severity(fs, "warning").alias("warning_count"), count_severity(fs, "critical").alias("critical_count"),
+        F.array_join(F.transform(fs, lambda x: F.concat(x["severity"], F.lit(":"), x["message"])), "; ")
+        .alias("summary"))
     report = render_summary(F.lit(host), F.col("overall"), F.col("findings_count").cast("string"),
                             details=F.col("summary"))
     return a.withColumn("exit_code", F.when(F.col("overall") == "critical", F.lit(2)).otherwise(F.lit(0))) \
             .withColumn("report_line", report)
+
+
+# FIXED VALUES - admin gauge families fed by a boolean fact (1 when true) or a count, in output order.
+ADMIN_FLAG_GAUGES = [
+    ("admin_host_audit_reboot_required", "reboot_required"),
+    ("admin_host_reboot_detected_recently", "reboot_detected_recently"),
+    ("admin_host_audit_timemachine_path_exists", "timemachine_path_exists"),
+    ("admin_host_audit_timemachine_path_writable", "timemachine_path_writable"),
+    ("admin_host_audit_infra_backups_path_exists", "infra_backups_path_exists"),
+    ("admin_host_audit_infra_backups_path_writable", "infra_backups_path_writable"),
+    ("admin_host_audit_smb_healthy", "smb_healthy"),
+    ("admin_host_audit_ssh_healthy", "ssh_healthy"),
+    ("admin_host_audit_tailscale_healthy", "tailscale_healthy"),
+    ("admin_host_audit_fail2ban_healthy", "fail2ban_healthy"),
+]
+ADMIN_OPTIONAL_GAUGES = [  # emitted only when the fact is present
+    ("admin_host_boot_time_unixtime", "boot_time_unixtime"),
+    ("admin_host_uptime_seconds", "uptime_seconds"),
+    ("admin_host_audit_root_disk_used_percent", "root_disk_used_percent"),
+    ("admin_host_audit_root_inode_used_percent", "root_inode_used_percent"),
+    ("admin_host_timemachine_age_seconds", "timemachine_age_seconds"),
+    ("admin_host_audit_log_age_seconds", "audit_log_age_seconds"),
+    ("admin_host_infra_backups_tar_age_seconds", "infra_backups_tar_age_seconds"),
+    ("admin_host_infra_backups_sha_age_seconds", "infra_backups_sha_age_seconds"),
+]
+
+
+def admin_gauges(analysis: DataFrame, as_of_unix: int, host: str = "admin") -> DataFrame:
+    """D7 (admin): one-hot status, counts, fact flags and values (optional ones only when present) and the
+    distinct (kind, severity) presence pairs. ``as_of_unix`` stands for the run time (reproducible)."""
+    h = f'host="{host}"'
+    fx = F.col("facts")
+
+    def row(metric, labels, value):
+        return F.struct(F.lit(metric).alias("metric"), (F.lit(labels) if isinstance(labels, str) else labels)
+                        .alias("labels"), value.cast("string").alias("value"))
+
+    rows = [row("admin_host_audit_last_run_unixtime", h, F.lit(as_of_unix))]
+    rows += [row("admin_host_audit_status", h + f',level="{lv}"', F.when(F.col("overall") == lv, 1).otherwise(0))
+             for lv in ("ok", "warning", "critical")]
+    rows.append(row("admin_host_audit_findings_count", h, F.col("findings_count")))
+    rows += [row("admin_host_audit_findings_count_by_severity", h + f',severity="{sev}"', F.col(f"{sev}_count"))
+             for sev in ("warning", "critical")]
+    rows.append(row("admin_host_audit_upgradable_packages", h, fx["upgradable_packages"]))
+    rows.append(row("admin_host_audit_wifi_watchdog_events", h, fx["wifi_watchdog_events"]))
+    rows += [row(m, h, F.when(fx[c], 1).otherwise(0)) for m, c in ADMIN_FLAG_GAUGES]
+    rows += [F.when(fx[c].isNotNull(), row(m, h, fx[c])) for m, c in ADMIN_OPTIONAL_GAUGES]
+    rows.append(row("admin_host_infra_backups_tar_count", h, fx["infra_backups_tar_count"]))
+    rows.append(row("admin_host_infra_backups_sha_count", h, fx["infra_backups_sha_count"]))
+    rows.append(row("admin_host_infra_backups_pairs_match", h, F.when(fx["infra_backups_pairs_match"], 1).otherwise(0)))
+    pairs = F.array_sort(F.array_distinct(F.transform("findings", lambda f: F.struct(f["kind"].alias("k"),
+                                                                                     f["severity"].alias("s")))))
+    present = F.transform(pairs, lambda p: F.struct(
+        F.lit("admin_host_audit_finding_present").alias("metric"),
+        F.concat(F.lit(h + ',kind="'), p["k"], F.lit('",severity="'), p["s"], F.lit('"')).alias("labels"),
+        F.lit("1").alias("value")))
+    allrows = F.filter(F.concat(F.array(*rows), present), lambda x: x.isNotNull())
+    return analysis.select("log_id", F.inline(allrows))

@@ -305,9 +305,12 @@ def materialize(df: DataFrame, keep: list[str], **cols: Column) -> DataFrame:
 
 def analyze(logs: DataFrame, checks) -> DataFrame:
     """Facts -> findings -> level / counts / summary, one row per log (map-side, no shuffle)."""
+    from fleetlens.session import cached_expr
+
     keep = [c for c in logs.columns if c != "text"]  # log_id, host and any other passthrough columns
-    a = materialize(logs, keep, facts=kv_facts_map("text"))
-    a = materialize(a, keep + ["facts"], findings=checks(F.col("facts")))
+    a = materialize(logs, keep, facts=cached_expr(("kv_facts_map", "text"), lambda: kv_facts_map("text")))
+    a = materialize(a, keep + ["facts"],
+                    findings=cached_expr((checks.__name__, "facts"), lambda: checks(F.col("facts"))))
     f = F.col("findings")
     return a.select(
         *keep, "facts", "findings", level_of(f).alias("level"),

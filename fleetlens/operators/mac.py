@@ -73,7 +73,9 @@ def mac_findings(snap: DataFrame) -> Column:
 
 def analyze_snapshots(snaps: DataFrame) -> DataFrame:
     """D4 per snapshot: findings, level, counts, summary (map-side)."""
-    a = snaps.withColumn("findings", mac_findings(snaps))
+    from fleetlens.session import cached_expr
+
+    a = snaps.withColumn("findings", cached_expr(("mac_findings",), lambda: mac_findings(snaps)))
     return a.select(
         "snapshot_id", "host", "timestamp_unix", "findings",
         level_of("findings").alias("level"),

@@ -86,7 +86,15 @@ af AS (
          WHEN 'kib' THEN 1.0 / 1024 WHEN 'kb' THEN 1.0 / 1000 WHEN 'mib' THEN 1.0 WHEN 'mb' THEN 1.0
          WHEN 'gib' THEN 1024.0 WHEN 'gb' THEN 1000.0 WHEN 'tib' THEN 1048576.0 WHEN 'tb' THEN 1000000.0 END)
     END AS swap_used_mb,
-    s_smart <> '' AND NOT contains(lower(s_smart), lower('{AD.SMART_PASSED}')) AS smart_unclear
+    s_smart <> '' AND NOT contains(lower(s_smart), lower('{AD.SMART_PASSED}')) AS smart_unclear,
+    contains(text, 'reboot_detected_recently: YES') AS reboot_detected_recently,
+    {_nonneg('boot_time_unixtime:\\s*(-?\\d+)')} AS boot_time_unixtime,
+    {_nonneg('uptime_seconds:\\s*(-?\\d+)')} AS uptime_seconds,
+    {_nonneg('timemachine_age_seconds:\\s*(-?\\d+)')} AS timemachine_age_seconds,
+    {_nonneg('audit_log_age_seconds:\\s*(-?\\d+)')} AS audit_log_age_seconds,
+    {_nonneg('infra_backups_sha_age_seconds:\\s*(-?\\d+)')} AS infra_backups_sha_age_seconds,
+    coalesce({_int('infra_backups_tar_count:\\s*(\\d+)')}, 0) AS infra_backups_tar_count,
+    coalesce({_int('infra_backups_sha_count:\\s*(\\d+)')}, 0) AS infra_backups_sha_count
   FROM af1
 )"""
 
@@ -217,3 +225,44 @@ def q_admin_finding_presence(spark, sf_dir):
     """A21 (admin): distinct (kind, severity) presence gauges per log."""
     f = q_admin_findings(spark, sf_dir)
     return f.select("log_id", "kind", "severity").distinct()
+
+
+# FIXED VALUES - time point standing for the admin audit's run time (reproducible gauges).
+ADMIN_AS_OF_UNIX = 1706659200
+
+
+def _admin_gauge_sql() -> str:
+    h = 'host="admin"'
+    sel = lambda m, lb, v, src="lv": f"SELECT log_id, '{m}' AS metric, '{lb}' AS labels, CAST({v} AS VARCHAR) AS value FROM {src}"
+    parts = [sel("admin_host_audit_last_run_unixtime", h, str(ADMIN_AS_OF_UNIX))]
+    for lv in ("ok", "warning", "critical"):
+        parts.append(sel("admin_host_audit_status", h + f',level="{lv}"', f"CASE WHEN overall = '{lv}' THEN 1 ELSE 0 END"))
+    parts.append(sel("admin_host_audit_findings_count", h, "n"))
+    for sev in ("warning", "critical"):
+        parts.append(sel("admin_host_audit_findings_count_by_severity", h + f',severity="{sev}"', f"{sev}_n"))
+    parts.append(sel("admin_host_audit_upgradable_packages", h, "upgradable_packages"))
+    parts.append(sel("admin_host_audit_wifi_watchdog_events", h, "wifi_watchdog_events"))
+    for m, c in AD.ADMIN_FLAG_GAUGES:
+        parts.append(sel(m, h, f"CASE WHEN {c} THEN 1 ELSE 0 END"))
+    for m, c in AD.ADMIN_OPTIONAL_GAUGES:
+        parts.append(sel(m, h, c) + f" WHERE {c} IS NOT NULL")
+    parts.append(sel("admin_host_infra_backups_tar_count", h, "infra_backups_tar_count"))
+    parts.append(sel("admin_host_infra_backups_sha_count", h, "infra_backups_sha_count"))
+    parts.append(sel("admin_host_infra_backups_pairs_match", h, "CASE WHEN infra_backups_pairs_match THEN 1 ELSE 0 END"))
+    parts.append("SELECT DISTINCT log_id, 'admin_host_audit_finding_present', 'host=\"admin\",kind=\"' || kind || "
+                 "'\",severity=\"' || severity || '\"', '1' FROM adf")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("admin_gauges", f"""WITH {ADMIN_FINDINGS_SQL},
+lv AS (
+  SELECT a.*, count(f.pos) AS n, count(f.pos) FILTER (WHERE f.severity = 'warning') AS warning_n,
+    count(f.pos) FILTER (WHERE f.severity = 'critical') AS critical_n,
+    CASE WHEN count(f.pos) FILTER (WHERE f.severity = 'critical') > 0 THEN 'critical'
+         WHEN count(f.pos) > 0 THEN 'warning' ELSE 'ok' END AS overall
+  FROM af a LEFT JOIN adf f ON f.log_id = a.log_id GROUP BY ALL
+)
+""" + _admin_gauge_sql(), ctes=("admin_logs",))
+def q_admin_gauges(spark, sf_dir):
+    """D7 (admin): the admin audit's gauge families in long form."""
+    return AD.admin_gauges(_admin(spark, sf_dir), ADMIN_AS_OF_UNIX)

@@ -88,3 +88,22 @@ def materialize(df, name: str):
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+_EXPR_CACHE: dict = {}
+
+
+def cached_expr(key, build):
+    """Build a (large, name-based) Column expression once per SparkContext and reuse it.
+
+    The audit checks are thousands of expression nodes; constructing them goes through one JVM call
+    per node. They depend only on column names, so a query run again in the same session reuses them.
+    """
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    k = (id(sc), key)
+    expr = _EXPR_CACHE.get(k)
+    if expr is None:
+        expr = _EXPR_CACHE[k] = build()
+    return expr

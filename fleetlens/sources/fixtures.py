@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.maps import fingerprint
-from fleetlens.session import ensure_session
+from fleetlens.session import cached_expr, ensure_session
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -453,7 +453,8 @@ def kv_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("log_id"),
         F.concat(F.lit("host-"), (k % 50).cast("string")).alias("host"),
         (F.lit(1704067200) + k * 3600).cast("long").alias("mtime_unix"),
-        F.concat_ws("\n", *[_kv_line_spark(sp, k) for sp in KV_LINES]).alias("text"),
+        cached_expr(("kv_logs_text",), lambda: F.concat_ws("\n", *[_kv_line_spark(sp, k) for sp in KV_LINES]))
+        .alias("text"),
     )
 
 
@@ -580,7 +581,8 @@ def _admin_line_sql(spec, k: str) -> str:
 def admin_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey")
     k = F.col("c_custkey")
-    text = F.concat_ws("\n", *[_admin_line_spark(sp, k) for sp in ADMIN_LINES])
+    text = cached_expr(("admin_logs_text",),
+                       lambda: F.concat_ws("\n", *[_admin_line_spark(sp, k) for sp in ADMIN_LINES]))
     path = F.concat(F.lit("/var/log/admin-host-audit/audit_"), k.cast("string"), F.lit(".log"))
     output = F.when(k % 10 == 0, F.concat(F.lit("LOG_PATH:"), path, F.lit("\n"), text)).otherwise(
         F.concat(F.lit("LOG_PATH:"), path, F.lit("\n__AUDIT_BODY_BEGIN__\n"), text))
