@@ -45,8 +45,20 @@ def first_match(signals: DataFrame, rules: list[dict[str, Any]] | None = None) -
     Adds: rule_name, action_type, decision, reason, alert_key, cooldown_seconds.
     ``decision`` here is the rule outcome before cooldown (execute / execute_chain / ignore).
     """
-    rules = [r for r in normalized_rules(rules) if r["enabled"]]
+    from fleetlens.session import cached_expr
+
     cols = signals.columns
+    key = ("first_match", tuple(cols), repr(rules) if rules is not None else "configured")
+    idx, outputs = cached_expr(key, lambda: _first_match_exprs(cols, rules))
+    out = signals.withColumn("_rule_idx", idx)
+    # the rule outputs come out of a generator: a later filter on ``decision`` cannot be pushed below it
+    # (it would drag the whole rule chain into the scan and evaluate it twice)
+    gen = F.inline(F.array(F.struct(*[e.alias(n) for n, e in outputs.items()])))
+    return out.select(*cols, "_rule_idx", gen).drop("_rule_idx")
+
+
+def _first_match_exprs(cols: list[str], rules: list[dict[str, Any]] | None):
+    rules = [r for r in normalized_rules(rules) if r["enabled"]]
     idx = None
     for i, r in enumerate(rules):
         cond = rule_matches(r["match"], cols)
@@ -62,7 +74,6 @@ def first_match(signals: DataFrame, rules: list[dict[str, Any]] | None = None) -
     fallback = F.coalesce(F.nullif(py_strip(F.coalesce(F.col("alertname"), F.lit(""))), F.lit("")),
                           F.lit("unknown-alert"))
     key_suffix = F.when(fp != "", fp).otherwise(fallback)
-    out = signals.withColumn("_rule_idx", idx)
     action_type = pick([r["action_type"] for r in rules], None)
     rule_name = pick([r["name"] for r in rules], None)
     decision = (F.when(action_type == "chain", F.lit("execute_chain"))
@@ -74,16 +85,15 @@ def first_match(signals: DataFrame, rules: list[dict[str, Any]] | None = None) -
         .when(action_type == "execute", F.concat(F.lit("matched execute rule: "), rule_name))
         .otherwise(F.concat(F.lit("matched chain rule: "), rule_name))
     )
-    return (
-        out.withColumn("rule_name", rule_name)
-        .withColumn("action_type", F.coalesce(action_type, F.lit("none")))
-        .withColumn("decision", decision)
-        .withColumn("reason", reason)
-        .withColumn("alert_key", F.when(F.col("_rule_idx").isNull(), key_suffix)
-                    .otherwise(F.concat(rule_name, F.lit(":"), key_suffix)))
-        .withColumn("cooldown_seconds", pick([r["cooldown_seconds"] for r in rules], 0).cast("long"))
-        .drop("_rule_idx")
-    )
+    outputs = {
+        "rule_name": rule_name,
+        "action_type": F.coalesce(action_type, F.lit("none")),
+        "decision": decision,
+        "reason": reason,
+        "alert_key": F.when(F.col("_rule_idx").isNull(), key_suffix).otherwise(F.concat(rule_name, F.lit(":"), key_suffix)),
+        "cooldown_seconds": pick([r["cooldown_seconds"] for r in rules], 0).cast("long"),
+    }
+    return idx, outputs
 
 
 def _cooldown_reason(rule_name: Column) -> Column:
