@@ -268,3 +268,32 @@ def mac_gauges(snaps: DataFrame) -> DataFrame:
         F.concat(F.lit('host="'), host, F.lit('",kind="'), f["kind"], F.lit('",severity="'), f["severity"], F.lit('"'))
         .alias("labels"), F.lit("1").alias("value")))
     return a.select("snapshot_id", F.inline(F.concat(F.array(*fam), present)))
+
+
+def memory_gauges(evaluated: DataFrame, host_label: str = "mba") -> DataFrame:
+    """D7 (memory guard): status code, snapshot numbers (``str(float)``; missing -> NaN), one-hot power
+    source, top process rss with two decimals (half-even) and the run time, in long form."""
+    from fleetlens.operators.audits import py_float_text
+
+    h = f'host="{host_label}"'
+    code = F.when(F.col("status") == "ok", 0).when(F.col("status") == "warning", 1).when(
+        F.col("status") == "critical", 2).otherwise(3)
+    power = F.when(F.col("power_source").isin("ac", "battery", "unknown"), F.col("power_source")).otherwise("unknown")
+    app = F.when(F.col("top_rss_kb").isNull(), F.lit("none")).otherwise(normalize_app_name("top_command"))
+    rss = F.coalesce(F.col("top_rss_kb") / F.lit(1024.0), F.lit(0.0))
+
+    def row(metric, labels, value):
+        return F.struct(F.lit(metric).alias("metric"), (F.lit(labels) if isinstance(labels, str) else labels)
+                        .alias("labels"), value.alias("value"))
+
+    rows = [row("mac_memory_status", h, code.cast("string"))]
+    for metric, col in (("mac_memory_free_percent", "memory_free_percent"), ("mac_swap_used_mb", "swap_used_mb"),
+                        ("mac_uptime_days", "uptime_days"), ("mac_disk_used_percent", "disk_used_percent"),
+                        ("mac_battery_percent", "battery_percent")):
+        rows.append(row(metric, h, py_float_text(F.col(col).cast("double"))))
+    for src in ("ac", "battery", "unknown"):
+        rows.append(row("mac_power_source", h + f',source="{src}"', F.when(power == src, "1").otherwise("0")))
+    rows.append(row("mac_top_process_rss_mb", F.concat(F.lit(h + ',process="'), app, F.lit('"')),
+                    F.format_string("%.2f", F.bround(rss, 2))))
+    rows.append(row("mac_memory_last_run_unixtime", h, F.col("timestamp_unix").cast("string")))
+    return evaluated.select("snapshot_id", F.inline(F.array(*rows)))

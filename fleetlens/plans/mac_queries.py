@@ -281,3 +281,22 @@ def q_process_lines(spark, sf_dir):
     lines = p.select("host", F.concat_ws(" ", F.lit(" "), F.col("pid").cast("string"), F.col("rss_kb").cast("string"),
                                          mem.cast("string"), "command").alias("line"))
     return MAC.parse_process_lines(lines).select("host", "pid", "rss_kb", "mem_percent", "command")
+
+
+@query("memory_gauges", f"""WITH {_TOP_SQL}
+SELECT snapshot_id, 'mac_memory_status' AS metric, 'host="mba"' AS labels,
+  CAST(CASE status WHEN 'ok' THEN 0 WHEN 'warning' THEN 1 WHEN 'critical' THEN 2 ELSE 3 END AS VARCHAR) AS value FROM ev2
+""" + "".join(f"UNION ALL SELECT snapshot_id, '{m}', 'host=\"mba\"', {_pyf(f'CAST({c} AS DOUBLE)')} FROM ev2\n" for m, c in (
+    ("mac_memory_free_percent", "memory_free_percent"), ("mac_swap_used_mb", "swap_used_mb"),
+    ("mac_uptime_days", "uptime_days"), ("mac_disk_used_percent", "disk_used_percent"),
+    ("mac_battery_percent", "battery_percent"))) + "".join(
+    f"UNION ALL SELECT snapshot_id, 'mac_power_source', 'host=\"mba\",source=\"{s}\"', "
+    f"CASE WHEN coalesce(power_source, 'unknown') = '{s}' THEN '1' ELSE '0' END FROM ev2\n" for s in ("ac", "battery", "unknown"))
+    + """UNION ALL SELECT snapshot_id, 'mac_top_process_rss_mb',
+  'host="mba",process="' || (CASE WHEN top_rss_kb IS NULL THEN 'none' ELSE APP END) || '"',
+  printf('%.2f', round_even(coalesce(top_rss_kb / 1024.0, 0.0), 2)) FROM ev2
+UNION ALL SELECT snapshot_id, 'mac_memory_last_run_unixtime', 'host="mba"', CAST(timestamp_unix AS VARCHAR) FROM ev2
+""".replace("APP", _app_sql("top_command")), ctes=("snapshots", "processes"))
+def q_memory_gauges(spark, sf_dir):
+    """D7 (memory guard) over evaluated snapshots."""
+    return MAC.memory_gauges(_evaluated(spark, sf_dir))
