@@ -372,3 +372,38 @@ def posture_adjust(week_status: Column, executive_summary: Column, all_ok: Colum
                   & ~executive_summary.contains(note.strip()),
                   F.concat(F.regexp_replace(executive_summary, r"\s+$", ""), F.lit(note))).otherwise(executive_summary)
     return status, summ
+
+
+# FIXED VALUES - audit domain titles in the weekly document, in document order.
+AUDIT_DOMAIN_TITLES = [
+    ("admin_host_audit", "Admin host audit"),
+    ("vps_host_audit", "VPS host audit"),
+    ("monitoring_stack_audit", "Monitoring stack audit"),
+    ("mac_host_audit", "Mac host audit"),
+]
+
+
+def audit_domain_report_lines(rollup: DataFrame, recurring: DataFrame) -> DataFrame:
+    """K7 (audit-domain section): markdown lines ``(domain_order, line_order, line)`` per domain from its
+    rollup and top recurring findings. Bounded per domain: the recurring list is already top-5."""
+    spark = rollup.sparkSession
+    titles = spark.createDataFrame([(i, d, t) for i, (d, t) in enumerate(AUDIT_DOMAIN_TITLES)],
+                                   "domain_order int, domain string, title string")
+    rec = recurring.groupBy("domain").agg(F.array_sort(F.collect_list(F.struct("rank", "finding", "count")))
+                                          .alias("rec"))
+    r = rollup.join(F.broadcast(titles), "domain").join(rec, "domain", "left")
+    items = F.transform(F.coalesce("rec", F.array().cast("array<struct<rank:int,finding:string,count:bigint>>")),
+                        lambda x: F.concat(F.lit("  - "), x["finding"], F.lit(" ("), x["count"].cast("string"),
+                                           F.lit(")")))
+    head = F.array(
+        F.concat(F.lit("### "), F.col("title")), F.lit(""),
+        F.concat(F.lit("- Runs: "), F.col("total_runs").cast("string")),
+        F.concat(F.lit("- OK: "), F.col("ok_count").cast("string")),
+        F.concat(F.lit("- Warning: "), F.col("warning_count").cast("string")),
+        F.concat(F.lit("- Critical: "), F.col("critical_count").cast("string")),
+        F.concat(F.lit("- Current posture: "), F.col("latest_level")),
+        F.when(F.col("latest_summary") != "", F.concat(F.lit("- Latest summary: "), F.col("latest_summary"))),
+        F.when(F.col("latest_started_at") != "", F.concat(F.lit("- Latest run: "), F.col("latest_started_at"))),
+        F.when(F.size(items) > 0, F.lit("- Recurring findings:")))
+    lines = F.filter(F.concat(head, items, F.array(F.lit(""))), lambda x: x.isNotNull())
+    return r.select("domain_order", F.posexplode(lines).alias("line_order", "line"))

@@ -386,3 +386,51 @@ def q_fresh_briefs_history(spark, sf_dir):
 @query("domain_rollup_history", f"WITH {rollup_sql(HISTORY_DAYS)} SELECT * FROM rollup", ctes=("runs",))
 def q_domain_rollup_history(spark, sf_dir):
     return W.domain_rollup(W.audit_reviews(fx.runs(spark, sf_dir), AS_OF_RUNS, HISTORY_DAYS))
+
+
+_TITLES = ", ".join(f"({i}, '{d}', '{t}')" for i, (d, t) in enumerate(W.AUDIT_DOMAIN_TITLES))
+
+
+@query("report_lines", f"""WITH {rollup_sql(HISTORY_DAYS)},
+ex AS (
+  SELECT domain, review_rank, trim(f.finding) AS finding, f.pos
+  FROM reviews, unnest(string_split(analysis_summary, ';')) WITH ORDINALITY AS f(finding, pos)
+),
+ex2 AS (
+  SELECT domain, review_rank, finding, row_number() OVER (PARTITION BY domain, review_rank ORDER BY pos) - 1 AS pos
+  FROM ex WHERE finding <> ''
+),
+g AS (
+  SELECT domain, finding, count(*) AS count, min(review_rank * 100000 + pos) AS first_seen
+  FROM ex2 WHERE NOT {_noise_sql('finding')} GROUP BY domain, finding
+),
+rec AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY count DESC, first_seen) AS rnk FROM g) x
+  WHERE rnk <= 5
+),
+t(domain_order, domain, title) AS (VALUES {_TITLES}),
+l AS (
+  SELECT t.domain_order, 0 AS k, '### ' || t.title AS line FROM rollup r JOIN t USING (domain)
+  UNION ALL SELECT t.domain_order, 1, '' FROM rollup r JOIN t USING (domain)
+  UNION ALL SELECT t.domain_order, 2, '- Runs: ' || CAST(total_runs AS VARCHAR) FROM rollup r JOIN t USING (domain)
+  UNION ALL SELECT t.domain_order, 3, '- OK: ' || CAST(ok_count AS VARCHAR) FROM rollup r JOIN t USING (domain)
+  UNION ALL SELECT t.domain_order, 4, '- Warning: ' || CAST(warning_count AS VARCHAR) FROM rollup r JOIN t USING (domain)
+  UNION ALL SELECT t.domain_order, 5, '- Critical: ' || CAST(critical_count AS VARCHAR) FROM rollup r JOIN t USING (domain)
+  UNION ALL SELECT t.domain_order, 6, '- Current posture: ' || latest_level FROM rollup r JOIN t USING (domain)
+  UNION ALL SELECT t.domain_order, 7, '- Latest summary: ' || latest_summary FROM rollup r JOIN t USING (domain)
+    WHERE latest_summary <> ''
+  UNION ALL SELECT t.domain_order, 8, '- Latest run: ' || latest_started_at FROM rollup r JOIN t USING (domain)
+    WHERE latest_started_at <> ''
+  UNION ALL SELECT DISTINCT t.domain_order, 9, '- Recurring findings:' FROM rec JOIN t USING (domain)
+  UNION ALL SELECT t.domain_order, 10 + rnk, '  - ' || finding || ' (' || CAST(count AS VARCHAR) || ')'
+    FROM rec JOIN t USING (domain)
+  UNION ALL SELECT t.domain_order, 1000, '' FROM rollup r JOIN t USING (domain)
+)
+SELECT domain_order, CAST(row_number() OVER (PARTITION BY domain_order ORDER BY k) - 1 AS INTEGER) AS line_order, line
+FROM l
+""", ctes=("runs",))
+def q_report_lines(spark, sf_dir):
+    """K7 (audit-domain section of the weekly document) as an ordered line table."""
+    runs = fx.runs(spark, sf_dir, _rng(AS_OF_RUNS, HISTORY_DAYS))
+    reviews = W.audit_reviews(runs, AS_OF_RUNS, HISTORY_DAYS)
+    return W.audit_domain_report_lines(W.domain_rollup(reviews), W.recurring_findings(reviews))
