@@ -70,8 +70,10 @@ def last_activity(decisions: DataFrame, tasks: DataFrame, runs: DataFrame) -> Da
 def metric_table(decisions: DataFrame, tasks: DataFrame, runs: DataFrame) -> DataFrame:
     """Long form: family, labels (map), value (long), order_key, one row per sample.
 
-    ``order_key`` reproduces the source query's ORDER BY (label columns in query order; the queue
-    depth keeps the known-type order).
+    Each source is aggregated once into a small table (decisions by decision; tasks by type, status
+    and remediation action; runs by action and status, each with its latest time); every family is
+    derived from those aggregates, so the base tables are scanned once per scrape (the aggregates'
+    exchanges are reused). ``order_key`` reproduces the source query's ORDER BY.
     """
     def fam(df, name, label_cols, value_col, order=None):
         labels = F.create_map(*[x for c in label_cols for x in (F.lit(c), F.col(c).cast("string"))]) \
@@ -80,18 +82,42 @@ def metric_table(decisions: DataFrame, tasks: DataFrame, runs: DataFrame) -> Dat
         return df.select(F.lit(name).alias("family"), labels.alias("labels"),
                          F.col(value_col).cast("long").alias("value"), okey.alias("order_key"))
 
-    la = last_activity(decisions, tasks, runs)
+    from fleetlens.session import materialize
+
+    # the three aggregates are tiny (bounded by label combinations); writing them once under the shared
+    # checkpoint directory makes every family read them instead of re-scanning the base tables (the
+    # families prune and filter differently, so the optimizer would not share the scans)
+    d_agg = materialize(decisions.groupBy("decision").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last")),
+                        "metrics-decisions")
+    t_agg = materialize(tasks.groupBy(
+        "task_type", "status",
+        F.when(F.col("task_type") == "mac_action", json_path("payload", "$.action")).alias("mac_action")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.coalesce("finished_at", "started_at", "created_at")).alias("last")),
+        "metrics-tasks")
+    r_agg = materialize(runs.groupBy("action", "status").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.coalesce("finished_at", "started_at")).alias("last")), "metrics-runs")
+
+    tasks_fam = t_agg.groupBy("task_type", "status").agg(F.sum("n").alias("count"))
+    remed = (t_agg.where(F.col("task_type") == "mac_action").groupBy(F.col("mac_action").alias("action"), "status")
+             .agg(F.sum("n").alias("count")))
+    counts = (t_agg.where(F.col("status").isin("pending", "running")).groupBy("task_type")
+              .agg(F.sum("n").alias("depth")))
+    dim = tasks.sparkSession.createDataFrame([(i + 1, t) for i, t in enumerate(TASK_TYPES)], "_o int, task_type string")
+    depth = F.broadcast(dim).join(counts, "task_type", "left").select(
+        "task_type", "_o", F.coalesce("depth", F.lit(0)).cast("long").alias("depth"))
+
+    def last(agg, name):
+        return agg.agg(F.coalesce(F.unix_timestamp(F.max("last")), F.lit(0)).cast("long").alias(name))
+
     parts = [
-        fam(decisions.groupBy("decision").agg(F.count(F.lit(1)).alias("n")), FAMILIES[0][0], ["decision"], "n"),
-        fam(tasks_by_type_status(tasks), FAMILIES[1][0], ["task_type", "status"], "count"),
-        fam(runs_by_action_status(runs), FAMILIES[2][0], ["action", "status"], "count"),
-        fam(remediation_by_action_status(tasks), FAMILIES[3][0], ["action", "status"], "count"),
-        fam(queue_depth(tasks).withColumn("_o", F.array_position(F.array(*[F.lit(t) for t in TASK_TYPES]),
-                                                                     F.col("task_type"))),
-            FAMILIES[4][0], ["task_type"], "depth", F.format_string("%05d", F.col("_o"))),
-        fam(la, FAMILIES[5][0], [], "last_decision_unixtime"),
-        fam(la, FAMILIES[6][0], [], "last_task_unixtime"),
-        fam(la, FAMILIES[7][0], [], "last_run_unixtime"),
+        fam(d_agg, FAMILIES[0][0], ["decision"], "n"),
+        fam(tasks_fam, FAMILIES[1][0], ["task_type", "status"], "count"),
+        fam(r_agg, FAMILIES[2][0], ["action", "status"], "n"),
+        fam(remed, FAMILIES[3][0], ["action", "status"], "count"),
+        fam(depth, FAMILIES[4][0], ["task_type"], "depth", F.format_string("%05d", F.col("_o"))),
+        fam(last(d_agg, "v"), FAMILIES[5][0], [], "v"),
+        fam(last(t_agg, "v"), FAMILIES[6][0], [], "v"),
+        fam(last(r_agg, "v"), FAMILIES[7][0], [], "v"),
     ]
     out = parts[0]
     for p in parts[1:]:
