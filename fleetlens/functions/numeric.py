@@ -28,7 +28,8 @@ def safe_float(c) -> Column:
 
 
 def safe_int(c) -> Column:
-    """``int(float(v))`` - truncation toward zero; null when not a finite number."""
+    """``int(float(v))`` - truncation toward zero; null when not a finite number or outside the
+    64-bit range (Python's int is unbounded; the values it reads are counts)."""
     f = safe_float(c)
     return F.when(~F.isnan(f) & (F.abs(f) < F.lit(9.2e18)), f.cast("long"))
 
