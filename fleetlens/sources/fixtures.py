@@ -25,12 +25,24 @@ TABLES = (
 ).split()
 
 
+def _bytes(text: str) -> int:
+    t = str(text).strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give per-row work all the cores when a scan yields fewer partitions than the cluster's default
     parallelism (a small file is one split). Large inputs already have more splits than cores and
     are returned unchanged - no shuffle is added at scale. Round-robin repartitioning is deterministic
     (rows are sorted before it), so a recomputed task after an executor loss sees the same rows."""
-    target = df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    # size estimate from the file index (no split computation); only small inputs are inspected further
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728"))
+    if size >= max_split * target:
+        return df
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
