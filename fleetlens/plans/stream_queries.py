@@ -68,5 +68,15 @@ def _share(stream_name: str, batch_name: str) -> None:
 
 def register_shared_oracles() -> None:
     for s, b in (("stream_slot_dedup", "_fired_slot_keys"), ("stream_snapshot_latest", "snapshot_latest"),
-                 ("stream_signal_rate", "windowed_signal_rate"), ("stream_task_lifecycle", "task_latest_state")):
+                 ("stream_signal_rate", "windowed_signal_rate"), ("stream_task_lifecycle", "task_latest_state"),
+                 ("stream_stale_hosts", "stale_hosts")):
         _share(s, b)
+
+
+@query("stream_stale_hosts", None)
+def q_stream_stale_hosts(spark, sf_dir):
+    from fleetlens.plans.mac_queries import AS_OF_UNIX, MAX_AGE_SECONDS
+
+    last = TW.run_complete(TW.stream_last_seen(spark, sf_dir), "last_seen")
+    age = F.lit(AS_OF_UNIX) - F.col("last_unix")
+    return last.select("host", "last_unix", age.alias("age_seconds"), (age > MAX_AGE_SECONDS).alias("stale"))

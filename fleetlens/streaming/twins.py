@@ -142,3 +142,10 @@ def stream_task_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task events (created -> started -> finished) folded to the latest state per task."""
     t = fx.tasks_from(fx.read_table_stream(spark, sf_dir, "events"))
     return Q.task_latest_state(Q.task_events(t))
+
+
+def stream_last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last snapshot time per host kept as streaming state; staleness is evaluated against an
+    explicit as_of when the state is read (no wall-clock timers, so results are reproducible)."""
+    s = fx.snapshots_from(fx.read_table_stream(spark, sf_dir, "part"))
+    return s.groupBy("host").agg(F.max("timestamp_unix").alias("last_unix"))
