@@ -29,6 +29,17 @@ from fleetlens.sources import fixtures as fx
 
 US = 1_000_000
 
+# The per-key state function runs in Python workers. Pickle this module's functions by value so a worker
+# needs no installed copy of the package (it only uses pandas and a constant).
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: workers then import the package as usual
+    pass
+
 
 def _sink_root(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
