@@ -3,8 +3,16 @@
 from __future__ import annotations
 
 from fleetlens.llm import (  # noqa: F401
+    jaccard,
+    knn,
+    language,
+    lm,
     packing,
+    pieces,
+    quality_model,
     quality_rules,
+    substrings,
+    warc,
 )
 from fleetlens.llm.registry import ORACLE, QUERIES
 

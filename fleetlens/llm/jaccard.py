@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from fleetlens.llm.common import NULL_ID, byte_values, discard, id_or_least, keep, mix, prepare, table, window_hashes, word_hashes, worker_memo
 from fleetlens.llm.components import components
@@ -251,10 +252,13 @@ def _verify_blocks(threshold: float, ratio: tuple[int, int]):
     return run
 
 
-def similar_classes(docs: DataFrame, threshold: float = 0.8, ratio: tuple[int, int] = (4, 5)) -> DataFrame:
-    """Per input row: doc_id, class_id (smallest doc_id of its class), n_links (documents at the threshold
-    or above, copies included), first_copy (smallest doc_id with the same shingles)."""
-    spark = prepare(docs.sparkSession)
+def set_classes(docs: DataFrame, threshold: float = 0.8, ratio: tuple[int, int] = (4, 5)) -> tuple[DataFrame, DataFrame]:
+    """A table of rows (did, sid) and, per distinct set sid, its class.
+
+    The second holds sid, first_did (smallest id with this set), class_did (smallest id of the class), head
+    (whether this set stands for its class) and n_links. Texts without a word have no sid.
+    """
+    prepare(docs.sparkSession)
     rows = docs.select(id_or_least(F.col("doc_id").cast("long")).alias("did"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     described = keep(rows.mapInArrow(_describe, "did long, sid binary, sign binary, bands array<long>"), "join-texts")
     distinct = described.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min(F.struct("did", "sign", "bands")).alias("x"), F.count(F.lit(1)).alias("copies"))
@@ -284,15 +288,42 @@ def similar_classes(docs: DataFrame, threshold: float = 0.8, ratio: tuple[int, i
     classes = components(exact.where(F.col("b").isNotNull()).select("a", "b"), "join-classes")
 
     known = nodes.select("node", "sid", "copies", "did").join(classes, "node", "left").join(counts, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = known.groupBy("root").agg(F.min("did").alias("class_did"))
-    per_set = known.join(least, "root").select(F.col("sid"), F.col("did").alias("first_did"), "class_did",
+    least = known.groupBy("root").agg(F.min(F.struct("did", "sid")).alias("first"))
+    per_set = known.join(least, "root").select(F.col("sid"), F.col("did").alias("first_did"), F.col("first.did").alias("class_did"), (F.col("sid") == F.col("first.sid")).alias("head"),
                                                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = described.select("did", "sid").join(per_set, "sid", "left")
+    return described.select("did", "sid"), per_set
+
+
+def similar_classes(docs: DataFrame, threshold: float = 0.8, ratio: tuple[int, int] = (4, 5)) -> DataFrame:
+    """Per input row: doc_id, class_id (smallest doc_id of its class), n_links (documents at the threshold
+    or above, copies included), first_copy (smallest doc_id with the same shingles)."""
+    described, per_set = set_classes(docs, threshold, ratio)
+    out = described.join(per_set, "sid", "left")
     shown = lambda c: F.nullif(c, F.lit(NULL_ID))
     return out.select(shown(F.col("did")).alias("doc_id"), shown(F.coalesce("class_did", "did")).alias("class_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), shown(F.coalesce("first_did", "did")).alias("first_copy"))
 
 
+def one_of_each(docs: DataFrame, threshold: float = 0.8, ratio: tuple[int, int] = (4, 5)) -> DataFrame:
+    """The documents without all but the first (by doc_id) of each class; texts without a word all stay."""
+    _, per_set = set_classes(docs, threshold, ratio)
+    heads = per_set.where("head").select(F.col("sid").alias("_head"), F.col("class_did").alias("_class"))
+
+    def add_sid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(t) for t in byte_values(b.column(b.schema.names.index("text")))]
+            sid = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sid, pa.binary())], names=[*b.schema.names, "_sid"])
+
+    schema = StructType([*docs.schema.fields, StructField("_sid", BinaryType())])
+    named = docs.mapInArrow(add_sid, schema)
+    worded = named.where(F.col("_sid").isNotNull())
+    kept = worded.join(heads, (worded["_sid"] == heads["_head"]) & (id_or_least(F.col("doc_id").cast("long")) == heads["_class"]))
+    # repeated rows of a kept document are copies of it; rows of a set are together after the join
+    kept = kept.dropDuplicates(["_sid", "_class"])
+    return kept.select(*docs.columns).unionByName(named.where(F.col("_sid").isNull()).select(*docs.columns))
+
+
 @query("op8_ngram_jaccard_join", r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] AS ws FROM documents),

@@ -34,6 +34,8 @@ BLOCK = 1 << 20
 #: Margins are turned into scores between 0 and 1 by a logistic function with this slope.
 SLOPE = 4.0
 UNDETERMINED = "und"
+#: A filter lets go what is less certain.
+LEAST_SCORE = 0.25
 
 # FIXED VALUES: language families of common language codes.
 FAMILIES = {
@@ -222,6 +224,19 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     return narrow.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, model: dict, least: float = LEAST_SCORE) -> DataFrame:
+    """The documents whose language is determined with at least ``least``; all columns stay."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            found, scores = predict_texts(m, byte_values(b.column(at)))
+            yield b.filter(pa.array([x != UNDETERMINED and s >= least for x, s in zip(found, scores)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def remainder(col: str, m: int):
     """crc32 of the id's text, mod m; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % m

@@ -242,6 +242,19 @@ def classify(docs: DataFrame, weights: np.ndarray, prior: float, belief: dict[st
     return narrow.mapInArrow(run, "doc_id long, votes string, weak_label double, score double").withColumn("kept", F.col("score") >= least)
 
 
+def keep_good(docs: DataFrame, weights: np.ndarray, prior: float, least: float = LEAST_SCORE) -> DataFrame:
+    """The documents that the classifier keeps; all columns stay."""
+    shared, at = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float32), prior)), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            scores, _ = score_texts(*m, byte_values(b.column(at)))
+            yield b.filter(pa.array([s >= least for s in scores], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 @query("op6_quality_classifier")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

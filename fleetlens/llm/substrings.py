@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import (
@@ -65,10 +65,6 @@ def minimizers(words: list[bytes], window: int, gram: int) -> np.ndarray:
     return low.view(np.int64)
 
 
-def text_sign(text: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
-
-
 class SuffixAutomaton:
     """Suffix automaton of word sequences; each sequence is closed by a symbol of its own."""
 
@@ -132,15 +128,14 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
 def _describe(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, sha, anchors, signs = [], [], [], []
-            for t in byte_values(b.column(1)):
+            n, sha, anchors = [], [], []
+            for t in byte_values(b.column(2)):
                 words = t.split()
                 n.append(len(words))
                 sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                signs.append(text_sign(t))
                 anchors.append(np.unique(minimizers(words, window, gram)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(signs, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(anchors, pa.list_(pa.int64()))],
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(anchors, pa.list_(pa.int64()))],
                 names=["did", "sign", "n_words", "sha", "anchors"])
 
     return run
@@ -258,6 +253,11 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["did", "sign", "n_removed", "kept_sha256", "kept_text"])
 
 
+def keys() -> list[Column]:
+    """did and sign, which name a row's text: the doc_id and a hash of the text."""
+    return [id_or_least(F.col("doc_id").cast("long")).alias("did"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("sign")]
+
+
 def redundant(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """What to remove. Returns
 
@@ -266,13 +266,12 @@ def redundant(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[
     * did, sign, n_removed, kept_sha256, kept_text for the other texts that lose some words.
     """
     prepare(docs.sparkSession)
-    rows = docs.select(id_or_least(F.col("doc_id").cast("long")).alias("did"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(*keys(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     described = keep(rows.mapInArrow(_describe(window, gram), "did long, sign long, n_words long, sha string, anchors array<long>"), "dedup-texts")
     first = described.where(F.col("n_words") >= window).groupBy("sha").agg(F.min("did").alias("first_did"))
     judged = described.join(first, "sha", "left").withColumn("copied", F.coalesce(F.col("first_did") < F.col("did"), F.lit(False)))
     originals = judged.where(~F.col("copied") & (F.col("n_words") >= window)).select("did", "anchors")
-    signed = rows.mapInArrow(_signed, "did long, sign long, base long, text string")
-    spans, involved = _round(originals, signed, window, gram, "dedup-1")
+    spans, involved = _round(originals, rows.withColumn("base", F.lit(0).cast("long")), window, gram, "dedup-1")
     rest = spans.where(F.col("rest").isNotNull()).select("did", "sign", F.col("lo").alias("base"), F.col("rest").alias("text"))
     again, texts = _round(rest.select("did", "text").mapInArrow(_anchors_of(window, window), "did long, anchors array<long>"), rest, window, window, "dedup-2")
     discard(texts)
@@ -282,13 +281,6 @@ def redundant(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[
     return judged.select("did", "sign", "n_words", "sha", "copied"), changed
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        signs = [text_sign(t) for t in byte_values(b.column(1))]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(signs, pa.int64()), pa.array(np.zeros(len(signs), np.int64)), b.column(1)],
-                                         names=["did", "sign", "base", "text"])
-
-
 def removal_digest(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Per input row: doc_id, n_words, n_removed, kept_sha256."""
     judged, changed = redundant(docs, window, gram)
@@ -300,6 +292,22 @@ def removal_digest(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         F.when(F.col("copied"), F.lit(nothing)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"))
 
 
+def without_redundant(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """The documents with redundant words removed (kept words joined by one space, n_chars renewed where the
+    column exists). Texts that lose nothing stay as they are; documents that lose every word go."""
+    judged, changed = redundant(docs, window, gram)
+    copied = judged.where("copied").select(F.col("did").alias("_did"), F.col("sign").alias("_sign"), F.lit(True).alias("_copied")).distinct()
+    new = changed.select(F.col("did").alias("_did"), F.col("sign").alias("_sign"), F.col("kept_text").alias("_kept")).unionByName(
+        copied.select("_did", "_sign", F.lit("").alias("_kept")))
+    did, sign = keys()
+    named = docs.withColumn("_row_did", did).withColumn("_row_sign", sign)
+    out = named.join(new, (named["_row_did"] == new["_did"]) & (named["_row_sign"] == new["_sign"]), "left")
+    out = out.where(F.col("_kept").isNull() | (F.col("_kept") != "")).withColumn("text", F.coalesce("_kept", "text"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_kept").isNotNull(), F.length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
 @query("op5_substring_dedup", r"""
 WITH w AS (
   SELECT doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] AS ws FROM documents),
