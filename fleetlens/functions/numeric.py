@@ -122,8 +122,32 @@ def rss_mb(rss_kb, digits: int | None = None) -> Column:
 
 
 def fmt_num(c, digits: int) -> Column:
-    """Python ``f"{x:.{digits}f}"``. Integer case is half-even (bround), like Python."""
+    """Python ``f"{x:.{digits}f}"``: half-even on the exact binary value, not on its printed digits.
+
+    ``x * 10^digits`` is taken as the exact sum of a product and its rounding error (Dekker's two-product),
+    so a tie is seen as one only where the binary value is one. Values of 2^52 and more after scaling have
+    no digits to round and are printed as they are.
+    """
     x = _c(c).cast("double")
     if digits == 0:
         return F.bround(x, 0).cast("long").cast("string")
-    return F.when(x.isNotNull(), F.format_string(f"%.{digits}f", x))
+    scale = float(10 ** digits)
+    a = F.abs(x)
+    p = a * F.lit(scale)
+    big = a * F.lit(134217729.0)
+    hi = big - (big - a)
+    lo = a - hi
+    scale_big = scale * 134217729.0
+    scale_hi = scale_big - (scale_big - scale)
+    scale_lo = scale - scale_hi
+    err = ((hi * F.lit(scale_hi) - p) + hi * F.lit(scale_lo) + lo * F.lit(scale_hi)) + lo * F.lit(scale_lo)
+    whole = F.floor(p).cast("double")
+    past = p - whole - F.lit(0.5)
+    up = (past > 0) | ((past == 0) & ((err > 0) | ((err == 0) & (whole % 2 == 1))))
+    n = whole.cast("long") + up.cast("long")
+    unit = F.lit(10 ** digits).cast("long")
+    sign = F.when(F.startswith(x.cast("string"), F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    text = F.concat(sign, ((n - n % unit) / unit).cast("long").cast("string"), F.lit("."), F.lpad((n % unit).cast("string"), digits, "0"))
+    plain = F.when(F.isnan(x), F.lit("nan")).when(a == float("inf"), F.concat(sign, F.lit("inf"))).when(
+        p >= 2.0 ** 52, F.format_string(f"%.{digits}f", x))
+    return F.when(x.isNotNull(), F.coalesce(plain, text))

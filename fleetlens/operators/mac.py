@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.maps import fingerprint
 from fleetlens.functions.numeric import fmt_num, safe_float, safe_int
-from fleetlens.functions.text import finding_text, normalize_app_name, py_strip
+from fleetlens.functions.text import finding_text, normalize_app_name, py_strip, squash_spaces
 from fleetlens.operators.audits import FINDING, count_severity, level_of
 
 # FIXED VALUES - Mac host audit thresholds.
@@ -117,18 +117,25 @@ def top_processes(processes: DataFrame, n: int = 5) -> DataFrame:
             .select("host", "rank", "pid", "rss_kb", normalize_app_name("command").alias("app")))
 
 
-def process_pick(processes: DataFrame) -> DataFrame:
-    """W11 + F17: per host the unprotected app with the highest rss; ties by app name desc."""
-    p = processes.select("host", "pid", "rss_kb", normalize_app_name("command").alias("app"))
-    p = p.where(~F.col("app").isin(*PROTECTED_APPS))
-    return p.groupBy("host").agg(F.max_by(F.struct("app", "pid", "rss_kb"), F.struct("rss_kb", "app")).alias("b")) \
-        .select("host", F.col("b.app").alias("app"), F.col("b.pid").alias("pid"),
-                F.bround(F.col("b.rss_kb") / F.lit(1024.0), 1).alias("rss_mb"))
+def unprotected_apps(apps: DataFrame) -> DataFrame:
+    """running apps (host, pid, name) that may be quit. The app's own name counts, with spaces squashed,
+    not the display name of its process; rows without a name or with a pid below 1 are no apps."""
+    name = squash_spaces(py_strip(F.coalesce("name", F.lit(""))))
+    return apps.select("host", "pid", name.alias("name")).where((F.col("name") != "") & (F.col("pid") > 0)
+                                                                & ~F.col("name").isin(*PROTECTED_APPS))
 
 
 def process_candidates(apps: DataFrame, processes: DataFrame) -> DataFrame:
-    """Attach rss to running apps by (host, pid); apps without a process row drop out."""
-    return apps.join(processes.select("host", "pid", "rss_kb"), on=["host", "pid"], how="inner")
+    """Unprotected running apps with the rss of their (host, pid); apps without a process row drop out."""
+    return unprotected_apps(apps).join(processes.select("host", "pid", "rss_kb"), on=["host", "pid"], how="inner").where(F.col("rss_kb").isNotNull())
+
+
+def process_pick(apps: DataFrame, processes: DataFrame) -> DataFrame:
+    """Per host the candidate with the highest rss; ties by app name descending."""
+    return process_candidates(apps, processes).groupBy("host").agg(
+        F.max_by(F.struct("name", "pid", "rss_kb"), F.struct("rss_kb", "name", "pid")).alias("b")) \
+        .select("host", F.col("b.name").alias("app"), F.col("b.pid").alias("pid"),
+                F.bround(F.col("b.rss_kb") / F.lit(1024.0), 1).alias("rss_mb"))
 
 
 # ----------------------------------------------------------------------------- memory evaluation

@@ -25,16 +25,18 @@ def render_template(template, context) -> Column:
     """``{{ name }}``, ``{{ name|upper }}``, ``{{ name|lower }}``; a missing key renders ''."""
     tpl = _c(template)
     ctx = _c(context)
-    tokens = F.array_distinct(F.regexp_extract_all(tpl, F.lit(TEMPLATE_TOKEN), F.lit(0)))
+    literals = F.split(tpl, TEMPLATE_TOKEN)
+    tokens = F.regexp_extract_all(tpl, F.lit(TEMPLATE_TOKEN), F.lit(0))
 
-    def sub(acc, tok):
+    def rendered(tok):
         key = F.regexp_extract(tok, TEMPLATE_TOKEN, 1)
         how = F.regexp_extract(tok, TEMPLATE_TOKEN, 2)
         val = F.coalesce(F.try_element_at(ctx, key), F.lit(""))
         val = F.when(how == "|upper", F.upper(val)).when(how == "|lower", F.lower(val)).otherwise(val)
-        return F.replace(acc, tok, val)
+        return val
 
-    return F.aggregate(tokens, tpl, sub)
+    # one pass: text between tokens and values alternate, so a value that looks like a token stays as it is
+    return F.array_join(F.zip_with(literals, F.transform(tokens, rendered), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
 
 def sorted_map(m) -> Column:
@@ -136,11 +138,10 @@ def notification_outbox(notes: DataFrame) -> DataFrame:
                         s("status", "firing").alias("out_status"))
 
 
-def kv_log_lines(facts: DataFrame, keys: list[str]) -> DataFrame:
-    """Facts map -> ordered ``key=value`` text (missing -> empty value); inverse of the parser."""
-    return facts.select("log_id", F.array_join(F.array(*[
-        F.concat(F.lit(k + "="), F.coalesce(F.try_element_at("facts", F.lit(k)), F.lit(""))) for k in keys]), "\n")
-        .alias("text"))
+def kv_log_lines(facts: DataFrame) -> DataFrame:
+    """Facts map -> ``key=value`` lines of all facts, in key order (a null value is empty); inverse of the parser."""
+    pairs = F.array_sort(F.map_entries("facts"))
+    return facts.select("log_id", F.array_join(F.transform(pairs, lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("")))), "\n").alias("text"))
 
 
 def analysis_trailer(line: Column, fields: dict[str, Column]) -> Column:

@@ -94,20 +94,22 @@ def lineage(decisions: DataFrame, tasks: DataFrame, runs: DataFrame) -> DataFram
     t = tasks.select(F.col("id").alias("task_id"), "decision_id", F.col("status").alias("task_status"))
     tr = task_run_ids(tasks).select("task_id", "run_id")
     r = runs.select(F.col("id").alias("run_id"), F.col("action").alias("run_action"), F.col("status").alias("run_status"))
-    return (d.join(t, "decision_id", "left").join(tr, "task_id", "left").join(r, "run_id", "left")
+    # tasks without a recorded run stay out of the join on run_id: their nulls would meet in one partition
+    dt = d.join(t.join(tr, "task_id", "left"), "decision_id", "left")
+    ran = dt.where(F.col("run_id").isNotNull()).join(r, "run_id", "left")
+    rest = dt.where(F.col("run_id").isNull())
+    return (ran.unionByName(rest, allowMissingColumns=True)
             .select("decision_id", "decision", "task_id", "task_status", "run_id", "run_action", "run_status"))
 
 
-def overlapping_runs(runs: DataFrame, bucket_days: int = 1) -> DataFrame:
+def overlapping_runs(runs: DataFrame) -> DataFrame:
     """A run that starts while an earlier run of the same action is still open would have found
     the action lock held -> ``overlaps`` = true. Open runs (no finished_at) hold the lock forever.
 
     Earlier = smaller (started_at, id). Skew-safe two-level prefix max per action.
     """
     far = F.lit("9999-12-31 00:00:00").cast("timestamp")
-    r = runs.where(F.col("status") != "blocked").select(
-        "id", "action", "started_at", F.coalesce("finished_at", far).alias("end_ts"),
-        F.floor(F.unix_timestamp("started_at") / F.lit(86400 * bucket_days)).alias("_bucket"))
-    pm = prefix_max_before(r, ["action"], ["started_at", "id"], "end_ts", "_bucket", out="open_until")
+    r = runs.where(F.col("status") != "blocked").select("id", "action", "started_at", F.coalesce("finished_at", far).alias("end_ts"))
+    pm = prefix_max_before(r, ["action"], ["started_at", "id"], "end_ts", out="open_until")
     return pm.select("id", "action", fmt_utc("started_at").alias("started_at"),
                      F.coalesce(F.col("open_until") > F.col("started_at"), F.lit(False)).alias("overlaps"))

@@ -4,14 +4,14 @@ First match is compiled from the (small, fixed) rule list into one ``CASE`` chai
 shuffle, short-circuit per row, inside whole-stage codegen.
 
 The greedy cooldown is sequential per key: an execution restarts the clock, a suppressed signal does
-not. Two exact strategies, chosen per key by its size:
-
-* keys with at most ``fold_max`` candidates: ``aggregate`` fold over the key's sorted candidates
-  (memory per group bounded by ``fold_max``);
-* larger (hot) keys: ``succ(i)`` = first candidate at or after ``trunc_sec(t_i) + cooldown``
-  (skew-safe as-of, :mod:`fleetlens.operators.asof`), then the executions are the orbit of the
-  key's first candidate under ``succ``, enumerated by pointer doubling - ``ceil(log2 L)`` rounds of
-  joins on unique ids, each round written under the shared checkpoint directory to cut lineage.
+not. One exact plan for keys of any size:
+
+* a candidate that comes at least the cooldown after the candidate before it is always executed, so each key
+  falls apart into islands that don't depend on each other (gaps are found range by range, skew-safe);
+* inside an island, ``succ(i)`` = first candidate at or after ``trunc_sec(t_i) + cooldown`` (skew-safe as-of,
+  :mod:`fleetlens.operators.asof`); the executions are the orbit of the island's first candidate, enumerated
+  by pointer doubling: as many rounds as the logarithm of the longest orbit, each written under the shared
+  checkpoint directory and deleted when the next one replaces it.
 """
 
 from __future__ import annotations
@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.text import py_strip
 from fleetlens.operators.asof import next_at_or_after, prev_at_or_before
-from fleetlens.session import checkpoint_dir, materialize
+from fleetlens.operators.scan import previous_value
+from fleetlens.session import discard, materialize, ranged
 from fleetlens.sources.config import normalized_rules
 
-DEFAULT_FOLD_MAX = 4096
 US = 1_000_000
 
 
@@ -100,48 +100,29 @@ def _cooldown_reason(rule_name: Column) -> Column:
     return F.concat(F.lit("matched rule '"), rule_name, F.lit("' but action recently executed"))
 
 
-def _executions_fold(cands: DataFrame) -> DataFrame:
-    """Per key fold over sorted (t, sid); returns executed signal ids. Groups are size-bounded."""
-    acc0 = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<long>").alias("ex"))
-    g = cands.groupBy("alert_key").agg(
-        F.array_sort(F.collect_list(F.struct("t", "sid"))).alias("xs"), F.first("cd_us").alias("cd_us"))
-    folded = g.select(
-        F.aggregate(
-            "xs", acc0,
-            lambda acc, x: F.when(
-                acc["last"].isNull() | (x["t"] - (acc["last"] - F.pmod(acc["last"], F.lit(US))) >= F.col("cd_us")),
-                F.struct(x["t"].alias("last"), F.array_append(acc["ex"], x["sid"]).alias("ex")),
-            ).otherwise(acc),
-        )["ex"].alias("ex"))
-    return folded.select(F.explode("ex").alias("sid"))
-
-
-def _executions_doubling(cands: DataFrame, bucket_us: int | None = None) -> DataFrame:
-    """Orbit of each key's first candidate under succ, by pointer doubling (hot keys)."""
-    spark = cands.sparkSession
-    checkpoint_dir(spark)
-    ev = cands.select("alert_key", "t", F.col("sid").alias("eid"))
-    probes = cands.select("alert_key", (F.col("t") - F.pmod("t", F.lit(US)) + F.col("cd_us")).alias("p"),
-                          F.col("sid").alias("pid"))
-    bucket = bucket_us or 3600 * US
-    succ = next_at_or_after(ev, probes, ["alert_key"], bucket_us=bucket)
+def _executions(cands: DataFrame) -> DataFrame:
+    """Executed signal ids (``sid``) among candidates (alert_key, t, sid, cd_us)."""
+    rows = previous_value(ranged(cands, ["alert_key", "t", "sid"], "cooldown-ranged"), ["alert_key"], ["t", "sid"], "t", "prev_t")
+    second = lambda t: t - F.pmod(t, F.lit(US))
+    first = F.col("prev_t").isNull() | (F.col("t") - second(F.col("prev_t")) >= F.col("cd_us"))
+    marked = materialize(rows.select("alert_key", "t", "sid", "cd_us", first.alias("first")), "cooldown-islands")
+    heads = marked.where("first").select("sid")
+    probes = marked.select("alert_key", (second(F.col("t")) + F.col("cd_us")).alias("p"), F.col("sid").alias("pid"))
+    succ = next_at_or_after(marked.select("alert_key", "t", F.col("sid").alias("eid")), probes, ["alert_key"])
     jump = succ.where(F.col("m_id").isNotNull()).select(F.col("pid").alias("src"), F.col("m_id").alias("dst"))
-    jump = materialize(jump, "cooldown-jump")
-    roots = cands.groupBy("alert_key").agg(F.min(F.struct("t", "sid")).alias("r")).select(F.col("r.sid").alias("sid"))
-    execs = materialize(roots, "cooldown-execs")
-    while True:
-        new = materialize(execs.join(jump, execs["sid"] == jump["src"]).select(F.col("dst").alias("sid")),
-                          "cooldown-new")
-        if new.isEmpty():
-            break
-        execs = materialize(execs.unionByName(new), "cooldown-execs")
-        j2 = jump.alias("a").join(jump.alias("b"), F.col("a.dst") == F.col("b.src")).select(
-            F.col("a.src").alias("src"), F.col("b.dst").alias("dst"))
-        jump = materialize(j2, "cooldown-jump")
+    # the next island's head is executed anyway
+    jump = materialize(jump.join(heads, jump["dst"] == heads["sid"], "left_anti"), "cooldown-jump")
+    execs = heads
+    while not jump.isEmpty():  # execs: everything within 2^k steps of a head; jump: 2^k steps at once
+        ahead = execs.join(jump, execs["sid"] == jump["src"]).select(F.col("dst").alias("sid"))
+        execs, old = materialize(execs.unionByName(ahead), "cooldown-execs"), execs
+        twice = jump.alias("a").join(jump.alias("b"), F.col("a.dst") == F.col("b.src")).select(F.col("a.src").alias("src"), F.col("b.dst").alias("dst"))
+        jump, used = materialize(twice, "cooldown-jump"), jump
+        discard(used, *([old] if old is not heads else []))
     return execs
 
 
-def greedy_cooldown(decided: DataFrame, fold_max: int = DEFAULT_FOLD_MAX, bucket_us: int | None = None) -> DataFrame:
+def greedy_cooldown(decided: DataFrame) -> DataFrame:
     """Batch replay assuming every execution succeeds (the clock restarts at each execution).
 
     ``decided`` is the output of :func:`first_match` with ``signal_id`` and ``ts``. Signals of rules
@@ -150,20 +131,9 @@ def greedy_cooldown(decided: DataFrame, fold_max: int = DEFAULT_FOLD_MAX, bucket
     reference stores text), so elapsed = ts - trunc_to_second(last_execution).
     """
     is_cand = (F.col("decision") != "ignore") & (F.col("cooldown_seconds") > 0)
-    checkpoint_dir(decided.sparkSession)
-    # the narrow candidate table is materialised once (reliable checkpoint on the shared checkpoint dir):
-    # the size statistic, both strategies and a recomputed task all read it instead of the upstream plan
-    cands = materialize(decided.where(is_cand).select(
+    execs = _executions(decided.where(is_cand).select(
         "alert_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"),
-        F.col("signal_id").alias("sid"), (F.col("cooldown_seconds") * F.lit(US)).alias("cd_us")), "cooldown-cands")
-    sizes = cands.groupBy("alert_key").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0  # one number, the size of the biggest key
-    if largest <= fold_max:
-        execs = _executions_fold(cands)
-    else:
-        sized = cands.join(sizes, "alert_key")
-        execs = _executions_fold(sized.where(F.col("n") <= fold_max).drop("n")).unionByName(
-            _executions_doubling(sized.where(F.col("n") > fold_max).drop("n"), bucket_us))
+        F.col("signal_id").alias("sid"), (F.col("cooldown_seconds") * F.lit(US)).alias("cd_us")))
     flagged = execs.select("sid", F.lit(True).alias("_exec"))
     out = decided.join(flagged, decided["signal_id"] == flagged["sid"], "left").drop("sid")
     suppressed = is_cand & F.col("_exec").isNull()
@@ -185,7 +155,7 @@ def successful_executions(decided: DataFrame, tasks: DataFrame) -> DataFrame:
     return d.join(t, d["signal_id"] == t["decision_id"]).select("alert_key", F.col("finished_at").alias("exec_ts"))
 
 
-def cooldown_asof(decided: DataFrame, tasks: DataFrame, bucket_us: int | None = None) -> DataFrame:
+def cooldown_asof(decided: DataFrame, tasks: DataFrame) -> DataFrame:
     """Decide cooldown from *recorded* executions (as-of backward, keyed by alert_key).
 
     For each candidate signal the last successful execution at or before its time is looked up;
@@ -201,7 +171,7 @@ def cooldown_asof(decided: DataFrame, tasks: DataFrame, bucket_us: int | None =
     is_cand = (F.col("decision") != "ignore") & (F.col("cooldown_seconds") > 0)
     probes = narrow.where(is_cand).select("alert_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("p"),
                                           F.col("signal_id").alias("pid"))
-    last = prev_at_or_before(ev, probes, ["alert_key"], bucket_us=bucket_us or 24 * 3600 * US)
+    last = prev_at_or_before(ev, probes, ["alert_key"])
     last = last.select(F.col("pid").alias("_sid"), F.col("m_t").alias("_last_us"))
     out = decided.join(last, decided["signal_id"] == last["_sid"], "left").drop("_sid")
     elapsed = F.unix_micros(F.col("ts").cast("timestamp")) - F.col("_last_us")

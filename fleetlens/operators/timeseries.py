@@ -20,6 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlens.operators.scan import previous_value
+from fleetlens.session import ranged
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -58,8 +61,9 @@ def counter_increase(samples: DataFrame, series: list[str], value: str, window_s
     """Per (series, window): increase with counter-reset handling; windows are tumbling."""
     w_start = F.timestamp_seconds(F.floor(F.unix_timestamp(ts) / window_seconds) * window_seconds)
     s = samples.select(*series, ts, tiebreak, value, w_start.alias("window_start"))
-    w = Window.partitionBy(*series, "window_start").orderBy(ts, tiebreak)
-    prev = F.lag(value).over(w)
+    s = ranged(s, [*series, "window_start", ts, tiebreak], "counter")
+    s = previous_value(s, [*series, "window_start"], [ts, tiebreak], value, "_prev")
+    prev = F.col("_prev")
     delta = F.when(prev.isNull(), F.lit(0.0)).when(F.col(value) < prev, F.col(value)).otherwise(F.col(value) - prev)
     return s.withColumn("delta", delta).groupBy(*series, "window_start").agg(F.sum("delta").alias("increase"))
 

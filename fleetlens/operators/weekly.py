@@ -231,23 +231,17 @@ def audit_domains_table(spark) -> DataFrame:
     return spark.createDataFrame(AUDIT_DOMAINS, "domain string, action string, clean_legacy boolean, max_reviews int")
 
 
-def audit_reviews(runs: DataFrame, as_of: str, days: int = 7) -> DataFrame:
-    """Per audit domain the newest 30 non-running analyze runs, normalised:
+_REVIEW_FIELDS = ["id", "status", "started_at", "finished_at", "exit_code", "error", "analysis_level",
+                  "analysis_findings_count", "analysis_summary", "analysis_log_path", "metrics_path"]
 
-    cleaned summary (F7), findings count, level fallback (failed -> critical, findings -> warning,
-    else ok), empty -> 'ok:no findings' (and level ok when the run succeeded). ``review_rank`` is the
-    position in the domain's started_at-desc list.
-    """
-    spark = runs.sparkSession
-    dom = audit_domains_table(spark)
-    r = runs.where(in_window("started_at", as_of, days) & (F.col("status") != "running"))
-    r = r.join(F.broadcast(dom), "action")
-    w = Window.partitionBy("domain").orderBy(F.col("started_at").desc(), F.col("id").desc())
-    # the literal bound (largest configured limit) lets Spark cut each domain map-side before the shuffle
-    # (partial group limit); the per-domain limit is then applied exactly
-    bound = max(d[3] for d in AUDIT_DOMAINS)
-    r = (r.withColumn("review_rank", F.row_number().over(w)).where(F.col("review_rank") <= bound)
-         .where(F.col("review_rank") <= F.col("max_reviews")))
+
+def _analyze_runs(runs: DataFrame, as_of: str, days: int) -> DataFrame:
+    dom = audit_domains_table(runs.sparkSession)
+    return runs.where(in_window("started_at", as_of, days) & (F.col("status") != "running")).join(F.broadcast(dom), "action")
+
+
+def _normalised(r: DataFrame) -> DataFrame:
+    """F7 and the level fallback, per run (no shuffle)."""
     rj = result_json_map("stdout")
     r = r.withColumn("rj", rj)
     raw = F.coalesce(F.col("rj")["analysis_summary"], F.lit(""))
@@ -260,7 +254,7 @@ def audit_reviews(runs: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     empty = F.col("cleaned") == ""
     level = F.when(empty & (F.col("status") == "success"), F.lit("ok")).otherwise(lvl1)
     return r.select(
-        "domain", "review_rank", "id", "status", fmt_utc("started_at").alias("started_at"),
+        *(["review_rank"] if "review_rank" in r.columns else []), "domain", "id", "status", fmt_utc("started_at").alias("started_at"),
         fmt_utc("finished_at").alias("finished_at"), "exit_code", F.coalesce("error", F.lit("")).alias("error"),
         level.alias("analysis_level"),
         F.when(empty, F.lit(0)).otherwise(F.size(split_findings(F.col("cleaned")))).cast("long")
@@ -271,6 +265,28 @@ def audit_reviews(runs: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     )
 
 
+def all_reviews(runs: DataFrame, as_of: str, days: int = 7) -> DataFrame:
+    """Every non-running analyze run of the window, normalised: what gates (F9, F15) and briefs (U5, K8) read."""
+    return _normalised(_analyze_runs(runs, as_of, days)).select("domain", *_REVIEW_FIELDS)
+
+
+def audit_reviews(runs: DataFrame, as_of: str, days: int = 7) -> DataFrame:
+    """Per audit domain the newest 30 non-running analyze runs, normalised:
+
+    cleaned summary (F7), findings count, level fallback (failed -> critical, findings -> warning,
+    else ok), empty -> 'ok:no findings' (and level ok when the run succeeded). ``review_rank`` is the
+    position in the domain's started_at-desc list.
+    """
+    r = _analyze_runs(runs, as_of, days)
+    w = Window.partitionBy("domain").orderBy(F.col("started_at").desc(), F.col("id").desc())
+    # the literal bound (largest configured limit) lets Spark cut each domain map-side before the shuffle
+    # (partial group limit); the per-domain limit is then applied exactly
+    bound = max(d[3] for d in AUDIT_DOMAINS)
+    r = (r.withColumn("review_rank", F.row_number().over(w)).where(F.col("review_rank") <= bound)
+         .where(F.col("review_rank") <= F.col("max_reviews")))
+    return _normalised(r).select("domain", "review_rank", *_REVIEW_FIELDS)
+
+
 def domain_rollup(reviews: DataFrame) -> DataFrame:
     """A9 + W1 + W3: per domain counts by level, latest review, latest non-ok review.
     Domains without reviews give zero counts and level ``unknown`` (left join from the domain list)."""
@@ -309,7 +325,7 @@ def recurring_findings(reviews: DataFrame, n: int = 5) -> DataFrame:
     ex = ex.where(~is_weekly_noise(F.col("finding")))
     g = ex.groupBy("domain", "finding").agg(
         F.count(F.lit(1)).alias("count"),
-        F.min(F.col("review_rank") * F.lit(100000) + F.col("pos")).alias("first_seen"))
+        F.min(F.struct("review_rank", "pos")).alias("first_seen"))
     w = Window.partitionBy("domain").orderBy(F.col("count").desc(), F.col("first_seen").asc())
     return (g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
             .select("domain", "rank", "finding", "count"))

@@ -193,28 +193,27 @@ def q_top_processes(spark, sf_dir):
     return MAC.top_processes(fx.processes(spark, sf_dir), 5)
 
 
-@query("process_pick", f"""
-SELECT host, app, pid, round_even(rss_kb / 1024.0, 1) AS rss_mb FROM (
-  SELECT host, pid, rss_kb, APP AS app FROM processes) p
-WHERE app NOT IN {tuple(MAC.PROTECTED_APPS)!r}
-QUALIFY row_number() OVER (PARTITION BY host ORDER BY rss_kb DESC, app DESC) = 1
-""".replace("APP", _app_sql("command")), ctes=("processes",))
+_CANDIDATES_SQL = """
+cand AS (
+  SELECT a.host, a.pid, a.name, p.rss_kb FROM (
+    SELECT host, pid, regexp_replace(trim(coalesce(name, '')), '\\s+', ' ', 'g') AS name FROM running_apps) a
+  JOIN processes p ON p.host = a.host AND p.pid = a.pid
+  WHERE a.name <> '' AND a.pid > 0 AND a.name NOT IN ('ChatGPT', 'Obsidian', 'iTerm2') AND p.rss_kb IS NOT NULL)
+"""
+
+
+@query("process_pick", f"""WITH {_CANDIDATES_SQL}
+SELECT host, name AS app, pid, round_even(rss_kb / 1024.0, 1) AS rss_mb FROM cand
+QUALIFY row_number() OVER (PARTITION BY host ORDER BY rss_kb DESC, name DESC, pid DESC) = 1
+""", ctes=("processes", "running_apps"))
 def q_process_pick(spark, sf_dir):
-    return MAC.process_pick(fx.processes(spark, sf_dir))
+    return MAC.process_pick(fx.running_apps(spark, sf_dir), fx.processes(spark, sf_dir))
 
 
-@query("process_candidates", f"""
-SELECT a.host, a.pid, a.app, p.rss_kb FROM (
-  SELECT host, pid, APP AS app FROM processes WHERE command <> '') a
-JOIN processes p ON p.host = a.host AND p.pid = a.pid
-WHERE a.app NOT IN {tuple(MAC.PROTECTED_APPS)!r}
-""".replace("APP", _app_sql("command")), ctes=("processes",))
+@query("process_candidates", f"""WITH {_CANDIDATES_SQL} SELECT * FROM cand""", ctes=("processes", "running_apps"))
 def q_process_candidates(spark, sf_dir):
-    """J10 + F17: running apps (non-empty command) that are not protected, with their rss."""
-    p = fx.processes(spark, sf_dir)
-    apps = p.where(F.col("command") != "").select("host", "pid", normalize_app_name("command").alias("app"))
-    apps = apps.where(~F.col("app").isin(*MAC.PROTECTED_APPS))
-    return MAC.process_candidates(apps, p)
+    """J10 + F17: running apps that are not protected, with their rss."""
+    return MAC.process_candidates(fx.running_apps(spark, sf_dir), fx.processes(spark, sf_dir))
 
 
 @query("snapshot_json_roundtrip", """

@@ -10,7 +10,7 @@ from fleetlens.functions.maps import context_pick
 from fleetlens.functions.text import render_summary
 from fleetlens.operators import audits as AU
 from fleetlens.operators import outputs as OUT
-from fleetlens.plans.audit_queries import VPS_SQL
+from fleetlens.plans.audit_queries import FACTS_SQL, VPS_SQL
 from fleetlens.plans.registry import query
 from fleetlens.plans.signal_queries import COOLDOWN_CTES, decisions
 from fleetlens.sources import fixtures as fx
@@ -194,16 +194,13 @@ def q_notification_outbox(spark, sf_dir):
 
 # ------------------------------------------------------------------ K14, K15
 
-_K14_KEYS = ["root_used_percent", "swap_used_mb", "docker_reachable", "reboot_required", "unit_caddy_service_active"]
-
-
-@query("kv_log_lines", f"""WITH {VPS_SQL}
-SELECT log_id, {" || chr(10) || ".join(f"'{k}=' || coalesce(" + '"' + k + '"' + ", '')" for k in _K14_KEYS)} AS text
-FROM fw
+@query("kv_log_lines", f"""WITH {FACTS_SQL}
+SELECT l.log_id, coalesce(string_agg(f.key || '=' || f.value, chr(10) ORDER BY f.key), '') AS text
+FROM kv_logs l LEFT JOIN facts f ON f.log_id = l.log_id GROUP BY l.log_id
 """, ctes=("kv_logs",))
 def q_kv_log_lines(spark, sf_dir):
-    facts = fx.kv_logs(spark, sf_dir).select("log_id", AU.kv_facts_map("text").alias("facts"))
-    return OUT.kv_log_lines(facts, _K14_KEYS)
+    """Every fact of every log, in key order."""
+    return OUT.kv_log_lines(fx.kv_logs(spark, sf_dir).select("log_id", AU.kv_facts_map("text").alias("facts")))
 
 
 @query("analysis_trailer", f"""WITH {VPS_SQL},
@@ -258,7 +255,7 @@ def q_setops(spark, sf_dir):
 
 # ------------------------------------------------------------------ K8 brief markdown
 
-@query("brief_markdown", """WITH """ + __import__("fleetlens.plans.weekly_queries", fromlist=["x"]).rollup_sql(3650)
+@query("brief_markdown", """WITH """ + __import__("fleetlens.plans.weekly_queries", fromlist=["x"]).reviews_sql(3650, "true")
        + """,
 b AS (
   SELECT r.*, p.review FROM reviews r JOIN responses p ON p.response_id = r.id
@@ -287,7 +284,7 @@ def q_brief_markdown(spark, sf_dir):
     from fleetlens.operators.artifacts import validate_review
     from fleetlens.plans.weekly_queries import AS_OF_RUNS, HISTORY_DAYS
 
-    r = W.audit_reviews(fx.runs(spark, sf_dir), AS_OF_RUNS, HISTORY_DAYS)
+    r = W.all_reviews(fx.runs(spark, sf_dir), AS_OF_RUNS, HISTORY_DAYS)
     r = r.where(F.lower("analysis_level").isin("warning", "critical") & (F.col("analysis_summary") != ""))
     resp = fx.responses(spark, sf_dir).select(F.col("response_id").alias("id"), "review")
     j = r.join(resp, "id").where(validate_review("review")["valid"])

@@ -13,7 +13,7 @@ from fleetlens.operators import chains as CH
 from fleetlens.operators import mac as MAC
 from fleetlens.operators import weekly as W
 from fleetlens.plans.registry import query
-from fleetlens.plans.weekly_queries import AS_OF_RUNS, HISTORY_DAYS, rollup_sql
+from fleetlens.plans.weekly_queries import AS_OF_RUNS, HISTORY_DAYS, reviews_sql, rollup_sql
 from fleetlens.sources import fixtures as fx
 
 # FIXED VALUES - actions the executor accepts.
@@ -158,35 +158,35 @@ def q_event_gate(spark, sf_dir):
     return e.select("snapshot_id", MAC.should_emit_event(F.col("status")).alias("emit"))
 
 
-@query("brief_gate", f"""WITH {rollup_sql(HISTORY_DAYS)}
+@query("brief_gate", f"""WITH {reviews_sql(HISTORY_DAYS, 'true')}
 SELECT domain, id, CASE WHEN analysis_level NOT IN ('warning', 'critical') THEN 'skipped'
   WHEN analysis_summary = '' THEN 'failed' ELSE 'generate' END AS brief_action
 FROM reviews
 """, ctes=("runs",))
 def q_brief_gate(spark, sf_dir):
     """F15 over normalised audit reviews: level warning/critical -> brief; else skipped; empty summary -> failed."""
-    r = W.audit_reviews(fx.runs(spark, sf_dir), AS_OF_RUNS, HISTORY_DAYS)
+    r = W.all_reviews(fx.runs(spark, sf_dir), AS_OF_RUNS, HISTORY_DAYS)
     lvl = F.lower(TX.py_strip("analysis_level"))
     act = (F.when(~lvl.isin("warning", "critical"), F.lit("skipped"))
            .when(TX.py_strip("analysis_summary") == "", F.lit("failed")).otherwise(F.lit("generate")))
     return r.select("domain", "id", act.alias("brief_action"))
 
 
-@query("step_gate", f"""WITH {rollup_sql(HISTORY_DAYS)}
+@query("step_gate", f"""WITH {reviews_sql(HISTORY_DAYS, 'true')}
 SELECT domain, id, analysis_level, lower(trim(analysis_level)) IN ('warning', 'critical') AS brief_step_runs,
   status IN ('success', 'skipped') AS continue_chain
 FROM reviews
 """, ctes=("runs",))
 def q_step_gate(spark, sf_dir):
     """F9 (``when: analysis_level_in``) and F10 (continue statuses) over reviewed levels."""
-    r = W.audit_reviews(fx.runs(spark, sf_dir), AS_OF_RUNS, HISTORY_DAYS)
+    r = W.all_reviews(fx.runs(spark, sf_dir), AS_OF_RUNS, HISTORY_DAYS)
     levels = F.array(F.lit("warning"), F.lit("critical"))
     return r.select("domain", "id", "analysis_level",
                     CH.step_when(levels, F.col("analysis_level")).alias("brief_step_runs"),
                     CH.chain_continue(F.col("status")).alias("continue_chain"))
 
 
-@query("brief_input", f"""WITH {rollup_sql(HISTORY_DAYS)}
+@query("brief_input", f"""WITH {reviews_sql(HISTORY_DAYS, 'true')}
 SELECT domain, id, '{{"analysis_findings_count":' || CAST(analysis_findings_count AS VARCHAR) || ',"analysis_level":"'
   || lower(analysis_level) || '","analysis_log_path":"' || analysis_log_path || '","analysis_summary":"'
   || analysis_summary || '","source":"' || domain || '"}}' AS brief_input
@@ -194,7 +194,7 @@ FROM reviews WHERE lower(analysis_level) IN ('warning', 'critical') AND analysis
 """, ctes=("runs",))
 def q_brief_input(spark, sf_dir):
     """The structured input of a brief, built from an actionable review (sorted-key JSON)."""
-    r = W.audit_reviews(fx.runs(spark, sf_dir), AS_OF_RUNS, HISTORY_DAYS)
+    r = W.all_reviews(fx.runs(spark, sf_dir), AS_OF_RUNS, HISTORY_DAYS)
     r = r.where(F.lower("analysis_level").isin("warning", "critical") & (F.col("analysis_summary") != ""))
     j = F.to_json(F.struct(F.col("analysis_findings_count").alias("analysis_findings_count"),
                            F.lower("analysis_level").alias("analysis_level"), "analysis_log_path", "analysis_summary",

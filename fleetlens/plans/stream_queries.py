@@ -27,10 +27,11 @@ def q_stream_cooldown(spark, sf_dir):
     return TW.run_append(TW.stream_cooldown(spark, sf_dir), "cooldown")
 
 
-@query("stream_decision_counts", f"WITH {FIRST_MATCH_CTE} SELECT decision, count(*) AS count FROM d GROUP BY decision",
-       ctes=("sig0", "signals"))
+@query("stream_decision_counts", f"WITH RECURSIVE {COOLDOWN_CTES} SELECT final_decision AS decision, count(*) AS count "
+       "FROM cd GROUP BY final_decision", ctes=("sig0", "signals"))
 def q_stream_decision_counts(spark, sf_dir):
-    return TW.run_complete(TW.stream_decision_counts(spark, sf_dir), "decision_counts")
+    """Counters after cooldown, over what the stateful cooldown stream has written."""
+    return TW.decision_counts(TW.run_append(TW.stream_cooldown(spark, sf_dir), "decision_counts"))
 
 
 @query("stream_slot_dedup", None)

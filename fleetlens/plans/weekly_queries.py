@@ -186,7 +186,8 @@ def _legacy_sql(x: str) -> str:
 
 _DOMAINS_VALUES = ", ".join(f"('{d}', '{a}', {str(c).upper()}, {n})" for d, a, c, n in W.AUDIT_DOMAINS)
 
-def reviews_sql(days: int = DAYS) -> str:
+def reviews_sql(days: int = DAYS, newest: str = "review_rank <= dom.max_reviews") -> str:
+    """``newest``: which ranks count; ``true`` for every review."""
     return f"""
 dom(domain, action, clean_legacy, max_reviews) AS (VALUES {_DOMAINS_VALUES}),
 rv0 AS (
@@ -195,7 +196,7 @@ rv0 AS (
     dom.max_reviews
   FROM runs r JOIN dom ON dom.action = r.action
   WHERE {_win('r.started_at', AS_OF_RUNS, days)} AND r.status <> 'running'
-  QUALIFY review_rank <= dom.max_reviews
+  QUALIFY {newest}
 ),
 rv1 AS (
   SELECT *, nullif(regexp_extract(stdout, '(?s)RESULT_JSON:(\\{{.*\\}})', 1), '') AS rj FROM rv0

@@ -34,7 +34,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset conf raises in some versions
             configured = None
     if not configured:
-        # Only reached outside a cluster (tests / local runs).
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir is unset: intermediates need a folder that all executors share")
+        # one JVM (tests, local runs): any folder is shared
         configured = tempfile.mkdtemp(prefix="fleetlens-ckpt-", dir=os.environ.get("FLEETLENS_SCRATCH", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -90,6 +92,24 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+def discard(*frames) -> None:
+    """Delete materialized tables that nothing reads any more (best used as soon as a newer one replaces them)."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ranged(df, cols, name: str):
+    """``df`` range-partitioned and sorted by ``cols``, written once, with ``_part``: the number of the row's
+    range, ascending in ``cols``. Ranges hold about equally many rows whatever the keys are, so a window over
+    (key, _part) is bounded by rows, and per-(key, _part) summaries by the number of ranges."""
+    from pyspark.sql import functions as F
+
+    return materialize(df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_part", F.spark_partition_id()), name)
+
+
 _EXPR_CACHE: dict = {}
 
 
@@ -102,8 +122,7 @@ def cached_expr(key, build):
     from pyspark import SparkContext
 
     sc = SparkContext._active_spark_context
-    k = (id(sc), key)
-    expr = _EXPR_CACHE.get(k)
-    if expr is None:
-        expr = _EXPR_CACHE[k] = build()
-    return expr
+    held = _EXPR_CACHE.get(key)
+    if held is None or held[0] is not sc:
+        held = _EXPR_CACHE[key] = (sc, build())
+    return held[1]

@@ -148,14 +148,15 @@ def normalized_rules(rules: list[dict[str, Any]] | None = None) -> list[dict[str
         steps = [
             {"name": s["name"], "retries": int(s.get("retries", 0)),
              "retry_delay_seconds": int(s.get("retry_delay_seconds", 0)),
-             "analysis_level_in": s.get("analysis_level_in"), "message": s.get("message")}
+             "analysis_level_in": s.get("analysis_level_in"), "message": s.get("message"),
+             "payload": s.get("payload") or {}}
             for s in r.get("steps", [])
         ]
         out.append({
             "rule_order": i, "name": r["name"], "enabled": bool(r.get("enabled", True)),
             "match": {str(k): str(v) for k, v in r.get("match", {}).items()},
             "action_type": r["action_type"], "action_name": r.get("action_name"),
-            "steps": steps, "cooldown_seconds": int(r.get("cooldown_seconds", 0)),
+            "payload": r.get("payload") or {}, "steps": steps, "cooldown_seconds": int(r.get("cooldown_seconds", 0)),
         })
     return out
 
@@ -181,8 +182,23 @@ def schedules_table(spark: SparkSession, schedules: list[dict[str, Any]] | None
     return spark.createDataFrame(rows, SCHEDULE_SCHEMA)
 
 
+def _step_levels(rule: str, at: int, when: Any) -> list[str] | None:
+    """The levels of a step's ``when``; anything but ``analysis_level_in`` with at least one level is an error."""
+    if when is None:
+        return None
+    if not isinstance(when, dict) or set(when) - {"analysis_level_in"}:
+        raise ValueError(f"rule {rule!r}, step {at}: only analysis_level_in is supported in when")
+    if "analysis_level_in" not in when:
+        return None
+    given = when["analysis_level_in"]
+    levels = [str(x).strip() for x in given if str(x).strip()] if isinstance(given, list) else []
+    if not levels:
+        raise ValueError(f"rule {rule!r}, step {at}: analysis_level_in needs a list of levels")
+    return levels
+
+
 def load_rules_yaml(path: str) -> list[dict[str, Any]]:
-    """Read a rules YAML file (``rules: [...]``) into the normalized rule list."""
+    """Read a rules YAML file (``rules: [...]``) into the normalized rule list; conditions and payloads stay."""
     import yaml
 
     with open(path, encoding="utf-8") as fh:
@@ -190,27 +206,30 @@ def load_rules_yaml(path: str) -> list[dict[str, Any]]:
     rules = []
     for r in doc.get("rules", []):
         action = r.get("action", {})
+        steps = [{**s, "analysis_level_in": _step_levels(r["name"], i, s.get("when"))} for i, s in enumerate(action.get("steps", []), 1)]
         rules.append({
             "name": r["name"], "enabled": r.get("enabled", True), "match": r.get("match", {}),
-            "action_type": action.get("type"), "action_name": action.get("name"),
-            "steps": action.get("steps", []), "cooldown_seconds": r.get("cooldown_seconds", 0),
+            "action_type": action.get("type"), "action_name": action.get("name"), "payload": action.get("payload"),
+            "steps": steps, "cooldown_seconds": r.get("cooldown_seconds", 0),
         })
     return normalized_rules(rules)
 
 
+def _weekdays(s: dict[str, Any]) -> list[int]:
+    """Exactly one of ``daily``, ``weekdays`` and ``weekday``; days from 0 (Monday) to 6, each once."""
+    modes = [bool(s.get("daily", False)), "weekdays" in s, "weekday" in s]
+    if sum(modes) != 1:
+        raise ValueError(f"schedule {s.get('name')!r} needs one of daily, weekdays and weekday")
+    days = list(range(7)) if modes[0] else s["weekdays"] if modes[1] else [s["weekday"]]
+    if not isinstance(days, list) or not days or not all(str(d).lstrip("-").isdigit() and 0 <= int(d) <= 6 for d in days):
+        raise ValueError(f"schedule {s.get('name')!r}: weekdays are numbers from 0 to 6")
+    return list(dict.fromkeys(int(d) for d in days))
+
+
 def load_schedules_yaml(path: str) -> list[dict[str, Any]]:
     import yaml
 
     with open(path, encoding="utf-8") as fh:
         doc = yaml.safe_load(fh) or {}
-    out = []
-    for s in doc.get("schedules", []):
-        if "weekdays" in s:
-            days = s["weekdays"]
-        elif "weekday" in s:
-            days = [s["weekday"]]
-        else:
-            days = list(range(7))
-        out.append({"name": s["name"], "enabled": s.get("enabled", True), "weekdays": days,
-                    "hour": s["hour"], "minute": s["minute"], "signal": s.get("signal", {})})
-    return out
+    return [{"name": s["name"], "enabled": s.get("enabled", True), "weekdays": _weekdays(s),
+             "hour": s["hour"], "minute": s["minute"], "signal": s.get("signal", {})} for s in doc.get("schedules", [])]

@@ -25,35 +25,14 @@ TABLES = (
 ).split()
 
 
-def _bytes(text: str) -> int:
-    t = str(text).strip().lower().rstrip("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    return int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give per-row work all the cores when a scan yields fewer partitions than the cluster's default
-    parallelism (a small file is one split). Large inputs already have more splits than cores and
-    are returned unchanged - no shuffle is added at scale. Round-robin repartitioning is deterministic
-    (rows are sorted before it), so a recomputed task after an executor loss sees the same rows."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    # size estimate from the file index (no split computation); only small inputs are inspected further
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728"))
-    if size >= max_split * target:
-        return df
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, where: Column | None = None) -> DataFrame:
-    """Scan a table; ``where`` (on raw columns) is applied at the scan, before any repartitioning, so it
+    """Scan a table; ``where`` (on raw columns) is applied at the scan, so it
     reaches the Parquet reader as a pushed filter (row groups outside it are skipped)."""
     ensure_session(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if where is not None:
         df = df.where(where)
-    return spread(df)
+    return df
 
 
 def time_range(col: str, rng: tuple[str, str] | None) -> Column | None:
@@ -738,6 +717,29 @@ SELECT 'host-' || CAST(o_custkey % 20 AS VARCHAR) AS host, o_orderkey AS pid,
 FROM orders
 """
 
+# --------------------------------------------------------------------------------------------
+# running apps <- orders (names as the desktop shows them)
+# --------------------------------------------------------------------------------------------
+
+APP_NAMES = ["Safari", "Obsidian", "iTerm2", "  Visual   Studio Code ", "ChatGPT", "", "Mail"]
+
+
+def running_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    names = F.array(*[F.lit(x) for x in APP_NAMES])
+    return o.select(
+        F.concat(F.lit("host-"), (F.col("o_custkey") % 20).cast("string")).alias("host"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.lit(0)).otherwise(F.col("o_orderkey")).alias("pid"),
+        F.element_at(names, (F.col("o_orderkey") % 7 + 1).cast("int")).alias("name"),
+    )
+
+
+_RUNNING_APPS_SQL = """
+SELECT 'host-' || CAST(o_custkey % 20 AS VARCHAR) AS host, CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE o_orderkey END AS pid,
+  ['Safari', 'Obsidian', 'iTerm2', '  Visual   Studio Code ', 'ChatGPT', '', 'Mail'][o_orderkey % 7 + 1] AS name
+FROM orders
+"""
+
 # --------------------------------------------------------------------------------------------
 # agent_log <- events
 # --------------------------------------------------------------------------------------------
@@ -863,6 +865,7 @@ ORACLE_CTES = {
     "samples": _SAMPLES_SQL,
     "files": _FILES_SQL,
     "processes": _PROCESSES_SQL,
+    "running_apps": _RUNNING_APPS_SQL,
     "agent_log": _AGENT_LOG_SQL,
     "inspect": _INSPECT_SQL,
     "collector": _COLLECTOR_SQL,

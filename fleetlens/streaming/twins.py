@@ -45,10 +45,11 @@ def _sink_root(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
 
 
-def run_append(df: DataFrame, name: str) -> DataFrame:
-    """Append-mode stream into a Parquet file sink (exactly-once via the sink's metadata log)."""
+def run_append(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
+    """Append-mode stream into a Parquet file sink (exactly-once via the sink's metadata log). With the
+    ``root`` of an earlier run, the stream resumes from its checkpoint and reads only what is new."""
     spark = df.sparkSession
-    root = _sink_root(spark, name)
+    root = root or _sink_root(spark, name)
     q = (df.writeStream.format("parquet").option("path", f"{root}/data")
          .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -137,9 +138,9 @@ def stream_snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_latest(fx.snapshots_from(fx.read_table_stream(spark, sf_dir, "part")))
 
 
-def stream_decision_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decision counters recomputed as alerts arrive."""
-    return stream_decisions(spark, sf_dir).groupBy("decision").agg(F.count(F.lit(1)).alias("count"))
+def decision_counts(decided: DataFrame) -> DataFrame:
+    """Decision counters over the sink of :func:`stream_cooldown`, so a suppressed signal counts as such."""
+    return decided.groupBy("decision").agg(F.count(F.lit(1)).alias("count"))
 
 
 def stream_signal_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
