@@ -93,11 +93,12 @@ def latest_view(spark: SparkSession, path: str, key: str, order_col: str) -> Dat
 
 
 def store_snapshots(snaps: DataFrame, path: str) -> None:
-    """Snapshots partitioned by host and ``audit_<stamp>`` file stem."""
+    """Snapshots partitioned by day (one folder a day, whatever the number of hosts), with the
+    ``audit_<stamp>`` file stem as a column."""
     from fleetlens.operators.mac import snapshot_stamp
 
-    snaps.withColumn("stem", snapshot_stamp(F.col("timestamp_utc"))).write.mode("append").partitionBy(
-        "host", "stem").parquet(path)
+    named = snaps.withColumn("stem", snapshot_stamp(F.col("timestamp_utc")))
+    named.withColumn("day", F.regexp_extract("stem", "^audit_([0-9]{8}|unknown)", 1)).write.mode("append").partitionBy("day").parquet(path)
 
 
 def read_state(spark: SparkSession, root: str) -> dict[str, DataFrame]:
