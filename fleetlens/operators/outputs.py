@@ -7,12 +7,15 @@ signals or recorded tasks - no shuffle beyond the joins named in each function.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.maps import context_pick, fingerprint
 from fleetlens.functions.numeric import severity_priority
 from fleetlens.functions.text import pick_str, py_strip
+from fleetlens.sources.config import normalized_rules
 
 TEMPLATE_TOKEN = r"\{\{\s*([a-zA-Z0-9_]+)(\|upper|\|lower)?\s*\}\}"
 
@@ -43,11 +46,30 @@ def sorted_map(m) -> Column:
     return F.map_from_entries(F.array_sort(F.map_entries(_c(m))))
 
 
-def chain_task_payloads(decided: DataFrame, steps_by_rule: DataFrame) -> DataFrame:
-    """K2 + P39: a ``chain`` task per execute_chain decision. Payload = sorted-key (compact) JSON of
-    ``{alert_key, chain_context, steps}``; chain_context holds the base signal fields overlaid by the
-    signal's own context (later keys win) plus ``context`` (the signal context as an object).
-    ``steps_by_rule``: rule_name -> steps (a small config table, broadcast)."""
+def rule_actions(spark, rules=None) -> DataFrame:
+    """What each rule does, as text: action_name and payload_json of ``execute`` rules, steps_json of chains
+    (name, payload, retries, retry_delay_seconds and, where set, ``when``). Bounded by the configuration."""
+    def text(x) -> str:
+        return json.dumps(x, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+
+    rows = []
+    for r in normalized_rules(rules):
+        steps = [{"name": x["name"], "payload": {**x["payload"], **({"message": x["message"]} if x["message"] else {})}, "retries": x["retries"],
+                  "retry_delay_seconds": x["retry_delay_seconds"],
+                  **({"when": {"analysis_level_in": x["analysis_level_in"]}} if x["analysis_level_in"] else {})} for x in r["steps"]]
+        rows.append((r["name"], r["action_name"], text(r["payload"]), text(steps)))
+    return spark.createDataFrame(rows, "rule_name string, action_name string, payload_json string, steps_json string")
+
+
+def _json_string(c: Column) -> Column:
+    return F.coalesce(F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", ""), F.lit("null"))
+
+
+def decision_tasks(decided: DataFrame, actions: DataFrame) -> DataFrame:
+    """K2 + P39: the task that a decision creates. ``execute``: an ``action`` task with ``{action, alert_key,
+    payload}``. ``execute_chain``: a ``chain`` task with ``{alert_key, chain_context, steps}``; chain_context holds
+    the base signal fields overlaid by the signal's own context (later keys win) plus ``context`` (the signal
+    context as an object). Payloads are compact JSON with sorted keys; ``actions`` from :func:`rule_actions`."""
     ctx = context_pick(F.col("labels"), F.col("annotations"))
     base = F.create_map(
         F.lit("alertname"), F.col("alertname"), F.lit("alert_status"), F.col("status"),
@@ -55,27 +77,32 @@ def chain_task_payloads(decided: DataFrame, steps_by_rule: DataFrame) -> DataFra
         F.lit("summary"), F.col("summary"), F.lit("description"), F.coalesce("description", F.lit("")),
         F.lit("fingerprint"), F.col("fingerprint"), F.lit("rule_name"), F.coalesce("rule_name", F.lit("")),
         F.lit("context"), F.lit(_CTX_SLOT))
-    d = decided.where(F.col("decision") == "execute_chain").join(F.broadcast(steps_by_rule), "rule_name")
+    d = decided.where(F.col("decision").isin("execute", "execute_chain")).join(F.broadcast(actions), "rule_name")
     merged = F.to_json(sorted_map(F.map_concat(base, ctx)))
     # the context object goes where its placeholder sorted (a map holds only string values)
     context_json = F.replace(merged, F.lit('"' + _CTX_SLOT + '"'), F.to_json(sorted_map(ctx)))
-    key_json = F.regexp_replace(F.to_json(F.array("alert_key")), r"^\[|\]$", "")  # a JSON string literal
-    payload = F.concat(F.lit('{"alert_key":'), key_json,
-                       F.lit(',"chain_context":'), context_json, F.lit(',"steps":'), F.to_json("steps"), F.lit("}"))
-    return d.select(F.col("signal_id").alias("decision_id"), F.lit("chain").alias("task_type"),
-                    severity_priority("severity").alias("priority"), payload.alias("payload"), "alert_key")
+    key_json = _json_string(F.col("alert_key"))
+    chain = F.concat(F.lit('{"alert_key":'), key_json, F.lit(',"chain_context":'), context_json, F.lit(',"steps":'), F.col("steps_json"), F.lit("}"))
+    action = F.concat(F.lit('{"action":'), _json_string(F.col("action_name")), F.lit(',"alert_key":'), key_json, F.lit(',"payload":'), F.col("payload_json"), F.lit("}"))
+    is_chain = F.col("decision") == "execute_chain"
+    return d.select(F.col("signal_id").alias("decision_id"), F.when(is_chain, F.lit("chain")).otherwise(F.lit("action")).alias("task_type"),
+                    severity_priority("severity").alias("priority"), F.when(is_chain, chain).otherwise(action).alias("payload"), "alert_key")
 
 
 _CTX_SLOT = "@@signal-context@@"
 
 
-def decision_view(decided: DataFrame) -> DataFrame:
-    """The response row per signal - signal fields, decision, reason, rule and context."""
+def decision_view(decided: DataFrame, actions: DataFrame) -> DataFrame:
+    """The response row per signal - signal fields, decision, reason, rule, action (the action's name, or
+    chain), the chain's steps and the context."""
     ctx = context_pick(F.col("labels"), F.col("annotations"))
-    return decided.select(
+    known = decided.join(F.broadcast(actions), "rule_name", "left")
+    is_chain = F.col("decision") == "execute_chain"
+    return known.select(
         F.col("signal_id").alias("decision_id"), "alertname", "status", "severity", "instance", "job", "summary",
         "fingerprint", "decision", "reason", "rule_name",
-        F.when(F.col("decision") == "execute_chain", F.lit("chain")).alias("action"),
+        F.when(is_chain, F.lit("chain")).when(F.col("decision") == "execute", F.col("action_name")).alias("action"),
+        F.when(is_chain, F.col("steps_json")).alias("steps_json"),
         F.to_json(sorted_map(ctx)).alias("context_json"))
 
 
@@ -151,7 +178,8 @@ def analysis_trailer(line: Column, fields: dict[str, Column]) -> Column:
 
 def alerts_from_webhook(payloads: DataFrame, body_col: str = "body") -> DataFrame:
     """Webhook JSON ``{alerts: [...]}`` -> one signal row per object alert. A non-list ``alerts`` gives
-    no rows; non-object items are skipped; text fields are picked and stripped; fingerprint from labels."""
+    no rows; non-object items are skipped; text fields are picked and stripped; fingerprint from labels. Labels and
+    annotations stay, so the rows feed rules (J1) and tasks (K2) as they are."""
     arr = F.from_json(F.get_json_object(F.col(body_col), "$.alerts"), "array<string>")
     items = payloads.select("*", F.posexplode_outer(arr).alias("pos", "item")).where(
         F.col("item").isNotNull() & F.col("item").startswith("{"))
@@ -167,6 +195,7 @@ def alerts_from_webhook(payloads: DataFrame, body_col: str = "body") -> DataFram
         pick_str(labels["instance"]).alias("instance"), pick_str(labels["job"]).alias("job"),
         pick_str(ann["summary"]).alias("summary"), pick_str(ann["description"]).alias("description"),
         fingerprint(labels, F.col("a.fingerprint")).alias("fingerprint"),
+        labels.alias("labels"), ann.alias("annotations"), F.lit("alertmanager").alias("source"),
         context_pick(labels, ann).alias("context"))
 
 

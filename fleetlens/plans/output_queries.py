@@ -10,9 +10,10 @@ from fleetlens.functions.maps import context_pick
 from fleetlens.functions.text import render_summary
 from fleetlens.operators import audits as AU
 from fleetlens.operators import outputs as OUT
+from fleetlens.operators import rules as R
 from fleetlens.plans.audit_queries import FACTS_SQL, VPS_SQL
 from fleetlens.plans.registry import query
-from fleetlens.plans.signal_queries import COOLDOWN_CTES, decisions
+from fleetlens.plans.signal_queries import COOLDOWN_CTES, _sql_first_match, decisions
 from fleetlens.sources import fixtures as fx
 from fleetlens.sources.config import RULES, normalized_rules
 
@@ -45,44 +46,6 @@ def q_alerts_explode(spark, sf_dir):
         "signal_id", "pos", "status", "alertname", "fingerprint", "summary")
 
 
-# ------------------------------------------------------------------ K2 / P39 chain task payloads
-
-_STEP_T = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("retries", T.IntegerType()),
-                                    T.StructField("retry_delay_seconds", T.IntegerType()),
-                                    T.StructField("analysis_level_in", T.ArrayType(T.StringType()))]))
-
-
-def steps_by_rule(spark):
-    rows = [(r["name"], [(s["name"], s["retries"], s["retry_delay_seconds"], s["analysis_level_in"])
-                         for s in r["steps"]]) for r in normalized_rules()]
-    return spark.createDataFrame(rows, T.StructType([T.StructField("rule_name", T.StringType()),
-                                                    T.StructField("steps", _STEP_T)]))
-
-
-_NSTEPS = "CASE rule_name " + " ".join(f"WHEN '{r['name']}' THEN {len(r['steps'])}" for r in RULES) + " END"
-
-
-@query("chain_task_payload", f"""WITH RECURSIVE {COOLDOWN_CTES}
-SELECT signal_id AS decision_id, 'chain' AS task_type,
-  CASE lower(severity) WHEN 'critical' THEN 100 WHEN 'warning' THEN 70 WHEN 'info' THEN 50 WHEN 'test' THEN 10
-       ELSE 50 END AS priority,
-  alert_key, 'alert_key,chain_context,steps' AS payload_keys, alertname AS ctx_alertname, status AS ctx_alert_status,
-  ann_top_app AS ctx_top_app, ann_top_app AS ctx_context_top_app, CAST({_NSTEPS} AS INTEGER) AS n_steps
-FROM cd WHERE final_decision = 'execute_chain'
-""", ctes=("sig0", "signals"))
-def q_chain_task_payload(spark, sf_dir):
-    t = OUT.chain_task_payloads(decisions(spark, sf_dir), steps_by_rule(spark))
-    p = F.col("payload")
-    return t.select(
-        "decision_id", "task_type", "priority", "alert_key",
-        F.array_join(F.json_object_keys(p), ",").alias("payload_keys"),
-        F.get_json_object(p, "$.chain_context.alertname").alias("ctx_alertname"),
-        F.get_json_object(p, "$.chain_context.alert_status").alias("ctx_alert_status"),
-        F.get_json_object(p, "$.chain_context.top_app").alias("ctx_top_app"),
-        F.get_json_object(p, "$.chain_context.context.top_app").alias("ctx_context_top_app"),
-        F.json_array_length(F.get_json_object(p, "$.steps")).alias("n_steps"))
-
-
 # ------------------------------------------------------------------ K16 decision view
 
 def _json_str(x: str) -> str:
@@ -96,14 +59,71 @@ _CTX_JSON = ("'{' || array_to_string(list_filter(["
              "], lambda x: x IS NOT NULL), ',') || '}'")
 
 
+# the oracle's own text of each rule's steps (fixed values of the configuration)
+_STEPS_SQL = "CASE rule_name " + " ".join(
+    "WHEN '" + r["name"] + "' THEN '[" + ",".join(
+        '{"name":"' + x["name"] + '","payload":' + ('{"message":"' + x["message"] + '"}' if x.get("message") else "{}")
+        + ',"retries":' + str(x.get("retries", 0)) + ',"retry_delay_seconds":' + str(x.get("retry_delay_seconds", 0))
+        + (',"when":{"analysis_level_in":["' + '","'.join(x["analysis_level_in"]) + '"]}' if x.get("analysis_level_in") else "") + "}"
+        for x in r["steps"]) + "]'" for r in RULES) + " END"
+
+
 @query("decision_view", f"""WITH RECURSIVE {COOLDOWN_CTES}
 SELECT signal_id AS decision_id, alertname, status, severity, instance, job, summary, fingerprint,
   final_decision AS decision, final_reason AS reason, rule_name,
-  CASE WHEN final_decision = 'execute_chain' THEN 'chain' END AS action, {_CTX_JSON} AS context_json
+  CASE WHEN final_decision = 'execute_chain' THEN 'chain' END AS action,
+  CASE WHEN final_decision = 'execute_chain' THEN {_STEPS_SQL} END AS steps_json, {_CTX_JSON} AS context_json
 FROM cd
 """, ctes=("sig0", "signals"))
 def q_decision_view(spark, sf_dir):
-    return OUT.decision_view(decisions(spark, sf_dir))
+    return OUT.decision_view(decisions(spark, sf_dir), OUT.rule_actions(spark))
+
+
+# ------------------------------------------------------------------ S1 -> J1 -> K2, K16: webhook bodies to tasks
+
+_CHAIN_CONTEXT = "'{' || array_to_string(list_filter([" + ", ".join([
+    f"'\"alert_status\":' || {_json_str('status')}", f"'\"alertname\":' || {_json_str('alertname')}", f"'\"context\":' || {_CTX_JSON}",
+    "'\"description\":\"\"'", f"'\"fingerprint\":' || {_json_str('fingerprint')}", f"'\"instance\":' || {_json_str('instance')}",
+    f"'\"job\":' || {_json_str('job')}",
+    f"CASE WHEN trim(ann_reason_text) <> '' THEN '\"reason_text\":' || {_json_str('trim(ann_reason_text)')} END",
+    f"'\"rule_name\":' || {_json_str('rule_name')}", f"'\"severity\":' || {_json_str('severity')}", f"'\"summary\":' || {_json_str('summary')}",
+    f"CASE WHEN trim(ann_swap_used_mb) <> '' THEN '\"swap_used_mb\":' || {_json_str('trim(ann_swap_used_mb)')} END",
+    f"CASE WHEN trim(ann_top_app) <> '' THEN '\"top_app\":' || {_json_str('trim(ann_top_app)')} END",
+]) + "], lambda x: x IS NOT NULL), ',') || '}'"
+_PRIORITY = ("CASE lower(severity) WHEN 'critical' THEN 100 WHEN 'warning' THEN 70 WHEN 'info' THEN 50 WHEN 'test' THEN 10 "
+             "ELSE 50 END")
+_CHAIN_PAYLOAD = f"'{{\"alert_key\":' || {_json_str('alert_key')} || ',\"chain_context\":' || {_CHAIN_CONTEXT} || ',\"steps\":' || {_STEPS_SQL} || '}}'"
+
+
+@query("chain_task_payload", f"""WITH RECURSIVE {COOLDOWN_CTES}
+SELECT signal_id AS decision_id, 'chain' AS task_type, {_PRIORITY} AS priority, alert_key, {_CHAIN_PAYLOAD} AS payload
+FROM cd WHERE final_decision = 'execute_chain'
+""", ctes=("sig0", "signals"))
+def q_chain_task_payload(spark, sf_dir):
+    """K2 + P39 after the cooldown; the whole payload text is compared."""
+    return OUT.decision_tasks(decisions(spark, sf_dir), OUT.rule_actions(spark))
+
+
+#: The configured rules and one that executes an action, so that branch runs too.
+EXECUTE_RULES = [*RULES, {"name": "demo_checkout_execute", "match": {"alertname": "DemoCheckout", "status": "firing", "severity": "critical"},
+                          "action_type": "execute", "action_name": "run_backup", "payload": {"target": "vps", "depth": 2}, "cooldown_seconds": 600}]
+
+
+@query("webhook_to_tasks", f"""WITH d AS ({_sql_first_match(rules=EXECUTE_RULES)})
+SELECT signal_id AS decision_id, CASE WHEN decision = 'execute' THEN 'action' ELSE 'chain' END AS task_type,
+  {_PRIORITY} AS priority, alert_key,
+  CASE WHEN decision = 'execute'
+    THEN '{{"action":"run_backup","alert_key":' || {_json_str('alert_key')} || ',"payload":{{"depth":2,"target":"vps"}}}}'
+    ELSE {_CHAIN_PAYLOAD} END AS payload
+FROM d WHERE decision IN ('execute', 'execute_chain')
+""", ctes=("sig0", "signals"))
+def q_webhook_to_tasks(spark, sf_dir):
+    """S1 -> J1 -> K2: webhook bodies are parsed, classified and turned into tasks, payload text included."""
+    s = fx.signals(spark, sf_dir)
+    alert = F.struct("status", "labels", "annotations", F.lit("").alias("fingerprint"))
+    bodies = s.select("signal_id", "ts", F.to_json(F.struct(F.array(alert).alias("alerts"))).alias("body"))
+    decided = R.first_match(OUT.alerts_from_webhook(bodies), EXECUTE_RULES)
+    return OUT.decision_tasks(decided, OUT.rule_actions(spark, EXECUTE_RULES))
 
 
 # ------------------------------------------------------------------ K13 remediation tasks, J8 notices

@@ -13,9 +13,9 @@ from fleetlens.sources import fixtures as fx
 from fleetlens.sources.config import normalized_rules
 
 
-def _sql_first_match(src: str = "signals") -> str:
+def _sql_first_match(src: str = "signals", rules: list | None = None) -> str:
     """DuckDB text of the first-match classification (the oracle's own CASE chain)."""
-    rules = [r for r in normalized_rules() if r["enabled"]]
+    rules = [r for r in normalized_rules(rules) if r["enabled"]]
     idx = "CASE " + " ".join(
         "WHEN " + " AND ".join(f"coalesce(trim(CAST({k} AS VARCHAR)), '') = '{v}'" for k, v in r["match"].items())
         + f" THEN {i}" for i, r in enumerate(rules)) + " END"
