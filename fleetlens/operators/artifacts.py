@@ -95,28 +95,89 @@ def is_fresh(age_seconds, max_age_seconds: int) -> Column:
 
 # ----------------------------------------------------------------------------- S18
 
+# FIXED VALUES: errors of an inspect call that says nothing, of an answer that is no list with an object, and of
+# one that is no JSON (there without the parser's own words).
+INSPECT_FAILED = "docker inspect failed"
+INSPECT_ODD = "docker inspect returned unexpected payload"
+INSPECT_BAD = "invalid docker inspect json"
 INSPECT_SCHEMA = ("array<struct<State:struct<Status:string,Health:struct<Status:string>>,"
                   "Config:struct<Image:string>>>")
 
 
-def flatten_container_inspect(raw) -> Column:
-    """Container inspect JSON -> struct(exists, state, health, image, status).
-    Bad JSON / empty list / non-object first item -> inspect_failed."""
+def flatten_container_inspect(raw, exit_code=None, stderr=None) -> Column:
+    """Container inspect JSON -> struct(exists, state, health, image, status, error).
+
+    A failed call (``exit_code`` not 0) is a missing container where its message says so, else inspect_failed
+    with the message. Bad JSON / empty list / non-object first item -> inspect_failed too.
+    """
     parsed = F.from_json(_c(raw), INSPECT_SCHEMA, {"mode": "PERMISSIVE"})
     first = F.try_element_at(parsed, F.lit(1))
-    ok = first.isNotNull()
     state = F.coalesce(F.nullif(first["State"]["Status"], F.lit("")), F.lit("unknown"))
-    return F.when(ok, F.struct(
-        F.lit("yes").alias("exists"), state.alias("state"),
-        F.coalesce(F.nullif(first["State"]["Health"]["Status"], F.lit("")), F.lit("none")).alias("health"),
-        F.coalesce(first["Config"]["Image"], F.lit("")).alias("image"), state.alias("status"),
-    )).otherwise(F.struct(
-        F.lit("unknown").alias("exists"), F.lit("unknown").alias("state"), F.lit("unknown").alias("health"),
-        F.lit("").alias("image"), F.lit("inspect_failed").alias("status")))
+    failed = F.lit(False) if exit_code is None else F.coalesce(_c(exit_code) != 0, F.lit(False))
+    said = F.lit("") if stderr is None else py_strip(F.coalesce(_c(stderr), F.lit("")))
+    gone = F.lower(said).contains("no such object") | F.lower(said).contains("no such container")
+    none, unknown = F.lit(""), F.lit("unknown")
+
+    def outcome(exists, state_, health, image, status, error):
+        return F.struct(exists.alias("exists"), state_.alias("state"), health.alias("health"), image.alias("image"), status.alias("status"), error.alias("error"))
+
+    return (F.when(failed & gone, outcome(F.lit("no"), F.lit("missing"), unknown, none, F.lit("missing"), said))
+            .when(failed, outcome(unknown, unknown, unknown, none, F.lit("inspect_failed"), F.coalesce(F.nullif(said, none), F.lit(INSPECT_FAILED))))
+            .when(first.isNotNull(), outcome(F.lit("yes"), state, F.coalesce(F.nullif(first["State"]["Health"]["Status"], none), F.lit("none")),
+                                             F.coalesce(first["Config"]["Image"], none), state, none))
+            .otherwise(outcome(unknown, unknown, unknown, none, F.lit("inspect_failed"),
+                               F.when(F.get_json_object(_c(raw), "$").isNotNull(), F.lit(INSPECT_ODD)).otherwise(F.lit(INSPECT_BAD)))))
 
 
 # ----------------------------------------------------------------------------- S17
 
+def _words(line) -> Column:
+    return F.filter(F.split(py_strip(line), r"\s+"), lambda w: w != "")
+
+
+def parse_disk_used_percent(text) -> Column:
+    """Fifth word of the second line of a disk listing, without its percent signs; null where it is no number."""
+    words = _words(F.try_element_at(F.split(F.coalesce(_c(text), F.lit("")), "\n"), F.lit(2)))
+    bare = F.regexp_replace(F.try_element_at(words, F.lit(5)), "%+$", "")
+    return F.when(bare.rlike(r"^[+-]?[0-9]+$"), bare.try_cast("int"))
+
+
+def parse_battery_percent(text) -> Column:
+    return F.nullif(F.regexp_extract(F.coalesce(_c(text), F.lit("")), r"([0-9]+)%", 1), F.lit("")).try_cast("int")
+
+
+def parse_power_source(text) -> Column:
+    """ac / battery / unknown, from the first line of the battery report."""
+    first = F.substring_index(F.coalesce(_c(text), F.lit("")), "\n", 1)
+    return (F.when(first.contains("AC Power"), F.lit("ac")).when(first.contains("Battery Power"), F.lit("battery"))
+            .otherwise(F.lit("unknown")))
+
+
+def parse_outdated_count(installed, listing) -> Column:
+    """Non-blank lines of the outdated listing; null where the package manager isn't installed."""
+    lines = F.filter(F.split(F.coalesce(_c(listing), F.lit("")), "\n"), lambda x: py_strip(x) != "")
+    return F.when(F.coalesce(_c(installed), F.lit("")) != "", F.size(lines))
+
+
+def parse_latest_backup(text) -> Column:
+    return F.nullif(py_strip(F.coalesce(_c(text), F.lit(""))), F.lit(""))
+
+
+def parse_backup_age_seconds(text, as_of_unix) -> Column:
+    """Seconds since the ``YYYY-MM-DD-HHMMSS`` (UTC) in the latest backup's path, at least 0."""
+    at = F.nullif(F.regexp_extract(F.coalesce(_c(text), F.lit("")), r"([0-9]{4}-[0-9]{2}-[0-9]{2}-[0-9]{6})", 1), F.lit(""))
+    taken = F.unix_timestamp(F.try_to_timestamp(at, F.lit("yyyy-MM-dd-HHmmss")))
+    return F.when(taken.isNotNull(), F.greatest(F.lit(0), _c(as_of_unix) - taken))
+
+
+def parse_launchd_state(text, labels: list[str]) -> Column:
+    """struct(loaded, running): whether all expected labels are listed, and whether one of them has a process.
+    Both null without a listing. Lines are ``pid status label``."""
+    rows = F.filter(F.transform(F.split(F.coalesce(_c(text), F.lit("")), "\n"), _words), lambda w: (F.size(w) >= 3) & F.get(w, 2).isin(*labels))
+    return F.when(F.coalesce(_c(text), F.lit("")) != "", F.struct(
+        (F.size(rows) == len(labels)).alias("loaded"), F.exists(rows, lambda w: F.get(w, 0) != "-").alias("running")))
+
+
 def parse_memory_free(text) -> Column:
     g = F.regexp_extract(F.coalesce(_c(text), F.lit("")), r"System-wide memory free percentage:\s+(\d+)%", 1)
     return F.nullif(g, F.lit("")).try_cast("double")

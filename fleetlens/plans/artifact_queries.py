@@ -125,13 +125,15 @@ def q_verify_audit(spark, sf_dir):
 
 @query("container_facts", """
 SELECT inspect_id, container,
-  CASE WHEN ok THEN 'yes' ELSE 'unknown' END AS exists,
-  CASE WHEN ok THEN coalesce(nullif(st, ''), 'unknown') ELSE 'unknown' END AS state,
-  CASE WHEN ok THEN coalesce(nullif(hl, ''), 'none') ELSE 'unknown' END AS health,
-  CASE WHEN ok THEN coalesce(img, '') ELSE '' END AS image,
-  CASE WHEN ok THEN coalesce(nullif(st, ''), 'unknown') ELSE 'inspect_failed' END AS status
+  CASE WHEN gone THEN 'no' WHEN failed THEN 'unknown' WHEN ok THEN 'yes' ELSE 'unknown' END AS exists,
+  CASE WHEN gone THEN 'missing' WHEN failed THEN 'unknown' WHEN ok THEN coalesce(nullif(st, ''), 'unknown') ELSE 'unknown' END AS state,
+  CASE WHEN failed THEN 'unknown' WHEN ok THEN coalesce(nullif(hl, ''), 'none') ELSE 'unknown' END AS health,
+  CASE WHEN ok AND NOT failed THEN coalesce(img, '') ELSE '' END AS image,
+  CASE WHEN gone THEN 'missing' WHEN failed THEN 'inspect_failed' WHEN ok THEN coalesce(nullif(st, ''), 'unknown') ELSE 'inspect_failed' END AS status,
+  CASE WHEN gone THEN 'Error: No such object: x' WHEN failed THEN 'docker inspect failed' WHEN ok THEN ''
+    WHEN valid THEN 'docker inspect returned unexpected payload' ELSE 'invalid docker inspect json' END AS error
 FROM (
-  SELECT inspect_id, container,
+  SELECT inspect_id, container, inspect_id % 10 IN (7, 8) AS failed, inspect_id % 10 = 7 AS gone, coalesce(json_valid(raw), false) AS valid,
     coalesce(CASE WHEN json_valid(raw) THEN json_type(raw) = 'ARRAY' AND json_array_length(raw) > 0
              AND json_type(raw, '$[0]') = 'OBJECT' ELSE false END, false) AS ok,
     CASE WHEN json_valid(raw) THEN json_extract_string(raw, '$[0].State.Status') END AS st,
@@ -140,8 +142,11 @@ FROM (
   FROM inspect) x
 """, ctes=("inspect",))
 def q_container_facts(spark, sf_dir):
-    i = fx.inspect(spark, sf_dir)
-    return i.select("inspect_id", "container", AR.flatten_container_inspect("raw").alias("c")).select(
+    """S18 with failed calls: every tenth container is gone, every tenth call fails without a word."""
+    kind = F.col("inspect_id") % 10
+    i = fx.inspect(spark, sf_dir).withColumn("exit_code", F.when(kind.isin(7, 8), 1).otherwise(0)).withColumn(
+        "stderr", F.when(kind == 7, F.lit(" Error: No such object: x\n")).otherwise(F.lit("")))
+    return i.select("inspect_id", "container", AR.flatten_container_inspect("raw", "exit_code", "stderr").alias("c")).select(
         "inspect_id", "container", "c.*")
 
 
@@ -160,14 +165,29 @@ SELECT sample_id,
          CAST(0 AS DOUBLE)
          + CAST(regexp_extract(uptime_text, 'up\\s+(\\d+):(\\d+),', 1) AS BIGINT) / CAST(24 AS DOUBLE)
          + CAST(regexp_extract(uptime_text, 'up\\s+(\\d+):(\\d+),', 2) AS BIGINT) / CAST(1440 AS DOUBLE)
-  END AS uptime_days
+  END AS uptime_days,
+  TRY_CAST(regexp_extract(disk_text, '100Gi ([0-9]+)% /', 1) AS INTEGER) AS disk_used_percent,
+  CASE battery_kind WHEN 0 THEN 93 WHEN 1 THEN 41 END AS battery_percent,
+  CASE battery_kind WHEN 0 THEN 'ac' WHEN 1 THEN 'battery' ELSE 'unknown' END AS power_source,
+  CASE WHEN installed_kind <> 0 THEN CASE outdated_kind WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END END AS outdated,
+  CASE backup_kind WHEN 0 THEN '/Volumes/tm/2024-01-31-235959.backup' WHEN 1 THEN '/Volumes/tm/2024-13-31-235959.backup'
+    WHEN 2 THEN '/Volumes/tm/latest' END AS latest_backup,
+  CASE WHEN backup_kind = 0 THEN greatest(0, 1706832000 - CAST(epoch(TIMESTAMP '2024-01-31 23:59:59') AS BIGINT)) END AS backup_age_seconds,
+  CASE launchd_kind WHEN 4 THEN NULL ELSE launchd_kind IN (0, 1) END AS launchd_loaded,
+  CASE launchd_kind WHEN 4 THEN NULL ELSE launchd_kind IN (0, 2) END AS launchd_running
 FROM collector
 """, ctes=("collector",))
 def q_collector_facts(spark, sf_dir):
     c = fx.collector(spark, sf_dir)
+    launchd = AR.parse_launchd_state("launchd_text", ["memory-worker", "memory-report"])
     return c.select("sample_id", AR.parse_memory_free("memory_text").alias("memory_free_percent"),
                     AR.parse_swap_used_mb("swap_text").alias("swap_used_mb"),
-                    AR.parse_uptime_days("uptime_text").alias("uptime_days"))
+                    AR.parse_uptime_days("uptime_text").alias("uptime_days"),
+                    AR.parse_disk_used_percent("disk_text").alias("disk_used_percent"), AR.parse_battery_percent("battery_text").alias("battery_percent"),
+                    AR.parse_power_source("battery_text").alias("power_source"), AR.parse_outdated_count("installed_text", "outdated_text").alias("outdated"),
+                    AR.parse_latest_backup("backup_text").alias("latest_backup"),
+                    AR.parse_backup_age_seconds("backup_text", F.lit(1706832000).cast("long")).alias("backup_age_seconds"),
+                    launchd["loaded"].alias("launchd_loaded"), launchd["running"].alias("launchd_running"))
 
 
 _AGENT_SQL = """

@@ -808,6 +808,16 @@ def collector(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.when(k % 2 == 0, F.lit("G")).otherwise(F.lit("M"))).alias("swap_text"),
         F.concat(F.lit("up "), F.when(k % 3 == 0, F.lit("")).otherwise(F.concat((k % 30).cast("string"), F.lit(" days, "))),
                  F.lit("3:15, 2 users")).alias("uptime_text"),
+        F.when(k % 9 == 0, F.lit("Filesystem")).otherwise(F.concat(
+            F.lit("Filesystem Size Used Avail Capacity Mounted\n/dev/d1  460Gi 10Gi 100Gi "),
+            F.when(k % 9 == 1, F.lit("x%")).otherwise(F.concat((k % 100).cast("string"), F.lit("%"))), F.lit(" /"))).alias("disk_text"),
+        _cases(k % 4, [(0, "Now drawing from 'AC Power'\n -Battery 93%; charged"), (1, "Now drawing from 'Battery Power'\n -Battery 41%; discharging"),
+                       (2, "no report\n'AC Power'")], "").alias("battery_text"),
+        F.when(k % 5 == 0, F.lit("")).otherwise(F.lit("/opt/bin/brew")).alias("installed_text"),
+        _cases(k % 3, [(0, "git\n\n  \nnode\n"), (1, "wget")], "").alias("outdated_text"),
+        _cases(k % 4, [(0, " /Volumes/tm/2024-01-31-235959.backup\n"), (1, "/Volumes/tm/2024-13-31-235959.backup"), (2, "/Volumes/tm/latest")], "").alias("backup_text"),
+        _cases(k % 5, [(0, "PID\tStatus\tLabel\n71\t0\tmemory-worker\n-\t0\tmemory-report"), (1, "-\t0\tmemory-worker\n-\t0\tmemory-report\n9\t0\tother"),
+                       (2, "5 0 memory-worker"), (3, "short line")], "").alias("launchd_text"),
     )
 
 
@@ -817,7 +827,10 @@ SELECT p_partkey AS sample_id,
   'total = 9.00G  used = ' || CAST(p_partkey % 8 AS VARCHAR) || '.50' || (CASE WHEN p_partkey % 2 = 0 THEN 'G' ELSE 'M' END)
     AS swap_text,
   'up ' || (CASE WHEN p_partkey % 3 = 0 THEN '' ELSE CAST(p_partkey % 30 AS VARCHAR) || ' days, ' END) || '3:15, 2 users'
-    AS uptime_text
+    AS uptime_text,
+  CASE WHEN p_partkey % 9 = 0 THEN 'Filesystem' ELSE 'Filesystem Size Used Avail Capacity Mounted' || chr(10) || '/dev/d1  460Gi 10Gi 100Gi '
+    || CASE WHEN p_partkey % 9 = 1 THEN 'x%' ELSE CAST(p_partkey % 100 AS VARCHAR) || '%' END || ' /' END AS disk_text,
+  p_partkey % 4 AS battery_kind, p_partkey % 5 AS installed_kind, p_partkey % 3 AS outdated_kind, p_partkey % 4 AS backup_kind, p_partkey % 5 AS launchd_kind
 FROM part
 """
 
