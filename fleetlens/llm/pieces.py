@@ -30,13 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import MEMO_WORD_BYTES, MEMO_WORDS, byte_values, prepare, table, worker_memo
+from fleetlens.llm.common import MEMO_WORD_BYTES, byte_values, prepare, table, worker_memo
 from fleetlens.llm.registry import query
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Unsettled characters beyond which convergence is looked for at every step, not only where one path is left.
+#: Unsettled characters beyond which convergence is looked for at every step, not only where one path is left;
+#: a stretch of at most this length is settled at once.
 PATIENCE = 64
+#: Stretches whose ids a Python worker remembers, about 200 bytes each.
+MEMO_STRETCHES = 1_000_000
 _STRETCH = re.compile(" +[^ \n]*|[^ \n]+|\n")
 
 
@@ -79,6 +82,8 @@ class PieceModel:
     def viterbi(self, s: str) -> tuple[list[int], int]:
         """Ids of a text whose spaces are U+2581, and the most characters that were unsettled at a time."""
         n, ids = len(s), []
+        if n <= PATIENCE:
+            return self._at_once(s), n
         best, back = {0: 0.0}, {}
         settled, most = 0, 0
         for i in range(n):
@@ -115,7 +120,32 @@ class PieceModel:
             self._commit(s, back, settled, n, ids)
         return ids, most
 
-    def _commit(self, s: str, back: dict, start: int, end: int, ids: list[int]) -> None:
+    def _at_once(self, s: str) -> list[int]:
+        """The search for a stretch that fits in what may be unsettled: nothing needs to be committed early."""
+        n, trie, unknown = len(s), self.trie, self.unknown
+        best, back = [-1e300] * (n + 1), [(0, -1)] * (n + 1)
+        best[0] = 0.0
+        for i in range(n):
+            base, node, single = best[i], trie, False
+            for j in range(i, n):
+                node = node.get(s[j])
+                if node is None:
+                    break
+                hit = node.get("")
+                if hit is not None:
+                    single |= j == i
+                    total = base + hit[1]
+                    if total > best[j + 1]:
+                        best[j + 1] = total
+                        back[j + 1] = (i, hit[0])
+            if not single and base + unknown > best[i + 1]:
+                best[i + 1] = base + unknown
+                back[i + 1] = (i, -1)
+        ids: list[int] = []
+        self._commit(s, back, 0, n, ids)
+        return ids
+
+    def _commit(self, s: str, back: dict | list, start: int, end: int, ids: list[int]) -> None:
         path = []
         while end > start:
             at, piece = back[end]
@@ -137,7 +167,7 @@ class PieceModel:
             got = memo.get(x)
             if got is None:
                 got = np.array(self.viterbi(x.replace(" ", SPACE))[0], "<u4").tobytes()
-                if len(memo) < MEMO_WORDS and len(x) <= MEMO_WORD_BYTES:
+                if len(memo) < MEMO_STRETCHES and len(x) <= MEMO_WORD_BYTES:
                     memo[x] = got
             out.append(got)
         return b"".join(out)
