@@ -230,7 +230,40 @@ ADMIN_OPTIONAL_GAUGES = [  # emitted only when the fact is present
 ]
 
 
-def admin_gauges(analysis: DataFrame, as_of_unix: int, host: str = "admin") -> DataFrame:
+# FIXED VALUES - help texts of the admin audit's metrics.
+ADMIN_HELP = {
+    "admin_host_audit_last_run_unixtime": "Unix timestamp of the last completed admin host audit.",
+    "admin_host_audit_status": "Overall admin host audit status encoded as one-hot levels.",
+    "admin_host_audit_findings_count": "Total number of audit findings.",
+    "admin_host_audit_findings_count_by_severity": "Number of audit findings grouped by severity.",
+    "admin_host_audit_upgradable_packages": "Number of upgradable packages detected by audit.",
+    "admin_host_audit_wifi_watchdog_events": "Broadcom Wi-Fi watchdog events seen in current boot.",
+    "admin_host_audit_reboot_required": "Whether reboot-required marker is present.",
+    "admin_host_reboot_detected_recently": "Whether the node booted recently according to audit.",
+    "admin_host_boot_time_unixtime": "Boot time derived from /proc/uptime.",
+    "admin_host_uptime_seconds": "Uptime in seconds derived from /proc/uptime.",
+    "admin_host_audit_timemachine_path_exists": "Whether Time Machine path exists.",
+    "admin_host_audit_timemachine_path_writable": "Whether Time Machine path is writable.",
+    "admin_host_audit_infra_backups_path_exists": "Whether infra-backups path exists.",
+    "admin_host_audit_infra_backups_path_writable": "Whether infra-backups path is writable.",
+    "admin_host_audit_smb_healthy": "Whether SMB service is healthy according to audit.",
+    "admin_host_audit_ssh_healthy": "Whether SSH service is healthy according to audit.",
+    "admin_host_audit_tailscale_healthy": "Whether Tailscale/network service is healthy according to audit.",
+    "admin_host_audit_fail2ban_healthy": "Whether fail2ban is healthy according to audit.",
+    "admin_host_audit_root_disk_used_percent": "Root filesystem used percent.",
+    "admin_host_audit_root_inode_used_percent": "Root inode used percent.",
+    "admin_host_timemachine_age_seconds": "Age of the newest Time Machine sparsebundle artifact in seconds.",
+    "admin_host_audit_log_age_seconds": "Age of the newest audit log in seconds.",
+    "admin_host_infra_backups_tar_age_seconds": "Age of newest VPS backup archive in seconds.",
+    "admin_host_infra_backups_sha_age_seconds": "Age of newest VPS backup checksum in seconds.",
+    "admin_host_infra_backups_tar_count": "Number of VPS backup archives present.",
+    "admin_host_infra_backups_sha_count": "Number of VPS backup checksum files present.",
+    "admin_host_infra_backups_pairs_match": "Whether VPS backup archives and checksum counts match.",
+    "admin_host_audit_finding_present": "Finding presence grouped by kind and severity.",
+}
+
+
+def admin_gauge_rows(analysis: DataFrame, as_of_unix: int, host: str = "admin") -> DataFrame:
     """D7 (admin): one-hot status, counts, fact flags and values (optional ones only when present) and the
     distinct (kind, severity) presence pairs. ``as_of_unix`` stands for the run time (reproducible)."""
     h = f'host="{host}"'
@@ -260,4 +293,17 @@ def admin_gauges(analysis: DataFrame, as_of_unix: int, host: str = "admin") -> D
         F.concat(F.lit(h + ',kind="'), p["k"], F.lit('",severity="'), p["s"], F.lit('"')).alias("labels"),
         F.lit("1").alias("value")))
     allrows = F.filter(F.concat(F.array(*rows), present), lambda x: x.isNotNull())
-    return analysis.select("log_id", F.inline(allrows))
+    return analysis.select("log_id", allrows.alias("rows"))
+
+
+def admin_gauges(analysis: DataFrame, as_of_unix: int, host: str = "admin") -> DataFrame:
+    """Long form ``(log_id, metric, labels, value)`` of :func:`admin_gauge_rows`."""
+    return admin_gauge_rows(analysis, as_of_unix, host).select("log_id", F.inline("rows"))
+
+
+def admin_exposition(analysis: DataFrame, as_of_unix: int, host: str = "admin") -> DataFrame:
+    """K5 (admin): one text per log."""
+    from fleetlens.operators.audits import exposition_text
+
+    return admin_gauge_rows(analysis, as_of_unix, host).select(
+        "log_id", exposition_text(F.col("rows"), ADMIN_HELP, "admin_host_audit_finding_present").alias("text"))

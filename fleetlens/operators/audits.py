@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.numeric import fmt_num, safe_float, safe_int
-from fleetlens.functions.text import finding_text, py_strip
+from fleetlens.functions.text import escape_label, finding_text, py_strip
 
 # Python str.splitlines() boundaries.
 LINE_BREAKS = r"\r\n|[\n\r\u000B\u000C\u001C\u001D\u001E\u0085\u2028\u2029]"
@@ -382,35 +382,87 @@ VPS_GAUGE_FAMILIES = [
 ] + [(f"vps_host_tailscale_serve_port_{p}", "flag", f"tailscale_serve_port_{p}", "yes") for p in VPS_TAILSCALE_PORTS]
 
 
-def vps_gauges(analysis: DataFrame) -> DataFrame:
-    """D7 (VPS): long-form gauges ``(log_id, metric, labels, value)`` from an :func:`analyze` result:
-    status code, finding counts, per-fact gauges and one presence gauge per finding."""
+def host_label(host) -> Column:
+    """``host="..."`` of a row, escaped."""
+    return F.concat(F.lit('host="'), escape_label(F.col(host) if isinstance(host, str) else host), F.lit('"'))
+
+
+def exposition_text(rows: Column, helps: dict[str, str], always: str | None = None) -> Column:
+    """K5: gauge rows (metric, labels, value) in order -> text: HELP and TYPE before a metric's first sample, one
+    line per sample. Metrics without a help text have no header; ``always``: a metric whose header comes even
+    where it has no sample."""
+    known = F.create_map(*[x for m, h in helps.items() for x in (F.lit(m), F.lit(f"# HELP {m} {h}\n# TYPE {m} gauge\n"))]) if helps else None
+
+    def line(x, i):
+        sample = F.concat(x["metric"], F.lit("{"), x["labels"], F.lit("} "), x["value"])
+        if known is None:
+            return sample
+        first = (i == 0) | (F.get(rows, i - 1)["metric"] != x["metric"])
+        return F.concat(F.when(first, F.coalesce(F.try_element_at(known, x["metric"]), F.lit(""))).otherwise(F.lit("")), sample)
+
+    text = F.array_join(F.transform(rows, line), "\n")
+    if always is not None:
+        absent = ~F.exists(rows, lambda x: x["metric"] == F.lit(always))
+        text = F.concat(text, F.when(absent, F.lit(f"\n# HELP {always} {helps[always]}\n# TYPE {always} gauge")).otherwise(F.lit("")))
+    return F.concat(text, F.lit("\n"))
+
+
+# FIXED VALUES - help texts of the VPS audit's metrics (finding_present has none).
+VPS_HELP = {
+    "vps_host_audit_status": "VPS host audit status (0=ok,1=warning,2=critical).",
+    "vps_host_audit_findings_count": "Total findings count.",
+    "vps_host_audit_findings_count_by_severity": "Findings count by severity.",
+    "vps_host_root_disk_used_percent": "Root disk used percent.",
+    "vps_host_root_inode_used_percent": "Root inode used percent.",
+    "vps_host_swap_used_mb": "Swap used in MB.",
+    "vps_host_docker_running_containers": "Running containers count.",
+    "vps_host_docker_unhealthy_containers": "Unhealthy containers count.",
+    "vps_host_docker_restarting_containers": "Restarting containers count.",
+    "vps_host_reboot_required": "Reboot required flag.",
+    "vps_host_fail2ban_healthy": "Fail2ban active flag.",
+    "vps_host_docker_daemon_healthy": "Docker daemon reachable flag.",
+    "vps_host_action_runner_healthy": "Action runner probe flag.",
+    "vps_host_prometheus_healthy": "Prometheus probe flag.",
+    "vps_host_alertmanager_healthy": "Alertmanager probe flag.",
+    "vps_host_grafana_healthy": "Grafana probe flag.",
+    "vps_host_tg_relay_healthy": "TG relay probe flag.",
+    "vps_host_node_exporter_healthy": "Node exporter probe flag.",
+    "vps_host_ufw_active": "UFW active flag.",
+    "vps_host_tailscale_serve_ok": "Tailscale serve status flag.",
+} | {f"vps_host_tailscale_serve_port_{p}": f"Tailscale serve port {p} present." for p in VPS_TAILSCALE_PORTS}
+
+
+def vps_gauge_rows(analysis: DataFrame) -> Column:
+    """D7 (VPS): status code, finding counts, per-fact gauges and one presence gauge per finding, for the row's host."""
     from fleetlens.functions.numeric import level_code
     from fleetlens.functions.text import drop_quotes_kind
 
-    host = F.lit('host="vps"')
-    fam = [
-        F.struct(F.lit("vps_host_audit_status").alias("metric"), host.alias("labels"),
-                 level_code(F.col("level")).cast("string").alias("value")),
-        F.struct(F.lit("vps_host_audit_findings_count").alias("metric"), host.alias("labels"),
-                 F.col("findings_count").cast("string").alias("value")),
-        F.struct(F.lit("vps_host_audit_findings_count_by_severity").alias("metric"),
-                 F.lit('host="vps",severity="warning"').alias("labels"), F.col("warning_count").cast("string").alias("value")),
-        F.struct(F.lit("vps_host_audit_findings_count_by_severity").alias("metric"),
-                 F.lit('host="vps",severity="critical"').alias("labels"),
-                 F.col("critical_count").cast("string").alias("value")),
-    ]
+    host = host_label("host")
+
+    def row(metric, labels, value):
+        return F.struct(F.lit(metric).alias("metric"), labels.alias("labels"), value.cast("string").alias("value"))
+
+    fam = [row("vps_host_audit_status", host, level_code(F.col("level"))), row("vps_host_audit_findings_count", host, F.col("findings_count"))]
+    fam += [row("vps_host_audit_findings_count_by_severity", F.concat(host, F.lit(f',severity="{sev}"')), F.col(f"{sev}_count"))
+            for sev in ("warning", "critical")]
     for metric, kind, key, arg in VPS_GAUGE_FAMILIES:
         v = _g(F.col("facts"), key)
-        val = (F.coalesce(F.nullif(v, F.lit("")), F.lit(arg)) if kind == "raw"
-               else F.when(_is(v, arg), F.lit("1")).otherwise(F.lit("0")))
-        fam.append(F.struct(F.lit(metric).alias("metric"), host.alias("labels"), val.alias("value")))
-    present = F.transform("findings", lambda f: F.struct(
-        F.lit("vps_host_audit_finding_present").alias("metric"),
-        F.concat(F.lit('host="vps",kind="'), drop_quotes_kind(f["kind"]), F.lit('",severity="'), f["severity"],
-                 F.lit('"')).alias("labels"), F.lit("1").alias("value")))
-    rows = F.concat(F.array(*fam), present)
-    return analysis.select("log_id", F.inline(rows))
+        fam.append(row(metric, host, F.coalesce(F.nullif(v, F.lit("")), F.lit(arg)) if kind == "raw"
+                       else F.when(_is(v, arg), F.lit("1")).otherwise(F.lit("0"))))
+    present = F.transform("findings", lambda f: row(
+        "vps_host_audit_finding_present", F.concat(host, F.lit(',kind="'), drop_quotes_kind(f["kind"]), F.lit('",severity="'), f["severity"], F.lit('"')), F.lit("1")))
+    return F.concat(F.array(*fam), present)
+
+
+def vps_gauges(analysis: DataFrame) -> DataFrame:
+    """Long form ``(log_id, metric, labels, value)`` of :func:`vps_gauge_rows` over an :func:`analyze` result."""
+    return analysis.select("log_id", F.inline(vps_gauge_rows(analysis)))
+
+
+def vps_exposition(analysis: DataFrame) -> DataFrame:
+    """K5 (VPS): one text per log."""
+    rows = analysis.select("log_id", vps_gauge_rows(analysis).alias("rows"))
+    return rows.select("log_id", exposition_text(F.col("rows"), VPS_HELP).alias("text"))
 
 
 def py_float_text(x: Column) -> Column:
@@ -420,21 +472,21 @@ def py_float_text(x: Column) -> Column:
             .otherwise(x.cast("string")))
 
 
-def stack_gauges(analysis: DataFrame, host: str = "vps") -> DataFrame:
+def stack_gauge_rows(analysis: DataFrame) -> Column:
     """D7 (monitoring stack): status, counts, component health, target counts, demo-app numbers and one
-    presence gauge per finding; labels sorted by key."""
+    presence gauge per finding, for the row's host; labels sorted by key."""
     from fleetlens.functions.numeric import safe_float
     from fleetlens.functions.text import sanitize_label
 
-    h = f'host="{host}"'
+    h = host_label("host")
     fx_ = F.col("facts")
     status = F.when(F.col("level") == "critical", 2).when(F.col("level") == "warning", 1).otherwise(0)
     rows = [
         ("monitoring_stack_audit_status", h, status.cast("string")),
         ("monitoring_stack_audit_findings_count", h, F.col("findings_count").cast("string")),
-        ("monitoring_stack_audit_findings_count_by_severity", h + ',severity="warning"',
+        ("monitoring_stack_audit_findings_count_by_severity", F.concat(h, F.lit(',severity="warning"')),
          F.col("warning_count").cast("string")),
-        ("monitoring_stack_audit_findings_count_by_severity", h + ',severity="critical"',
+        ("monitoring_stack_audit_findings_count_by_severity", F.concat(h, F.lit(',severity="critical"')),
          F.col("critical_count").cast("string")),
     ]
     for comp, probe in STACK_COMPONENTS:
@@ -450,9 +502,20 @@ def stack_gauges(analysis: DataFrame, host: str = "vps") -> DataFrame:
         v = safe_float(_g(fx_, key))
         v = F.when(v.isNull() | (v == 0), F.lit(0.0)).otherwise(v)
         rows.append((metric, h, py_float_text(v)))
-    fam = [F.struct(F.lit(m).alias("metric"), F.lit(lb).alias("labels"), v.alias("value")) for m, lb, v in rows]
+    fam = [F.struct(F.lit(m).alias("metric"), lb.alias("labels"), v.alias("value")) for m, lb, v in rows]
     present = F.transform("findings", lambda f: F.struct(
         F.lit("monitoring_stack_audit_finding_present").alias("metric"),
-        F.concat(F.lit(h + ',kind="'), sanitize_label(f["kind"]), F.lit('",severity="'), f["severity"], F.lit('"'))
+        F.concat(h, F.lit(',kind="'), sanitize_label(f["kind"]), F.lit('",severity="'), f["severity"], F.lit('"'))
         .alias("labels"), F.lit("1").alias("value")))
-    return analysis.select("log_id", F.inline(F.concat(F.array(*fam), present)))
+    return F.concat(F.array(*fam), present)
+
+
+def stack_gauges(analysis: DataFrame) -> DataFrame:
+    """Long form ``(log_id, metric, labels, value)`` of :func:`stack_gauge_rows`."""
+    return analysis.select("log_id", F.inline(stack_gauge_rows(analysis)))
+
+
+def stack_exposition(analysis: DataFrame) -> DataFrame:
+    """K5 (monitoring stack): one text per log; these metrics have no header lines."""
+    rows = analysis.select("log_id", stack_gauge_rows(analysis).alias("rows"))
+    return rows.select("log_id", exposition_text(F.col("rows"), {}).alias("text"))

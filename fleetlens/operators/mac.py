@@ -201,23 +201,35 @@ def should_emit_event(status: Column, force: Column | bool = False) -> Column:
 
 
 def agent_signals(evaluated: DataFrame, instance_col: str = "host") -> DataFrame:
-    """MacMemoryPressure signals built from evaluated snapshots (only warning / critical)."""
+    """MacMemoryPressure signals built from evaluated snapshots (only warning / critical), in the schema of
+    webhook signals: labels, annotations with the formatted facts, description, fingerprint of the labels."""
     e = evaluated.where(should_emit_event(F.col("status")))
+    none = F.lit("n/a")
     app = F.when(F.col("top_rss_kb").isNull(), F.lit("none")).otherwise(normalize_app_name("top_command"))
-    rss = F.when(F.col("top_rss_kb").isNull(), F.lit("n/a")).otherwise(fmt_num(F.col("top_rss_kb") / 1024.0, 0))
-    swap = F.coalesce(fmt_num(F.col("swap_used_mb"), 0), F.lit("n/a"))
-    free = F.when(F.col("memory_free_percent").isNull(), F.lit("n/a")).otherwise(
-        F.format_string("%.1f", F.col("memory_free_percent")))
+    rss = F.when(F.col("top_rss_kb").isNull(), none).otherwise(fmt_num(F.col("top_rss_kb") / 1024.0, 0))
+    swap = F.coalesce(fmt_num(F.col("swap_used_mb"), 0), none)
+    free = F.coalesce(fmt_num(F.col("memory_free_percent"), 1), none)
+    uptime = F.coalesce(fmt_num(F.col("uptime_days"), 1), none)
+    disk = F.coalesce(F.col("disk_used_percent").cast("string"), none)
+    reasons = F.when(F.size("reasons") > 0, F.array_join("reasons", ", ")).otherwise(F.lit("none"))
     summary = F.concat(F.col(instance_col), F.lit(" memory pressure: top="), app, F.lit(" rss="), rss,
                        F.lit("MB swap="), swap, F.lit("MB free="), free, F.lit("%"))
+    facts = [("status", F.col("status")), ("reasons", reasons), ("swap_used_mb", swap), ("memory_free_percent", free), ("uptime_days", uptime),
+             ("disk_used_percent", disk), ("top_app", app), ("top_rss_mb", rss), ("suggested_action", F.col("suggested_action")),
+             ("time", F.col("timestamp_utc"))]
+    description = F.array_join(F.array(*[F.concat(F.lit(k + "="), F.coalesce(v, F.lit(""))) for k, v in facts]), "\n")
+    annotations = {"summary": summary, "description": description, "top_app": app, "top_rss_mb": rss, "swap_used_mb": swap,
+                   "memory_free_percent": free, "uptime_days": uptime, "disk_used_percent": disk,
+                   "suggested_action": F.col("suggested_action"), "reason_text": reasons, "timestamp_utc": F.col("timestamp_utc")}
     labels = F.create_map(F.lit("alertname"), F.lit("MacMemoryPressure"), F.lit("instance"), F.col(instance_col),
                           F.lit("job"), F.lit("mac-agent"), F.lit("severity"), F.col("status"))
     return e.select(
         F.col("snapshot_id").alias("signal_id"), F.lit("agent").alias("source"), F.lit("firing").alias("status"),
         F.lit("MacMemoryPressure").alias("alertname"), F.col("status").alias("severity"),
-        F.col(instance_col).alias("instance"), F.lit("mac-agent").alias("job"), summary.alias("summary"),
-        fingerprint(labels, F.lit(None).cast("string")).alias("fingerprint"),
-        F.array_join("reasons", ", ").alias("reason_text"), F.col("suggested_action"),
+        F.col(instance_col).alias("instance"), F.lit("mac-agent").alias("job"), summary.alias("summary"), description.alias("description"),
+        fingerprint(labels, F.lit(None).cast("string")).alias("fingerprint"), labels.alias("labels"),
+        F.create_map(*[x for k, v in annotations.items() for x in (F.lit(k), v)]).alias("annotations"),
+        F.timestamp_seconds("timestamp_unix").alias("ts"), reasons.alias("reason_text"), F.col("suggested_action"),
     )
 
 
@@ -245,7 +257,33 @@ def snapshot_stamp(ts_utc: Column) -> Column:
     return F.concat(F.lit("audit_"), F.coalesce(F.nullif(s, F.lit("")), F.lit("unknown")))
 
 
-def mac_gauges(snaps: DataFrame) -> DataFrame:
+# FIXED VALUES - help texts of the Mac host audit's and the memory guard's metrics.
+MAC_HELP = {
+    "mac_host_audit_last_run_unixtime": "Last mac host audit snapshot timestamp.",
+    "mac_host_audit_status": "Mac host audit status (0=ok, 1=warning, 2=critical).",
+    "mac_host_audit_findings_count": "Mac host audit findings count.",
+    "mac_host_audit_memory_free_percent": "Mac memory free percent.",
+    "mac_host_audit_swap_used_mb": "Mac swap used megabytes.",
+    "mac_host_audit_disk_used_percent": "Mac root disk used percent.",
+    "mac_host_audit_battery_percent": "Mac battery percent.",
+    "mac_host_audit_brew_outdated_count": "Mac Homebrew outdated package count.",
+    "mac_host_audit_agent_launchd_loaded": "Mac memory guard launchd loaded.",
+    "mac_host_audit_finding_present": "Mac host audit finding presence by kind and severity.",
+}
+MEMORY_HELP = {
+    "mac_memory_status": "Mac memory status (0=ok, 1=warning, 2=critical).",
+    "mac_memory_free_percent": "System-wide memory free percentage from memory_pressure.",
+    "mac_swap_used_mb": "Swap used in megabytes.",
+    "mac_uptime_days": "Mac uptime in days.",
+    "mac_disk_used_percent": "Root filesystem used percent.",
+    "mac_battery_percent": "Mac battery percent.",
+    "mac_power_source": "Mac current power source (1=current source).",
+    "mac_top_process_rss_mb": "Top process RSS in megabytes.",
+    "mac_memory_last_run_unixtime": "Last successful run timestamp.",
+}
+
+
+def mac_gauge_rows(snaps: DataFrame) -> DataFrame:
     """D7 (Mac host audit): snapshot numbers as ``str(float)`` text (missing -> NaN), status with its level
     label, launchd flags (true only -> 1) and one presence gauge per finding. (The analysis-time gauge is
     wall-clock in the reference and is left out: results must be reproducible.)"""
@@ -274,10 +312,22 @@ def mac_gauges(snaps: DataFrame) -> DataFrame:
         F.lit("mac_host_audit_finding_present").alias("metric"),
         F.concat(F.lit('host="'), host, F.lit('",kind="'), f["kind"], F.lit('",severity="'), f["severity"], F.lit('"'))
         .alias("labels"), F.lit("1").alias("value")))
-    return a.select("snapshot_id", F.inline(F.concat(F.array(*fam), present)))
+    return a.select("snapshot_id", F.concat(F.array(*fam), present).alias("rows"))
 
 
-def memory_gauges(evaluated: DataFrame, host_label: str = "mba") -> DataFrame:
+def mac_gauges(snaps: DataFrame) -> DataFrame:
+    """Long form ``(snapshot_id, metric, labels, value)`` of :func:`mac_gauge_rows`."""
+    return mac_gauge_rows(snaps).select("snapshot_id", F.inline("rows"))
+
+
+def mac_exposition(snaps: DataFrame) -> DataFrame:
+    """K5 (Mac host audit): one text per snapshot."""
+    from fleetlens.operators.audits import exposition_text
+
+    return mac_gauge_rows(snaps).select("snapshot_id", exposition_text(F.col("rows"), MAC_HELP, "mac_host_audit_finding_present").alias("text"))
+
+
+def memory_gauge_rows(evaluated: DataFrame, host_label: str = "mba") -> DataFrame:
     """D7 (memory guard): status code, snapshot numbers (``str(float)``; missing -> NaN), one-hot power
     source, top process rss with two decimals (half-even) and the run time, in long form."""
     from fleetlens.operators.audits import py_float_text
@@ -301,6 +351,18 @@ def memory_gauges(evaluated: DataFrame, host_label: str = "mba") -> DataFrame:
     for src in ("ac", "battery", "unknown"):
         rows.append(row("mac_power_source", h + f',source="{src}"', F.when(power == src, "1").otherwise("0")))
     rows.append(row("mac_top_process_rss_mb", F.concat(F.lit(h + ',process="'), app, F.lit('"')),
-                    F.format_string("%.2f", F.bround(rss, 2))))
+                    fmt_num(rss, 2)))
     rows.append(row("mac_memory_last_run_unixtime", h, F.col("timestamp_unix").cast("string")))
-    return evaluated.select("snapshot_id", F.inline(F.array(*rows)))
+    return evaluated.select("snapshot_id", F.array(*rows).alias("rows"))
+
+
+def memory_gauges(evaluated: DataFrame, host_label: str = "mba") -> DataFrame:
+    """Long form ``(snapshot_id, metric, labels, value)`` of :func:`memory_gauge_rows`."""
+    return memory_gauge_rows(evaluated, host_label).select("snapshot_id", F.inline("rows"))
+
+
+def memory_exposition(evaluated: DataFrame, host_label: str = "mba") -> DataFrame:
+    """K5 (memory guard): one text per snapshot."""
+    from fleetlens.operators.audits import exposition_text
+
+    return memory_gauge_rows(evaluated, host_label).select("snapshot_id", exposition_text(F.col("rows"), MEMORY_HELP).alias("text"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetlens.operators import admin as AD
+from fleetlens.plans.audit_queries import exposition_sql, lines_of
 from fleetlens.plans.registry import query
 from fleetlens.sources import fixtures as fx
 
@@ -254,7 +255,7 @@ def _admin_gauge_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-@query("admin_gauges", f"""WITH {ADMIN_FINDINGS_SQL},
+_ADMIN_LEVELS_SQL = f"""WITH {ADMIN_FINDINGS_SQL},
 lv AS (
   SELECT a.*, count(f.pos) AS n, count(f.pos) FILTER (WHERE f.severity = 'warning') AS warning_n,
     count(f.pos) FILTER (WHERE f.severity = 'critical') AS critical_n,
@@ -262,7 +263,16 @@ lv AS (
          WHEN count(f.pos) > 0 THEN 'warning' ELSE 'ok' END AS overall
   FROM af a LEFT JOIN adf f ON f.log_id = a.log_id GROUP BY ALL
 )
-""" + _admin_gauge_sql(), ctes=("admin_logs",))
+"""
+
+
+@query("admin_gauges", _ADMIN_LEVELS_SQL + _admin_gauge_sql(), ctes=("admin_logs",))
 def q_admin_gauges(spark, sf_dir):
     """D7 (admin): the admin audit's gauge families in long form."""
     return AD.admin_gauges(_admin(spark, sf_dir), ADMIN_AS_OF_UNIX)
+
+
+@query("admin_exposition", _ADMIN_LEVELS_SQL + exposition_sql("log_id", _admin_gauge_sql(), AD.ADMIN_HELP, "admin_host_audit_finding_present"), ctes=("admin_logs",))
+def q_admin_exposition(spark, sf_dir):
+    """K5 (admin): the lines of every log's text."""
+    return lines_of(AD.admin_exposition(_admin(spark, sf_dir), ADMIN_AS_OF_UNIX), "log_id")

@@ -310,21 +310,37 @@ def q_finding_presence(spark, sf_dir):
     return f.select("log_id", sanitize_label("kind").alias("kind"), "severity").distinct()
 
 
+def exposition_sql(key: str, gauges: str, helps: dict[str, str], always: str | None = None) -> str:
+    """Lines of exposition texts from long-form gauges: samples, and the header of each metric that a text has."""
+    sql = f"SELECT {key}, metric || '{{' || labels || '}} ' || value AS line FROM ({gauges}) s"
+    if helps:
+        rows = ", ".join(f"('{m}', '{h}')" for m, h in helps.items())
+        have = f"SELECT DISTINCT {key}, metric FROM ({gauges}) a" + (f" UNION SELECT DISTINCT {key}, '{always}' FROM ({gauges}) c" if always else "")
+        for kind in ("'# HELP ' || b.metric || ' ' || help", "'# TYPE ' || b.metric || ' gauge'"):
+            sql += f"\nUNION ALL SELECT {key}, {kind} FROM ({have}) b JOIN (VALUES {rows}) h(metric, help) ON h.metric = b.metric"
+    return sql
+
+
+def lines_of(texts, key: str):
+    """One row per line of the texts (which end with a line break)."""
+    return texts.select(key, F.explode(F.split(F.regexp_replace("text", "\n$", ""), "\n")).alias("line"))
+
+
 def _gauge_sql() -> str:
     parts = [
-        "SELECT log_id, 'vps_host_audit_status' AS metric, 'host=\"vps\"' AS labels, "
+        "SELECT log_id, 'vps_host_audit_status' AS metric, 'host=\"' || host || '\"' AS labels, "
         "CAST(CASE level WHEN 'ok' THEN 0 WHEN 'warning' THEN 1 WHEN 'critical' THEN 2 ELSE 3 END AS VARCHAR) AS value FROM lv",
-        "SELECT log_id, 'vps_host_audit_findings_count', 'host=\"vps\"', CAST(findings_count AS VARCHAR) FROM lv",
-        "SELECT log_id, 'vps_host_audit_findings_count_by_severity', 'host=\"vps\",severity=\"warning\"', "
+        "SELECT log_id, 'vps_host_audit_findings_count', 'host=\"' || host || '\"', CAST(findings_count AS VARCHAR) FROM lv",
+        "SELECT log_id, 'vps_host_audit_findings_count_by_severity', 'host=\"' || host || '\",severity=\"warning\"', "
         "CAST(warning_count AS VARCHAR) FROM lv",
-        "SELECT log_id, 'vps_host_audit_findings_count_by_severity', 'host=\"vps\",severity=\"critical\"', "
+        "SELECT log_id, 'vps_host_audit_findings_count_by_severity', 'host=\"' || host || '\",severity=\"critical\"', "
         "CAST(critical_count AS VARCHAR) FROM lv",
     ]
     for metric, kind, key, arg in AU.VPS_GAUGE_FAMILIES:
         val = (f"coalesce(nullif({_q(key)}, ''), '{arg}')" if kind == "raw"
                else f"CASE WHEN {_is(key, arg)} THEN '1' ELSE '0' END")
-        parts.append(f"SELECT log_id, '{metric}', 'host=\"vps\"', {val} FROM fw")
-    parts.append("SELECT log_id, 'vps_host_audit_finding_present', 'host=\"vps\",kind=\"' || "
+        parts.append(f"SELECT log_id, '{metric}', 'host=\"' || host || '\"', {val} FROM fw")
+    parts.append("SELECT log_id, 'vps_host_audit_finding_present', 'host=\"' || host || '\",kind=\"' || "
                  "replace(replace(kind, '\"', ''), '\\', '_') || '\",severity=\"' || severity || '\"', '1' FROM fnd")
     return "\nUNION ALL\n".join(parts)
 
@@ -341,7 +357,7 @@ def _pyfloat_sql(x: str) -> str:
 
 
 def _stack_gauge_sql() -> str:
-    h = 'host="vps"'
+    h = "host=\"' || host || '\""
     parts = [
         f"SELECT log_id, 'monitoring_stack_audit_status' AS metric, '{h}' AS labels, "
         "CAST(CASE level WHEN 'critical' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END AS VARCHAR) AS value FROM lv",
@@ -373,3 +389,15 @@ def _stack_gauge_sql() -> str:
 def q_stack_gauges(spark, sf_dir):
     """Monitoring stack gauges in long form."""
     return AU.stack_gauges(_stack(spark, sf_dir))
+
+
+@query("vps_exposition", f"WITH {VPS_SQL}, {_levels_sql()}\n" + exposition_sql("log_id", _gauge_sql(), AU.VPS_HELP), ctes=("kv_logs",))
+def q_vps_exposition(spark, sf_dir):
+    """K5 (VPS): the lines of every log's text."""
+    return lines_of(AU.vps_exposition(_vps(spark, sf_dir)), "log_id")
+
+
+@query("stack_exposition", f"WITH {STACK_SQL}, {_levels_sql()}\n" + exposition_sql("log_id", _stack_gauge_sql(), {}), ctes=("kv_logs",))
+def q_stack_exposition(spark, sf_dir):
+    """K5 (monitoring stack): the lines of every log's text."""
+    return lines_of(AU.stack_exposition(_stack(spark, sf_dir)), "log_id")

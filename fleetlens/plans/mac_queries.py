@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.text import normalize_app_name
 from fleetlens.operators import mac as MAC
+from fleetlens.plans.audit_queries import exposition_sql, lines_of
 from fleetlens.plans.registry import query
 from fleetlens.sources import fixtures as fx
 
@@ -150,11 +151,19 @@ SELECT snapshot_id AS signal_id, 'agent' AS source, 'firing' AS status, 'MacMemo
     || 'MB free=' || coalesce(printf('%.1f', memory_free_percent), 'n/a') || '%' AS summary,
   sha256('{{"alertname":"MacMemoryPressure","instance":"' || host || '","job":"mac-agent","severity":"'
          || status || '"}}') AS fingerprint,
-  array_to_string(reasons, ', ') AS reason_text, suggested_action
+  CASE WHEN len(reasons) > 0 THEN array_to_string(reasons, ', ') ELSE 'none' END AS reason_text, suggested_action,
+  concat_ws(chr(10), 'status=' || status, 'reasons=' || CASE WHEN len(reasons) > 0 THEN array_to_string(reasons, ', ') ELSE 'none' END,
+    'swap_used_mb=' || coalesce({_r0('swap_used_mb')}, 'n/a'), 'memory_free_percent=' || coalesce(printf('%.1f', memory_free_percent), 'n/a'),
+    'uptime_days=' || coalesce(printf('%.1f', CAST(uptime_days AS DOUBLE)), 'n/a'), 'disk_used_percent=' || coalesce(CAST(disk_used_percent AS VARCHAR), 'n/a'),
+    'top_app=' || (CASE WHEN top_rss_kb IS NULL THEN 'none' ELSE APP END),
+    'top_rss_mb=' || (CASE WHEN top_rss_kb IS NULL THEN 'n/a' ELSE {_r0('rss')} END),
+    'suggested_action=' || suggested_action, 'time=' || coalesce(timestamp_utc, '')) AS description, 11 AS n_annotations, 'mac-agent' AS label_job
 FROM ev2 WHERE status IN ('warning', 'critical')
 """.replace("APP", _app_sql("top_command")), ctes=("snapshots", "processes"))
 def q_agent_signals(spark, sf_dir):
-    return MAC.agent_signals(_evaluated(spark, sf_dir))
+    a = MAC.agent_signals(_evaluated(spark, sf_dir))
+    return a.select(*[c for c in a.columns if c not in ("labels", "annotations", "ts")], F.size("annotations").alias("n_annotations"),
+                    F.col("labels")["job"].alias("label_job"))
 
 
 @query("snapshot_latest", """
@@ -246,14 +255,15 @@ _MAC_NUMS = [("mac_host_audit_last_run_unixtime", "timestamp_unix"),
              ("mac_host_audit_brew_outdated_count", "brew_outdated_count")]
 
 
-@query("mac_gauges", f"""WITH {MAC_FINDINGS_SQL},
+_MAC_LEVELS_SQL = f"""WITH {MAC_FINDINGS_SQL},
 lv AS (
   SELECT s.*, CASE WHEN count(f.pos) FILTER (WHERE f.severity = 'critical') > 0 THEN 'critical'
        WHEN count(f.pos) > 0 THEN 'warning' ELSE 'ok' END AS level, count(f.pos) AS n
   FROM snapshots s LEFT JOIN mf f ON f.snapshot_id = s.snapshot_id
   GROUP BY ALL
 )
-SELECT snapshot_id, 'mac_host_audit_status' AS metric, 'host="' || host || '",level="' || level || '"' AS labels,
+"""
+_MAC_GAUGES_SQL = ("""SELECT snapshot_id, 'mac_host_audit_status' AS metric, 'host="' || host || '",level="' || level || '"' AS labels,
   CAST(CASE level WHEN 'ok' THEN 0 WHEN 'warning' THEN 1 WHEN 'critical' THEN 2 ELSE 3 END AS VARCHAR) AS value FROM lv
 UNION ALL SELECT snapshot_id, 'mac_host_audit_findings_count', 'host="' || host || '"', CAST(n AS VARCHAR) FROM lv
 """ + "".join(f"UNION ALL SELECT snapshot_id, '{m}', 'host=\"' || host || '\"', {_pyf(f'CAST({c} AS DOUBLE)')} FROM lv\n"
@@ -262,7 +272,10 @@ UNION ALL SELECT snapshot_id, 'mac_host_audit_agent_launchd_loaded', 'host="' ||
   CASE WHEN agent_launchd_loaded THEN '1' ELSE '0' END FROM lv
 UNION ALL SELECT snapshot_id, 'mac_host_audit_finding_present',
   'host="' || host || '",kind="' || kind || '",severity="' || severity || '"', '1' FROM mf
-""", ctes=("snapshots",))
+""")
+
+
+@query("mac_gauges", _MAC_LEVELS_SQL + _MAC_GAUGES_SQL, ctes=("snapshots",))
 def q_mac_gauges(spark, sf_dir):
     """Mac host audit gauges in long form."""
     return MAC.mac_gauges(fx.snapshots(spark, sf_dir))
@@ -282,8 +295,9 @@ def q_process_lines(spark, sf_dir):
     return MAC.parse_process_lines(lines).select("host", "pid", "rss_kb", "mem_percent", "command")
 
 
-@query("memory_gauges", f"""WITH {_TOP_SQL}
-SELECT snapshot_id, 'mac_memory_status' AS metric, 'host="mba"' AS labels,
+_MEMORY_LEVELS_SQL = f"""WITH {_TOP_SQL}
+"""
+_MEMORY_GAUGES_SQL = ("""SELECT snapshot_id, 'mac_memory_status' AS metric, 'host="mba"' AS labels,
   CAST(CASE status WHEN 'ok' THEN 0 WHEN 'warning' THEN 1 WHEN 'critical' THEN 2 ELSE 3 END AS VARCHAR) AS value FROM ev2
 """ + "".join(f"UNION ALL SELECT snapshot_id, '{m}', 'host=\"mba\"', {_pyf(f'CAST({c} AS DOUBLE)')} FROM ev2\n" for m, c in (
     ("mac_memory_free_percent", "memory_free_percent"), ("mac_swap_used_mb", "swap_used_mb"),
@@ -293,9 +307,24 @@ SELECT snapshot_id, 'mac_memory_status' AS metric, 'host="mba"' AS labels,
     f"CASE WHEN coalesce(power_source, 'unknown') = '{s}' THEN '1' ELSE '0' END FROM ev2\n" for s in ("ac", "battery", "unknown"))
     + """UNION ALL SELECT snapshot_id, 'mac_top_process_rss_mb',
   'host="mba",process="' || (CASE WHEN top_rss_kb IS NULL THEN 'none' ELSE APP END) || '"',
-  printf('%.2f', round_even(coalesce(top_rss_kb / 1024.0, 0.0), 2)) FROM ev2
+  printf('%.2f', coalesce(CAST(top_rss_kb AS DOUBLE) / 1024, 0)) FROM ev2
 UNION ALL SELECT snapshot_id, 'mac_memory_last_run_unixtime', 'host="mba"', CAST(timestamp_unix AS VARCHAR) FROM ev2
-""".replace("APP", _app_sql("top_command")), ctes=("snapshots", "processes"))
+""".replace("APP", _app_sql("top_command")))
+
+
+@query("memory_gauges", _MEMORY_LEVELS_SQL + _MEMORY_GAUGES_SQL, ctes=("snapshots", "processes"))
 def q_memory_gauges(spark, sf_dir):
     """D7 (memory guard) over evaluated snapshots."""
     return MAC.memory_gauges(_evaluated(spark, sf_dir))
+
+
+@query("mac_exposition", _MAC_LEVELS_SQL + exposition_sql("snapshot_id", _MAC_GAUGES_SQL, MAC.MAC_HELP, "mac_host_audit_finding_present"), ctes=("snapshots",))
+def q_mac_exposition(spark, sf_dir):
+    """K5 (Mac host audit): the lines of every snapshot's text."""
+    return lines_of(MAC.mac_exposition(fx.snapshots(spark, sf_dir)), "snapshot_id")
+
+
+@query("memory_exposition", _MEMORY_LEVELS_SQL + exposition_sql("snapshot_id", _MEMORY_GAUGES_SQL, MAC.MEMORY_HELP), ctes=("snapshots", "processes"))
+def q_memory_exposition(spark, sf_dir):
+    """K5 (memory guard): the lines of every snapshot's text."""
+    return lines_of(MAC.memory_exposition(_evaluated(spark, sf_dir)), "snapshot_id")
