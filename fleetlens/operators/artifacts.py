@@ -66,6 +66,19 @@ def retention_rank(files: DataFrame, keep: int, order_col: str = "mtime_unix") -
     return out.select("host", "kind", "name", order_col, "rank", F.col("rank").isNull().alias("prune"))
 
 
+def weekly_retention(files: DataFrame, keep: int) -> DataFrame:
+    """W6, weekly reports: per (host, suffix) the first ``keep`` names in descending order stay (at least one).
+    ``weekly-latest`` sorts first, so it takes one of the places, and is never pruned. Only dated and latest
+    ``weekly-*.json`` / ``weekly-*.md`` files count."""
+    suffix = F.regexp_extract("name", r"^weekly-.*\.(json|md)$", 1)
+    f = files.select("host", "name", suffix.alias("suffix")).where(F.col("suffix") != "").distinct()
+    w = Window.partitionBy("host", "suffix").orderBy(F.col("name").desc())
+    kept = f.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max(keep, 1))
+    out = f.join(kept, ["host", "suffix", "name"], "left")
+    latest = F.col("name") == F.concat(F.lit("weekly-latest."), F.col("suffix"))
+    return out.select("host", "suffix", "name", "rank", (F.col("rank").isNull() & ~latest).alias("prune"))
+
+
 # ----------------------------------------------------------------------------- audit artifacts
 
 def latest_artifact(files: DataFrame, by: str, order_col: str, name_col: str) -> DataFrame:

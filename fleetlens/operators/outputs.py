@@ -118,6 +118,23 @@ def remediation_tasks(decided: DataFrame, action: str = "soft_quit_allowlisted_c
                     severity_priority(sev).alias("priority"))
 
 
+def remediation_results(steps: DataFrame) -> DataFrame:
+    """K13 from step payloads (columns ``action, severity, instance``; null counts as absent): the result of the
+    step and, where it succeeds, the ``mac_action`` task. A payload without an action fails."""
+    action = py_strip(F.coalesce("action", F.lit("")))
+    sev = F.lower(py_strip(F.coalesce("severity", F.lit("critical"))))
+    ok = action != ""
+    return steps.withColumn("result_status", F.when(ok, F.lit("success")).otherwise(F.lit("failed"))) \
+        .withColumn("exit_code", F.when(ok, F.lit(0)).otherwise(F.lit(1))) \
+        .withColumn("error", F.when(~ok, F.lit(MISSING_ACTION))) \
+        .withColumn("task_payload", F.when(ok, F.to_json(F.struct(action.alias("action"), py_strip(F.coalesce("instance", F.lit(""))).alias("instance"))))) \
+        .withColumn("task_priority", F.when(ok, severity_priority(sev)))
+
+
+# FIXED VALUES - the error of a remediation step without an action.
+MISSING_ACTION = "missing field: action"
+
+
 def failed_remediation_notices(tasks: DataFrame) -> DataFrame:
     """A failed ``mac_action`` completion queues a critical notify task built from the task payload and
     result (missing fields -> ``unknown``; target line only when present)."""

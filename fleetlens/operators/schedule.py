@@ -56,6 +56,7 @@ def schedule_signals(slots: DataFrame) -> DataFrame:
         F.coalesce(sig["severity"], F.lit("")).alias("severity"),
         F.coalesce(sig["instance"], F.lit("")).alias("instance"),
         F.coalesce(sig["job"], F.lit("")).alias("job"),
+        F.coalesce(sig["summary"], F.lit("")).alias("summary"),
         F.concat(F.lit("schedule:"), F.col("schedule_name"), F.lit(":"), sk).alias("fingerprint"),
     )
 

@@ -260,3 +260,39 @@ FROM responses
 def q_review_validation(spark, sf_dir):
     r = fx.responses(spark, sf_dir)
     return r.select("response_id", AR.validate_review("review").alias("v")).select("response_id", "v.*")
+
+
+@query("weekly_retention", """
+WITH f AS (
+  SELECT DISTINCT host, 'weekly-' || strftime(strptime(timestamp_utc, '%Y-%m-%d %H:%M:%S UTC'), '%Y-%m-%d_%H-%M') || x.s AS name, x.s[2:] AS suffix
+  FROM snapshots, (VALUES ('.json'), ('.md'), ('.txt')) x(s)
+  UNION SELECT DISTINCT host, 'weekly-latest' || x.s, x.s[2:] FROM snapshots, (VALUES ('.json'), ('.md')) x(s)),
+r AS (SELECT *, row_number() OVER (PARTITION BY host, suffix ORDER BY name DESC) AS rn FROM f WHERE suffix IN ('json', 'md'))
+SELECT host, suffix, name, CASE WHEN rn <= 12 THEN CAST(rn AS INTEGER) END AS rank,
+  rn > 12 AND name NOT LIKE 'weekly-latest.%' AS prune
+FROM r
+""", ctes=("snapshots",))
+def q_weekly_retention(spark, sf_dir):
+    """Weekly reports of every host, the latest link among them; other suffixes don't count."""
+    s = fx.snapshots(spark, sf_dir).select("host", F.regexp_replace(F.regexp_replace(F.substring("timestamp_utc", 1, 16), " ", "_"), ":", "-").alias("t"))
+    dated = s.select("host", F.explode(F.array(*[F.concat(F.lit("weekly-"), "t", F.lit(x)) for x in (".json", ".md", ".txt")])).alias("name"))
+    latest = s.select("host", F.explode(F.array(F.lit("weekly-latest.json"), F.lit("weekly-latest.md"))).alias("name"))
+    return AR.weekly_retention(dated.unionByName(latest), 12)
+
+
+_OBJECT_TEXT = "CASE response_id % 5 WHEN 0 THEN '[1,2]' WHEN 1 THEN '{{bad' WHEN 2 THEN '5' WHEN 3 THEN review ELSE '{{\"a\":\"1\",\"b\":\"x y\"}}' END".replace("{{", "{").replace("}}", "}")
+
+
+@query("safe_json_objects", f"""
+SELECT response_id, CAST(CASE WHEN json_valid(t) AND json_type(t) = 'OBJECT' THEN len(json_keys(t)) ELSE 0 END AS INTEGER) AS n_keys,
+  CASE WHEN json_valid(t) THEN json_extract_string(t, '$.b') END AS b
+FROM (SELECT response_id, {_OBJECT_TEXT} AS t FROM responses) x
+""", ctes=("responses",))
+def q_safe_json_objects(spark, sf_dir):
+    """Objects become maps; bad JSON, lists and numbers an empty map."""
+    from fleetlens.functions.maps import safe_json_object
+
+    k = F.col("response_id") % 5
+    t = F.when(k == 0, F.lit("[1,2]")).when(k == 1, F.lit("{bad")).when(k == 2, F.lit("5")).when(k == 3, F.col("review")).otherwise(F.lit('{"a":"1","b":"x y"}'))
+    m = safe_json_object(F.col("t"))
+    return fx.responses(spark, sf_dir).select("response_id", t.alias("t")).select("response_id", F.size(m).alias("n_keys"), F.try_element_at(m, F.lit("b")).alias("b"))

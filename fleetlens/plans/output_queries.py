@@ -9,10 +9,13 @@ from pyspark.sql import types as T
 from fleetlens.functions.maps import context_pick
 from fleetlens.functions.text import render_summary
 from fleetlens.operators import audits as AU
+from fleetlens.operators import mac as MAC
 from fleetlens.operators import outputs as OUT
 from fleetlens.operators import rules as R
 from fleetlens.plans.audit_queries import FACTS_SQL, VPS_SQL
+from fleetlens.plans.mac_queries import _TOP_SQL
 from fleetlens.plans.registry import query
+from fleetlens.plans.schedule_queries import DUE_SQL
 from fleetlens.plans.signal_queries import COOLDOWN_CTES, _sql_first_match, decisions
 from fleetlens.sources import fixtures as fx
 from fleetlens.sources.config import RULES, normalized_rules
@@ -139,6 +142,22 @@ def q_remediation_tasks(spark, sf_dir):
     return OUT.remediation_tasks(decisions(spark, sf_dir))
 
 
+@query("remediation_results", """
+SELECT signal_id, CASE WHEN a <> '' THEN 'success' ELSE 'failed' END AS result_status, CASE WHEN a <> '' THEN 0 ELSE 1 END AS exit_code,
+  CASE WHEN a = '' THEN 'missing field: action' END AS error,
+  CASE WHEN a <> '' THEN '{"action":"' || a || '","instance":"' || instance || '"}' END AS task_payload,
+  CASE WHEN a <> '' THEN CASE coalesce(sev, 'critical') WHEN 'critical' THEN 100 WHEN 'warning' THEN 70 WHEN 'info' THEN 50 WHEN 'test' THEN 10 ELSE 50 END END AS task_priority
+FROM (SELECT signal_id, instance, CASE signal_id % 4 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN 'soft_quit' ELSE 'quit' END AS a,
+        CASE WHEN signal_id % 3 = 0 THEN NULL ELSE severity END AS sev FROM signals) x
+""", ctes=("sig0", "signals"))
+def q_remediation_results(spark, sf_dir):
+    """K13 with payloads that miss the action (absent or blank) or the severity."""
+    k = F.col("signal_id") % 4
+    action = F.when(k == 0, F.lit("  ")).when(k == 2, F.lit(" soft_quit ")).when(k == 3, F.lit("quit"))
+    s = fx.signals(spark, sf_dir).select("signal_id", "instance", action.alias("action"), F.when(F.col("signal_id") % 3 != 0, F.upper("severity")).alias("severity"))
+    return OUT.remediation_results(s).select("signal_id", "result_status", "exit_code", "error", "task_payload", "task_priority")
+
+
 @query("failed_remediation", """
 SELECT id AS task_id, decision_id, 'notify' AS task_type, 100 AS priority, 'critical' AS severity,
   '[MAC][REMEDIATION FAILED] ' || a || ' on ' || i AS message,
@@ -315,3 +334,33 @@ def q_brief_markdown(spark, sf_dir):
         F.create_map(F.lit("host"), F.col("domain"), F.lit("metrics_path"),
                      F.concat(F.lit("/m/"), F.col("id").cast("string"), F.lit(".prom"))).alias("facts"))
     return j.select("id", OUT.render_brief_markdown(j).alias("markdown"))
+
+
+# ------------------------------------------------------------------ U-1 all signal sources in one schema
+
+@query("all_signals", f"""WITH {_TOP_SQL.lstrip()},
+{DUE_SQL.strip()},
+u AS (
+  SELECT 'alertmanager' AS source, status, alertname, severity, instance, job, summary, fingerprint FROM signals
+  UNION ALL
+  SELECT 'scheduler', status, alertname, severity, instance, job, '',
+    'schedule:' || name || ':' || strftime(slot_ts, '%Y-%m-%d %H:%M') FROM due2
+  UNION ALL
+  SELECT 'agent', 'firing', 'MacMemoryPressure', status, host, 'mac-agent', NULL,
+    sha256('{{"alertname":"MacMemoryPressure","instance":"' || host || '","job":"mac-agent","severity":"' || status || '"}}')
+  FROM ev2 WHERE status IN ('warning', 'critical')
+)
+SELECT source, alertname, severity, instance, fingerprint, decision, rule_name, alert_key FROM ({_sql_first_match('u')}) d
+""", ctes=("sig0", "signals", "snapshots", "processes"))
+def q_all_signals(spark, sf_dir):
+    """U-1: webhook alerts, scheduler slots and agent events in one schema, classified by the same rules."""
+    from fleetlens.operators import schedule as SC
+    from fleetlens.plans.mac_queries import _evaluated
+    from fleetlens.plans.schedule_queries import _due
+
+    s = fx.signals(spark, sf_dir)
+    alert = F.struct("status", "labels", "annotations", F.lit("").alias("fingerprint"))
+    alerts = OUT.alerts_from_webhook(s.select(F.to_json(F.struct(F.array(alert).alias("alerts"))).alias("body")))
+    u = alerts.unionByName(SC.schedule_signals(_due(spark, sf_dir)), allowMissingColumns=True).unionByName(
+        MAC.agent_signals(_evaluated(spark, sf_dir)), allowMissingColumns=True)
+    return R.first_match(u).select("source", "alertname", "severity", "instance", "fingerprint", "decision", "rule_name", "alert_key")

@@ -61,6 +61,13 @@ def q_stream_task_lifecycle(spark, sf_dir):
                       fmt_utc("finished_at").alias("finished_at"), "n_events")
 
 
+@query("stream_webhook_tasks", None)
+def q_stream_webhook_tasks(spark, sf_dir):
+    from fleetlens.plans.output_queries import EXECUTE_RULES
+
+    return TW.run_append(TW.stream_webhook_tasks(spark, sf_dir, EXECUTE_RULES), "webhook_tasks")
+
+
 # The twins share the batch oracles: the stream must produce exactly the batch result.
 def _share(stream_name: str, batch_name: str) -> None:
     if batch_name in ORACLE:
@@ -70,7 +77,7 @@ def _share(stream_name: str, batch_name: str) -> None:
 def register_shared_oracles() -> None:
     for s, b in (("stream_slot_dedup", "_fired_slot_keys"), ("stream_snapshot_latest", "snapshot_latest"),
                  ("stream_signal_rate", "windowed_signal_rate"), ("stream_task_lifecycle", "task_latest_state"),
-                 ("stream_stale_hosts", "stale_hosts")):
+                 ("stream_stale_hosts", "stale_hosts"), ("stream_webhook_tasks", "webhook_to_tasks")):
         _share(s, b)
 
 

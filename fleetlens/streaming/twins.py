@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from fleetlens.operators import outputs as OUT
 from fleetlens.operators import queue as Q
 from fleetlens.operators import rules as R
 from fleetlens.operators.mac import snapshot_latest
@@ -80,6 +81,15 @@ def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.first_match(s)
 
 
+def stream_webhook_tasks(spark: SparkSession, sf_dir: str, rules: list) -> DataFrame:
+    """T1 from webhook bodies to tasks: parsed (S1), classified (J1) and turned into task rows (K2) on arrival."""
+    ensure_session(spark)
+    s = fx.signals_from(fx.read_table_stream(spark, sf_dir, "events"))
+    alert = F.struct("status", "labels", "annotations", F.lit("").alias("fingerprint"))
+    bodies = s.select("signal_id", "ts", F.to_json(F.struct(F.array(alert).alias("alerts"))).alias("body"))
+    return OUT.decision_tasks(R.first_match(OUT.alerts_from_webhook(bodies), rules), OUT.rule_actions(spark, rules))
+
+
 # ----------------------------------------------------------------------------- T2
 
 _COOLDOWN_OUT = "signal_id long, decision string, late boolean"
