@@ -12,7 +12,8 @@ Packing keeps two sets, the unplaced units and the gaps of open sequences. A rou
 3. resolves what ranges leave over by rank: the k-th gap left in a range takes the k-th largest unit left
    in the nearest smaller ranges. Only the two counts of each range come to the driver;
 4. updates the gaps and opens new sequences for the largest units left, as many as the volume left over
-   makes necessary (at least one when nothing matched).
+   makes necessary (at least one when nothing matched). Where all units left are small (an eighth of a
+   sequence; a 32nd at the start), they fill new sequences in runs instead, which ends the rounds.
 
 Each round's state is a written table in the shared checkpoint folder, so a lost executor costs one
 round's task at most. Units of up to 32 tokens are first put together in bundles of at most 128, within
@@ -28,15 +29,14 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import (
     MEMO_WORD_BYTES,
-    MEMO_WORDS,
     byte_values,
-    discard,
     keep,
     parts_for,
     prepare,
@@ -49,6 +49,11 @@ CAPACITY = 4096
 END_ID = 1
 TINY, BUNDLE = 32, 128
 ROWS_PER_RANGE = 250_000
+#: Words whose ids a Python worker remembers, about 200 bytes each.
+MEMO_IDS = 1_200_000
+#: Units of which eight fit in a sequence may be laid out in runs; runs are cut at this many units.
+RUN_UNITS = 5000
+_MARK = b"\x01"
 
 _PIECES = "pid long, doc_id long, piece int, start long, length long, ids_crc32 long, unit long, unit_at long"
 _SWEPT = "kind string, part int, idx long, uid long, size long, seq long, free long"
@@ -71,23 +76,31 @@ def id_encoder(path: str):
     tools = worker_memo("tokenizers")
     if path not in tools:
         tools[path] = Tokenizer.from_file(path)
-    encode_batch = tools[path].encode_batch
+    tokenizer = tools[path]
+    mark = tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids[0]
+
+    def ids_of(words: list[bytes]) -> dict[bytes, bytes]:
+        """Fresh words, encoded together: a mark between them shows where each word's ids end."""
+        out = {w: np.array(tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes() for w in words if _MARK in w}
+        words = [w for w in words if _MARK not in w]
+        for at in range(0, len(words), 500):
+            part = words[at:at + 500]
+            text = (b" " + _MARK + b" ").join(part).decode("utf-8", "replace")
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            cuts, raw = np.flatnonzero(ids == mark).tolist(), ids.tobytes()
+            out.update((w, raw[4 * lo:4 * hi]) for w, lo, hi in zip(part, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True))
+        return out
 
     def encode(texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         fresh = list(set().union(*split).difference(memo))
-        known = memo
-        if fresh:
-            ids = {}
-            for at in range(0, len(fresh), 5000):
-                part = fresh[at:at + 5000]
-                done = encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-                ids.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, done))
-            if len(memo) + len(ids) <= MEMO_WORDS:
-                memo.update((w, x) for w, x in ids.items() if len(w) <= MEMO_WORD_BYTES)
-            get = memo.get
-            return [b"".join([ids[w] if (x := get(w)) is None else x for w in words]) for words in split]
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        if not fresh:
+            return [b"".join(map(memo.__getitem__, words)) for words in split]
+        ids = ids_of(fresh)
+        if len(memo) + len(ids) <= MEMO_IDS:
+            memo.update((w, x) for w, x in ids.items() if len(w) <= MEMO_WORD_BYTES)
+        get = memo.get
+        return [b"".join([ids[w] if (x := get(w)) is None else x for w in words]) for words in split]
 
     return encode
 
@@ -198,6 +211,31 @@ def across(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int,
     return out
 
 
+def volumes(tally, unit_rows: DataFrame, done: DataFrame, gaps: DataFrame, crossed: bool) -> tuple[int, int, int, int]:
+    """Tokens of the units left, free room of all gaps, size of the largest and of the smallest unit left."""
+    if not crossed:
+        sizes = [(r["hi"], r["lo"]) for r in tally if r["u"]]
+        return sum(r["s"] for r in tally), sum(r["f"] + r["pf"] for r in tally), max(x[0] for x in sizes), min(x[1] for x in sizes)
+    size, most, least = unit_rows.agg(F.sum("size"), F.max("size"), F.min("size")).first()
+    return size, gaps.agg(F.coalesce(F.sum("free"), F.lit(0))).first()[0], most, least
+
+
+def _lay_out(capacity: int, next_seq: int):
+    """Small units one after the other into new sequences, run by run."""
+
+    def run(key, g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("rank")
+        seq, at, out = next_seq + int(key[0]) * RUN_UNITS, 0, []
+        for size in g["size"].tolist():
+            if at + size > capacity:
+                seq, at = seq + 1, 0
+            out.append((seq, at))
+            at += size
+        return pd.DataFrame({"uid": g["uid"].to_numpy(), "seq": [x[0] for x in out], "at": [x[1] for x in out]})
+
+    return run
+
+
 def _spans(rows: list[tuple], schema: str, spark: SparkSession) -> DataFrame:
     """A few rows per range (so bounded by the number of ranges), for a broadcast."""
     return F.broadcast(spark.createDataFrame(rows, schema))
@@ -206,10 +244,9 @@ def _spans(rows: list[tuple], schema: str, spark: SparkSession) -> DataFrame:
 def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(uid, size) -> (uid, seq, at): the sequence of each unit and its place there, gapless from 0."""
     spark = units.sparkSession
-    size_sum = F.coalesce(F.sum("size"), F.lit(0))
-    total, n, big = units.agg(size_sum, F.count(F.lit(1)), F.count_if(F.col("size") * 2 > capacity)).first()
+    total, n, big = units.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("size") * 2 > capacity)).first()
     waiting, gaps, placed, next_seq = units.select("uid", "size"), None, [], 0
-    want, n_gaps, old = max(-(-total // capacity), big), 0, None
+    want, n_gaps = max(-(-total // capacity), big), 0
     while n:
         rows = waiting.select(F.lit(0).alias("kind"), "size", F.col("uid").alias("id"))
         if gaps is not None:
@@ -222,6 +259,7 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             F.count_if(F.col("kind") == "gap").alias("g"), F.coalesce(F.sum(F.when(F.col("kind") == "unit", F.col("size"))), F.lit(0)).alias("s"),
             F.coalesce(F.sum(F.when(F.col("kind") == "gap", F.col("free"))), F.lit(0)).alias("f"),
             F.coalesce(F.sum(F.when(F.col("kind") == "placed", F.col("free") - F.col("size"))), F.lit(0)).alias("pf"),
+            F.max(F.when(F.col("kind") == "unit", F.col("size"))).alias("hi"), F.min(F.when(F.col("kind") == "unit", F.col("size"))).alias("lo"),
         ).orderBy("part").collect()
         pairs = across([(r["part"], r["u"], r["g"]) for r in tally])
         done = swept.where(F.col("kind") == "placed").select("uid", "size", "seq", "free")
@@ -229,14 +267,15 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         if pairs:
             schema = "part int, lo long, hi long, gap_part int, shift long"
             by_unit = _spans([(up, uf, uf + k, gp, gf - uf) for gp, gf, up, uf, k in pairs], schema, spark)
+            by_gap = _spans([(gp, gf, gf + k, gp, 0) for gp, gf, _, _, k in pairs], schema, spark)
             on = lambda x, s: (x["part"] == s["part"]) & (x["idx"] >= s["lo"]) & (x["idx"] < s["hi"])
-            u2 = unit_rows.join(by_unit, on(unit_rows, by_unit), "left").select(
-                "uid", "size", unit_rows["part"].alias("part"), "idx", F.col("gap_part").alias("gp"), (F.col("idx") + F.col("shift")).alias("gi"))
-            g2 = gap_rows.select(F.col("seq"), F.col("free"), F.col("part").alias("gp"), F.col("idx").alias("gi"))
-            met = keep(u2.join(g2, ["gp", "gi"], "full"), "across")
-            done = done.unionByName(met.where(F.col("uid").isNotNull() & F.col("seq").isNotNull()).select("uid", "size", "seq", "free"))
-            unit_rows = met.where(F.col("seq").isNull()).select("part", "idx", "uid", "size")
-            gap_rows = met.where(F.col("uid").isNull()).select("seq", "free")
+            spot = [F.col("gap_part").alias("gp"), (F.col("idx") + F.col("shift")).alias("gi")]
+            u2 = unit_rows.join(by_unit, on(unit_rows, by_unit), "left").select("uid", "size", unit_rows["part"].alias("part"), "idx", *spot)
+            g2 = gap_rows.join(by_gap, on(gap_rows, by_gap), "left").select("seq", "free", *spot)
+            met = u2.where(F.col("gp").isNotNull()).join(g2.where(F.col("gp").isNotNull()), ["gp", "gi"])
+            done = keep(done.unionByName(met.select("uid", "size", "seq", "free")), "met")
+            unit_rows = u2.where(F.col("gp").isNull()).select("part", "idx", "uid", "size")
+            gap_rows = g2.where(F.col("gp").isNull()).select("seq", "free")
         crossed = {}
         for _, _, up, _, k in pairs:
             crossed[up] = crossed.get(up, 0) + k
@@ -245,12 +284,12 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         placed.append(done.select("uid", "seq", (F.lit(capacity) - F.col("free")).alias("at")))
         gaps_now = gap_rows.select("seq", "free").unionByName(
             done.select("seq", (F.col("free") - F.col("size")).alias("free"))).where(F.col("free") > 0)
-        opened = 0
+        opened, in_runs = 0, False
         if n_left:
-            # the volume that no open gap can hold; before the first round, every unit over half a sequence too
-            size_left = sum(r["s"] for r in tally) if not pairs else met.where(F.col("seq").isNull()).agg(size_sum).first()[0]
-            free_left = gaps_now.agg(F.coalesce(F.sum("free"), F.lit(0))).first()[0]
+            # what no open gap can hold; at first, every unit over half a sequence too
+            size_left, free_left, widest, least = volumes(tally, unit_rows, done, gaps_now, bool(pairs))
             need = -(-max(size_left - free_left, 0) // capacity)
+            in_runs = widest * (32 if want else 8) <= capacity and need > 0
             opened = min(n_left, want if want else max(need, 0 if matched else 1))
             want = 0
         if opened:
@@ -260,7 +299,10 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 ranks.append((r["part"], shift - crossed.get(r["part"], 0)))
                 shift += r["u"] - crossed.get(r["part"], 0)
             ranked = unit_rows.join(_spans(ranks, "part int, before long", spark), "part").withColumn("rank", F.col("before") + F.col("idx"))
-            ranked = keep(ranked.select("uid", "size", "rank"), "ranked")
+            if in_runs:
+                placed.append(ranked.select("uid", "size", "rank", F.floor(F.col("rank") / RUN_UNITS).alias("run"))
+                              .groupBy("run").applyInPandas(_lay_out(capacity, next_seq), "uid long, seq long, at long"))
+                break
             new = ranked.where(F.col("rank") < opened).select("uid", "size", (F.col("rank") + next_seq).alias("seq"))
             placed.append(new.select("uid", "seq", F.lit(0).cast("long").alias("at")))
             gaps_now = gaps_now.unionByName(new.select("seq", (F.lit(capacity) - F.col("size")).alias("free")).where(F.col("free") > 0))
@@ -270,7 +312,6 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             waiting = unit_rows.select("uid", "size")
         n = n_left - opened
         if n:
-            least = waiting.agg(F.min("size")).first()[0]
             gaps = gaps_now.where(F.col("free") >= least)
             n_gaps = next_seq
     if not placed:
