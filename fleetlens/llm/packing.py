@@ -289,7 +289,8 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             # what no open gap can hold; at first, every unit over half a sequence too
             size_left, free_left, widest, least = volumes(tally, unit_rows, done, gaps_now, bool(pairs))
             need = -(-max(size_left - free_left, 0) // capacity)
-            in_runs = widest * (32 if want else 8) <= capacity and need > 0
+            # (while a round still places most units, gaps serve better than runs)
+            in_runs = widest * (32 if want else 8) <= capacity and need > 0 and matched <= n_left
             opened = min(n_left, want if want else max(need, 0 if matched else 1))
             want = 0
         if opened:
