@@ -228,14 +228,16 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolved(records_: DataFrame) -> DataFrame:
-    """Revisits get size and checksum of the payload of the response that they refer to."""
+    """Revisits get size and checksum of the payload of the response that they refer to. Only revisits are
+    joined, so the null references of all other records don't meet in one partition."""
     full = records_.where("record_type = 'response'").groupBy(F.col("record_id").alias("_id")).agg(
         F.max(F.struct("payload_digest", "payload_bytes")).alias("_full"))
-    out = records_.join(full, (records_["refers_to"] == full["_id"]) & (records_["record_type"] == "revisit"), "left")
-    revisit = F.col("record_type") == "revisit"
-    return (out.withColumn("payload_bytes", F.when(revisit, F.col("_full.payload_bytes")).otherwise(F.col("payload_bytes")))
-            .withColumn("payload_digest", F.when(revisit, F.col("_full.payload_digest")).otherwise(F.col("payload_digest")))
-            .withColumn("digest_ok", F.col("payload_digest") == F.col("declared_digest")).drop("_id", "_full"))
+    revisit = F.coalesce(F.col("record_type") == "revisit", F.lit(False))
+    again = records_.where(revisit).drop("payload_bytes", "payload_digest")
+    again = again.join(full, again["refers_to"] == full["_id"], "left").withColumn("payload_bytes", F.col("_full.payload_bytes")).withColumn(
+        "payload_digest", F.col("_full.payload_digest"))
+    out = records_.where(~revisit).unionByName(again.select(*records_.columns))
+    return out.withColumn("digest_ok", F.col("payload_digest") == F.col("declared_digest"))
 
 
 def page_number(col: str) -> Column:
