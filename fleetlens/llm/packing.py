@@ -223,7 +223,7 @@ def volumes(tally, unit_rows: DataFrame, done: DataFrame, gaps: DataFrame, cross
 def _lay_out(capacity: int, next_seq: int):
     """Small units one after the other into new sequences, run by run."""
 
-    def run(key, g: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("rank")
         seq, at, out = next_seq + int(key[0]) * RUN_UNITS, 0, []
         for size in g["size"].tolist():

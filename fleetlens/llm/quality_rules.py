@@ -117,8 +117,31 @@ def judge(docs: DataFrame, host: str = "source", max_rate: float = HOST_MAX_RATE
     return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("host_rejected"), F.lit(False)))
 
 
-@query("op3_quality_rules")
+@query("op3_quality_rules", r"""
+WITH w AS (
+  SELECT doc_id, source AS host, coalesce(text, '') AS t,
+    [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] AS ws,
+    [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+  FROM documents),
+v AS (
+  SELECT doc_id, s, array_to_string(ws[s:s + 7], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS s FROM w WHERE len(ws) >= 8)),
+r AS (SELECT doc_id, s FROM v QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(s, s + 8)) AS p FROM r) GROUP BY doc_id),
+d AS (
+  SELECT w.doc_id, host, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN c ON c.doc_id = w.doc_id),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM d),
+h AS (SELECT host, count(*) AS n, count(*) FILTER (WHERE base_failed) AS f FROM b GROUP BY host),
+m AS (SELECT (sum(f) + 1) / (sum(n) + 2.0) AS mean, count(*) AS k, var_pop(f / n) AS v, avg(1.0 / n) AS inv FROM h),
+q AS (SELECT mean, mean * (1 - mean) AS room, CASE WHEN k > 1 THEN greatest(v - mean * (1 - mean) * inv, 0) ELSE 0 END AS spread FROM m),
+z AS (SELECT mean, CASE WHEN spread > 0 THEN least(greatest(room / spread - 1, 1), 1000) ELSE 1000 END AS strength FROM q),
+j AS (SELECT host, (f + mean * strength) / (n + strength) >= 0.9 AS rejected FROM h CROSS JOIN z)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept, b.host
+FROM b JOIN j ON j.host IS NOT DISTINCT FROM b.host
+""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "host", "host_docs", "host_rate", "host_rejected")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host")

@@ -160,14 +160,14 @@ def contract(offsets: list[int], following: list, limit: int) -> list[int]:
     return [out[o] for o in offsets]
 
 
-def _contract(key, g: pd.DataFrame) -> pd.DataFrame:
+def _contract(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
     g = g.sort_values("offset")
     exits = contract(g["offset"].tolist(), g["next"].tolist(), (int(key[1]) + 1) * BUCKET)
     out = pd.DataFrame({"file": g["file"], "offset": g["offset"], "leaves_to": exits})
     return out[out["leaves_to"] >= 0]
 
 
-def _walk(key, g: pd.DataFrame) -> pd.DataFrame:
+def _walk(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
     """Marks what the bucket's entry reaches; ``owner`` is the reached record that a segment lies in."""
     g = g.sort_values("offset")
     entry, owners, reached = g["entry"].iloc[0], [], []
