@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -52,9 +51,11 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(window_hashes(word_hashes(words, worker_memo("word hashes")), min(SHINGLE, len(words)), seed=min(len(words), SHINGLE) % SHINGLE))
 
 
-@lru_cache(1)
 def _factors() -> np.ndarray:
-    return mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
+    memo = worker_memo("minhash factors")
+    if HASHES not in memo:
+        memo[HASHES] = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
+    return memo[HASHES]
 
 
 def minhash(s: np.ndarray) -> np.ndarray:
@@ -76,13 +77,15 @@ def band_keys(m: np.ndarray) -> np.ndarray:
     return k.view(np.int64)
 
 
-@lru_cache(16)
 def least_matches(threshold: float, tolerance: float = TOLERANCE) -> tuple[int, ...]:
     """For 16, 32, ... compared values: the fewest matches at which a pair still has a chance.
 
     Posterior of the similarity after c matches of n: Beta(c + 1, n - c + 1); the tail above the threshold
     is integrated numerically.
     """
+    memo, key = worker_memo("least matches"), (threshold, tolerance, HASHES, STEP)
+    if key in memo:
+        return memo[key]
     x = (np.arange(20000) + 0.5) / 20000
     out = []
     for n in range(STEP, HASHES + 1, STEP):
@@ -92,7 +95,8 @@ def least_matches(threshold: float, tolerance: float = TOLERANCE) -> tuple[int,
             if p[x >= threshold].sum() >= tolerance * p.sum():
                 break
         out.append(c)
-    return tuple(out)
+    memo[key] = tuple(out)
+    return memo[key]
 
 
 def survivors(one: np.ndarray, many: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:

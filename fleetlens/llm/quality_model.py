@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import MEMO_WORD_BYTES, MEMO_WORDS, byte_values, keep, prepare, table, worker_memo
+from fleetlens.llm.common import MEMO_WORD_BYTES, byte_values, keep, prepare, table, worker_memo
 from fleetlens.llm.registry import query
 
 TRAIN_DOCS = 4000
@@ -37,6 +37,8 @@ LEAST_SCORE = 0.5
 #: Labellers abstain on texts with fewer words, and scores of short texts are drawn to the share of good texts:
 #: the scorer's logit counts n, the prior's counts FEW_WORDS.
 FEW_WORDS = 8
+#: Words whose facts a Python worker remembers, about 130 bytes each.
+MEMO_FACTS = 1_500_000
 GOOD, BAD, ABSTAIN = "1", "0", "-"
 
 #: Shares of a text: at most the first is ordinary, at least the second is junk, between them unclear.
@@ -77,9 +79,19 @@ def _shape(word: str) -> str:
 def _word_facts(word: bytes) -> int:
     """Hashed shape, and above it: shouts, bare mark, odd end, number of capitals."""
     s = word.decode("utf-8", "replace")
-    shouts, bare = word.endswith(b"!!"), not any(c.isalnum() for c in s)
+    core = s.rstrip(".,;:?!")
+    if core.isalpha() and (core.islower() or core[1:].islower()):  # most words: letters, then marks
+        capitals = int(not core.islower())
+        tails, tail = worker_memo("word ends"), s[len(core):]
+        if tail not in tails and len(tails) < 10_000:
+            tails[tail] = _shape(tail)
+        shape = ("a" if not capitals else "Aa" if len(core) > 1 else "A") + (tails[tail] if tail in tails else _shape(tail))
+        bare = False
+    else:
+        capitals, shape, bare = sum(c.isupper() for c in s), _shape(s), not any(c.isalnum() for c in s)
+    shouts = word.endswith(b"!!")
     odd = shouts or not (s[-1].isalnum() or s[-1] in _ENDS)
-    return zlib.crc32(_shape(s).encode()) % (DIMS - 64) | shouts << 16 | bare << 17 | odd << 18 | sum(c.isupper() for c in s) << 20
+    return zlib.crc32(shape.encode()) % (DIMS - 64) | shouts << 16 | bare << 17 | odd << 18 | capitals << 20
 
 
 def _facts(words: list[bytes]) -> np.ndarray:
@@ -88,7 +100,7 @@ def _facts(words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
     except KeyError:
         own = {w: _word_facts(w) for w in set(words).difference(memo)}
-        if len(memo) + len(own) <= MEMO_WORDS:
+        if len(memo) + len(own) <= MEMO_FACTS:
             memo.update((w, f) for w, f in own.items() if len(w) <= MEMO_WORD_BYTES)
         return np.array([own[w] if (f := memo.get(w)) is None else f for w in words], np.int64)
 
