@@ -100,9 +100,15 @@ def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def examples(docs: DataFrame, learnable, per_language: int = PER_LANGUAGE) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """(language, feature places, values) of the bounded sample. ``learnable``: condition on doc_id."""
     ids = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & learnable).select("doc_id", "lang")
-    h = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    w = Window.partitionBy("lang").orderBy(h, "doc_id")
-    picked = ids.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= per_language).select("doc_id").distinct()
+    h = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30))
+    sizes = ids.groupBy("lang").count().collect()  # a row per language
+    if not sizes:
+        return []
+    # a threshold on the hash leaves about twice the sample, so no task ranks all documents of a language
+    limit = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, (2 * per_language + 50) / r["count"]) * (1 << 30)))])
+    few = ids.withColumn("_h", h).where(F.col("_h") <= limit[F.col("lang")])
+    w = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    picked = few.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= per_language).select("doc_id").distinct()
     # the picked ids are bounded by per_language x languages
     sample = docs.where(F.col("lang").isNotNull() & learnable).select("doc_id", "lang", "text").join(F.broadcast(picked), "doc_id", "left_semi")
     rows = sample.select("lang", "text").mapInArrow(_example_rows, "lang string, at binary, x binary").orderBy("lang", F.md5("x")).collect()
