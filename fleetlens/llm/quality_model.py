@@ -38,7 +38,7 @@ LEAST_SCORE = 0.5
 #: the scorer's logit counts n, the prior's counts FEW_WORDS.
 FEW_WORDS = 8
 #: Words whose facts a Python worker remembers, about 130 bytes each.
-MEMO_FACTS = 1_500_000
+MEMO_FACTS = 700_000
 GOOD, BAD, ABSTAIN = "1", "0", "-"
 
 #: Shares of a text: at most the first is ordinary, at least the second is junk, between them unclear.
@@ -62,6 +62,8 @@ _LATER_BYTES = bytes(range(0x80, 0xC0))
 _ASCII_MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 #: What an ordinary word may end with besides letters and digits.
 _ENDS = ".,;:?!)]}'\"\u2019\u201d\u00bb\u2026"
+#: Words of a stretch in which repeated words are counted.
+STRETCH = 100
 _REPEATS, _AGAIN, _CONSTANT = DIMS - 64, DIMS - 63, DIMS - 62
 
 
@@ -95,7 +97,7 @@ def _word_facts(word: bytes) -> int:
 
 
 def _facts(words: list[bytes]) -> np.ndarray:
-    memo = worker_memo("word shapes")
+    memo = worker_memo("word shapes", large=True)
     try:
         return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
     except KeyError:
@@ -116,7 +118,8 @@ def examine(text: bytes) -> tuple[str, np.ndarray | None]:
     marks = len(text) - len(text.translate(None, _ASCII_MARKS))
     lines = [x for x in text.split(b"\n") if x.strip()]
     same = sum(map(bytes.__eq__, words, words[1:]))
-    distinct = len(set(words))
+    # distinct words within stretches, so that a long text isn't taken for a repetitive one
+    distinct = sum(len(set(words[i:i + STRETCH])) for i in range(0, n, STRETCH))
     shares = {
         "symbols": (len(text) - len(text.translate(None, _SYMBOLS))) / chars,
         "odd_ends": (facts >> 18 & 1).sum() / n,
@@ -149,7 +152,7 @@ def posteriors(patterns: dict[str, int], rounds: int = 200) -> dict[str, float]:
     """Probability of good for each vote pattern, by expectation-maximisation over labeller accuracies.
 
     A labeller that votes says good with one probability on good documents and with another on bad ones (with
-    pseudo-counts); labellers are independent given the class, and an abstention says nothing. Starts from the
+    pseudo-counts); labellers are independent given the class and no worse than a coin, and an abstention says nothing. Starts from the
     share of good votes, which also fixes what good means.
     """
     keys = sorted(patterns)
@@ -163,7 +166,12 @@ def posteriors(patterns: dict[str, int], rounds: int = 200) -> dict[str, float]:
         log = []
         for w, lean in ((weight * q, (4.0, 1.0)), (weight * (1 - q), (1.0, 4.0))):
             t = np.einsum("p,plv->lv", w, cast) + np.array(lean)
-            log.append(np.einsum("plv,lv->p", cast, np.log(t / t.sum(axis=1, keepdims=True))))
+            says = t / t.sum(axis=1, keepdims=True)
+            # a labeller is no worse than a coin on either class, so good and bad can't change places
+            own = 0 if lean[0] > lean[1] else 1
+            says[:, own] = np.maximum(says[:, own], 0.5)
+            says[:, 1 - own] = 1 - says[:, own]
+            log.append(np.einsum("plv,lv->p", cast, np.log(np.maximum(says, 1e-9))))
         new = 1 / (1 + np.exp(np.clip(log[1] - log[0] + np.log((1 - prior) / prior), -500, 500)))
         if np.abs(new - q).max() < 1e-9:
             break
@@ -218,8 +226,13 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[np.ndarray, fl
     good = sum(count[v] * q for v, q in belief.items())
     prior = float(np.log((good + 1) / (sum(count[v] for v in belief) - good + 1)))
     sides = F.broadcast(spark.createDataFrame([(v, q >= 0.5) for v, q in belief.items()], "votes string, good boolean"))
-    order = Window.partitionBy("good").orderBy("h")
-    chosen = voted.join(sides, "votes").withColumn("k", F.row_number().over(order)).where(F.col("k") <= train_docs // 2).select("h").distinct()
+    # a threshold on the hash leaves about twice the sample of each side, so no task ranks all documents
+    n_good = sum(count[v] for v, q in belief.items() if q >= 0.5)
+    share = [min(1.0, (train_docs + 100) / max(n, 1)) for n in (n_good, sum(count[v] for v in belief) - n_good)]
+    part = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    order = Window.partitionBy("good").orderBy(part, "h")
+    few = voted.join(sides, "votes").where(part <= F.when(F.col("good"), F.lit(share[0])).otherwise(F.lit(share[1])))
+    chosen = few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= train_docs // 2).select("h").distinct()
     sample = usable.join(F.broadcast(chosen), "h", "left_semi").dropDuplicates(["h"])  # at most train_docs hashes
     rows = sorted((r["at"], r["x"], belief.get(r["votes"], 0.5)) for r in sample.select("text").mapInArrow(_features, "votes string, at binary, x binary").collect())
     return train_scorer([(np.frombuffer(a, np.int32), np.frombuffer(x, np.float32), y) for a, x, y in rows]), prior, belief
