@@ -50,10 +50,17 @@ def discard(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def worker_memo(name: str) -> dict:
-    """A dict that lives as long as the Python worker does, so later tasks find it filled."""
-    holder = sys.modules.setdefault("_fleetlens_llm_memo", types.ModuleType("_fleetlens_llm_memo"))
-    return holder.__dict__.setdefault(name, {})
+def worker_memo(name: str, large: bool = False) -> dict:
+    """A dict that lives as long as the Python worker does, so later tasks find it filled.
+
+    A worker keeps one ``large`` dict at a time: asking for another drops the one before, so the memory of a
+    worker that serves several operators stays that of one.
+    """
+    holder = sys.modules.setdefault("_fleetlens_llm_memo", types.ModuleType("_fleetlens_llm_memo")).__dict__
+    if large and holder.get("_large") != name:
+        holder.pop(holder.get("_large"), None)
+        holder["_large"] = name
+    return holder.setdefault(name, {})
 
 
 def byte_values(column: pa.ChunkedArray | pa.Array, null: bytes | None = b"") -> list:

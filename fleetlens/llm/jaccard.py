@@ -48,7 +48,7 @@ def shingles(text: bytes) -> np.ndarray:
     words = text.split()
     if not words:
         return np.empty(0, np.uint64)
-    return np.unique(window_hashes(word_hashes(words, worker_memo("word hashes")), min(SHINGLE, len(words)), seed=min(len(words), SHINGLE) % SHINGLE))
+    return np.unique(window_hashes(word_hashes(words, worker_memo("word hashes", large=True)), min(SHINGLE, len(words)), seed=min(len(words), SHINGLE) % SHINGLE))
 
 
 def _factors() -> np.ndarray:

@@ -50,7 +50,7 @@ END_ID = 1
 TINY, BUNDLE = 32, 128
 ROWS_PER_RANGE = 250_000
 #: Words whose ids a Python worker remembers, about 200 bytes each.
-MEMO_IDS = 1_200_000
+MEMO_IDS = 700_000
 #: Units of which eight fit in a sequence may be laid out in runs; runs are cut at this many units.
 RUN_UNITS = 5000
 _MARK = b"\x01"
@@ -72,7 +72,7 @@ def id_encoder(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    memo = worker_memo(f"ids:{path}")
+    memo = worker_memo(f"ids:{path}", large=True)
     tools = worker_memo("tokenizers")
     if path not in tools:
         tools[path] = Tokenizer.from_file(path)

@@ -39,7 +39,7 @@ UNKNOWN_PENALTY = 10.0
 #: a stretch of at most this length is settled at once.
 PATIENCE = 64
 #: Stretches whose ids a Python worker remembers, about 200 bytes each.
-MEMO_STRETCHES = 1_000_000
+MEMO_STRETCHES = 700_000
 _STRETCH = re.compile(" +[^ \n]*|[^ \n]+|\n")
 
 
@@ -190,7 +190,7 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
     path = model or default_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, memo = load(path), worker_memo(f"pieces:{path}")
+        pieces, memo = load(path), worker_memo(f"pieces:{path}", large=True)
         for b in batches:
             ids = [np.frombuffer(pieces.encode(t.decode("utf-8", "replace"), memo), "<u4").astype(np.int32) for t in byte_values(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
@@ -220,7 +220,7 @@ def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
     path = model or default_model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, memo = load(path), worker_memo(f"pieces:{path}")
+        pieces, memo = load(path), worker_memo(f"pieces:{path}", large=True)
         for b in batches:
             rows = []
             for t in byte_values(b.column(1)):

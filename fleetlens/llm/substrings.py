@@ -56,7 +56,7 @@ def minimizers(words: list[bytes], window: int, gram: int) -> np.ndarray:
     """For each window start: the smallest hash among the window's grams (as signed longs)."""
     if len(words) < window:
         return np.empty(0, np.int64)
-    low = window_hashes(word_hashes(words, worker_memo("word hashes")), gram)
+    low = window_hashes(word_hashes(words, worker_memo("word hashes", large=True)), gram)
     span, have = window - gram + 1, 1
     while have < span:  # minima over 1, 2, 4, ... grams, then exactly over span
         step = min(have, span - have)
