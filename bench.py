@@ -34,6 +34,9 @@ HEADLINE = [
     "counter_rate",
     "latency_p95",
     "chain_outcome",
+    "webhook_to_tasks",
+    "all_signals",
+    "vps_exposition",
 ]
 
 
