@@ -8,12 +8,15 @@ Packing keeps two sets, the unplaced units and the gaps of open sequences. A rou
 
 1. range-sorts units and gaps together by (size, units before gaps, id) - a hot length splits by id;
 2. sweeps every range from small to large: a gap takes the largest free unit that precedes it, so each
-   gap gets its best fit and no unit is left that a gap of the same range could have held;
+   gap gets its best fit and no unit is left that a gap of the same range could have held. While the next
+   units are small (eight fit in a sequence) and still fit, the gap takes them as well;
 3. resolves what ranges leave over by rank: the k-th gap left in a range takes the k-th largest unit left
-   in the nearest smaller ranges. Only the two counts of each range come to the driver;
+   in the nearest smaller ranges, or of small units as many in a row as any gap there can hold. Only
+   counts and limits of each range come to the driver;
 4. updates the gaps and opens new sequences for the largest units left, as many as the volume left over
-   makes necessary (at least one when nothing matched). Where all units left are small (an eighth of a
-   sequence; a 32nd at the start), they fill new sequences in runs instead, which ends the rounds.
+   makes necessary (at least one when nothing matched).
+
+Rounds go on until every unit is placed, so no gap that could hold a unit is given up.
 
 Each round's state is a written table in the shared checkpoint folder, so a lost executor costs one
 round's task at most. Units of up to 32 tokens are first put together in bundles of at most 128, within
@@ -26,12 +29,11 @@ row; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import (
@@ -51,12 +53,12 @@ TINY, BUNDLE = 32, 128
 ROWS_PER_RANGE = 250_000
 #: Words whose ids a Python worker remembers, about 200 bytes each.
 MEMO_IDS = 700_000
-#: Units of which eight fit in a sequence may be laid out in runs; runs are cut at this many units.
-RUN_UNITS = 5000
+#: A gap takes several units in one round where so many of them fit in a sequence.
+SMALL_FIT = 8
 _MARK = b"\x01"
 
 _PIECES = "pid long, doc_id long, piece int, start long, length long, ids_crc32 long, unit long, unit_at long"
-_SWEPT = "kind string, part int, idx long, uid long, size long, seq long, free long"
+_SWEPT = "kind string, part int, idx long, uid long, size long, seq long, free long, room long"
 
 
 def default_tokenizer() -> str:
@@ -145,65 +147,80 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
     return keep(narrow.mapInArrow(_cut(tokenizer or default_tokenizer(), capacity, end_id), _PIECES), "pieces")
 
 
-def sweep(kinds: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def sweep(kinds: np.ndarray, sizes: np.ndarray, small: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """One range in ascending order: each gap (kind 1) takes the nearest unit (kind 0) before it.
 
-    Returns positions of matched units, of the gaps that hold them, of units left and of gaps left.
+    Further units of at most ``small`` tokens follow into the same gap while they fit. Returns positions of
+    matched units, of the gaps that hold them (a gap's units one after the other), of units left and of gaps left.
     """
-    units, gaps, stack, left = [], [], [], []
+    units, gaps, stack, left, size = [], [], [], [], sizes.tolist()
     for i, k in enumerate(kinds.tolist()):
         if not k:
             stack.append(i)
         elif stack:
-            units.append(stack.pop())
-            gaps.append(i)
+            room, most = size[i], size[i]
+            while stack and size[stack[-1]] <= min(room, most):
+                units.append(stack.pop())
+                gaps.append(i)
+                room, most = room - size[units[-1]], small
         else:
             left.append(i)
     return tuple(np.array(x, np.int64) for x in (units, gaps, stack, left))
 
 
-def _sweep_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sweep_ranges(small: int):
     """Rows (kind, size, id) of one sorted range -> matched pairs, units left and gaps left.
 
+    ``free`` is a gap's room before the unit, ``room`` what its last unit leaves (null at the others).
     The range's rows are held as numbers: 17 bytes a row, and ranges have a bounded number of rows.
     """
-    from pyspark import TaskContext
-
-    got = [b for b in batches if b.num_rows]
-    if not got:
-        return
-    t = pa.Table.from_batches(got)
-    kinds, sizes, ids = (t.column(i).to_numpy() for i in range(3))
-    part = TaskContext.get().partitionId()
-    u, g, open_u, open_g = sweep(kinds, sizes)
-    open_u = open_u[::-1]  # the largest first
-
-    def rows(kind, idx, uid, size, seq, free):
-        n = len(idx)
-        fill = lambda x: pa.nulls(n, pa.int64()) if x is None else pa.array(x, pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array([kind] * n, pa.string()), pa.array(np.full(n, part, np.int32)), pa.array(idx, pa.int64()),
-             fill(uid), fill(size), fill(seq), fill(free)],
-            names=["kind", "part", "idx", "uid", "size", "seq", "free"])
-
-    yield rows("placed", np.arange(len(u)), ids[u], sizes[u], ids[g], sizes[g])
-    yield rows("unit", np.arange(len(open_u)), ids[open_u], sizes[open_u], None, None)
-    yield rows("gap", np.arange(len(open_g)), None, None, ids[open_g], sizes[open_g])
-
-
-def across(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        t = pa.Table.from_batches(got)
+        kinds, sizes, ids = (t.column(i).to_numpy() for i in range(3))
+        part = TaskContext.get().partitionId()
+        u, g, open_u, open_g = sweep(kinds, sizes, small)
+        open_u = open_u[::-1]  # the largest first
+        before = np.cumsum(sizes[u]) - sizes[u]
+        first = np.flatnonzero(np.diff(g, prepend=-1))
+        before -= np.repeat(before[first], np.diff(first, append=len(g)))
+        free = sizes[g] - before
+        room = pa.array(free - sizes[u], pa.int64(), mask=np.diff(g, append=-1) == 0)
+
+        def rows(kind, idx, uid, size, seq, free, room=None):
+            n = len(idx)
+            fill = lambda x: pa.nulls(n, pa.int64()) if x is None else pa.array(x, pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([kind] * n, pa.string()), pa.array(np.full(n, part, np.int32)), pa.array(idx, pa.int64()),
+                 fill(uid), fill(size), fill(seq), fill(free), fill(room)],
+                names=["kind", "part", "idx", "uid", "size", "seq", "free", "room"])
+
+        yield rows("placed", np.arange(len(u)), ids[u], sizes[u], ids[g], free, room)
+        yield rows("unit", np.arange(len(open_u)), ids[open_u], sizes[open_u], None, None)
+        yield rows("gap", np.arange(len(open_g)), None, None, ids[open_g], sizes[open_g])
+
+    return run
+
+
+def across(counts: list[tuple[int, int, int]], times: Callable[[int, int], int] = lambda gap_part, unit_part: 1) -> list[tuple[int, int, int, int, int]]:
     """Matches between ranges. counts: (range, units left, gaps left) in ascending order of size.
 
-    Returns (gap range, first gap, unit range, first unit, how many); units count from the largest.
+    ``times`` tells how many units of a range each gap of another takes. Returns (gap range, first gap,
+    unit range, first unit, how many units); units count from the largest.
     """
     out, stack = [], []
     for part, units, gaps in counts:
         at = 0
         while gaps and stack:
             p, first, n = stack.pop()
-            k = min(n, gaps)
+            m = times(part, p)
+            k = min(n, gaps * m)
             out.append((part, at, p, first, k))
-            at, gaps = at + k, gaps - k
+            at, gaps = at + -(-k // m), gaps - -(-k // m)
             if n > k:
                 stack.append((p, first + k, n - k))
         if units:
@@ -211,29 +228,12 @@ def across(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int,
     return out
 
 
-def volumes(tally, unit_rows: DataFrame, done: DataFrame, gaps: DataFrame, crossed: bool) -> tuple[int, int, int, int]:
-    """Tokens of the units left, free room of all gaps, size of the largest and of the smallest unit left."""
+def volumes(tally, unit_rows: DataFrame, gaps: DataFrame, crossed: bool) -> tuple[int, int, int]:
+    """Tokens of the units left, free room of all gaps, size of the smallest unit left."""
     if not crossed:
-        sizes = [(r["hi"], r["lo"]) for r in tally if r["u"]]
-        return sum(r["s"] for r in tally), sum(r["f"] + r["pf"] for r in tally), max(x[0] for x in sizes), min(x[1] for x in sizes)
-    size, most, least = unit_rows.agg(F.sum("size"), F.max("size"), F.min("size")).first()
-    return size, gaps.agg(F.coalesce(F.sum("free"), F.lit(0))).first()[0], most, least
-
-
-def _lay_out(capacity: int, next_seq: int):
-    """Small units one after the other into new sequences, run by run."""
-
-    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("rank")
-        seq, at, out = next_seq + int(key[0]) * RUN_UNITS, 0, []
-        for size in g["size"].tolist():
-            if at + size > capacity:
-                seq, at = seq + 1, 0
-            out.append((seq, at))
-            at += size
-        return pd.DataFrame({"uid": g["uid"].to_numpy(), "seq": [x[0] for x in out], "at": [x[1] for x in out]})
-
-    return run
+        return sum(r["s"] for r in tally), sum(r["f"] + r["pf"] for r in tally), min(r["lo"] for r in tally if r["u"])
+    size, least = unit_rows.agg(F.sum("size"), F.min("size")).first()
+    return size, gaps.agg(F.coalesce(F.sum("free"), F.lit(0))).first()[0], least
 
 
 def _spans(rows: list[tuple], schema: str, spark: SparkSession) -> DataFrame:
@@ -253,27 +253,36 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             rows = rows.unionByName(gaps.select(F.lit(1).alias("kind"), F.col("free").alias("size"), F.col("seq").alias("id")))
         ranges = parts_for(n + n_gaps, ROWS_PER_RANGE)
         swept = keep(rows.repartitionByRange(ranges, "size", "kind", "id").sortWithinPartitions("size", "kind", "id")
-                     .mapInArrow(_sweep_ranges, _SWEPT), "swept")
+                     .mapInArrow(_sweep_ranges(capacity // SMALL_FIT), _SWEPT), "swept")
         tally = swept.groupBy("part").agg(
             F.count_if(F.col("kind") == "placed").alias("p"), F.count_if(F.col("kind") == "unit").alias("u"),
             F.count_if(F.col("kind") == "gap").alias("g"), F.coalesce(F.sum(F.when(F.col("kind") == "unit", F.col("size"))), F.lit(0)).alias("s"),
             F.coalesce(F.sum(F.when(F.col("kind") == "gap", F.col("free"))), F.lit(0)).alias("f"),
-            F.coalesce(F.sum(F.when(F.col("kind") == "placed", F.col("free") - F.col("size"))), F.lit(0)).alias("pf"),
+            F.coalesce(F.sum("room"), F.lit(0)).alias("pf"), F.min(F.when(F.col("kind") == "gap", F.col("free"))).alias("tight"),
             F.max(F.when(F.col("kind") == "unit", F.col("size"))).alias("hi"), F.min(F.when(F.col("kind") == "unit", F.col("size"))).alias("lo"),
         ).orderBy("part").collect()
-        pairs = across([(r["part"], r["u"], r["g"]) for r in tally])
-        done = swept.where(F.col("kind") == "placed").select("uid", "size", "seq", "free")
-        unit_rows, gap_rows = (swept.where(F.col("kind") == k).drop("kind") for k in ("unit", "gap"))
+        hi, tight = ({r["part"]: r[k] for r in tally} for k in ("hi", "tight"))
+        times = lambda gp, up: tight[gp] // hi[up] if hi[up] * SMALL_FIT <= capacity else 1
+        pairs = across([(r["part"], r["u"], r["g"]) for r in tally], times)
+        done = swept.where(F.col("kind") == "placed").select("uid", "size", "seq", "free", "room")
+        unit_rows, gap_rows = (swept.where(F.col("kind") == k).drop("kind", "room") for k in ("unit", "gap"))
         if pairs:
-            schema = "part int, lo long, hi long, gap_part int, shift long"
-            by_unit = _spans([(up, uf, uf + k, gp, gf - uf) for gp, gf, up, uf, k in pairs], schema, spark)
-            by_gap = _spans([(gp, gf, gf + k, gp, 0) for gp, gf, _, _, k in pairs], schema, spark)
+            schema = "part int, lo long, hi long, gap_part int, at long, times long"
+            by_unit = _spans([(up, uf, uf + k, gp, gf, times(gp, up)) for gp, gf, up, uf, k in pairs], schema, spark)
+            by_gap = _spans([(gp, gf, gf + -(-k // times(gp, up)), gp, gf, 1) for gp, gf, up, _, k in pairs], schema, spark)
             on = lambda x, s: (x["part"] == s["part"]) & (x["idx"] >= s["lo"]) & (x["idx"] < s["hi"])
-            spot = [F.col("gap_part").alias("gp"), (F.col("idx") + F.col("shift")).alias("gi")]
+            spot = [F.col("gap_part").alias("gp"), F.expr("at + (idx - lo) div times").alias("gi")]
             u2 = unit_rows.join(by_unit, on(unit_rows, by_unit), "left").select("uid", "size", unit_rows["part"].alias("part"), "idx", *spot)
             g2 = gap_rows.join(by_gap, on(gap_rows, by_gap), "left").select("seq", "free", *spot)
             met = u2.where(F.col("gp").isNotNull()).join(g2.where(F.col("gp").isNotNull()), ["gp", "gi"])
-            done = keep(done.unionByName(met.select("uid", "size", "seq", "free")), "met")
+            if any(times(gp, up) > 1 for gp, _, up, _, _ in pairs):
+                in_gap = Window.partitionBy("gp", "gi").orderBy("idx")
+                before = F.coalesce(F.sum("size").over(in_gap.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                met = met.withColumn("free", F.col("free") - before).withColumn("more", F.lead("idx").over(in_gap).isNotNull())
+            else:
+                met = met.withColumn("more", F.lit(False))
+            room = F.when(~F.col("more"), F.col("free") - F.col("size"))
+            done = keep(done.unionByName(met.select("uid", "size", "seq", "free", room.alias("room"))), "met")
             unit_rows = u2.where(F.col("gp").isNull()).select("part", "idx", "uid", "size")
             gap_rows = g2.where(F.col("gp").isNull()).select("seq", "free")
         crossed = {}
@@ -283,14 +292,12 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         n_left = n - matched
         placed.append(done.select("uid", "seq", (F.lit(capacity) - F.col("free")).alias("at")))
         gaps_now = gap_rows.select("seq", "free").unionByName(
-            done.select("seq", (F.col("free") - F.col("size")).alias("free"))).where(F.col("free") > 0)
-        opened, in_runs = 0, False
+            done.select("seq", F.col("room").alias("free"))).where(F.col("free") > 0)
+        opened = 0
         if n_left:
             # what no open gap can hold; at first, every unit over half a sequence too
-            size_left, free_left, widest, least = volumes(tally, unit_rows, done, gaps_now, bool(pairs))
+            size_left, free_left, least = volumes(tally, unit_rows, gaps_now, bool(pairs))
             need = -(-max(size_left - free_left, 0) // capacity)
-            # (while a round still places most units, gaps serve better than runs)
-            in_runs = widest * (32 if want else 8) <= capacity and need > 0 and matched <= n_left
             opened = min(n_left, want if want else max(need, 0 if matched else 1))
             want = 0
         if opened:
@@ -300,10 +307,6 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 ranks.append((r["part"], shift - crossed.get(r["part"], 0)))
                 shift += r["u"] - crossed.get(r["part"], 0)
             ranked = unit_rows.join(_spans(ranks, "part int, before long", spark), "part").withColumn("rank", F.col("before") + F.col("idx"))
-            if in_runs:
-                placed.append(ranked.select("uid", "size", "rank", F.floor(F.col("rank") / RUN_UNITS).alias("run"))
-                              .groupBy("run").applyInPandas(_lay_out(capacity, next_seq), "uid long, seq long, at long"))
-                break
             new = ranked.where(F.col("rank") < opened).select("uid", "size", (F.col("rank") + next_seq).alias("seq"))
             placed.append(new.select("uid", "seq", F.lit(0).cast("long").alias("at")))
             gaps_now = gaps_now.unionByName(new.select("seq", (F.lit(capacity) - F.col("size")).alias("free")).where(F.col("free") > 0))

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpus_fixtures import docs, no_docs, rows  # noqa: F401
 from fleetlens.llm import components, jaccard, language, lm, packing, pieces, quality_model, quality_rules, substrings
@@ -87,6 +88,23 @@ def test_packing_of_many_tiny_texts(spark):
     assert check_packing(got, 4096) <= -(-sum(r.length for r in got) // 4096) + 2
 
 
+@pytest.mark.parametrize("rows_per_range", [250_000, 4000])
+def test_packing_of_short_documents_uses_the_gaps(spark, monkeypatch, rows_per_range):
+    monkeypatch.setattr(packing, "ROWS_PER_RANGE", rows_per_range)
+    sizes = np.clip(np.random.default_rng(1).lognormal(6.0, 0.7, 10000).astype(int) + 1, 1, 4096).tolist()
+    units = packing.keep(spark.createDataFrame(list(enumerate(sizes)), "uid long, size long"), "short-units")
+    spots = packing.pack(units).join(units, "uid").select(F.col("seq").alias("sequence_id"), F.col("at").alias("offset"), F.col("size").alias("length")).collect()
+    assert sorted(r.length for r in spots) == sorted(sizes)
+    assert check_packing(spots, 4096) <= 1.005 * sum(sizes) / 4096
+
+
+def test_gaps_take_several_small_units():
+    u, g, left_u, left_g = packing.sweep(np.array([0, 0, 0, 0, 1, 1]), np.array([2, 3, 3, 9, 10, 12]), 4)
+    assert list(zip(u, g)) == [(3, 4), (2, 5), (1, 5), (0, 5)] and not len(left_u) and not len(left_g)
+    assert packing.across([(0, 5, 0), (1, 0, 4)], lambda gap_part, unit_part: 2) == [(1, 0, 0, 0, 5)]
+    assert packing.across([(0, 1, 0), (1, 3, 0), (2, 0, 3)], lambda gap_part, unit_part: 2) == [(2, 0, 1, 0, 3), (2, 2, 0, 0, 1)]
+
+
 def test_sweep_matches_nearest_and_across_by_rank():
     kinds, sizes = np.array([0, 0, 1, 1, 1, 0, 1, 0]), np.array([1, 2, 2, 3, 4, 5, 6, 9])
     u, g, left_u, left_g = packing.sweep(kinds, sizes)
