@@ -11,6 +11,7 @@ from fleetlens.llm import (  # noqa: F401
     pieces,
     quality_model,
     quality_rules,
+    resampling,
     substrings,
     warc,
 )

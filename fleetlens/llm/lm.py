@@ -160,7 +160,7 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -
             n[k] -= after
             n[:, k] -= before
             n[k, k] -= self_n
-            rows, cols = n.sum(axis=1), n.sum(axis=0)
+            rows, cols = n.sum(axis=1) + before, n.sum(axis=0) + after  # what the unit adds to others' margins in any class
             gain = (xlog(n + after[None, :]) - xlog(n)).sum(axis=1) + (xlog(n + before[:, None]) - xlog(n)).sum(axis=0)
             d = np.diag(n)
             gain += xlog(d + after + before + self_n) - xlog(d + after) - xlog(d + before) + xlog(d)
