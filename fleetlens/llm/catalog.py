@@ -7,6 +7,7 @@ from fleetlens.llm import (  # noqa: F401
     knn,
     language,
     lm,
+    ordermin,
     packing,
     pieces,
     quality_model,
