@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fleetlens.llm import (  # noqa: F401
+    conversations,
     jaccard,
     knn,
     language,

@@ -18,7 +18,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_all_are_registered():
     names = {x.split("_")[0] for x in E.queries() if x.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in E.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in E.queries()
     assert importlib.util.find_spec("fleetlens.llm.catalog")
 
 
