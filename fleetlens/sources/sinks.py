@@ -47,10 +47,61 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
 def _write_next(df: DataFrame, root: str) -> str:
     v = _versions(df.sparkSession, root)
     path = f"{root.rstrip('/')}/v{(v[-1] + 1 if v else 1):08d}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("overwrite").parquet(path)  # what stands there, if anything, was never completed
     return path
 
 
+# ----------------------------------------------------------------------------- micro-batches, exactly once
+
+_BATCH = re.compile(r"^batch=(\d+)$")
+
+
+def committed(spark: SparkSession, root: str) -> list[int]:
+    """Ids of the micro-batches that a sink holds: a batch folder counts once its ``_SUCCESS`` marker stands."""
+    fs, p, jvm = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    found = ((_BATCH.match(st.getPath().getName()), st.getPath()) for st in fs.listStatus(p))
+    return sorted(int(m.group(1)) for m, path in found if m and fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")))
+
+
+def append_batch(df: DataFrame, root: str, batch_id: int) -> bool:
+    """K1 from ``foreachBatch``: append a micro-batch once. Its folder is the ledger entry: a batch id that is
+    committed is skipped, one whose writer died before the commit is written anew. Tells whether it wrote."""
+    if batch_id in committed(df.sparkSession, root):
+        return False
+    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch={batch_id}")
+    return True
+
+
+def read_batches(spark: SparkSession, root: str) -> DataFrame:
+    """All committed micro-batches, with their id in ``batch``."""
+    root = root.rstrip("/")
+    return spark.read.option("basePath", root).parquet(*(f"{root}/batch={i}" for i in committed(spark, root)))
+
+
+def newest_by_key(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """The newest row of each key of an update-mode sink: by micro-batch, then by ``order``."""
+    columns = [c for c in rows.columns if c not in (key, "batch")]
+    newest = F.max_by(F.struct(*columns), F.struct("batch", *order))
+    return rows.groupBy(key).agg(newest.alias("x")).select(key, "x.*")
+
+
+def upsert_batch(executions: DataFrame, root: str, batch_id: int) -> bool:
+    """K3 from ``foreachBatch``: the version of a batch id is made of the newest version before it, so a replayed batch
+    finds its version complete, and one whose writer died is merged again from the same start."""
+    spark, path = executions.sparkSession, f"{root.rstrip('/')}/v{batch_id + 1:08d}"
+    done = _versions(spark, root)
+    if batch_id + 1 in done:
+        return False
+    before = [v for v in done if v <= batch_id]
+    new = executions.select("alert_key", F.col("exec_ts").alias("last_executed_at"))
+    if before:
+        new = new.unionByName(spark.read.parquet(f"{root.rstrip('/')}/v{before[-1]:08d}"))
+    new.groupBy("alert_key").agg(F.max("last_executed_at").alias("last_executed_at")).write.mode("overwrite").parquet(path)
+    return True
+
+
 def append_rows(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Append decisions or run events (partitioned by date for pruning when asked)."""
     w = df.write.mode("append")

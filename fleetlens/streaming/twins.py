@@ -6,20 +6,16 @@ checkpoint next to it - a lost executor or a restarted driver resumes from the c
 helpers drive a stream with ``trigger(availableNow=True)`` and read the sink back as a batch frame, so
 the streaming result can be compared with the batch twin.
 
-Stateful cooldown (T2) keeps, per ``alert_key``, the last execution time in ``applyInPandasWithState``
-state; inside a micro-batch a key's rows are sorted by (event time, id) before the greedy rule runs.
-It equals the batch replay when input arrives in event-time order across micro-batches; rows older
-than the key's last execution are flagged ``late`` (decided against the current state, never re-decided).
+Streams with state of their own (cooldown, staleness, closed windows, lifecycles) are in ``stateful``.
 """
 
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timezone
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from fleetlens.operators import outputs as OUT
 from fleetlens.operators import queue as Q
@@ -27,20 +23,9 @@ from fleetlens.operators import rules as R
 from fleetlens.operators.mac import snapshot_latest
 from fleetlens.session import checkpoint_dir, ensure_session
 from fleetlens.sources import fixtures as fx
-
-US = 1_000_000
-
-# The per-key state function runs in Python workers. Pickle this module's functions by value so a worker
-# needs no installed copy of the package (it only uses pandas and a constant).
-try:
-    import sys as _sys
-
-    from pyspark import cloudpickle as _cloudpickle
-
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # noqa: BLE001 - older cloudpickle: workers then import the package as usual
-    pass
-
+from fleetlens.sources import sinks
+from fleetlens.sources.config import RULES
+from fleetlens.streaming import stateful as ST
 
 def _sink_root(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
@@ -57,19 +42,28 @@ def run_append(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     return spark.read.parquet(f"{root}/data")
 
 
-def run_complete(df: DataFrame, name: str) -> DataFrame:
-    """Complete-mode aggregation: every micro-batch overwrites the sink table with the full result
-    (idempotent for a replayed batch id)."""
+def run_update(df: DataFrame, name: str, key: str, order: tuple[str, ...] = (), root: str | None = None) -> DataFrame:
+    """Update-mode stream: each micro-batch appends the rows that changed, once (see ``sinks.append_batch``), and a
+    reader takes the newest row of a key. Nothing is rewritten, so a reader never sees a folder vanish."""
     spark = df.sparkSession
-    root = _sink_root(spark, name)
+    root = root or _sink_root(spark, name)
+    q = (df.writeStream.outputMode("update").foreachBatch(lambda batch, batch_id: sinks.append_batch(batch, f"{root}/data", batch_id) and None)
+         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sinks.newest_by_key(sinks.read_batches(spark, f"{root}/data"), key, *order)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/data")
 
-    q = (df.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+def replayed_sink(df: DataFrame) -> DataFrame:
+    """An exactly-once sink whose every micro-batch comes twice (Spark replays a batch after a failure before its commit)."""
+    root = _sink_root(df.sparkSession, "replayed")
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            sinks.append_batch(batch, f"{root}/data", batch_id)
+
+    q = df.writeStream.foreachBatch(twice).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/data")
+    return sinks.read_batches(df.sparkSession, f"{root}/data")
 
 
 # ----------------------------------------------------------------------------- T1
@@ -92,39 +86,16 @@ def stream_webhook_tasks(spark: SparkSession, sf_dir: str, rules: list) -> DataF
 
 # ----------------------------------------------------------------------------- T2
 
-_COOLDOWN_OUT = "signal_id long, decision string, late boolean"
-_COOLDOWN_STATE = "last_exec_us long"
-
-
-def _cooldown_state_fn(key, pdfs, state):
-    last = state.get[0] if state.exists else None
-    rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["t", "sid"])
-    out_dec, out_late = [], []
-    for t, cd, dec in zip(rows["t"].tolist(), rows["cd_us"].tolist(), rows["decision"].tolist()):
-        late = last is not None and t < last
-        if last is None or t - (last - last % US) >= cd:
-            out_dec.append(dec)
-            last = t
-        else:
-            out_dec.append("cooldown")
-        out_late.append(late)
-    if last is not None:
-        state.update((int(last),))
-    yield pd.DataFrame({"signal_id": rows["sid"].astype("int64"), "decision": out_dec, "late": out_late})
+def stream_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals (T1) and the greedy cooldown's closed seconds, each exactly once in its sink, as decisions."""
+    arrived = run_append(stream_decisions(spark, sf_dir), "arrived")
+    longest = max(r["cooldown_seconds"] for r in RULES) * ST.US
 
+    def groups(clock: str) -> DataFrame:
+        return ST.cooldown_groups(ST.with_clock(ST.candidates(stream_decisions(spark, sf_dir)), clock), longest)
 
-def stream_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy cooldown with keyed state (last execution time per alert_key)."""
-    ensure_session(spark)
-    d = stream_decisions(spark, sf_dir)
-    is_cand = (F.col("decision") != "ignore") & (F.col("cooldown_seconds") > 0)
-    cands = d.where(is_cand).select(
-        "alert_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), F.col("signal_id").alias("sid"),
-        (F.col("cooldown_seconds") * F.lit(US)).alias("cd_us"), "decision")
-    decided = cands.groupBy("alert_key").applyInPandasWithState(
-        _cooldown_state_fn, _COOLDOWN_OUT, _COOLDOWN_STATE, "append", GroupStateTimeout.NoTimeout)
-    passthrough = d.where(~is_cand).select("signal_id", "decision", F.lit(False).alias("late"))
-    return decided.unionByName(passthrough)
+    root = ST.close_stream(groups, "cooldown", spark)
+    return ST.decided_view(arrived, spark.read.parquet(f"{root}/data"))
 
 
 # ----------------------------------------------------------------------------- T3
@@ -141,7 +112,7 @@ def stream_slot_dedup(spark: SparkSession, sf_dir: str, schedules: DataFrame) ->
     return fired.withWatermark("poll_ts", "10 minutes").dropDuplicatesWithinWatermark(["schedule_name", "slot_key"])
 
 
-# ----------------------------------------------------------------------------- T5, T6, T8, T9
+# ----------------------------------------------------------------------------- T5 to T9
 
 def stream_snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5: newest snapshot per host (a new snapshot replaces the host's latest)."""
@@ -154,20 +125,49 @@ def decision_counts(decided: DataFrame) -> DataFrame:
 
 
 def stream_signal_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signals per alertname in 5-minute windows sliding by 1 minute, with an event-time watermark."""
-    s = fx.signals_from(fx.read_table_stream(spark, sf_dir, "events")).withWatermark("ts", "10 minutes")
-    w = F.window("ts", "5 minutes", "1 minute")
-    return s.groupBy("alertname", w.alias("w")).agg(F.count(F.lit(1)).alias("events"))
+    """Signals per alertname in 5-minute windows sliding by 1 minute; a window is written once, when it is closed."""
+    def rates(clock: str) -> DataFrame:
+        s = fx.signals_from(fx.read_table_stream(spark, sf_dir, "events")).select("alertname", "ts")
+        return ST.closed_rates(ST.with_clock(s, clock))
+
+    root = ST.close_stream(rates, "signal_rate", spark)
+    return spark.read.parquet(f"{root}/data").where(F.col("alertname").isNotNull())
 
 
-def stream_task_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Task events (created -> started -> finished) folded to the latest state per task."""
-    t = fx.tasks_from(fx.read_table_stream(spark, sf_dir, "events"))
-    return Q.task_latest_state(Q.task_events(t))
+def stream_task_lifecycle(spark: SparkSession, sf_dir: str, events=None) -> DataFrame:
+    """Task events (created -> started -> finished) folded to the latest state per task, with ``faults`` of its
+    transitions once it is finished. ``events`` may change the event log (for tests and audits of broken logs)."""
+    def folded(clock: str) -> DataFrame:
+        log = Q.task_events(fx.tasks_from(fx.read_table_stream(spark, sf_dir, "events")))
+        log = (events(log) if events else log).withColumnRenamed("event_ts", "ts")
+        return ST.lifecycle(ST.with_clock(log, clock))
+
+    root = ST.close_stream(folded, "task_lifecycle", spark, "update",
+                           lambda root: lambda batch, batch_id: sinks.append_batch(batch, f"{root}/data", batch_id) and None)
+    newest = sinks.newest_by_key(sinks.read_batches(spark, f"{root}/data"), "task_id", "evicted")
+    time = lambda c: F.timestamp_micros(c).alias(c.replace("_us", "_at"))
+    return newest.select("task_id", "status", time("started_us"), time("finished_us"), "n_events", "evicted", "faults")
 
 
 def stream_last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Last snapshot time per host kept as streaming state; staleness is evaluated against an
-    explicit as_of when the state is read (no wall-clock timers, so results are reproducible)."""
+    """Last snapshot time per host (update mode)."""
     s = fx.snapshots_from(fx.read_table_stream(spark, sf_dir, "part"))
     return s.groupBy("host").agg(F.max("timestamp_unix").alias("last_unix"))
+
+
+def stream_stale_hosts(spark: SparkSession, sf_dir: str, as_of_unix: int, max_age: int) -> DataFrame:
+    """(host, last_unix, stale) when event time reaches ``as_of_unix``; staleness comes from the hosts' timers."""
+    last = run_update(stream_last_seen(spark, sf_dir), "last_seen", "host")
+    root = _sink_root(spark, "staleness")
+    clock = f"{root}/clock"
+    ST.beat(spark, clock)
+
+    def events() -> DataFrame:
+        s = fx.snapshots_from(fx.read_table_stream(spark, sf_dir, "part")).select("host", "timestamp_unix", F.timestamp_seconds("timestamp_unix").alias("ts"))
+        return ST.staleness_events(ST.with_clock(s, clock, "0 seconds"), max_age)
+
+    ST.drive(events(), root)
+    ST.beat(spark, clock, f"{datetime.fromtimestamp(as_of_unix, timezone.utc):%Y-%m-%d %H:%M:%S}")
+    ST.drive(events(), root)
+    stale = ST.hosts_by_state(spark.read.parquet(f"{root}/data")).select("host", F.lit(True).alias("_stale"))
+    return last.join(stale, "host", "left").select("host", "last_unix", F.coalesce("_stale", F.lit(False)).alias("stale"))

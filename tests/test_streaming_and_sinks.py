@@ -1,4 +1,4 @@
-"""Streaming twin over several micro-batches equals the batch replay; sinks round-trip."""
+"""Sinks round-trip (stateful streams: test_stateful_streams.py)."""
 
 import uuid
 
@@ -9,41 +9,12 @@ from fleetlens.operators import rules as R
 from fleetlens.session import checkpoint_dir
 from fleetlens.sources import fixtures as fx
 from fleetlens.sources import sinks
-from fleetlens.streaming import twins as TW
 
 
 def _scratch(spark, name):
     return f"{checkpoint_dir(spark).rstrip('/')}/tests/{name}-{uuid.uuid4().hex}"
 
 
-def test_stream_cooldown_multi_batch_equals_batch(spark):
-    # split the events into 4 files in event-time order; one file per micro-batch
-    root = _scratch(spark, "events")
-    ev = fx.read_table(spark, SF_SMALL, "events").withColumn(
-        "part", F.ntile(4).over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("ts")))
-    for i in range(1, 5):
-        ev.where(F.col("part") == i).drop("part").coalesce(1).write.parquet(f"{root}/in/events.parquet/p{i}")
-    src = f"{root}/in"
-    # the stream reads the directory of files
-    schema = fx.read_table(spark, SF_SMALL, "events").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/events.parquet/*")
-    d = R.first_match(fx.signals_from(stream))
-    is_cand = (F.col("decision") != "ignore") & (F.col("cooldown_seconds") > 0)
-    cands = d.where(is_cand).select(
-        "alert_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), F.col("signal_id").alias("sid"),
-        (F.col("cooldown_seconds") * F.lit(TW.US)).alias("cd_us"), "decision")
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    out = cands.groupBy("alert_key").applyInPandasWithState(
-        TW._cooldown_state_fn, TW._COOLDOWN_OUT, TW._COOLDOWN_STATE, "append", GroupStateTimeout.NoTimeout)
-    got = {r["signal_id"]: r["decision"] for r in TW.run_append(out, "test-cooldown").collect()}
-    batch = R.greedy_cooldown(R.first_match(fx.signals(spark, SF_SMALL)))
-    want = {r["signal_id"]: r["decision"] for r in batch.where(
-        (F.col("cooldown_seconds") > 0) & (F.col("rule_name").isNotNull())
-        & (F.col("decision") != "ignore")).collect()}
-    assert got == want
-
-
 def test_upsert_cooldowns_keeps_max(spark):
     root = _scratch(spark, "cooldowns")
     a = spark.createDataFrame([("k1", "2024-01-01 00:00:00"), ("k2", "2024-01-01 00:00:00")], "alert_key string, t string")
