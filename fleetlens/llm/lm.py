@@ -3,25 +3,29 @@
 P(text) is the product over tokens of P(class | class before) * P(word | class). Tokens are the words,
 with A-Z in lower case, and one end per text.
 
-* Word counts are summed over the whole training part of the corpus, one row per distinct word and task.
-* Classes come from exchange clustering: each unit moves to the class that raises the likelihood of the
-  class bigrams most, until no unit moves. Units are the ``UNITS`` most frequent words and, for all other
-  words, ``SUFFIXES`` groups by hashed ending, so every word has a class, unseen ones too. Unit bigrams are
-  counted over the whole training part; their table is bounded by the square of the units.
+* Texts are read once: a word becomes a number (58 bits of its hash, 6 bits for the group of its ending), and all later passes
+  run over the written arrays of numbers.
+* Word counts are summed over the whole training part of the corpus, one row per distinct word.
+* Exchange clustering, first on a bounded core: units are the ``UNITS`` most frequent words and, for all other words, ``SUFFIXES``
+  groups by hashed ending. A unit moves to the class that raises the likelihood of the class bigrams most, until no unit moves.
+* Then on every word that occurs twice or more: its classes before and after, over all its training tokens, are brought
+  together in one row per word and sweep, and it moves to the class with the largest exchange gain (to first order: classes
+  keep their counts within a sweep). Class bigrams are counted anew after each of the ``REST_SWEEPS`` sweeps. Endings only stand for
+  words that are unseen or occur once. So what the model gathers - counts, contexts and classes of words - grows with the corpus.
 * Emission is (c + 1) / (tokens of the class + words of the class + 1): it sums to one with one unseen word.
   Transitions are smoothed towards the classes' frequencies.
-* Scoring: counts of at most ``HEAD`` frequent words and the class tables are broadcast (bounded by these
-  parameters). All rarer words are joined with the full vocabulary by their hash, one row per document and
-  word, so nothing unbounded is sent to a task.
+* The ``HEAD`` most frequent words with their classes and counts are broadcast (a bounded table). Tokens of other words take their class
+  and count from a join by number, and rows of a document's such tokens, in order, complete its transitions. As a context of another
+  word and in the counts of transitions, such a token counts by its ending's class.
 
 Defined cases: a null text is an empty one (one end token); a null doc_id counts as an empty id in the split;
-repeated rows are scored once per row; with no training text every word is unseen (N = V = 0); an empty
-table gives an empty result; other columns are ignored.
+repeated rows are scored once per row; words that tie in their counts are ordered by their number; with no training text every word is
+unseen (N = V = 0); an empty table gives an empty result; other columns are ignored; a very long text is one array of numbers,
+8 bytes a word.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,101 +33,106 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import byte_values, keep, prepare, table
+from fleetlens.llm.common import MEMO_WORD_BYTES, byte_values, keep, prepare, table, worker_memo
 from fleetlens.llm.language import remainder
 from fleetlens.llm.registry import query
 
-UNITS, SUFFIXES, CLASSES, HEAD = 512, 64, 64, 65536
+UNITS, SUFFIXES, CLASSES, HEAD = 512, 64, 64, 1 << 18
 SUFFIX_BYTES = 3
-SWEEPS = 8
-#: Pseudo-counts of a class before a transition.
-PRIOR = 8.0
-END = b"\n"
+SWEEPS, REST_SWEEPS = 8, 2
+#: Pseudo-counts of a class before a transition, and of a cell of class bigrams in the gain of a rarer word.
+PRIOR, CELL = 8.0, 0.5
 MEMO = 400_000
+#: Tokens whose contexts a task brings together before it hands them on; words per partition of such rows.
+BLOCK, WORDS_PER_PART = 4_000_000, 200_000
 
 
-def _hash(word: bytes) -> int:
-    import xxhash
-
-    return int.from_bytes(xxhash.xxh64_digest(word), "big", signed=True)
-
-
-def suffix_group(word: bytes) -> int:
-    return _hash(word[-SUFFIX_BYTES:]) % SUFFIXES
+# words as numbers ----------------------------------------------------------------------------------------
 
+def number(word: bytes) -> int:
+    """The word's number: its hash, with the group of its ending in the lowest bits."""
+    import xxhash
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    h = xxhash.xxh64_intdigest(word) & -SUFFIXES | xxhash.xxh64_intdigest(word[-SUFFIX_BYTES:]) % SUFFIXES
+    return h - (1 << 64) if h >> 63 else h
 
-    def flush():
-        words = list(counts)
-        for at in range(0, len(words), 50_000):
-            part = words[at:at + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_hash(w) for w in part], pa.int64()), pa.array([suffix_group(w) for w in part], pa.int32()),
-                 pa.array([counts[w] for w in part], pa.int64())], names=["h", "suffix", "n"])
-        counts.clear()
 
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memo = worker_memo("lm-numbers", large=True)
     for b in batches:
-        for t in byte_values(b.column(0)):
-            counts.update(t.lower().split())
-            counts[END] += 1
-        if len(counts) > MEMO:
-            yield from flush()
-    yield from flush()
-
-
-def vocabulary(train: DataFrame) -> DataFrame:
-    """(h, suffix, n): hash, suffix group and count of every token of the training texts, as a written table."""
-    rows = train.select("text").mapInArrow(_count, "h long, suffix int, n long")
-    return keep(rows.groupBy("h").agg(F.first("suffix").alias("suffix"), F.sum("n").alias("n")), "lm-words")
-
-
-class Coder:
-    """Words -> codes of this task: unit, log count and hash per code. Forgets all when it grows too large."""
-
-    def __init__(self, model: dict) -> None:
-        self.unit_of, self.count_of = model["unit_of"], model["count_of"]
-        self.clear()
-
-    def clear(self) -> None:
-        self.code: dict[bytes, int] = {}
-        self.units, self.logs, self.hashes = [], [], []
-
-    def codes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of all tokens of the texts, and the number of tokens of each text."""
-        if len(self.code) > MEMO:
-            self.clear()
-        flat, sizes = [], np.empty(len(texts), np.int64)
-        for i, t in enumerate(texts):
+        flat, sizes = [], []
+        for t in byte_values(b.column(1)):
             words = t.lower().split()
             flat += words
-            flat.append(END)
-            sizes[i] = len(words) + 1
-        for w in set(flat).difference(self.code):
-            h = _hash(w)
-            self.code[w] = len(self.units)
-            unit = self.unit_of.get(h)
-            self.units.append(UNITS + 1 + suffix_group(w) if unit is None else unit)
-            c = self.count_of.get(h)
-            self.logs.append(np.nan if c is None else np.log10(c + 1))
-            self.hashes.append(h)
-        return np.fromiter(map(self.code.__getitem__, flat), np.int64, len(flat)), sizes
-
-
-def _bigrams(model):
-    width = UNITS + 1 + SUFFIXES
-
+            sizes.append(len(words))
+        if len(memo) > MEMO:
+            memo.clear()
+        long_words = {}
+        for w in set(flat).difference(memo):
+            (memo if len(w) <= MEMO_WORD_BYTES else long_words)[w] = number(w)
+        if long_words:
+            ids = np.fromiter((memo[w] if w in memo else long_words[w] for w in flat), np.int64, len(flat))
+        else:
+            ids = np.fromiter(map(memo.__getitem__, flat), np.int64, len(flat))
+        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], names=["doc_id", "train", "ids"])
+
+
+def encode(docs: DataFrame, train=None) -> DataFrame:
+    """(rid, doc_id, train, ids) as a written table: the numbers of each text's words."""
+    prepare(docs.sparkSession)
+    train = F.lit(True) if train is None else F.coalesce(train, F.lit(False))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", train.alias("train"))
+    return keep(rows.mapInArrow(_encode, "doc_id long, train boolean, ids array<long>").withColumn("rid", F.monotonically_increasing_id()), "lm-numbers")
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a batch, and where each text's begin (with the end of the last)."""
+    sizes = np.diff(column.offsets.to_numpy())
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False), np.concatenate(([0], np.cumsum(sizes)))
+
+
+class Lookup:
+    """Values of numbered words: those of a sorted table, else those of their endings."""
+
+    def __init__(self, ids: np.ndarray, values: np.ndarray, endings: np.ndarray) -> None:
+        self.ids, self.values, self.endings = ids, values, endings
+
+    def at(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the table of each number, and whether it is in there."""
+        if not len(self.ids):
+            return np.zeros(len(flat), np.int64), np.zeros(len(flat), bool)
+        place = np.minimum(np.searchsorted(self.ids, flat), len(self.ids) - 1)
+        return place, self.ids[place] == flat
+
+    def of(self, flat: np.ndarray) -> np.ndarray:
+        place, found = self.at(flat)
+        other = self.endings[flat & (SUFFIXES - 1)]
+        return np.where(found, self.values[place], other) if len(self.ids) else other
+
+
+def _steps(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Value before and after each token of the texts; the end (value 0) stands before and after a text."""
+    before, after = np.zeros_like(values), np.zeros_like(values)
+    before[1:], after[:-1] = values[:-1], values[1:]
+    full = np.diff(starts) > 0
+    before[starts[:-1][full]] = 0
+    after[starts[1:][full] - 1] = 0
+    return before, after
+
+
+def _bigrams(lookup, width: int):
+    """Counts of (value, next value) over all texts, with their ends."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, total = Coder(model.value), np.zeros(width * width, np.int64)
+        total = np.zeros(width * width, np.int64)
         for b in batches:
-            texts = byte_values(b.column(0))
-            for at in range(0, len(texts), 100):
-                codes, _ = coder.codes(texts[at:at + 100])
-                units = np.array(coder.units, np.int64)[codes]
-                # each text follows the end of the one before it; the first follows an end as well
-                before = np.concatenate(([0], units[:-1]))
-                total += np.bincount(before * width + units, minlength=width * width)
+            flat, starts = _flat(b.column(0))
+            values = lookup.value.of(flat).astype(np.int64)
+            before, _ = _steps(values, starts)
+            total += np.bincount(before * width + values, minlength=width * width)
+            full = np.diff(starts) > 0
+            total += np.bincount(values[starts[1:][full] - 1] * width, minlength=width * width)  # to the end
+            total[0] += (~full).sum()
         at = np.flatnonzero(total)
         for lo in range(0, len(at), 100_000):
             part = at[lo:lo + 100_000]
@@ -132,6 +141,18 @@ def _bigrams(model):
     return run
 
 
+def bigrams(coded: DataFrame, lookup: Lookup, width: int) -> np.ndarray:
+    """The table of counts (width squared numbers come to the driver)."""
+    spark = coded.sparkSession
+    rows = coded.select("ids").mapInArrow(_bigrams(spark.sparkContext.broadcast(lookup), width), "pair long, n long")
+    pairs = rows.groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(width * width)
+    counts[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(np.float64)
+    return counts.reshape(width, width)
+
+
+# classes -------------------------------------------------------------------------------------------------
+
 def exchange(counts: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
     """Class of each unit. counts[a, b]: how often unit b follows unit a. Unit 0 (the end) keeps class 0.
 
@@ -180,108 +201,258 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -
     return own
 
 
-def frequent(words: DataFrame, most: int | None = None):
-    """The most frequent words as a frame (h, suffix, n), in order; at most ``most`` of them.
+def frequent(words: DataFrame, most: int):
+    """The ``most`` most frequent words as a frame (id, n, ...), in order; ties by number.
 
-    A histogram of the logarithms of counts gives the least count to take, so only words of the answer come to
-    the driver (a sort with a limit would send that many from every task).
+    The count at which the answer ends is narrowed down by counting words in ever smaller intervals of counts, and a tie there by
+    intervals of numbers, so only words of the answer (and at most twice as many) come to the driver, whatever the counts look like.
     """
-    most = HEAD if most is None else most
-    step = F.floor(F.log2("n") * 16)
-    taken, least = 0, None
-    for r in sorted(words.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
-        if taken + r["count"] > most:
-            break
-        taken, least = taken + r["count"], r["step"]
-    found = words.where(step >= least if least is not None else F.lit(False)).toPandas()
-    return found.sort_values(["n", "h"], ascending=[False, True], ignore_index=True)
+    total, top = words.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0))).first()
+    taken = words
+    if total > 2 * most:
+        def cut(value, lo: int, hi: int, above: int, inside: int) -> tuple[int, int, int, int]:
+            """Narrow [lo, hi) to a part so that the values from it on are at least ``most``, those beyond it fewer."""
+            while hi - lo > 1 and above + inside > 2 * most:
+                width = max(1, -(-(hi - lo) // 256))
+                part = F.floor((value - F.lit(lo)) / F.lit(width)).cast("long")
+                found = {r["part"]: r["count"] for r in words.where((value >= F.lit(lo)) & (value < F.lit(hi))).groupBy(part.alias("part")).count().collect()}
+                for p in sorted(found, reverse=True):
+                    if above + found[p] >= most:
+                        lo, hi, inside = lo + p * width, min(hi, lo + (p + 1) * width), found[p]
+                        break
+                    above += found[p]
+            return lo, hi, above, inside
+
+        lo, hi, above, inside = cut(F.col("n"), 1, int(top) + 1, 0, total)
+        taken = words.where(F.col("n") >= lo)
+        if above + inside > 2 * most:  # one count with very many words: those with the least numbers
+            tied = F.when(F.col("n") == lo, -F.shiftright("id", 16)).otherwise(F.lit(-(1 << 50)))
+            least, _, _, _ = cut(tied, -(1 << 47), (1 << 47) + 1, above, inside)
+            taken = words.where((F.col("n") > lo) | ((F.col("n") == lo) & (tied >= F.lit(least))))
+    found = taken.toPandas()
+    return found.sort_values(["n", "id"], ascending=[False, True], ignore_index=True).head(most)
+
+
+def _contexts(lookup, core):
+    """Tasks' blocks of tokens -> one row per word and block: its classes before and after as bytes, sorted."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def rows():
+            ids, before, after = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order = np.argsort(ids, kind="stable")
+            ids, sides = ids[order], []
+            starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+            word = np.cumsum(np.concatenate(([0], ids[1:] != ids[:-1]))).astype(np.int64)
+            bounds = pa.py_buffer(np.append(starts, len(ids)).astype(np.int32).tobytes())
+            for side in (before[order], after[order]):
+                ranked = (np.sort(word * CLASSES + side) % CLASSES).astype(np.uint8)
+                sides.append(pa.Array.from_buffers(pa.binary(), len(starts), [None, bounds, pa.py_buffer(ranked.tobytes())]))
+            whole = pa.RecordBatch.from_arrays([pa.array(ids[starts]), *sides], names=["id", "before", "after"])
+            for lo in range(0, whole.num_rows, 20_000):
+                yield whole.slice(lo, 20_000)
+
+        for b in batches:
+            flat, starts = _flat(b.column(0))
+            classes = lookup.value.of(flat)
+            before, after = _steps(classes, starts)
+            rest = ~Lookup(core.value, core.value, core.value).at(flat)[1]
+            held.append((flat[rest], before[rest], after[rest]))
+            size += int(rest.sum())
+            if size > BLOCK:
+                yield from rows()
+                size = 0
+        if size:
+            yield from rows()
+
+    return run
+
+
+def gains(before: np.ndarray, after: np.ndarray, follow: np.ndarray) -> np.ndarray:
+    """Exchange gain (to first order) of each word in each class, from its counts of classes before and after.
+
+    Classes keep the counts of ``follow``; the word's own bigrams are added to one class's row and column."""
+    cells = np.log(follow + CELL)
+    rows, cols = np.log(follow.sum(axis=1) + CELL * CLASSES), np.log(follow.sum(axis=0) + CELL * CLASSES)
+    out = after @ (cells - rows[:, None]).T + before @ (cells - cols[None, :])
+    out[:, 0] = -np.inf  # the end's class
+    return out
+
+
+def _assign(follow):
+    """Rows sorted by word -> (id, class) of words that occur twice or more; one word's counts are held at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table_of = follow.value
+        last, carry = None, np.zeros((2, CLASSES))
+
+        def judged(ids, sides):
+            able = sides[0].sum(axis=1) >= 2
+            best = np.argmax(np.round(gains(sides[0][able], sides[1][able], table_of), 9), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(ids[able], pa.int64()), pa.array(best, pa.int32())], names=["id", "cls"])
+
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            if not len(ids):
+                continue
+            starts = np.concatenate(([True], ids[1:] != ids[:-1]))
+            word, unique = np.cumsum(starts) - 1, ids[starts]
+            sides = []
+            for column in (b.column(1), b.column(2)):
+                lengths = np.fromiter((len(x) for x in column.to_pylist()), np.int64, len(ids))
+                data = np.frombuffer(b"".join(column.to_pylist()), np.uint8).astype(np.int64)
+                sides.append(np.bincount(np.repeat(word, lengths) * CLASSES + data, minlength=len(unique) * CLASSES).reshape(-1, CLASSES).astype(np.float64))
+            if last is not None and unique[0] == last:
+                for side, more in zip(sides, carry):
+                    side[0] += more
+            elif last is not None:
+                yield judged(np.array([last]), carry[:, None, :])
+            last, carry = unique[-1], np.stack([side[-1] for side in sides])
+            yield judged(unique[:-1], np.stack([side[:-1] for side in sides]))
+        if last is not None:
+            yield judged(np.array([last]), carry[:, None, :])
+
+    return run
 
 
 def train_model(train: DataFrame) -> tuple[dict, DataFrame]:
-    """The bounded part of the model (for a broadcast), and the table of all words."""
+    """The bounded part of the model (for a broadcast), and the table (id, n, cls) of all words."""
     spark = prepare(train.sparkSession)
-    words = vocabulary(train)
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    end = _hash(END)
-    head = frequent(words.where(F.col("h") != end))
-    ends = words.where(F.col("h") == end).select("n").first()
-    ends = ends[0] if ends else 0
-    unit_of = {end: 0} | {int(h): i + 1 for i, h in enumerate(head["h"][:UNITS])}
-    model = {"unit_of": unit_of, "count_of": ({end: ends} if ends else {}) | dict(zip(head["h"].tolist(), head["n"].tolist())), "n": n, "v": v}
+    coded = train if "ids" in train.columns else encode(train)
+    coded = coded.where("train")
+    cast = spark.sparkContext.broadcast
+    words = keep(coded.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")), "lm-words")
+    ends = coded.count()
+    in_words, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    head = frequent(words, max(HEAD, UNITS))
+    # the core: units 1.. are the most frequent words, then the endings; unit 0 is the end
     width = UNITS + 1 + SUFFIXES
-    pairs = train.select("text").mapInArrow(_bigrams(spark.sparkContext.broadcast(model)), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(width * width)
-    counts[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(np.float64)
-    own = exchange(counts.reshape(width, width))
-    # tokens and distinct words of each unit, then of each class
-    groups = words.where(F.col("h") != end).groupBy("suffix").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
-    tokens, distinct = np.zeros(width), np.zeros(width)
-    tokens[0], distinct[0] = ends, min(ends, 1)
-    for r in groups:
-        tokens[UNITS + 1 + r["suffix"]], distinct[UNITS + 1 + r["suffix"]] = r["n"], r["v"]
-    for i, (c, s) in enumerate(zip(head["n"][:UNITS], head["suffix"][:UNITS])):
-        tokens[i + 1], distinct[i + 1] = c, 1
-        tokens[UNITS + 1 + s] -= c
-        distinct[UNITS + 1 + s] -= 1
-    in_class = np.zeros((width, CLASSES))
-    in_class[np.arange(width), own] = 1
-    class_tokens, class_words = tokens @ in_class, distinct @ in_class
-    follow = in_class.T @ counts.reshape(width, width) @ in_class
-    share = (class_tokens + 1) / (class_tokens.sum() + CLASSES)
+    core = head["id"].to_numpy(np.int64)[:UNITS]
+    order = np.argsort(core)
+    endings = np.arange(UNITS + 1, width)
+    counts = bigrams(coded, Lookup(core[order], order + 1, endings), width)
+    own = exchange(counts)
+    ending_class = own[UNITS + 1:].astype(np.uint8)
+    seed = np.zeros((width, CLASSES))
+    seed[np.arange(width), own] = 1
+    follow = seed.T @ counts @ seed
+    # every other word
+    fixed = spark.createDataFrame([(int(i), int(own[u + 1])) for u, i in enumerate(core)], "id long, cls int")
+    lookup, core_ids = Lookup(core[order], own[order + 1].astype(np.uint8), ending_class), cast(np.sort(core))
+    parts = max(1, -(-distinct // WORDS_PER_PART))
+    classed = fixed
+    for sweep in range(REST_SWEEPS):
+        rows = coded.select("ids").mapInArrow(_contexts(cast(lookup), core_ids), "id long, before binary, after binary")
+        moved = rows.repartition(parts, "id").sortWithinPartitions("id").mapInArrow(_assign(cast(follow)), "id long, cls int")
+        classed = keep(words.join(moved.unionByName(fixed), "id", "left"), "lm-classes")
+        head = frequent(classed, HEAD)
+        ids = head["id"].to_numpy(np.int64)
+        order = np.argsort(ids)
+        known = head["cls"].fillna(-1).to_numpy(np.int64)
+        classes = np.where(known < 0, ending_class[ids & (SUFFIXES - 1)], known).astype(np.uint8)
+        lookup = Lookup(ids[order], classes[order], ending_class)
+        follow = bigrams(coded, lookup, CLASSES)
+    by_ending = F.get(F.array(*(F.lit(int(c)) for c in ending_class)), F.col("id").bitwiseAND(F.lit(SUFFIXES - 1)).cast("int"))
+    classed = classed.withColumn("cls", F.coalesce("cls", by_ending)) if REST_SWEEPS else words.join(fixed, "id", "left").withColumn("cls", F.coalesce("cls", by_ending))
+    tokens, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+    for r in classed.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
+        tokens[r["cls"]], kinds[r["cls"]] = r["n"], r["v"]
+    tokens[0], kinds[0] = ends, min(ends, 1)
+    share = (tokens + 1) / (tokens.sum() + CLASSES)
     step = (follow + PRIOR * share[None, :]) / (follow.sum(axis=1, keepdims=True) + PRIOR)
-    model |= {"class_of": own, "log_step": np.log10(step), "log_room": np.log10(class_tokens + class_words + 1)}
-    return model, words
+    model = {"n": int(in_words) + ends, "v": int(distinct) + min(ends, 1), "ends": ends, "words": lookup,
+             "logs": np.log10(head["n"].to_numpy(np.float64)[order] + 1) if len(head) else np.zeros(0),
+             "log_step": np.log10(step), "log_room": np.log10(tokens + kinds + 1), "ending_class": ending_class}
+    return model, classed
+
+
+# scores --------------------------------------------------------------------------------------------------
+
+_DOC = "rid long, doc_id long, n_tokens long, known long, logs double, steps double, rare array<struct<id:bigint,before:int,after:int>>"
 
 
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        coder, log_step, log_room = Coder(m), m["log_step"], m["log_room"]
+        lookup, log_step, log_room = m["words"], m["log_step"], m["log_room"]
+        end_known, end_log = int(m["ends"] > 0), float(np.log10(m["ends"] + 1))
+        kind = pa.struct([("id", pa.int64()), ("before", pa.int32()), ("after", pa.int32())])
         for b in batches:
-            texts = byte_values(b.column(1))
-            cols: list[list] = [[] for _ in range(6)]
-            for at in range(0, len(texts), 100):
-                codes, sizes = coder.codes(texts[at:at + 100])
-                first = np.cumsum(sizes) - sizes
-                cls = m["class_of"][np.array(coder.units, np.int64)[codes]]
-                logs, hashes = np.array(coder.logs)[codes], np.array(coder.hashes, np.int64)[codes]
-                step = log_step[np.concatenate(([0], cls[:-1])), cls] - log_room[cls]  # class 0 holds only the end
-                rare = np.isnan(logs)
-                cols[0].append(sizes)
-                cols[1].append(np.add.reduceat((~rare).astype(np.int64), first))
-                cols[2].append(np.add.reduceat(np.where(rare, 0.0, logs), first))
-                cols[3].append(np.add.reduceat(step, first))
-                for lo, k in zip(first.tolist(), sizes.tolist()):
-                    words, times = np.unique(hashes[lo:lo + k][rare[lo:lo + k]], return_counts=True)
-                    cols[4].append(words)
-                    cols[5].append(times)
-            join = lambda x: np.concatenate(x) if x else np.zeros(0)
+            flat, starts = _flat(b.column(2))
+            sizes = np.diff(starts)
+            text = np.repeat(np.arange(len(sizes)), sizes)
+            place, found = lookup.at(flat)
+            classes = np.where(found, lookup.values[place] if len(lookup.ids) else 0, 255).astype(np.int64)  # 255: by the join
+            before, after = _steps(classes, starts)
+            seen = found & (before < CLASSES)
+            steps = np.bincount(text[seen], weights=log_step[before[seen], classes[seen]], minlength=len(sizes)).astype(np.float64)  # whole numbers where nothing is seen
+            steps -= np.bincount(text[found], weights=log_room[classes[found]], minlength=len(sizes))
+            logs = np.bincount(text[found], weights=m["logs"][place[found]], minlength=len(sizes)).astype(np.float64)
+            # the end of each text
+            last = np.zeros(len(sizes), np.int64)
+            full = sizes > 0
+            last[full] = classes[starts[1:][full] - 1]
+            steps += np.where(last < CLASSES, log_step[np.minimum(last, CLASSES - 1), 0], 0.0) - log_room[0]
+            rare = ~found
+            offsets = np.concatenate(([0], np.cumsum(np.bincount(text[rare], minlength=len(sizes))))).astype(np.int32)
+            ahead = np.where(after[rare] < CLASSES, after[rare], -1)
+            rows = pa.StructArray.from_arrays([pa.array(flat[rare]), pa.array(np.where(before[rare] < CLASSES, before[rare], -1).astype(np.int32)),
+                                               pa.array(ahead.astype(np.int32))], fields=list(kind))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(sizes + 1, pa.int64()), pa.array(np.bincount(text[found], minlength=len(sizes)) + end_known, pa.int64()),
+                 pa.array(logs + end_log), pa.array(steps), pa.ListArray.from_arrays(pa.array(offsets), rows)],
+                names=["rid", "doc_id", "n_tokens", "known", "logs", "steps", "rare"])
+
+    return run
+
+
+def _complete(model):
+    """Tokens of words outside the head, by text and in order, with their joined class and count -> sums per text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        last = 0
+        for b in batches:
+            rid, ids, before, after, n, cls = (b.column(i) for i in range(6))
+            if not b.num_rows:
+                continue
+            rid, ids = rid.to_numpy(), ids.to_numpy()
+            known, n = n.is_valid().to_numpy(zero_copy_only=False), n.fill_null(0).to_numpy()
+            classes = np.where(known, cls.fill_null(0).to_numpy(), m["ending_class"][ids & (SUFFIXES - 1)]).astype(np.int64)
+            before, after = before.to_numpy(), after.to_numpy()
+            # -1: the token before is the row before, a token of the same kind
+            from_class = np.where(before < 0, np.concatenate(([last], classes[:-1])), before)
+            last = int(classes[-1])
+            steps = m["log_step"][from_class, classes] - m["log_room"][classes]
+            steps += np.where(after < 0, 0.0, m["log_step"][classes, np.maximum(after, 0)])
+            starts = np.flatnonzero(np.concatenate(([True], rid[1:] != rid[:-1])))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(join(cols[0]), pa.int64()), pa.array(join(cols[1]), pa.int64()), pa.array(join(cols[2]), pa.float64()),
-                 pa.array(join(cols[3]), pa.float64()), pa.array(cols[4], pa.list_(pa.int64())), pa.array(cols[5], pa.list_(pa.int64()))],
-                names=["doc_id", "n_tokens", "head_known", "head_logs", "steps", "rare", "times"])
+                [pa.array(rid[starts]), pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(np.add.reduceat(np.log10(n + 1.0), starts)),
+                 pa.array(np.add.reduceat(steps, starts))], names=["rid", "more_known", "more_logs", "more_steps"])
 
     return run
 
 
 def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10) for every row."""
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10) for every row; ``docs`` or :func:`encode` of them."""
     spark = prepare(docs.sparkSession)
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, n_tokens long, head_known long, head_logs double, steps double, rare array<long>, times array<long>"
-    per_doc = keep(narrow.mapInArrow(_score(spark.sparkContext.broadcast(model)), schema).withColumn("rid", F.monotonically_increasing_id()), "lm-docs")
-    rare = per_doc.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("rid", F.col("x.rare").alias("h"), F.col("x.times").alias("times"))
-    joined = rare.join(words.select("h", "n"), "h")
-    tail = joined.groupBy("rid").agg(F.sum("times").alias("tail_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("tail_logs"))
-    logs = F.col("head_logs") + F.coalesce("tail_logs", F.lit(0.0))
-    return per_doc.drop("rare", "times").join(tail, "rid", "left").select(
-        "doc_id", "n_tokens", (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"), F.lit(model["n"]).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * F.lit(float(np.log10(model["n"] + model["v"] + 1)))).alias("base_score"), (logs + F.col("steps")).alias("score"))
+    coded = docs if "ids" in docs.columns else encode(docs)
+    held = spark.sparkContext.broadcast(model)
+    per_doc = keep(coded.select("rid", "doc_id", "ids").mapInArrow(_score(held), _DOC), "lm-docs")
+    rare = per_doc.select("rid", F.posexplode("rare").alias("place", "x")).select("rid", "place", "x.*")
+    joined = rare.join(words, "id", "left").repartition("rid").sortWithinPartitions("rid", "place").select("rid", "id", "before", "after", "n", "cls")
+    more = joined.mapInArrow(_complete(held), "rid long, more_known long, more_logs double, more_steps double")
+    more = more.groupBy("rid").agg(*(F.sum(c).alias(c) for c in ("more_known", "more_logs", "more_steps")))
+    rows = per_doc.drop("rare").join(more, "rid", "left")
+    logs, steps = (F.col(c) + F.coalesce(f"more_{c}", F.lit(0.0)) for c in ("logs", "steps"))
+    return rows.select(
+        "doc_id", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(model["n"]).cast("long").alias("train_tokens"),
+        (logs - F.col("n_tokens") * F.lit(float(np.log10(model["n"] + model["v"] + 1)))).alias("base_score"), (logs + steps).alias("score"))
 
 
 @query("op7_lm_scoring")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
     held = remainder("doc_id", 7) == 2
-    model, words = train_model(docs.where(~held))
-    return score(docs, model, words).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    coded = encode(table(spark, sf_dir, "documents"), ~held)
+    model, words = train_model(coded)
+    return score(coded, model, words).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
