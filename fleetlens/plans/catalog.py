@@ -14,6 +14,7 @@ from fleetlens.plans import (  # noqa: F401
     scalar_queries,
     schedule_queries,
     signal_queries,
+    series_queries,
     sink_queries,
     stream_queries,
     timeseries_queries,

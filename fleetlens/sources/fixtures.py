@@ -662,6 +662,44 @@ SELECT event_id AS sample_id, ts, 'host-' || CAST(user_id % 8 AS VARCHAR) AS ins
 FROM events
 """
 
+# FIXED VALUES - labels and shares of the labelled samples' values: jobs, status codes, upper bounds with their shares.
+SAMPLE_JOBS = ["nodes", "action-runner", "demo-app", "alertmanager"]
+SAMPLE_STATUS = ["200", "404", "500", "503"]
+SAMPLE_LES = [("0.1", 20), ("0.25", 50), ("0.5", 70), ("1", 90), ("2.5", 95), ("+Inf", 100)]
+
+
+def labelled_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ts, sample_id, name, labels, value): up, a request counter and latency buckets per event. Counters restart; one
+    instance has no 0.5 bucket."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    k, u = F.col("event_id"), F.col("user_id")
+    labels = lambda **x: F.map_filter(F.create_map(*[c for n, v in x.items() for c in (F.lit(n), v)]), lambda _, v: v.isNotNull())
+    pick = lambda values, i: F.element_at(F.array(*[F.lit(v) for v in values]), (i + 1).cast("int"))
+    host = lambda n: F.concat(F.lit("host-"), (u % n).cast("string"))
+    service = F.when(u % 3 < 2, F.lit("demo-app")).otherwise(F.lit("relay"))
+    node = F.when(k % 4 == 0, F.when(u % 2 == 0, F.lit("vps")).otherwise(F.lit("admin")))
+    sample = lambda name, tags, value: F.struct(F.lit(name).alias("name"), tags.alias("labels"), value.cast("double").alias("value"))
+    up = sample("up", labels(job=pick(SAMPLE_JOBS, k % 4), node=node, instance=host(3)), F.when(k % 13 == 0, 0).otherwise(1))
+    requests = sample("http_requests_total", labels(service=service, status=pick(SAMPLE_STATUS, k % 4), instance=host(2)), k * 3 % 2000)
+    buckets = [F.when(F.lit(le != "0.5") | (u % 4 != 3),
+                      sample("http_request_duration_seconds_bucket", labels(service=service, le=F.lit(le), instance=host(4)), F.floor(k % 900 * share / 100)))
+               for le, share in SAMPLE_LES]
+    all_of = F.filter(F.array(up, requests, *buckets), lambda x: x.isNotNull())
+    return ev.select(_ts("ts").alias("ts"), k.alias("sample_id"), F.explode(all_of).alias("x")).select("ts", "sample_id", "x.*")
+
+
+_LABELLED_SQL = f"""
+SELECT ts, event_id AS sample_id, 'up' AS name,
+  CASE WHEN event_id % 4 = 0 THEN MAP {{'job': 'nodes', 'node': CASE WHEN user_id % 2 = 0 THEN 'vps' ELSE 'admin' END, 'instance': 'host-' || CAST(user_id % 3 AS VARCHAR)}}
+    ELSE MAP {{'job': {SAMPLE_JOBS}[event_id % 4 + 1], 'instance': 'host-' || CAST(user_id % 3 AS VARCHAR)}} END AS labels,
+  CAST(CASE WHEN event_id % 13 = 0 THEN 0 ELSE 1 END AS DOUBLE) AS value FROM events
+UNION ALL SELECT ts, event_id, 'http_requests_total', MAP {{'service': CASE WHEN user_id % 3 < 2 THEN 'demo-app' ELSE 'relay' END,
+    'status': {SAMPLE_STATUS}[event_id % 4 + 1], 'instance': 'host-' || CAST(user_id % 2 AS VARCHAR)}}, CAST(event_id * 3 % 2000 AS DOUBLE) FROM events
+UNION ALL SELECT ts, event_id, 'http_request_duration_seconds_bucket', MAP {{'service': CASE WHEN user_id % 3 < 2 THEN 'demo-app' ELSE 'relay' END,
+    'le': b.le, 'instance': 'host-' || CAST(user_id % 4 AS VARCHAR)}}, CAST(floor(event_id % 900 * b.share / 100) AS DOUBLE)
+  FROM events CROSS JOIN (VALUES {", ".join(str(x) for x in SAMPLE_LES)}) b(le, share) WHERE b.le <> '0.5' OR user_id % 4 <> 3
+"""
+
 # --------------------------------------------------------------------------------------------
 # files <- supplier (backup archive inventory)
 # --------------------------------------------------------------------------------------------
@@ -876,6 +914,7 @@ ORACLE_CTES = {
     "admin_logs": _ADMIN_LOGS_SQL,
     "snapshots": _SNAPSHOTS_SQL,
     "samples": _SAMPLES_SQL,
+    "labelled": _LABELLED_SQL,
     "files": _FILES_SQL,
     "processes": _PROCESSES_SQL,
     "running_apps": _RUNNING_APPS_SQL,
