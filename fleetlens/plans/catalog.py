@@ -7,6 +7,7 @@ from fleetlens.plans import (  # noqa: F401
     artifact_queries,
     audit_queries,
     chain_queries,
+    contract_queries,
     mac_queries,
     metric_queries,
     output_queries,
