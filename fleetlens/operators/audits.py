@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.numeric import fmt_num, safe_float, safe_int
-from fleetlens.functions.text import escape_label, finding_text, py_strip
+from fleetlens.functions.text import PY_WHITESPACE, escape_label, finding_text, py_strip
 
 # Python str.splitlines() boundaries.
 LINE_BREAKS = r"\r\n|[\n\r\u000B\u000C\u001C\u001D\u001E\u0085\u2028\u2029]"
@@ -25,15 +25,21 @@ FINDING = "struct<severity:string,kind:string,message:string>"
 
 # ----------------------------------------------------------------------------- S3
 
+def _stripped(x: Column) -> Column:
+    """``py_strip``, which walks the whole text, only where the first or last character is whitespace."""
+    edges = [F.substring(x, at, 1).isin(*PY_WHITESPACE) for at in (1, -1)]
+    return F.when(edges[0] | edges[1], py_strip(x)).otherwise(x)
+
+
 def kv_facts_map(text) -> Column:
     """S3: ``key=value`` lines -> map<string,string>. Lines are stripped; blank lines, lines starting
     with '===' and lines without '=' are skipped; split on the first '='; the last duplicate wins."""
     t = F.col(text) if isinstance(text, str) else text
-    lines = F.transform(F.split(F.coalesce(t, F.lit("")), LINE_BREAKS), lambda x: py_strip(x))
-    kept = F.filter(lines, lambda x: (x != "") & ~x.startswith("===") & x.contains("="))
+    written = F.filter(F.split(F.coalesce(t, F.lit("")), LINE_BREAKS), lambda x: x.contains("="))
+    kept = F.filter(F.transform(written, _stripped), lambda x: ~x.startswith("==="))
     entries = F.transform(kept, lambda x: F.struct(
-        py_strip(F.substring_index(x, "=", 1)).alias("key"),
-        py_strip(F.substr(x, F.instr(x, "=") + 1)).alias("value")))
+        _stripped(F.substring_index(x, "=", 1)).alias("key"),
+        _stripped(F.substr(x, F.instr(x, "=") + 1)).alias("value")))
     return F.map_from_entries(entries)
 
 
@@ -44,8 +50,18 @@ def kv_facts(logs: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------------------- helpers
 
-def _g(facts: Column, key: str) -> Column:
-    return F.try_element_at(facts, F.lit(key))
+class Fields:
+    """Facts as plain columns: remembers which keys the checks read, and under which name."""
+
+    def __init__(self) -> None:
+        self.names: dict[str, str] = {}
+
+    def __getitem__(self, key: str) -> Column:
+        return F.col(self.names.setdefault(key, f"_fact{len(self.names)}"))
+
+
+def _g(facts, key: str) -> Column:
+    return facts[key] if isinstance(facts, Fields) else F.try_element_at(facts, F.lit(key))
 
 
 def _is(v: Column, value: str) -> Column:
@@ -75,8 +91,9 @@ def _msg(*parts) -> Column:
 
 
 def _checks(items: list[tuple[Column, Column]]) -> Column:
-    arr = F.array(*[F.when(cond, finding) for cond, finding in items])
-    return F.filter(arr.cast(f"array<{FINDING}>"), lambda x: x.isNotNull())
+    """Findings whose condition holds, in order (compiled code throughout: a lambda would be interpreted)."""
+    none = F.array().cast(f"array<{FINDING}>")
+    return F.concat(*[F.when(cond, F.array(finding)).otherwise(none) for cond, finding in items])
 
 
 def level_of(findings) -> Column:
@@ -307,10 +324,16 @@ def analyze(logs: DataFrame, checks) -> DataFrame:
     """Facts -> findings -> level / counts / summary, one row per log (map-side, no shuffle)."""
     from fleetlens.session import cached_expr
 
+    def judged():
+        fields = Fields()
+        return checks(fields), fields.names
+
     keep = [c for c in logs.columns if c != "text"]  # log_id, host and any other passthrough columns
     a = materialize(logs, keep, facts=cached_expr(("kv_facts_map", "text"), lambda: kv_facts_map("text")))
-    a = materialize(a, keep + ["facts"],
-                    findings=cached_expr((checks.__name__, "facts"), lambda: checks(F.col("facts"))))
+    found, names = cached_expr((checks.__name__, "fields"), judged)
+    # the keys that checks read become columns once per row; then the checks run as compiled projections
+    a = a.select(*keep, "facts", *(F.try_element_at("facts", F.lit(k)).alias(n) for k, n in names.items()))
+    a = a.select(*keep, "facts", found.alias("findings"))
     f = F.col("findings")
     return a.select(
         *keep, "facts", "findings", level_of(f).alias("level"),
