@@ -281,6 +281,25 @@ def gains(before: np.ndarray, after: np.ndarray, follow: np.ndarray) -> np.ndarr
     return out
 
 
+def _in_groups(batches: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to so many rows."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column, and the length of each value (no copies)."""
+    bounds = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return data[bounds[0]:bounds[-1]], np.diff(bounds)
+
+
 def _assign(follow):
     """Rows sorted by word -> (id, class) of words that occur twice or more; one word's counts are held at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +311,7 @@ def _assign(follow):
             best = np.argmax(np.round(gains(sides[0][able], sides[1][able], table_of), 9), axis=1)
             return pa.RecordBatch.from_arrays([pa.array(ids[able], pa.int64()), pa.array(best, pa.int32())], names=["id", "cls"])
 
-        for b in batches:
+        for b in _in_groups(batches):
             ids = b.column(0).to_numpy()
             if not len(ids):
                 continue
@@ -300,8 +319,7 @@ def _assign(follow):
             word, unique = np.cumsum(starts) - 1, ids[starts]
             sides = []
             for column in (b.column(1), b.column(2)):
-                lengths = np.fromiter((len(x) for x in column.to_pylist()), np.int64, len(ids))
-                data = np.frombuffer(b"".join(column.to_pylist()), np.uint8).astype(np.int64)
+                data, lengths = _bytes(column)
                 sides.append(np.bincount(np.repeat(word, lengths) * CLASSES + data, minlength=len(unique) * CLASSES).reshape(-1, CLASSES).astype(np.float64))
             if last is not None and unique[0] == last:
                 for side, more in zip(sides, carry):
