@@ -24,14 +24,17 @@ def latest_runs(runs: DataFrame, n: int = 20) -> DataFrame:
             .orderBy(F.col("id").desc()).limit(n))
 
 
+def _run_ids(result_json: str = "result_json"):
+    """Run ids recorded in a task's result: ``run_id`` and every element of ``run_ids``."""
+    r = F.from_json(result_json, "struct<run_id:bigint, run_ids:array<bigint>>")
+    none = F.array().cast("array<bigint>")
+    return F.array_distinct(F.concat(F.when(r["run_id"].isNotNull(), F.array(r["run_id"])).otherwise(none), F.coalesce(r["run_ids"], none)))
+
+
 def task_run_ids(tasks: DataFrame) -> DataFrame:
-    """Run ids recorded in task results: ``run_id`` and every element of ``run_ids``."""
-    rj = F.from_json("result_json", "struct<run_id:bigint, run_ids:array<bigint>>")
-    t = tasks.where(F.col("result_json").isNotNull()).select("id", "decision_id", rj.alias("r"))
-    ids = F.array_distinct(F.concat(F.when(F.col("r.run_id").isNotNull(), F.array("r.run_id"))
-                                    .otherwise(F.array().cast("array<bigint>")),
-                                    F.coalesce("r.run_ids", F.array().cast("array<bigint>"))))
-    return t.select(F.col("id").alias("task_id"), "decision_id", F.explode(ids).alias("run_id"))
+    """(task_id, decision_id, run_id) of the runs recorded in task results."""
+    t = tasks.where(F.col("result_json").isNotNull())
+    return t.select(F.col("id").alias("task_id"), "decision_id", F.explode(_run_ids()).alias("run_id"))
 
 
 def lookup_by_ids(table: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
@@ -91,11 +94,10 @@ def lineage(decisions: DataFrame, tasks: DataFrame, runs: DataFrame) -> DataFram
     """Decision -> task (decision_id) -> run (run ids inside result_json); left joins keep
     decisions without tasks and tasks without recorded runs."""
     d = decisions.select(F.col("signal_id").alias("decision_id"), "decision")
-    t = tasks.select(F.col("id").alias("task_id"), "decision_id", F.col("status").alias("task_status"))
-    tr = task_run_ids(tasks).select("task_id", "run_id")
+    t = tasks.select(F.col("id").alias("task_id"), "decision_id", F.col("status").alias("task_status"), F.explode_outer(_run_ids()).alias("run_id"))
     r = runs.select(F.col("id").alias("run_id"), F.col("action").alias("run_action"), F.col("status").alias("run_status"))
     # tasks without a recorded run stay out of the join on run_id: their nulls would meet in one partition
-    dt = d.join(t.join(tr, "task_id", "left"), "decision_id", "left")
+    dt = d.join(t, "decision_id", "left")
     ran = dt.where(F.col("run_id").isNotNull()).join(r, "run_id", "left")
     rest = dt.where(F.col("run_id").isNull())
     return (ran.unionByName(rest, allowMissingColumns=True)

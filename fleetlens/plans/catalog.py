@@ -19,6 +19,7 @@ from fleetlens.plans import (  # noqa: F401
     sink_queries,
     stream_queries,
     timeseries_queries,
+    verify_queries,
     weekly_queries,
 )
 from fleetlens.plans.registry import ORACLE, QUERIES
