@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from fleetlens.session import ensure_session, materialize
 
@@ -50,6 +51,29 @@ def discard(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has (Spark's names ignore case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def map_whole(df: DataFrame, run, extra: tuple[StructField, ...] = ()) -> DataFrame:
+    """``mapInArrow`` over all columns of ``df`` (by place; their names may hold any character), plus ``extra`` ones."""
+    plain = [StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(df.schema.fields)]
+    out = df.toDF(*(f.name for f in plain)).mapInArrow(run, StructType([*plain, *extra]))
+    return out.toDF(*df.columns, *(f.name for f in extra))
+
+
 def worker_memo(name: str, large: bool = False) -> dict:
     """A dict that lives as long as the Python worker does, so later tasks find it filled.
 

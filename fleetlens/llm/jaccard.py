@@ -28,9 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField
 
-from fleetlens.llm.common import NULL_ID, byte_values, discard, id_or_least, keep, mix, prepare, table, window_hashes, word_hashes, worker_memo
+from fleetlens.llm.common import NULL_ID, byte_values, discard, free_names, id_or_least, keep, map_whole, mix, own_columns, prepare, table, window_hashes, word_hashes, worker_memo
 from fleetlens.llm.components import components
 from fleetlens.llm.registry import query
 
@@ -311,21 +311,22 @@ def similar_classes(docs: DataFrame, threshold: float = 0.8, ratio: tuple[int, i
 def one_of_each(docs: DataFrame, threshold: float = 0.8, ratio: tuple[int, int] = (4, 5)) -> DataFrame:
     """The documents without all but the first (by doc_id) of each class; texts without a word all stay."""
     _, per_set = set_classes(docs, threshold, ratio)
-    heads = per_set.where("head").select(F.col("sid").alias("_head"), F.col("class_did").alias("_class"))
+    sid, head, cls = free_names(docs, "_sid", "_head", "_class")
+    heads = per_set.where("head").select(F.col("sid").alias(head), F.col("class_did").alias(cls))
+    at = docs.columns.index("text")
 
     def add_sid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingles(t) for t in byte_values(b.column(b.schema.names.index("text")))]
-            sid = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sid, pa.binary())], names=[*b.schema.names, "_sid"])
-
-    schema = StructType([*docs.schema.fields, StructField("_sid", BinaryType())])
-    named = docs.mapInArrow(add_sid, schema)
-    worded = named.where(F.col("_sid").isNotNull())
-    kept = worded.join(heads, (worded["_sid"] == heads["_head"]) & (id_or_least(F.col("doc_id").cast("long")) == heads["_class"]))
+            sets = [shingles(t) for t in byte_values(b.column(at))]
+            digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(digests, pa.binary())], names=[*b.schema.names, sid])
+
+    named = map_whole(docs, add_sid, (StructField(sid, BinaryType()),))
+    worded = named.where(F.col(sid).isNotNull())
+    kept = worded.join(heads, (F.col(sid) == F.col(head)) & (id_or_least(F.col("doc_id").cast("long")) == F.col(cls)))
     # repeated rows of a kept document are copies of it; rows of a set are together after the join
-    kept = kept.dropDuplicates(["_sid", "_class"])
-    return kept.select(*docs.columns).unionByName(named.where(F.col("_sid").isNull()).select(*docs.columns))
+    kept = kept.dropDuplicates([sid, cls])
+    return kept.select(*own_columns(docs)).unionByName(named.where(F.col(sid).isNull()).select(*own_columns(docs)))
 
 
 @query("op8_ngram_jaccard_join", r"""

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import byte_values, prepare, table, worker_memo
+from fleetlens.llm.common import byte_values, map_whole, prepare, table, worker_memo
 from fleetlens.llm.registry import query
 
 PER_LANGUAGE = 300
@@ -240,7 +240,7 @@ def keep_identified(docs: DataFrame, model: dict, least: float = LEAST_SCORE) ->
             found, scores = predict_texts(m, byte_values(b.column(at)))
             yield b.filter(pa.array([x != UNDETERMINED and s >= least for x, s in zip(found, scores)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_whole(docs, run)
 
 
 def remainder(col: str, m: int):

@@ -316,8 +316,8 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             waiting = unit_rows.select("uid", "size")
         n = n_left - opened
         if n:
-            gaps = gaps_now.where(F.col("free") >= least)
-            n_gaps = next_seq
+            gaps = keep(gaps_now.where(F.col("free") >= least), "gaps")
+            n_gaps = gaps.count()  # open ones: full sequences need no range
     if not placed:
         return units.select("uid", F.lit(0).cast("long").alias("seq"), F.lit(0).cast("long").alias("at"))
     out = placed[0]

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetlens.llm.common import MEMO_WORD_BYTES, byte_values, keep, prepare, table, worker_memo
+from fleetlens.llm.common import MEMO_WORD_BYTES, byte_values, keep, map_whole, prepare, table, worker_memo
 from fleetlens.llm.registry import query
 
 TRAIN_DOCS = 4000
@@ -277,7 +277,7 @@ def keep_good(docs: DataFrame, weights: np.ndarray, prior: float, least: float =
             scores, _ = score_texts(*m, byte_values(b.column(at)))
             yield b.filter(pa.array([s >= least for s in scores], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_whole(docs, run)
 
 
 @query("op6_quality_classifier")

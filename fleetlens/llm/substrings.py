@@ -37,8 +37,10 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import (
     byte_values,
     discard,
+    free_names,
     id_or_least,
     keep,
+    own_columns,
     prepare,
     table,
     window_hashes,
@@ -296,16 +298,16 @@ def without_redundant(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     """The documents with redundant words removed (kept words joined by one space, n_chars renewed where the
     column exists). Texts that lose nothing stay as they are; documents that lose every word go."""
     judged, changed = redundant(docs, window, gram)
-    copied = judged.where("copied").select(F.col("did").alias("_did"), F.col("sign").alias("_sign"), F.lit(True).alias("_copied")).distinct()
-    new = changed.select(F.col("did").alias("_did"), F.col("sign").alias("_sign"), F.col("kept_text").alias("_kept")).unionByName(
-        copied.select("_did", "_sign", F.lit("").alias("_kept")))
-    did, sign = keys()
-    named = docs.withColumn("_row_did", did).withColumn("_row_sign", sign)
-    out = named.join(new, (named["_row_did"] == new["_did"]) & (named["_row_sign"] == new["_sign"]), "left")
-    out = out.where(F.col("_kept").isNull() | (F.col("_kept") != "")).withColumn("text", F.coalesce("_kept", "text"))
+    did, sign, kept, row_did, row_sign = free_names(docs, "_did", "_sign", "_kept", "_row_did", "_row_sign")
+    copied = judged.where("copied").select(F.col("did").alias(did), F.col("sign").alias(sign)).distinct()
+    new = changed.select(F.col("did").alias(did), F.col("sign").alias(sign), F.col("kept_text").alias(kept)).unionByName(
+        copied.withColumn(kept, F.lit("")))
+    named = docs.withColumns(dict(zip((row_did, row_sign), keys())))
+    out = named.join(new, (F.col(row_did) == F.col(did)) & (F.col(row_sign) == F.col(sign)), "left")
+    out = out.where(F.col(kept).isNull() | (F.col(kept) != "")).withColumn("text", F.coalesce(kept, "text"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_kept").isNotNull(), F.length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col(kept).isNotNull(), F.length(kept).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*own_columns(docs))
 
 
 @query("op5_substring_dedup", r"""
