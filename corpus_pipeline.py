@@ -2,6 +2,11 @@
 
 Each stage takes the documents that the one before it kept (written as Parquet and reread) and returns the
 columns of documents; the last returns the packed pieces.
+
+Defined cases: a null, empty or letterless text goes at the first stage; columns beside doc_id, text and n_chars pass through,
+whatever they are called (n_chars is renewed where a passage was removed); rows that share doc_id and text are copies, of which the
+near-duplicate stage keeps one; a null doc_id comes before all others where the first is kept; of texts that tie in the
+first doc_id the row of that id stays; very long texts are read whole by every stage; an empty table gives an empty result.
 """
 
 from __future__ import annotations
