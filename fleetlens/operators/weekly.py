@@ -379,10 +379,20 @@ def fresh_briefs(briefs: DataFrame, rollup: DataFrame) -> DataFrame:
     return j.where(keep).drop("latest_level", "latest_ts")
 
 
+# FIXED VALUE - the note on a recovered posture.
+RECOVERED_NOTE = (" Current posture across admin_host_audit, vps_host_audit, monitoring_stack_audit, and "
+                  "mac_host_audit is now ok; remaining risk is mainly historical instability and recurrence prevention.")
+
+
+def all_domains_ok_by(rollup: DataFrame, by: str, domains: list[str]) -> DataFrame:
+    """A14 per group: every one of ``domains`` has a latest level, and it is ok."""
+    ok = F.count_if(F.col("domain").isin(*domains) & (F.col("latest_level") == "ok"))
+    return rollup.groupBy(by).agg((ok == len(domains)).alias("all_domains_ok"))
+
+
 def posture_adjust(week_status: Column, executive_summary: Column, all_ok: Column) -> tuple[Column, Column]:
     """Risky -> watch and a recovered note appended when every domain is ok now."""
-    note = (" Current posture across admin_host_audit, vps_host_audit, monitoring_stack_audit, and "
-            "mac_host_audit is now ok; remaining risk is mainly historical instability and recurrence prevention.")
+    note = RECOVERED_NOTE
     status = F.when(all_ok & (week_status == "risky"), F.lit("watch")).otherwise(week_status)
     summ = F.when(all_ok & (F.coalesce(executive_summary, F.lit("")) != "")
                   & ~executive_summary.contains(note.strip()),

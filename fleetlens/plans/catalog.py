@@ -8,6 +8,7 @@ from fleetlens.plans import (  # noqa: F401
     audit_queries,
     chain_queries,
     contract_queries,
+    document_queries,
     mac_queries,
     metric_queries,
     output_queries,
