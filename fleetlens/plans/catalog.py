@@ -13,6 +13,7 @@ from fleetlens.plans import (  # noqa: F401
     metric_queries,
     output_queries,
     queue_queries,
+    registry_queries,
     scalar_queries,
     schedule_queries,
     signal_queries,
