@@ -3,8 +3,9 @@
 P(text) is the product over tokens of P(class | class before) * P(word | class). Tokens are the words,
 with A-Z in lower case, and one end per text.
 
-* Texts are read once: a word becomes a number (58 bits of its hash, 6 bits for the group of its ending), and all later passes
-  run over the written arrays of numbers.
+* Texts are read once: a word becomes a number (58 bits of its hash, 6 bits for the group of its ending). Once words are counted,
+  a second table holds codes: the rank of a frequent word, else the group of its ending with the number aside. All
+  later passes run over these arrays, where a word's unit, class or count is one look-up by index.
 * Word counts are summed over the whole training part of the corpus, one row per distinct word.
 * Exchange clustering, first on a bounded core: units are the ``UNITS`` most frequent words and, for all other words, ``SUFFIXES``
   groups by hashed ending. A unit moves to the class that raises the likelihood of the class bigrams most, until no unit moves.
@@ -89,26 +90,40 @@ def encode(docs: DataFrame, train=None) -> DataFrame:
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of a batch, and where each text's begin (with the end of the last)."""
     sizes = np.diff(column.offsets.to_numpy())
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False), np.concatenate(([0], np.cumsum(sizes)))
+    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes)))
 
 
-class Lookup:
-    """Values of numbered words: those of a sorted table, else those of their endings."""
+def _recode(head):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, ranks = head.value
+        for b in batches:
+            flat, starts = _flat(b.column(3))
+            if len(ids):
+                place = np.minimum(np.searchsorted(ids, flat), len(ids) - 1)
+                found = ids[place] == flat
+                codes = np.where(found, ranks[place], -1 - (flat & (SUFFIXES - 1)))
+            else:
+                found, codes = np.zeros(len(flat), bool), -1 - (flat & (SUFFIXES - 1))
+            others = np.concatenate(([0], np.cumsum(~found)))[starts]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:3], pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(codes.astype(np.int32))),
+                 pa.ListArray.from_arrays(pa.array(others.astype(np.int32)), pa.array(flat[~found]))], names=["rid", "doc_id", "train", "codes", "others"])
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray, endings: np.ndarray) -> None:
-        self.ids, self.values, self.endings = ids, values, endings
+    return run
 
-    def at(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place in the table of each number, and whether it is in there."""
-        if not len(self.ids):
-            return np.zeros(len(flat), np.int64), np.zeros(len(flat), bool)
-        place = np.minimum(np.searchsorted(self.ids, flat), len(self.ids) - 1)
-        return place, self.ids[place] == flat
 
-    def of(self, flat: np.ndarray) -> np.ndarray:
-        place, found = self.at(flat)
-        other = self.endings[flat & (SUFFIXES - 1)]
-        return np.where(found, self.values[place], other) if len(self.ids) else other
+def recode(coded: DataFrame, head_ids: np.ndarray) -> DataFrame:
+    """(rid, doc_id, train, codes, others), written: a word's place in ``head_ids``, or -1 less the group of its ending;
+    ``others`` are the numbers of the latter words, in order."""
+    order = np.argsort(head_ids)
+    head = coded.sparkSession.sparkContext.broadcast((head_ids[order], order.astype(np.int32)))
+    rows = coded.select("rid", "doc_id", "train", "ids").mapInArrow(_recode(head), "rid long, doc_id long, train boolean, codes array<int>, others array<long>")
+    return keep(rows, "lm-codes")
+
+
+def by_code(of_head: np.ndarray, of_endings: np.ndarray) -> np.ndarray:
+    """A table to be indexed by codes: endings count from its end."""
+    return np.concatenate([of_head, of_endings[::-1]])
 
 
 def _steps(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,13 +136,13 @@ def _steps(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return before, after
 
 
-def _bigrams(lookup, width: int):
+def _bigrams(table_of, width: int):
     """Counts of (value, next value) over all texts, with their ends."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width * width, np.int64)
         for b in batches:
             flat, starts = _flat(b.column(0))
-            values = lookup.value.of(flat).astype(np.int64)
+            values = table_of.value[flat].astype(np.int64)
             before, _ = _steps(values, starts)
             total += np.bincount(before * width + values, minlength=width * width)
             full = np.diff(starts) > 0
@@ -141,10 +156,10 @@ def _bigrams(lookup, width: int):
     return run
 
 
-def bigrams(coded: DataFrame, lookup: Lookup, width: int) -> np.ndarray:
+def bigrams(coded: DataFrame, values: np.ndarray, width: int) -> np.ndarray:
     """The table of counts (width squared numbers come to the driver)."""
     spark = coded.sparkSession
-    rows = coded.select("ids").mapInArrow(_bigrams(spark.sparkContext.broadcast(lookup), width), "pair long, n long")
+    rows = coded.select("codes").mapInArrow(_bigrams(spark.sparkContext.broadcast(values), width), "pair long, n long")
     pairs = rows.groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(width * width)
     counts[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy(np.float64)
@@ -233,7 +248,7 @@ def frequent(words: DataFrame, most: int):
     return found.sort_values(["n", "id"], ascending=[False, True], ignore_index=True).head(most)
 
 
-def _contexts(lookup, core):
+def _contexts(classes_of, head_ids, core: int):
     """Tasks' blocks of tokens -> one row per word and block: its classes before and after as bytes, sorted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -242,7 +257,7 @@ def _contexts(lookup, core):
         def rows():
             ids, before, after = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            order = np.argsort(ids, kind="stable")
+            order = np.argsort(ids)
             ids, sides = ids[order], []
             starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
             word = np.cumsum(np.concatenate(([0], ids[1:] != ids[:-1]))).astype(np.int64)
@@ -256,10 +271,11 @@ def _contexts(lookup, core):
 
         for b in batches:
             flat, starts = _flat(b.column(0))
-            classes = lookup.value.of(flat)
-            before, after = _steps(classes, starts)
-            rest = ~Lookup(core.value, core.value, core.value).at(flat)[1]
-            held.append((flat[rest], before[rest], after[rest]))
+            before, after = _steps(classes_of.value[flat], starts)
+            ids = np.empty(len(flat), np.int64)
+            ids[flat >= 0], ids[flat < 0] = head_ids.value[flat[flat >= 0]], _flat(b.column(1))[0]
+            rest = (flat >= core) | (flat < 0)
+            held.append((ids[rest], before[rest], after[rest]))
             size += int(rest.sum())
             if size > BLOCK:
                 yield from rows()
@@ -334,55 +350,54 @@ def _assign(follow):
     return run
 
 
-def train_model(train: DataFrame) -> tuple[dict, DataFrame]:
-    """The bounded part of the model (for a broadcast), and the table (id, n, cls) of all words."""
-    spark = prepare(train.sparkSession)
-    coded = train if "ids" in train.columns else encode(train)
-    coded = coded.where("train")
+def train_on(coded: DataFrame) -> tuple[dict, DataFrame, DataFrame]:
+    """Of :func:`encode`: the bounded part of the model (for a broadcast), the table (id, n, cls) of all words, and the codes of all texts."""
+    spark = prepare(coded.sparkSession)
     cast = spark.sparkContext.broadcast
-    words = keep(coded.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")), "lm-words")
-    ends = coded.count()
+    words = keep(coded.where("train").select(F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")), "lm-words")
+    ends = coded.where("train").count()
     in_words, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     head = frequent(words, max(HEAD, UNITS))
+    ids = head["id"].to_numpy(np.int64)
+    codes = recode(coded, ids)
+    learn = codes.where("train")
     # the core: units 1.. are the most frequent words, then the endings; unit 0 is the end
-    width = UNITS + 1 + SUFFIXES
-    core = head["id"].to_numpy(np.int64)[:UNITS]
-    order = np.argsort(core)
+    width, core = UNITS + 1 + SUFFIXES, ids[:UNITS]
     endings = np.arange(UNITS + 1, width)
-    counts = bigrams(coded, Lookup(core[order], order + 1, endings), width)
+    unit = np.where(np.arange(len(ids)) < UNITS, np.arange(len(ids)) + 1, endings[ids & (SUFFIXES - 1)])
+    counts = bigrams(learn, by_code(unit, endings), width)
     own = exchange(counts)
-    ending_class = own[UNITS + 1:].astype(np.uint8)
+    ending_class = own[endings].astype(np.uint8)
     seed = np.zeros((width, CLASSES))
     seed[np.arange(width), own] = 1
     follow = seed.T @ counts @ seed
     # every other word
     fixed = spark.createDataFrame([(int(i), int(own[u + 1])) for u, i in enumerate(core)], "id long, cls int")
-    lookup, core_ids = Lookup(core[order], own[order + 1].astype(np.uint8), ending_class), cast(np.sort(core))
-    parts = max(1, -(-distinct // WORDS_PER_PART))
-    classed = fixed
-    for sweep in range(REST_SWEEPS):
-        rows = coded.select("ids").mapInArrow(_contexts(cast(lookup), core_ids), "id long, before binary, after binary")
+    head_ids, parts = cast(ids), max(1, -(-distinct // WORDS_PER_PART))
+    classed, head_class = words.join(fixed, "id", "left"), own[unit].astype(np.uint8)
+    for _ in range(REST_SWEEPS):
+        rows = learn.select("codes", "others").mapInArrow(_contexts(cast(by_code(head_class, ending_class)), head_ids, len(core)), "id long, before binary, after binary")
         moved = rows.repartition(parts, "id").sortWithinPartitions("id").mapInArrow(_assign(cast(follow)), "id long, cls int")
         classed = keep(words.join(moved.unionByName(fixed), "id", "left"), "lm-classes")
-        head = frequent(classed, HEAD)
-        ids = head["id"].to_numpy(np.int64)
-        order = np.argsort(ids)
-        known = head["cls"].fillna(-1).to_numpy(np.int64)
-        classes = np.where(known < 0, ending_class[ids & (SUFFIXES - 1)], known).astype(np.uint8)
-        lookup = Lookup(ids[order], classes[order], ending_class)
-        follow = bigrams(coded, lookup, CLASSES)
+        known = frequent(classed, max(HEAD, UNITS))["cls"].fillna(-1).to_numpy(np.int64)
+        head_class = np.where(known < 0, ending_class[ids & (SUFFIXES - 1)], known).astype(np.uint8)
+        follow = bigrams(learn, by_code(head_class, ending_class), CLASSES)
     by_ending = F.get(F.array(*(F.lit(int(c)) for c in ending_class)), F.col("id").bitwiseAND(F.lit(SUFFIXES - 1)).cast("int"))
-    classed = classed.withColumn("cls", F.coalesce("cls", by_ending)) if REST_SWEEPS else words.join(fixed, "id", "left").withColumn("cls", F.coalesce("cls", by_ending))
+    classed = classed.withColumn("cls", F.coalesce("cls", by_ending))
     tokens, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in classed.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
         tokens[r["cls"]], kinds[r["cls"]] = r["n"], r["v"]
     tokens[0], kinds[0] = ends, min(ends, 1)
     share = (tokens + 1) / (tokens.sum() + CLASSES)
     step = (follow + PRIOR * share[None, :]) / (follow.sum(axis=1, keepdims=True) + PRIOR)
-    model = {"n": int(in_words) + ends, "v": int(distinct) + min(ends, 1), "ends": ends, "words": lookup,
-             "logs": np.log10(head["n"].to_numpy(np.float64)[order] + 1) if len(head) else np.zeros(0),
-             "log_step": np.log10(step), "log_room": np.log10(tokens + kinds + 1), "ending_class": ending_class}
-    return model, classed
+    model = {"n": int(in_words) + ends, "v": int(distinct) + min(ends, 1), "ends": ends, "ids": ids, "classes": head_class,
+             "logs": np.log10(head["n"].to_numpy(np.float64) + 1), "log_step": np.log10(step), "log_room": np.log10(tokens + kinds + 1), "ending_class": ending_class}
+    return model, classed, codes
+
+
+def train_model(train: DataFrame) -> tuple[dict, DataFrame]:
+    """The model and its words, from training texts."""
+    return train_on(encode(train))[:2]
 
 
 # scores --------------------------------------------------------------------------------------------------
@@ -393,20 +408,21 @@ _DOC = "rid long, doc_id long, n_tokens long, known long, logs double, steps dou
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        lookup, log_step, log_room = m["words"], m["log_step"], m["log_room"]
+        log_step, log_room = m["log_step"], m["log_room"]
+        class_of = by_code(m["classes"].astype(np.int64), np.full(SUFFIXES, 255))  # 255: by the join
+        log_of = by_code(m["logs"], np.zeros(SUFFIXES))
         end_known, end_log = int(m["ends"] > 0), float(np.log10(m["ends"] + 1))
         kind = pa.struct([("id", pa.int64()), ("before", pa.int32()), ("after", pa.int32())])
         for b in batches:
             flat, starts = _flat(b.column(2))
             sizes = np.diff(starts)
             text = np.repeat(np.arange(len(sizes)), sizes)
-            place, found = lookup.at(flat)
-            classes = np.where(found, lookup.values[place] if len(lookup.ids) else 0, 255).astype(np.int64)  # 255: by the join
+            found, classes = flat >= 0, class_of[flat]
             before, after = _steps(classes, starts)
             seen = found & (before < CLASSES)
             steps = np.bincount(text[seen], weights=log_step[before[seen], classes[seen]], minlength=len(sizes)).astype(np.float64)  # whole numbers where nothing is seen
             steps -= np.bincount(text[found], weights=log_room[classes[found]], minlength=len(sizes))
-            logs = np.bincount(text[found], weights=m["logs"][place[found]], minlength=len(sizes)).astype(np.float64)
+            logs = np.bincount(text[found], weights=log_of[flat[found]], minlength=len(sizes)).astype(np.float64)
             # the end of each text
             last = np.zeros(len(sizes), np.int64)
             full = sizes > 0
@@ -415,7 +431,7 @@ def _score(model):
             rare = ~found
             offsets = np.concatenate(([0], np.cumsum(np.bincount(text[rare], minlength=len(sizes))))).astype(np.int32)
             ahead = np.where(after[rare] < CLASSES, after[rare], -1)
-            rows = pa.StructArray.from_arrays([pa.array(flat[rare]), pa.array(np.where(before[rare] < CLASSES, before[rare], -1).astype(np.int32)),
+            rows = pa.StructArray.from_arrays([pa.array(_flat(b.column(3))[0]), pa.array(np.where(before[rare] < CLASSES, before[rare], -1).astype(np.int32)),
                                                pa.array(ahead.astype(np.int32))], fields=list(kind))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(sizes + 1, pa.int64()), pa.array(np.bincount(text[found], minlength=len(sizes)) + end_known, pa.int64()),
@@ -452,11 +468,15 @@ def _complete(model):
 
 
 def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10) for every row; ``docs`` or :func:`encode` of them."""
-    spark = prepare(docs.sparkSession)
-    coded = docs if "ids" in docs.columns else encode(docs)
-    held = spark.sparkContext.broadcast(model)
-    per_doc = keep(coded.select("rid", "doc_id", "ids").mapInArrow(_score(held), _DOC), "lm-docs")
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10) for every row."""
+    return score_codes(recode(encode(docs), model["ids"]), model, words)
+
+
+def score_codes(coded: DataFrame, model: dict, words: DataFrame) -> DataFrame:
+    """Scores from the codes of :func:`train_on` or :func:`recode`."""
+    spark = prepare(coded.sparkSession)
+    held = spark.sparkContext.broadcast({k: v for k, v in model.items() if k != "ids"})
+    per_doc = keep(coded.select("rid", "doc_id", "codes", "others").mapInArrow(_score(held), _DOC), "lm-docs")
     rare = per_doc.select("rid", F.posexplode("rare").alias("place", "x")).select("rid", "place", "x.*")
     joined = rare.join(words, "id", "left").repartition("rid").sortWithinPartitions("rid", "place").select("rid", "id", "before", "after", "n", "cls")
     more = joined.mapInArrow(_complete(held), "rid long, more_known long, more_logs double, more_steps double")
@@ -472,5 +492,5 @@ def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = remainder("doc_id", 7) == 2
     coded = encode(table(spark, sf_dir, "documents"), ~held)
-    model, words = train_model(coded)
-    return score(coded, model, words).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    model, words, codes = train_on(coded)
+    return score_codes(codes, model, words).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -79,8 +79,8 @@ def test_scores_equal_the_plain_model(docs, rows, monkeypatch, units, head, swee
         monkeypatch.setattr(lm, name, value)
     held = language.remainder("doc_id", 7) == 2
     coded = lm.encode(docs, ~held)
-    model, words = lm.train_model(coded)
-    got = sorted(((r.doc_id is not None, r.doc_id or 0), round(r.score, 6)) for r in lm.score(coded, model, words).collect())
+    model, words, codes = lm.train_on(coded)
+    got = sorted(((r.doc_id is not None, r.doc_id or 0), round(r.score, 6)) for r in lm.score_codes(codes, model, words).collect())
     flags = [language.held_out(i, 7, 2) for i, _, _, _ in rows]
     want = plain_model([t for _, t, _, _ in rows], flags, units, head, sweeps)
     want = sorted(((i is not None, i or 0), round(s, 6)) for (i, _, _, _), s in zip(rows, want))
