@@ -2,12 +2,15 @@
 
 Per document: plain counts over the whole text (one Arrow pass, no shuffle). Per host: rule failures
 are summed, the failure rate is shrunk by a beta prior that is fitted to all hosts by moments, and the
-host's verdict is joined back to its documents. Only counts are shuffled, never texts; a host that holds
+host's verdict is joined back to its documents. A host is rejected when, by its posterior (the fitted prior and its own
+counts), its documents surely fail more often than not: the posterior mean lies over ``HOST_RATE`` by ``SURE`` standard
+deviations. Below that, most of its passing documents are good ones, and rejecting them would cost more than it saves; a small
+host is held to the other hosts' rate by the prior and needs more failures. Only counts are shuffled, never texts; a host that holds
 a third of all rows is pre-aggregated before the shuffle and split by AQE in the join.
 
 Defined cases: a null or empty text has no words (and fails for having too few); a null host is a host
 of its own; a repeated row is judged and returned once per row; an empty table gives an empty result;
-columns other than the three named are ignored.
+columns other than the three named are ignored; very long texts are counted whole; hosts that tie are judged alike.
 """
 
 from __future__ import annotations
@@ -25,8 +28,8 @@ from fleetlens.llm.registry import query
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEAT_PERCENT = 30
-#: A host is rejected when its shrunk failure rate is at least this.
-HOST_MAX_RATE = 0.9
+#: A host is rejected when its posterior failure rate lies over this by so many of its standard deviations.
+HOST_RATE, SURE = 0.5, 3.0
 SYMBOLS = b"#*$%&|<>"
 _NOT_COUNTED = b" \t\n\r\x0b\x0c" + bytes(range(0x80, 0xC0))
 
@@ -99,20 +102,21 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
     return mean * strength, (1 - mean) * strength
 
 
-def host_verdicts(stats: DataFrame, max_rate: float = HOST_MAX_RATE) -> DataFrame:
-    """host, host_docs, host_failed, host_rate (shrunk), host_rejected."""
+def host_verdicts(stats: DataFrame, max_rate: float = HOST_RATE, sure: float = SURE) -> DataFrame:
+    """host, host_docs, host_failed, host_rate (posterior mean), host_spread (its standard deviation), host_rejected."""
     hosts = stats.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.count_if("base_failed").alias("failed"))
     alpha, beta = beta_prior(hosts)
     rate = (F.col("failed") + F.lit(alpha)) / (F.col("n") + F.lit(alpha + beta))
-    return hosts.select("host", F.col("n").alias("host_docs"), F.col("failed").alias("host_failed"),
-                        rate.alias("host_rate"), (rate >= F.lit(max_rate)).alias("host_rejected"))
+    spread = F.sqrt(rate * (1 - rate) / (F.col("n") + F.lit(alpha + beta + 1)))
+    return hosts.select("host", F.col("n").alias("host_docs"), F.col("failed").alias("host_failed"), rate.alias("host_rate"),
+                        spread.alias("host_spread"), (rate - F.lit(sure) * spread > F.lit(max_rate)).alias("host_rejected"))
 
 
-def judge(docs: DataFrame, host: str = "source", max_rate: float = HOST_MAX_RATE) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", max_rate: float = HOST_RATE, sure: float = SURE) -> DataFrame:
     """Each document's counts with base_failed, its host's shrunk rate and the verdict ``kept``."""
     prepare(docs.sparkSession)
     stats = keep(document_stats(docs, host), "quality-stats")
-    verdict = host_verdicts(stats, max_rate).withColumnRenamed("host", "_host")
+    verdict = host_verdicts(stats, max_rate, sure).withColumnRenamed("host", "_host")
     out = stats.join(verdict, stats["host"].eqNullSafe(verdict["_host"]), "left").drop("_host")
     return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("host_rejected"), F.lit(False)))
 
@@ -138,7 +142,8 @@ h AS (SELECT host, count(*) AS n, count(*) FILTER (WHERE base_failed) AS f FROM
 m AS (SELECT (sum(f) + 1) / (sum(n) + 2.0) AS mean, count(*) AS k, var_pop(f / n) AS v, avg(1.0 / n) AS inv FROM h),
 q AS (SELECT mean, mean * (1 - mean) AS room, CASE WHEN k > 1 THEN greatest(v - mean * (1 - mean) * inv, 0) ELSE 0 END AS spread FROM m),
 z AS (SELECT mean, CASE WHEN spread > 0 THEN least(greatest(room / spread - 1, 1), 1000) ELSE 1000 END AS strength FROM q),
-j AS (SELECT host, (f + mean * strength) / (n + strength) >= 0.9 AS rejected FROM h CROSS JOIN z)
+y AS (SELECT host, n, strength, (f + mean * strength) / (n + strength) AS rate FROM h CROSS JOIN z),
+j AS (SELECT host, rate - 3 * sqrt(rate * (1 - rate) / (n + strength + 1)) > 0.5 AS rejected FROM y)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept, b.host
 FROM b JOIN j ON j.host IS NOT DISTINCT FROM b.host
 """)

@@ -46,6 +46,18 @@ def test_host_of_failures_is_rejected(spark):
     assert all(r.kept == (r.host != "bad") for r in got)
 
 
+def test_hosts_are_rejected_that_fail_more_often_than_not(spark):
+    """Hosts at 5, 40, 60 and 80 % failures, large and small: only the large ones beyond half go, with their passing documents."""
+    good = " ".join(f"w{i}" for i in range(40))
+    data, rates = [], {**{f"h{i}": (300, 5) for i in range(8)}, "at40": (1000, 40), "at60": (1000, 60), "at80": (1000, 80), "few": (5, 80)}
+    for name, (n, percent) in rates.items():
+        data += [(len(data) + i, "too short" if i * 100 < percent * n else good, name) for i in range(n)]
+    got = quality_rules.judge(spark.createDataFrame(data, "doc_id long, text string, source string")).collect()
+    assert {r.host for r in got if r.host_rejected} == {"at60", "at80"}
+    assert sum(r.kept != (not r.base_failed) for r in got) == 400 + 200
+    assert all(r.kept == (not r.base_failed) for r in got if r.host not in ("at60", "at80"))
+
+
 # op4 -----------------------------------------------------------------------------------------------------
 
 def check_packing(got, capacity):
