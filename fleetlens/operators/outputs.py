@@ -106,6 +106,13 @@ def decision_view(decided: DataFrame, actions: DataFrame) -> DataFrame:
         F.to_json(sorted_map(ctx)).alias("context_json"))
 
 
+def with_task_ids(view: DataFrame, tasks: DataFrame) -> DataFrame:
+    """The decision view with ``task_id``, the task that an executed decision has queued (the first one, by id)."""
+    queued = tasks.where(F.col("decision_id").isNotNull()).groupBy("decision_id").agg(F.min("id").alias("_task"))
+    out = view.join(queued, "decision_id", "left")
+    return out.withColumn("task_id", F.when(F.col("decision").isin("execute", "execute_chain"), F.col("_task"))).drop("_task")
+
+
 def remediation_tasks(decided: DataFrame, action: str = "soft_quit_allowlisted_candidate") -> DataFrame:
     """The critical memory rule's ``enqueue_mac_action`` step -> a ``mac_action`` task
     (payload ``{action, instance}``, priority from the step's severity, default critical)."""
@@ -182,6 +189,32 @@ def notification_outbox(notes: DataFrame) -> DataFrame:
                         s("status", "firing").alias("out_status"))
 
 
+def _alert_payload(status: Column, event: Column, severity: Column, source: Column, job: str, summary: Column, description: Column) -> Column:
+    """An alert-shaped notification as compact JSON, keys sorted."""
+    labels = F.struct(event.alias("alertname"), F.lit("vps").alias("instance"), F.lit(job).alias("job"), severity.alias("severity"), source.alias("service"))
+    alert = F.struct(F.struct(description.alias("description"), summary.alias("summary")).alias("annotations"), labels.alias("labels"), status.alias("status"))
+    return F.to_json(F.struct(F.array(alert).alias("alerts"), F.struct(summary.alias("summary")).alias("commonAnnotations"),
+                              F.struct(severity.alias("severity"), source.alias("service")).alias("commonLabels"),
+                              F.struct(event.alias("alertname")).alias("groupLabels"), F.lit("action-runner").alias("receiver"), status.alias("status")))
+
+
+def message_payloads(notes: DataFrame) -> DataFrame:
+    """What is sent for notes in message format: title and details of :func:`notification_outbox` as an alert."""
+    out = notification_outbox(notes)
+    return out.withColumn("payload", _alert_payload(F.col("out_status"), F.col("out_event"), F.col("out_severity"), F.col("out_source"), "control-plane",
+                                                    F.col("out_title"), F.col("out_details")))
+
+
+def alert_payloads(notes: DataFrame) -> DataFrame:
+    """What is sent for notes in alert format (``message, description, event, source, severity, status``; a missing
+    description is the message)."""
+    s = lambda col, default: pick_str(F.col(col), default=default)
+    message = s("message", "Notification from action-runner")
+    said = F.coalesce(F.nullif(pick_str(F.col("description")), F.lit("")), message)
+    return notes.withColumn("payload", _alert_payload(s("status", "firing"), s("event", "action_runner_event"), s("severity", "info"), s("source", "action-runner"),
+                                                      "action-runner", message, said))
+
+
 def kv_log_lines(facts: DataFrame) -> DataFrame:
     """Facts map -> ``key=value`` lines of all facts, in key order (a null value is empty); inverse of the parser."""
     pairs = F.array_sort(F.map_entries("facts"))

@@ -208,7 +208,7 @@ def _notes(spark, sf_dir):
         F.col("severity"), F.lit("firing").alias("status"))
 
 
-@query("notification_outbox", f"""WITH RECURSIVE {COOLDOWN_CTES},
+_OUTBOX_CTES = f"""WITH RECURSIVE {COOLDOWN_CTES},
 n AS (
   SELECT signal_id AS decision_id,
     CASE WHEN rule_name = 'mac_memory_pressure_critical_escalate' THEN '[MAC][CRITICAL] ' ELSE '[MAC][WARNING] ' END
@@ -218,19 +218,63 @@ n AS (
       CASE WHEN trim(ann_swap_used_mb) <> '' THEN 'swap_used_mb: ' || trim(ann_swap_used_mb) END,
       CASE WHEN rule_name = 'mac_memory_pressure_critical_escalate'
            THEN 'remediation: soft_quit_allowlisted_candidate' END], lambda x: x IS NOT NULL) AS lines,
-    trim(ann_reason_text) AS body
+    trim(ann_reason_text) AS body, severity
   FROM cd WHERE final_decision = 'execute_chain'
     AND rule_name IN ('mac_memory_pressure_warning_notify', 'mac_memory_pressure_critical_escalate')
 )
-SELECT decision_id, title AS out_title,
-  trim(array_to_string(CASE WHEN body <> '' THEN list_concat(lines, ['', body]) ELSE lines END, chr(10)), ' ' || chr(10))
-    AS out_details
-FROM n
-""", ctes=("sig0", "signals"))
+"""
+_OUTBOX_DETAILS = "trim(array_to_string(CASE WHEN body <> '' THEN list_concat(lines, ['', body]) ELSE lines END, chr(10)), ' ' || chr(10))"
+
+
+@query("notification_outbox", f"{_OUTBOX_CTES} SELECT decision_id, title AS out_title, {_OUTBOX_DETAILS} AS out_details FROM n", ctes=("sig0", "signals"))
 def q_notification_outbox(spark, sf_dir):
     return OUT.notification_outbox(_notes(spark, sf_dir)).select("decision_id", "out_title", "out_details")
 
 
+def _payload_sql(status: str, event: str, severity: str, source: str, job: str, summary: str, description: str) -> str:
+    return f"""to_json({{'alerts': [{{'annotations': {{'description': {description}, 'summary': {summary}}},
+      'labels': {{'alertname': {event}, 'instance': 'vps', 'job': '{job}', 'severity': {severity}, 'service': {source}}}, 'status': {status}}}],
+    'commonAnnotations': {{'summary': {summary}}}, 'commonLabels': {{'severity': {severity}, 'service': {source}}}, 'groupLabels': {{'alertname': {event}}},
+    'receiver': 'action-runner', 'status': {status}}})"""
+
+
+@query("alert_payloads", f"""
+WITH n AS (
+  SELECT event_id, CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '  ' ELSE 'note "' || event_type || '" ' || CAST(event_id AS VARCHAR) END AS message,
+    CASE event_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 'a' || chr(10) || 'b\\c' ELSE 'é ' END AS description, CASE WHEN event_id % 7 = 0 THEN '' ELSE event_type END AS event,
+    CASE WHEN event_id % 2 = 0 THEN 'critical' END AS severity FROM events),
+p AS (SELECT event_id, coalesce(nullif(trim(message), ''), 'Notification from action-runner') AS message, nullif(trim(description), '') AS description,
+  coalesce(nullif(event, ''), 'action_runner_event') AS event, coalesce(severity, 'info') AS severity FROM n)
+SELECT event_id AS note_id, CAST({_payload_sql("'firing'", "event", "severity", "'action-runner'", "action-runner", "message", "coalesce(description, message)")} AS VARCHAR) AS payload FROM p
+""")
+def q_alert_payloads(spark, sf_dir):
+    """Alert-shaped payload texts, fields missing or blank in turn."""
+    k = F.col("event_id")
+    ev = fx.read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    n = ev.select(k.alias("note_id"), F.when(k % 5 == 0, None).when(k % 5 == 1, "  ").otherwise(F.concat(F.lit('note "'), "event_type", F.lit('" '), k.cast("string"))).alias("message"),
+                  F.when(k % 3 == 0, None).when(k % 3 == 1, "a\nb\\c").otherwise("é ").alias("description"), F.when(k % 7 == 0, "").otherwise(F.col("event_type")).alias("event"),
+                  F.lit(None).cast("string").alias("source"), F.when(k % 2 == 0, "critical").alias("severity"), F.lit(None).cast("string").alias("status"))
+    return OUT.alert_payloads(n).select("note_id", "payload")
+
+
+@query("message_payloads", f"""{_OUTBOX_CTES}, m AS (SELECT decision_id, title, severity, {_OUTBOX_DETAILS} AS details FROM n)
+SELECT decision_id, CAST({_payload_sql("'firing'", "'mac_memory_pressure'", "severity", "'action-runner'", "control-plane", "title", "details")} AS VARCHAR) AS payload FROM m
+""", ctes=("sig0", "signals"))
+def q_message_payloads(spark, sf_dir):
+    """Payload texts of notes in message format."""
+    return OUT.message_payloads(_notes(spark, sf_dir)).select("decision_id", "payload")
+
+
+@query("decision_tasks_view", f"""WITH RECURSIVE {COOLDOWN_CTES}
+SELECT signal_id AS decision_id, alertname, final_decision AS decision, CASE WHEN final_decision IN ('execute', 'execute_chain') THEN t.id END AS task_id
+FROM cd LEFT JOIN tasks t ON t.decision_id = cd.signal_id
+""", ctes=("sig0", "signals", "tasks"))
+def q_decision_tasks_view(spark, sf_dir):
+    """The response rows with the ids of the tasks they have queued."""
+    view = OUT.decision_view(decisions(spark, sf_dir), OUT.rule_actions(spark))
+    return OUT.with_task_ids(view, fx.tasks(spark, sf_dir)).select("decision_id", "alertname", "decision", "task_id")
+
+
 # ------------------------------------------------------------------ K14, K15
 
 @query("kv_log_lines", f"""WITH {FACTS_SQL}

@@ -103,8 +103,9 @@ def discard(*frames) -> None:
 
 def ranged(df, cols, name: str):
     """``df`` range-partitioned and sorted by ``cols``, written once, with ``_part``: the number of the row's
-    range, ascending in ``cols``. Ranges hold about equally many rows whatever the keys are, so a window over
-    (key, _part) is bounded by rows, and per-(key, _part) summaries by the number of ranges."""
+    range, ascending in ``cols``. Ranges hold about equally many rows whatever the keys are: rows / ranges, with
+    ``spark.sql.shuffle.partitions`` ranges (to be set so that a range fits a task, as for any shuffle of the session). A window
+    over (key, _part) is bounded by that, and per-(key, _part) summaries by the number of ranges."""
     from pyspark.sql import functions as F
 
     return materialize(df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_part", F.spark_partition_id()), name)
