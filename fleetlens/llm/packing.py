@@ -252,7 +252,9 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         if gaps is not None:
             rows = rows.unionByName(gaps.select(F.lit(1).alias("kind"), F.col("free").alias("size"), F.col("seq").alias("id")))
         ranges = parts_for(n + n_gaps, ROWS_PER_RANGE)
-        swept = keep(rows.repartitionByRange(ranges, "size", "kind", "id").sortWithinPartitions("size", "kind", "id")
+        # at most ROWS_PER_RANGE rows are one range, which needs no exchange
+        dealt = rows.repartitionByRange(ranges, "size", "kind", "id") if ranges > 1 else rows.coalesce(1)
+        swept = keep(dealt.sortWithinPartitions("size", "kind", "id")
                      .mapInArrow(_sweep_ranges(capacity // SMALL_FIT), _SWEPT), "swept")
         tally = swept.groupBy("part").agg(
             F.count_if(F.col("kind") == "placed").alias("p"), F.count_if(F.col("kind") == "unit").alias("u"),
