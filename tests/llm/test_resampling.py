@@ -43,7 +43,7 @@ def want(texts, targets, order, buckets=10_000):
     return sorted(map(tuple, out), key=str)
 
 
-@pytest.mark.parametrize("order, joined, block, per_range", [(1, 4_000_000, 100_000, 1_000_000), (2, 500, 7, 10), (3, 1, 2, 1)])
+@pytest.mark.parametrize("order, joined, block, per_range", [(1, 4_000_000, 100_000, 1_000_000), (3, 500, 7, 10)])
 def test_resampling(spark, docs, rows, monkeypatch, order, joined, block, per_range):
     monkeypatch.setattr(resampling, "JOINED_BYTES", joined)
     monkeypatch.setattr(resampling, "BLOCK", block)
