@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import MEMO_WORD_BYTES, byte_values, keep, prepare, table, worker_memo
+from fleetlens.llm.common import MEMO_WORD_BYTES, byte_values, discard, keep, prepare, table, worker_memo
 from fleetlens.llm.language import remainder
 from fleetlens.llm.registry import query
 
@@ -45,7 +45,7 @@ SWEEPS, REST_SWEEPS = 8, 2
 PRIOR, CELL = 8.0, 0.5
 MEMO = 400_000
 #: Tokens whose contexts a task brings together before it hands them on; words per partition of such rows.
-BLOCK, WORDS_PER_PART = 4_000_000, 200_000
+BLOCK, WORDS_PER_PART = 3_000_000, 200_000
 
 
 # words as numbers ----------------------------------------------------------------------------------------
@@ -260,10 +260,10 @@ def _contexts(classes_of, head_ids, core: int):
             order = np.argsort(ids)
             ids, sides = ids[order], []
             starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-            word = np.cumsum(np.concatenate(([0], ids[1:] != ids[:-1]))).astype(np.int64)
+            word = np.cumsum(np.concatenate(([0], ids[1:] != ids[:-1])), dtype=np.int32) * np.int32(CLASSES)
             bounds = pa.py_buffer(np.append(starts, len(ids)).astype(np.int32).tobytes())
             for side in (before[order], after[order]):
-                ranked = (np.sort(word * CLASSES + side) % CLASSES).astype(np.uint8)
+                ranked = np.sort(word + side).astype(np.uint8) % np.uint8(CLASSES)  # 256 is a multiple of the classes
                 sides.append(pa.Array.from_buffers(pa.binary(), len(starts), [None, bounds, pa.py_buffer(ranked.tobytes())]))
             whole = pa.RecordBatch.from_arrays([pa.array(ids[starts]), *sides], names=["id", "before", "after"])
             for lo in range(0, whole.num_rows, 20_000):
@@ -351,7 +351,8 @@ def _assign(follow):
 
 
 def train_on(coded: DataFrame) -> tuple[dict, DataFrame, DataFrame]:
-    """Of :func:`encode`: the bounded part of the model (for a broadcast), the table (id, n, cls) of all words, and the codes of all texts."""
+    """Of :func:`encode`: the bounded part of the model (for a broadcast), the table (id, n, cls) of all words, and the codes of all texts,
+    which replace the table of numbers (it is deleted)."""
     spark = prepare(coded.sparkSession)
     cast = spark.sparkContext.broadcast
     words = keep(coded.where("train").select(F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")), "lm-words")
@@ -360,6 +361,7 @@ def train_on(coded: DataFrame) -> tuple[dict, DataFrame, DataFrame]:
     head = frequent(words, max(HEAD, UNITS))
     ids = head["id"].to_numpy(np.int64)
     codes = recode(coded, ids)
+    discard(coded)
     learn = codes.where("train")
     # the core: units 1.. are the most frequent words, then the endings; unit 0 is the end
     width, core = UNITS + 1 + SUFFIXES, ids[:UNITS]
