@@ -18,7 +18,7 @@ from fleetlens.functions.numeric import fmt_num, safe_float, safe_int
 from fleetlens.functions.text import PY_WHITESPACE, escape_label, finding_text, py_strip
 
 # Python str.splitlines() boundaries.
-LINE_BREAKS = r"\r\n|[\n\r\u000B\u000C\u001C\u001D\u001E\u0085\u2028\u2029]"
+LINE_BREAKS = r"\r\n|[\n-\r\u001C-\u001E\u0085\u2028\u2029]"
 
 FINDING = "struct<severity:string,kind:string,message:string>"
 
@@ -358,20 +358,19 @@ def missing_keys(logs: DataFrame, required=STACK_REQUIRED_VERIFY_KEYS) -> DataFr
 
 def component_health(logs: DataFrame) -> DataFrame:
     """exists=yes and state=running and probe ok, per component (long form)."""
-    f = kv_facts_map("text")
-    comps = F.array(*[F.struct(F.lit(n).alias("component"), F.lit(p).alias("probe")) for n, p in STACK_COMPONENTS])
-    x = logs.select("log_id", f.alias("facts"), F.explode(comps).alias("c"))
-    fk = lambda suffix: F.try_element_at(F.col("facts"), F.concat(F.lit("container_"), F.col("c.component"),
-                                                                  F.lit(suffix)))
-    healthy = (_is(fk("_exists"), "yes") & _is(fk("_state"), "running")
-               & probe_ok(F.try_element_at(F.col("facts"), F.col("c.probe"))))
-    return x.select("log_id", F.col("c.component").alias("component"), healthy.cast("int").alias("healthy"))
+    x = materialize(logs, ["log_id"], facts=kv_facts_map("text"))
+    g = lambda key: _g(F.col("facts"), key)
+
+    def health(name: str, probe: str) -> Column:
+        ok = _is(g(f"container_{name}_exists"), "yes") & _is(g(f"container_{name}_state"), "running") & probe_ok(g(probe))
+        return F.struct(F.lit(name).alias("component"), ok.cast("int").alias("healthy"))
+
+    return x.select("log_id", F.inline(F.array(*[health(n, p) for n, p in STACK_COMPONENTS])))
 
 
 def targets_down(logs: DataFrame) -> DataFrame:
     """Core and non-core targets down; restarting containers."""
-    f = kv_facts_map("text")
-    x = logs.select("log_id", f.alias("facts"))
+    x = materialize(logs, ["log_id"], facts=kv_facts_map("text"))
     req = F.coalesce(safe_int(_g(F.col("facts"), "prometheus_required_targets_down")), F.lit(0))
     tot = F.coalesce(safe_int(_g(F.col("facts"), "prometheus_total_targets_down")), F.lit(0))
     return x.select("log_id", req.alias("core_targets_down"),
