@@ -35,6 +35,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, where: Column | None
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Narrow rows dealt evenly over the session's cores, before a projection makes whole texts or records of them: a
+    table's file may hold a single row group, and one task would do all of the work."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def time_range(col: str, rng: tuple[str, str] | None) -> Column | None:
     """Pushable form of the closed, second-precision window ``[lo, hi]`` on a raw (zone-less) timestamp
     column: ``lo <= c < hi + 1 second``."""
@@ -438,7 +444,7 @@ def _kv_line_sql(spec, k: str) -> str:
 
 
 def kv_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").select("c_custkey")
+    c = spread(read_table(spark, sf_dir, "customer").select("c_custkey"))
     k = F.col("c_custkey")
     return c.select(
         k.alias("log_id"),
@@ -570,7 +576,7 @@ def _admin_line_sql(spec, k: str) -> str:
 
 
 def admin_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").select("c_custkey")
+    c = spread(read_table(spark, sf_dir, "customer").select("c_custkey"))
     k = F.col("c_custkey")
     text = cached_expr(("admin_logs_text",),
                        lambda: F.concat_ws("\n", *[_admin_line_spark(sp, k) for sp in ADMIN_LINES]))
@@ -594,7 +600,7 @@ _ADMIN_LOGS_SQL = (
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshots_from(read_table(spark, sf_dir, "part"))
+    return snapshots_from(spread(read_table(spark, sf_dir, "part").select("p_partkey", "p_size")))
 
 
 def snapshots_from(part: DataFrame) -> DataFrame:
