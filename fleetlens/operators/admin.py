@@ -37,22 +37,26 @@ def section(text, start_title: str, end_title: str = "") -> Column:
     return py_strip(F.regexp_extract(F.coalesce(_c(text), F.lit("")), pattern, 1))
 
 
-def strip_body_marker(output) -> tuple[Column, Column]:
-    """(log_path, body) from command output. ``LOG_PATH:`` line before the marker gives the path
-    (empty -> null); lines after the ``__AUDIT_BODY_BEGIN__`` line are the body, stripped; no marker ->
-    empty body."""
-    o = F.coalesce(_c(output), F.lit(""))
-    lines = F.split(o, LINE_BREAKS)
-    marker = F.array_position(F.transform(lines, lambda x: py_strip(x)), F.lit("__AUDIT_BODY_BEGIN__"))
+BODY_MARKER = "__AUDIT_BODY_BEGIN__"
+
+
+def strip_body_marker(outputs: DataFrame, output: str = "output") -> DataFrame:
+    """``log_path`` and ``body`` from command output, in the place of its column. ``LOG_PATH:`` line before the
+    marker gives the path (empty -> null); lines after the ``__AUDIT_BODY_BEGIN__`` line are the body, stripped; no
+    marker -> empty body. Lines and marker are computed once per output."""
+    from fleetlens.operators.audits import materialize
+
+    keep = [c for c in outputs.columns if c != output]
+    x = materialize(outputs, keep, _lines=F.split(F.coalesce(F.col(output), F.lit("")), LINE_BREAKS))
+    stripped = F.transform("_lines", lambda x: F.when(x.contains(BODY_MARKER), py_strip(x)).otherwise(F.lit("")))
+    x = materialize(x, [*keep, "_lines"], _marker=F.array_position(stripped, F.lit(BODY_MARKER)))
+    lines, marker, n = F.col("_lines"), F.col("_marker"), F.size("_lines")
     head = F.when(marker > 0, F.slice(lines, 1, marker)).otherwise(lines)
-    paths = F.filter(head, lambda x: x.startswith("LOG_PATH:"))
-    last_path = F.when(F.size(paths) > 0, F.element_at(paths, -1))
+    last_path = F.get(F.reverse(F.filter(head, lambda x: x.startswith("LOG_PATH:"))), 0)
     log_path = F.nullif(py_strip(F.substr(last_path, F.lit(len("LOG_PATH:") + 1))), F.lit(""))
-    n = F.size(lines)
-    body = F.when(marker > 0, py_strip(F.array_join(F.slice(lines, marker + 1, F.greatest(n - marker, F.lit(1))), "\n"))
-                  ).otherwise(F.lit(""))
-    body = F.when((marker > 0) & (marker == n), F.lit("")).otherwise(body)
-    return log_path, body
+    body = F.when((marker > 0) & (marker < n), py_strip(
+        F.array_join(F.slice(lines, marker + 1, F.greatest(n - marker, F.lit(1))), "\n"))).otherwise(F.lit(""))
+    return materialize(x, keep, log_path=log_path, body=body)
 
 
 def _lines(sec: Column) -> Column:
