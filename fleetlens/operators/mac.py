@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.maps import fingerprint
 from fleetlens.functions.numeric import fmt_num, safe_float, safe_int
 from fleetlens.functions.text import finding_text, normalize_app_name, py_strip, squash_spaces
-from fleetlens.operators.audits import FINDING, count_severity, level_of
+from fleetlens.operators.audits import FINDING, count_severity, level_of, materialize
 
 # FIXED VALUES - Mac host audit thresholds.
 MAC_MEMORY_FREE_CRIT, MAC_MEMORY_FREE_WARN = 5, 10
@@ -75,7 +75,7 @@ def analyze_snapshots(snaps: DataFrame) -> DataFrame:
     """D4 per snapshot: findings, level, counts, summary (map-side)."""
     from fleetlens.session import cached_expr
 
-    a = snaps.withColumn("findings", cached_expr(("mac_findings",), lambda: mac_findings(snaps)))
+    a = materialize(snaps, ["snapshot_id", "host", "timestamp_unix"], findings=cached_expr(("mac_findings",), lambda: mac_findings(snaps)))
     return a.select(
         "snapshot_id", "host", "timestamp_unix", "findings",
         level_of("findings").alias("level"),
@@ -289,10 +289,11 @@ def mac_gauge_rows(snaps: DataFrame) -> DataFrame:
     wall-clock in the reference and is left out: results must be reproducible.)"""
     from fleetlens.operators.audits import py_float_text
 
-    a = snaps.withColumn("findings", mac_findings(snaps))
     host = F.coalesce(F.nullif(F.col("host"), F.lit("")), F.lit("mba"))
+    a = materialize(snaps, snaps.columns, findings=mac_findings(snaps), _host=host)
+    a = materialize(a, a.columns, _level=level_of("findings"))
+    host, level = F.col("_host"), F.col("_level")
     hl = F.concat(F.lit('host="'), host, F.lit('"'))
-    level = level_of("findings")
     code = F.when(level == "ok", 0).when(level == "warning", 1).when(level == "critical", 2).otherwise(3)
     nums = [("mac_host_audit_last_run_unixtime", "timestamp_unix"),
             ("mac_host_audit_memory_free_percent", "memory_free_percent"),
