@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.numeric import fmt_num, safe_float, safe_int
-from fleetlens.functions.text import PY_WHITESPACE, escape_label, finding_text, py_strip
+from fleetlens.functions.text import escape_label, finding_text, py_strip
 
 # Python str.splitlines() boundaries.
-LINE_BREAKS = r"\r\n|[\n-\r\u001C-\u001E\u0085\u2028\u2029]"
+LINE_BREAK = r"[\n-\r\u001C-\u001E\u0085\u2028\u2029]"  # where an empty line between \r and \n does no harm
+LINE_BREAKS = r"\r\n|" + LINE_BREAK
 
 FINDING = "struct<severity:string,kind:string,message:string>"
 
@@ -26,20 +27,23 @@ FINDING = "struct<severity:string,kind:string,message:string>"
 # ----------------------------------------------------------------------------- S3
 
 def _stripped(x: Column) -> Column:
-    """``py_strip``, which walks the whole text, only where the first or last character is whitespace."""
-    edges = [F.substring(x, at, 1).isin(*PY_WHITESPACE) for at in (1, -1)]
-    return F.when(edges[0] | edges[1], py_strip(x)).otherwise(x)
+    """``py_strip``, which walks the whole text, only where the first or last character can be whitespace: below
+    ``!`` or not ASCII."""
+    def odd(c):
+        return (c < "!") | (c >= "\u0080")
+
+    return F.when(odd(x) | odd(F.substring(x, -1, 1)), py_strip(x)).otherwise(x)
 
 
 def kv_facts_map(text) -> Column:
     """S3: ``key=value`` lines -> map<string,string>. Lines are stripped; blank lines, lines starting
-    with '===' and lines without '=' are skipped; split on the first '='; the last duplicate wins."""
+    with '===' and lines without '=' are skipped; split on the first '='; the last duplicate wins. Key and value are
+    stripped, so a line itself needs it only to tell a leading '==='."""
     t = F.col(text) if isinstance(text, str) else text
-    written = F.filter(F.split(F.coalesce(t, F.lit("")), LINE_BREAKS), lambda x: x.contains("="))
-    kept = F.filter(F.transform(written, _stripped), lambda x: ~x.startswith("==="))
-    entries = F.transform(kept, lambda x: F.struct(
-        _stripped(F.substring_index(x, "=", 1)).alias("key"),
-        _stripped(F.substr(x, F.instr(x, "=") + 1)).alias("value")))
+    kept = F.filter(F.split(F.coalesce(t, F.lit("")), LINE_BREAK),
+                    lambda x: x.contains("=") & ~(x.contains("===") & py_strip(x).startswith("===")))
+    pairs = F.transform(kept, lambda x: F.split(x, "=", 2))
+    entries = F.transform(pairs, lambda p: F.struct(_stripped(p[0]).alias("key"), _stripped(p[1]).alias("value")))
     return F.map_from_entries(entries)
 
 
@@ -315,14 +319,23 @@ def materialize(df: DataFrame, keep: list[str], **cols: Column) -> DataFrame:
 
     The optimizer inlines a projected expression into every later reference when the references only
     extract fields; a facts map read by ~80 checks would then be parsed ~80 times per row. A generator
-    (``inline`` of a one-element array) is a plan node the projections cannot be merged through.
+    (``inline`` of a one-element array) is a plan node the projections cannot be merged through. The array is a
+    projection of its own: a generator interprets its input, repeated parts included, a projection is compiled.
     """
-    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+    return inline_rows(df.select(*keep, F.array(F.struct(*[c.alias(n) for n, c in cols.items()])).alias("_rows")), keep, "_rows")
+
+
+def inline_rows(df: DataFrame, keep: list[str], rows: str) -> DataFrame:
+    """``keep`` and the fields of the structs in ``rows``, one row each. For a plain column the optimizer would add the filter
+    ``size(rows) > 0`` and move it below the projection, which then builds the rows twice; not for a slice."""
+    return df.select(*keep, F.inline(F.slice(rows, 1, F.lit(2 ** 31 - 1))))
 
 
 def analyze(logs: DataFrame, checks) -> DataFrame:
     """Facts -> findings -> level / counts / summary, one row per log (map-side, no shuffle)."""
-    from fleetlens.session import cached_expr
+    from fleetlens.session import cached_expr, small_methods
+
+    small_methods(logs.sparkSession)
 
     def judged():
         fields = Fields()
@@ -478,7 +491,7 @@ def vps_gauge_rows(analysis: DataFrame) -> Column:
 
 def vps_gauges(analysis: DataFrame) -> DataFrame:
     """Long form ``(log_id, metric, labels, value)`` of :func:`vps_gauge_rows` over an :func:`analyze` result."""
-    return analysis.select("log_id", F.inline(vps_gauge_rows(analysis)))
+    return inline_rows(analysis.select("log_id", vps_gauge_rows(analysis).alias("rows")), ["log_id"], "rows")
 
 
 def vps_exposition(analysis: DataFrame) -> DataFrame:
@@ -534,7 +547,7 @@ def stack_gauge_rows(analysis: DataFrame) -> Column:
 
 def stack_gauges(analysis: DataFrame) -> DataFrame:
     """Long form ``(log_id, metric, labels, value)`` of :func:`stack_gauge_rows`."""
-    return analysis.select("log_id", F.inline(stack_gauge_rows(analysis)))
+    return inline_rows(analysis.select("log_id", stack_gauge_rows(analysis).alias("rows")), ["log_id"], "rows")
 
 
 def stack_exposition(analysis: DataFrame) -> DataFrame:
