@@ -76,7 +76,10 @@ def enabled_active_pair(lines) -> Column:
 def contains_any(text, patterns) -> Column:
     """Case-insensitive substring any-of."""
     t = F.lower(F.coalesce(_c(text), F.lit("")))
-    return F.exists(F.array(*[F.lit(p.lower()) for p in patterns]), lambda p: t.contains(p))
+    found = F.lit(False)
+    for p in patterns:  # compiled, with one lower-cased text; a lambda would make one per pattern
+        found = found | t.contains(p.lower())
+    return found
 
 
 def overlay_maps(*maps) -> Column:

@@ -302,7 +302,9 @@ def admin_gauge_rows(analysis: DataFrame, as_of_unix: int, host: str = "admin")
 
 def admin_gauges(analysis: DataFrame, as_of_unix: int, host: str = "admin") -> DataFrame:
     """Long form ``(log_id, metric, labels, value)`` of :func:`admin_gauge_rows`."""
-    return admin_gauge_rows(analysis, as_of_unix, host).select("log_id", F.inline("rows"))
+    from fleetlens.operators.audits import inline_rows
+
+    return inline_rows(admin_gauge_rows(analysis, as_of_unix, host), ["log_id"], "rows")
 
 
 def admin_exposition(analysis: DataFrame, as_of_unix: int, host: str = "admin") -> DataFrame:

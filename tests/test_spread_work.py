@@ -53,3 +53,45 @@ def test_marker_lines(spark):
     rows = spark.createDataFrame([(i, o) for i, o in enumerate(outs)], "log_id int, output string")
     got = {r.log_id: (r.log_path, r.body) for r in AD.strip_body_marker(rows).collect()}
     assert got == {0: ("/a", "x\n\ny"), 1: ("/b", ""), 2: (None, ""), 3: (None, "LOG_PATH:/late"), 4: (None, "")}
+
+
+def test_gauge_rows_are_built_once_and_compiled(spark, one_group):
+    for query, metric in (("vps_gauges", "vps_host_audit_status"), ("stack_gauges", "monitoring_stack_audit_status"),
+                          ("admin_gauges", "admin_host_audit_last_run_unixtime")):
+        lines = [line for line in plan(QUERIES[query](spark, one_group)).splitlines() if metric in line]
+        assert len(lines) == 1 and "Generate" not in lines[0] and "Filter" not in lines[0], query
+
+
+def test_admin_facts_are_compiled_and_sections_not_interpreted(spark, one_group):
+    lines = [line for line in plan(QUERIES["admin_findings"](spark, one_group)).splitlines() if "SMB SERVICES" in line and "regexp_extract" in line]
+    assert lines and not any("Generate" in line for line in lines)
+
+
+def test_checks_leave_methods_that_hotspot_compiles(spark, one_group):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit, "65535")
+    try:
+        spark.conf.unset(limit)
+        QUERIES["vps_findings"](spark, one_group)
+        assert int(spark.conf.get(limit)) == 8000
+        spark.conf.set(limit, "4000")
+        QUERIES["stack_findings"](spark, one_group)
+        assert spark.conf.get(limit) == "4000"
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_facts_of_odd_lines(spark):
+    def facts(text):
+        out = {}
+        for line in (text or "").splitlines():
+            line = line.strip()
+            if line and not line.startswith("===") and "=" in line:
+                key, value = line.split("=", 1)
+                out[key.strip()] = value.strip()
+        return out
+
+    texts = ["a=1\r\nb = 2 \r\x0bc=\x1d=3", " === x=1\n===\n= ==y\n==z\n\u3000===q=1", "=\n=v\nk=", "\u2003k\u2003=\u2003v\u2003\x85k=w\u2028é=é\n\tt=\tu\t",
+             "a===b\na = === b\nno line\n\n", "x=\x00\ny=~\nz=\x7f\n\x1f p=q\x1f", "", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").select("id", AU.kv_facts_map("text").alias("m"))
+    assert {r.id: r.m for r in rows.collect()} == {i: facts(t) for i, t in enumerate(texts)}
