@@ -97,7 +97,7 @@ def test_facts_of_odd_lines(spark):
     assert {r.id: r.m for r in rows.collect()} == {i: facts(t) for i, t in enumerate(texts)}
 
 
-@pytest.mark.parametrize("query", ["kv_facts", "analysis_trailer"])
+@pytest.mark.parametrize("query", ["kv_facts", "analysis_trailer", "stack_levels"])
 def test_plain_texts_are_parsed_without_patterns(spark, one_group, query):
     """Printable ASCII with line feeds is split at the line feed and stripped of spaces; text and facts are built once."""
     text = plan(QUERIES[query](spark, one_group))
