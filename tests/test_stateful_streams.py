@@ -1,5 +1,7 @@
 """Stateful streams: equal to the batch over shuffled files, micro-batches and restarts; state shrinks; late rows are counted."""
 
+import datetime
+import itertools
 import uuid
 
 import pytest
@@ -153,6 +155,61 @@ def test_transition_faults(events, faults):
     assert ST.transition_faults(*events) == faults
 
 
+def test_faults_column_judges_as_the_function(spark):
+    times = (None, 5, 6, 9)
+    cases = [c + t for c in itertools.product(range(3), repeat=3) for t in itertools.product(times, repeat=3)]
+    names = ("n_created", "n_started", "n_finished", "created_us", "first_started_us", "first_finished_us")
+    rows = spark.createDataFrame(cases, ", ".join(f"{n} long" for n in names)).select(*names, ST.faults_column().alias("faults")).collect()
+    assert len(rows) == len(cases) and all(r.faults == ST.transition_faults(*r[:6]) for r in rows)
+
+
+_LOG = "ts timestamp, task_id long, seq int, status string, started_at timestamp, finished_at timestamp"
+
+
+def second(n):
+    return n if n is None else datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc) + datetime.timedelta(seconds=n)
+
+
+def test_lifecycle_runs_without_python(spark):
+    """With a Python processor every task costs several round trips, which is what 6 GB of events took too long for."""
+    root = scratch(spark, "plan")
+    ST.beat(spark, f"{root}/clock")
+    spark.createDataFrame([], _LOG).write.parquet(f"{root}/in")
+    stream = ST.lifecycle(ST.with_clock(files(spark, f"{root}/in", spark.read.parquet(f"{root}/in").schema), f"{root}/clock"))
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "FlatMapGroupsWithState" in plan and "Python" not in plan and "PySpark" not in plan
+
+
+def test_lifecycle_of_repeated_late_and_timeless_events(spark):
+    root = scratch(spark, "odd_tasks")
+    ST.beat(spark, f"{root}/clock")
+    end = lambda k, n, status="success": (second(n), k, 2, status, None, second(n))
+    start = lambda k, n: (second(n), k, 1, "running", second(n), None)
+    new = lambda k, n: (second(n), k, 0, "pending", None, None)
+    files_of = [[new(1, 0), start(1, 10), end(1, 20), new(2, 0), new(2, 1), start(3, 5), (None, 3, 0, "pending", None, None), new(None, 3), end(4, 7)],
+                [start(1, 40), start(2, 30), end(5, 16)],  # task 5: the watermark passed its end within the micro-batch before
+                [start(6, 2), end(2, 45, "failed")]]  # task 6: late
+    at, got = [None, None, 52, 60], []
+    for step, mark in enumerate(at):
+        if step < len(files_of):
+            spark.createDataFrame(files_of[step], _LOG).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        if mark:
+            ST.beat(spark, f"{root}/clock", str(spark.sql(f"select timestamp'2024-01-01 00:00:00' + interval {mark} seconds").first()[0]))
+        build = ST.lifecycle(ST.with_clock(files(spark, f"{root}/in", spark.read.parquet(f"{root}/in").schema), f"{root}/clock", "10 seconds"))
+        q = ST.drive(build, root, "update", lambda b, i: sinks.append_batch(b, f"{root}/data", i) and None)
+        rows = sinks.newest_by_key(sinks.read_batches(spark, f"{root}/data"), "task_id", "evicted").collect()
+        got.append({r.task_id: (r.status, r.n_events, r.evicted, r.faults) for r in rows})
+        assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == sum(not r.evicted for r in rows)
+    lost = ("success", 1, True, ["no creation", "finished without a start"])
+    first = {1: ("success", 3, False, []), 2: ("pending", 2, False, []), 3: ("running", 2, False, []), 4: lost}
+    assert got[0] == first
+    # task 1's second start comes after its end, so its stay is longer
+    assert got[1] == first | {1: ("running", 4, False, []), 2: ("running", 3, False, []), 5: lost}
+    gone = {1: ("running", 4, True, ["started again"]), 2: ("failed", 4, False, [])}
+    assert got[2] == got[1] | gone
+    assert got[3] == got[2] | {2: ("failed", 4, True, ["created again"])}
+
+
 # exactly once (K1, K3) -------------------------------------------------------------------------------------
 
 def test_writer_killed_between_write_and_commit(spark):
