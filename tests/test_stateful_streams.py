@@ -180,6 +180,14 @@ def test_lifecycle_runs_without_python(spark):
     assert "FlatMapGroupsWithState" in plan and "Python" not in plan and "PySpark" not in plan
 
 
+def test_lifecycle_query_keeps_its_state_in_the_jvm(spark, monkeypatch):
+    ran, drive = [], ST.drive
+    monkeypatch.setattr(ST, "drive", lambda *a: ran.append(drive(*a)) or ran[-1])
+    got = TW.stream_task_lifecycle(spark, SF_SMALL).select("task_id", "status", "started_at", "finished_at", "n_events").collect()
+    assert {o["operatorName"] for q in ran for p in q.recentProgress for o in p["stateOperators"]} == {"flatMapGroupsWithState"}
+    assert sorted(got) == sorted(Q.task_latest_state(Q.task_events(fx.tasks(spark, SF_SMALL))).collect())
+
+
 def test_lifecycle_of_repeated_late_and_timeless_events(spark):
     root = scratch(spark, "odd_tasks")
     ST.beat(spark, f"{root}/clock")
